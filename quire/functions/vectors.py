@@ -64,8 +64,11 @@ def bucket_of(token: Column, dim: int = DEFAULT_DIM) -> Column:
 def weighted_tokens(text: Column, weight: float = 1.0, dim: int = DEFAULT_DIM) -> Column:
     """array<struct<bucket, value>>: one entry per token, value = weight / n_tokens."""
     toks = tokens(text)
+    # The weight is computed once per text, outside the lambda: an outer
+    # expression referenced inside a lambda is re-evaluated per element.
     w = F.lit(float(weight)) / F.greatest(F.size(toks), F.lit(1)).cast("double")
-    return F.transform(toks, lambda t: F.struct(bucket_of(t, dim).alias("bucket"), w.alias("value")))
+    return F.zip_with(toks, F.array_repeat(w, F.size(toks)),
+                      lambda t, v: F.struct(bucket_of(t, dim).alias("bucket"), v.alias("value")))
 
 
 def to_sparse(entries: Column) -> Column:
@@ -103,8 +106,10 @@ def sparse_cosine_dense(sparse: Column, dense: Column, eps: float = COSINE_EPS)
 
 
 def sparse_to_dense(sparse: Column, dim: int = DEFAULT_DIM) -> Column:
-    m = F.map_from_entries(sparse)
-    return F.transform(F.sequence(F.lit(0), F.lit(dim - 1)), lambda i: F.coalesce(F.element_at(m, i), F.lit(0.0)))
+    """Dense array of ``dim`` doubles. Folds entries into a zero vector; the
+    lambdas read only their own variables (nothing re-evaluated per element)."""
+    return F.aggregate(sparse, F.array_repeat(F.lit(0.0), dim),
+                       lambda acc, e: F.transform(acc, lambda x, i: F.when(i == e["bucket"], x + e["value"]).otherwise(x)))
 
 
 def hashed_vector(text: Column, dim: int = DEFAULT_DIM) -> Column:

@@ -29,9 +29,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import schemas
 from ..functions import html as H
 from ..session import table_path
 
+SCORES = schemas.PAPERS["similarities"].dataType
+
 # Fixed values of the stand-in sites.
 HOSTS = {
     "en": "https://proceedings.example.org",
@@ -80,6 +83,7 @@ def documents_as_papers(docs: DataFrame) -> DataFrame:
                  F.col("title"), F.lit("},\n  year = {"), F.col("year").cast("string"), F.lit("}\n}")).alias("bibtex"),
         F.lit(True).alias("accepted"),
         F.lit(None).cast("string").alias("query_term"),
+        F.array().cast(SCORES).alias("similarities"),
         F.regexp_extract(F.col("source"), r"(\d+)$", 1).cast("bigint").alias("run_seq"),
         F.col("doc_id").alias("pos"),
     )
@@ -98,7 +102,7 @@ def benchmark_as_papers(bench: DataFrame) -> DataFrame:
                  F.lit(".pdf")).alias("url_pdf"),
         F.concat(F.lit("@misc{bench"), F.col("item_id").cast("string"), F.lit("}")).alias("bibtex"),
         F.lit(True).alias("accepted"), F.lit(None).cast("string").alias("query_term"),
-        F.lit(-1).cast("bigint").alias("run_seq"), F.col("item_id").alias("pos"))
+        F.array().cast(SCORES).alias("similarities"), F.lit(-1).cast("bigint").alias("run_seq"), F.col("item_id").alias("pos"))
 
 
 def profiles(spark: SparkSession, sf_dir: str) -> DataFrame:

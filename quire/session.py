@@ -21,6 +21,7 @@ DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     # Upper bound for automatic broadcast; explicit broadcasts are size checked.
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
 }
