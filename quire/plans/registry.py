@@ -68,8 +68,9 @@ DOCS_P = r"""docs_p AS (
          doc_id AS pos
   FROM documents)"""
 
-VALID_COND = """(title <> '' AND authors IS NOT NULL AND venue <> '' AND year IS NOT NULL AND year <> 0
-  AND url_pdf <> '' AND abstract <> '' AND bibtex <> '')"""
+VALID_COND = """(coalesce(title, '') <> '' AND authors IS NOT NULL AND coalesce(venue, '') <> ''
+  AND coalesce(year, 0) <> 0 AND coalesce(url_pdf, '') <> '' AND coalesce(abstract, '') <> ''
+  AND coalesce(bibtex, '') <> '')"""
 
 LATEST = f"""{DOCS_P},
 latest AS (
@@ -375,3 +376,314 @@ def type_aware_sort(spark, sf):
         r = B.type_aware_sort(part, col, descending=desc, tie_col="p_partkey", rank_col="rank")
         outs.append(r.select("p_partkey", F.lit(col).alias("col"), "rank"))
     return outs[0].unionByName(outs[1]).unionByName(outs[2])
+
+
+# --- page SQL helpers ----------------------------------------------------------
+
+def _sql_str(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+def sql_unescape(expr: str) -> str:
+    from ..functions.html import ENTITIES
+    for ent, ch in ENTITIES:
+        expr = f"replace({expr}, {_sql_str(ent)}, {_sql_str(ch)})"
+    return expr
+
+
+SQL_MARKUP = r"""regexp_replace(html, '(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->', '', 'g')"""
+SQL_ORIGIN = r"""regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]+)', 1)"""
+
+
+def sql_attr(tag_expr: str, name: str) -> str:
+    p = _sql_str(rf"""(?is)\s{name}\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
+    return sql_unescape(f"(regexp_extract({tag_expr}, {p}, 1) || regexp_extract({tag_expr}, {p}, 2) || "
+                        f"regexp_extract({tag_expr}, {p}, 3))")
+
+
+def sql_link_href(elem: str) -> str:
+    start = f"regexp_extract({elem}, '(?is)^<a\\b[^>]*>', 0)"
+    return f"CASE WHEN regexp_matches({start}, '(?is)\\shref\\s*=') THEN {sql_attr(start, 'href')} END"
+
+
+def sql_link_text(elem: str) -> str:
+    inner = f"regexp_replace(regexp_replace({elem}, '(?is)^<a\\b[^>]*>', ''), '(?is)</a>$', '')"
+    return sql_unescape(f"regexp_replace({inner}, '(?s)<[^>]*>', '', 'g')")
+
+
+def sql_absolutize(href: str, base: str) -> str:
+    return (f"CASE WHEN starts_with({href}, '/') AND NOT starts_with({href}, '//') "
+            f"THEN {base} || {href} ELSE {href} END")
+
+
+def sql_strip_ws(expr: str) -> str:
+    return f"regexp_replace({expr}, '^\\s+|\\s+$', '', 'g')"
+
+
+PAGE_LINKS = f"""m AS (SELECT page_id, url, {SQL_MARKUP} AS m FROM pages),
+ea AS (SELECT page_id, url, regexp_extract_all(m, '(?is)<a\\b[^>]*>.*?</a>', 0) AS es FROM m),
+pl AS (SELECT page_id, url, unnest(es) AS e, generate_subscripts(es, 1) - 1 AS pos FROM ea),
+links AS (SELECT page_id, url, pos, {sql_link_href('e')} AS href, {sql_link_text('e')} AS text FROM pl)"""
+
+
+# --- L4, P5, X7, L6 -------------------------------------------------------------
+
+@register("page_links", f"""WITH {PAGE_LINKS}
+SELECT page_id, url, pos, href, text FROM links""")
+def page_links(spark, sf):
+    return L.page_links(D.read(spark, sf, "pages"))
+
+
+@register("absolute_links", f"""WITH {PAGE_LINKS}
+SELECT page_id, pos, {sql_absolutize('href', SQL_ORIGIN)} AS link FROM links WHERE href IS NOT NULL""")
+def absolute_links(spark, sf):
+    return L.absolute_links(D.read(spark, sf, "pages")).select("page_id", "pos", "link")
+
+
+@register("frontier", f"""WITH {PAGE_LINKS}
+SELECT DISTINCT {sql_absolutize('href', SQL_ORIGIN)} AS url FROM links
+WHERE href IS NOT NULL AND {sql_absolutize('href', SQL_ORIGIN)} NOT IN (SELECT url FROM pages)""")
+def frontier(spark, sf):
+    pages = D.read(spark, sf, "pages")
+    return L.frontier(L.absolute_links(pages), pages)
+
+
+LI_SQL = f"""m AS (SELECT page_id, url, {SQL_MARKUP} AS m FROM pages),
+la AS (SELECT page_id, url, regexp_extract_all(m, '(?is)<li\\b[^>]*>(.*?)</li>', 1) AS lis FROM m),
+li AS (SELECT page_id, url, unnest(lis) AS li, generate_subscripts(lis, 1) - 1 AS pos FROM la),
+lif AS (SELECT page_id, url, pos, {sql_unescape("regexp_replace(li, '(?s)<[^>]*>', '', 'g')")} AS text,
+               {sql_link_href("regexp_extract(li, '(?is)<a\\b[^>]*>.*?</a>', 0)")} AS href FROM li)"""
+
+
+@register("listing_items", f"""WITH {LI_SQL}
+SELECT page_id, pos, {SQL_ORIGIN} || href AS link FROM lif
+WHERE contains(text, 'e') AND NOT contains(text, 'th') AND href IS NOT NULL""")
+def listing_items(spark, sf):
+    """L1 on the real pages' navigation lists (include 'e', exclude 'th')."""
+    return L.listing_items(D.read(spark, sf, "pages"), "e", "th")
+
+
+@register("search_links", f"""WITH {LI_SQL}
+SELECT page_id, pos, {SQL_ORIGIN} || href AS link FROM lif WHERE contains(href, '/a')""")
+def search_links(spark, sf):
+    """L3: first link of each list item whose href contains '/a', host prefixed."""
+    return L.search_result_links(D.read(spark, sf, "pages"), "/a")
+
+
+@register("volume_links", f"""WITH {DOCS_P}
+SELECT 'https://volumes.example.org/' || venue || '/' || CAST(doc_id // 50 AS VARCHAR) AS url,
+       row_number() OVER (PARTITION BY venue, doc_id // 50 ORDER BY doc_id) - 1 AS pos, title,
+       '/abs/' || CAST(doc_id AS VARCHAR) || '.html' AS link
+FROM docs_p QUALIFY contains(lower(title), 'the')""")
+def volume_links(spark, sf):
+    """L2 over volume listing pages rendered from the documents."""
+    pages = D.volume_pages(_docs(spark, sf))
+    return L.volume_links(pages, "the").join(pages.select("page_id", "url"), "page_id") \
+        .select("url", "pos", "title", "link")
+
+
+# --- X4 / X8 nested text on the real pages --------------------------------------------
+
+@register("nested_text", f"""WITH m AS (SELECT page_id, {SQL_MARKUP} AS m FROM pages)
+SELECT page_id,
+  {sql_strip_ws(sql_unescape("regexp_replace(regexp_extract(m, '(?is)<article\\b[^>]*>(.*?)</article>', 1), '(?s)<[^>]*>', '', 'g')"))} AS article,
+  {sql_strip_ws(sql_unescape("regexp_replace(regexp_extract(m, '(?is)<h1\\b[^>]*>(.*?)</h1>', 1), '(?s)<[^>]*>', '', 'g')"))} AS h1,
+  {sql_strip_ws(sql_unescape("regexp_replace(regexp_extract(m, '(?is)<div class=\"ad\">(.*?)</div>', 1), '(?s)<[^>]*>', '', 'g')"))} AS ad
+FROM m""")
+def nested_text(spark, sf):
+    specs = [dict(name="article", tag="article"), dict(name="h1", tag="h1"), dict(name="ad", tag="div", cls="ad")]
+    return N.extract(D.read(spark, sf, "pages"), specs, ["page_id"])
+
+
+# --- collect: X1-X14, J1, J2, A3, P2, W1 over rendered pages ----------------------------
+
+def _rendered(spark, sf):
+    return D.render_pages(_docs(spark, sf), D.read(spark, sf, "labels"))
+
+
+PREPRINT_ID_SQL = """CASE WHEN d.year >= 2007
+  THEN lpad(CAST(d.year % 100 AS VARCHAR), 2, '0') || '01.' || lpad(CAST(d.doc_id AS VARCHAR), 5, '0')
+  ELSE lpad(CAST(d.year % 100 AS VARCHAR), 2, '0') || '01' || lpad(CAST(d.doc_id AS VARCHAR), 3, '0') END"""
+
+EXPECTED = f"""{DOCS_P},
+exp AS (
+  SELECT d.doc_id,
+    CASE d.lang WHEN 'en' THEN 'proceedings' WHEN 'fr' THEN 'conference' WHEN 'de' THEN 'preprints' ELSE 'forum' END AS venue,
+    d.title,
+    CASE WHEN d.lang = 'de' THEN (CASE WHEN d.authors IS NOT NULL THEN [array_to_string(d.authors, ', ')] END)
+         WHEN d.lang = 'es' THEN coalesce(d.authors, [])
+         ELSE d.authors END AS authors,
+    d.year,
+    CASE d.lang WHEN 'de' THEN 'https://preprints.example.org/pdf/' || {PREPRINT_ID_SQL}
+                WHEN 'es' THEN 'https://forum.example.org/pdf?id=f' || CAST(d.doc_id AS VARCHAR)
+                ELSE d.url_pdf END AS url_pdf,
+    CASE d.lang WHEN 'de' THEN {sql_strip_ws("replace(d.abstract, chr(10), ' ')")}
+                WHEN 'es' THEN d.abstract
+                ELSE {sql_strip_ws('d.abstract')} END AS abstract,
+    CASE WHEN d.lang = 'fr' AND l.doc_id IS NULL THEN NULL
+         WHEN d.lang = 'en' THEN {sql_strip_ws('d.bibtex')}
+         ELSE d.bibtex END AS bibtex,
+    CASE d.lang WHEN 'de' THEN false WHEN 'es' THEN coalesce(l.quality = 1 OR l.toxic = 1, false) ELSE true END AS accepted,
+    d.run_seq, d.pos
+  FROM docs_p d LEFT JOIN labels l ON l.doc_id = d.doc_id),
+expc AS (
+  SELECT *, CASE WHEN year IS NULL THEN 'error' WHEN NOT {VALID_COND} THEN 'invalid' END AS reason,
+         {MISSING_EXPR} AS missing FROM exp)"""
+
+
+def _records(spark, sf):
+    return R.classify(C.collect_records(_rendered(spark, sf)))
+
+
+@register("collect_records", f"""WITH {EXPECTED}
+SELECT doc_id, venue, title, array_to_string(authors, ' | ') AS authors, year, url_pdf, abstract, bibtex,
+       accepted, reason, missing FROM expc""")
+def collect_records(spark, sf):
+    return _records(spark, sf).select(
+        "doc_id", "venue", "title", F.array_join("authors", " | ").alias("authors"), "year", "url_pdf",
+        "abstract", "bibtex", "accepted", "reason", F.array_join("missing", ",").alias("missing"))
+
+
+@register("collect_rejects", f"""WITH {EXPECTED}
+SELECT venue, reason, missing, count(*) AS n FROM expc WHERE reason IS NOT NULL GROUP BY ALL""")
+def collect_rejects(spark, sf):
+    recs = _records(spark, sf)
+    return recs.where(F.col("reason").isNotNull()).groupBy(
+        "venue", "reason", F.array_join("missing", ",").alias("missing")).agg(F.count("*").alias("n"))
+
+
+@register("collect_papers", f"""WITH {EXPECTED}
+SELECT title, doc_id, venue FROM (
+  SELECT *, row_number() OVER (PARTITION BY title ORDER BY run_seq DESC, pos DESC) AS rn
+  FROM expc WHERE reason IS NULL) WHERE rn = 1""")
+def collect_papers(spark, sf):
+    valid, _ = C.collect(_rendered(spark, sf))
+    return U.upsert(None, valid).select("title", F.col("pos").alias("doc_id"), "venue")
+
+
+_FQ_FIELDS = ["title", "authors", "venue", "year", "url_pdf", "abstract", "bibtex", "accepted"]
+
+
+def _fq_sql() -> str:
+    parts = []
+    for f in _FQ_FIELDS:
+        blank = {"authors": "len(authors) = 0", "year": "false", "accepted": "false"}.get(f, f"{f} = ''")
+        parts.append(f"SELECT '{f}' AS field, count(*) AS n_rows, count(*) - count({f}) AS n_null, "
+                     f"count(*) FILTER (WHERE {blank}) AS n_blank, 0 AS n_badcast FROM exp")
+    return f"WITH {EXPECTED}\n" + "\nUNION ALL\n".join(parts)
+
+
+@register("field_quality", _fq_sql())
+def field_quality(spark, sf):
+    return R.field_quality(C.collect_records(_rendered(spark, sf)))
+
+
+@register("meta_fields", f"""WITH {DOCS_P}
+SELECT doc_id, title, array_to_string(authors, ' | ') AS authors, CAST(year AS VARCHAR) AS year_text, url_pdf
+FROM docs_p WHERE lang IN ('en', 'fr')""")
+def meta_fields(spark, sf):
+    """X1-X3 alone (JVM only) on the rendered proceedings and conference pages."""
+    from ..functions import html as H
+    pages = _rendered(spark, sf).where(F.col("kind") == "detail").where(F.col("venue").isin("proceedings", "conference"))
+    m = H.markup(F.col("html"))
+    return pages.select("doc_id", H.meta_content(m, "citation_title").alias("title"),
+                        F.array_join(H.meta_contents(m, "citation_author"), " | ").alias("authors"),
+                        F.substring(H.meta_content(m, "citation_publication_date"), 1, 4).alias("year_text"),
+                        H.meta_content(m, "citation_pdf_url").alias("url_pdf"))
+
+
+@register("bibtex_join", f"""WITH {DOCS_P}
+SELECT d.doc_id, 'https://conference.example.org/bibtex/doc' || CAST(d.doc_id AS VARCHAR) || '.bib' AS bibtex_url,
+       CASE WHEN l.doc_id IS NOT NULL THEN d.bibtex END AS bibtex
+FROM docs_p d LEFT JOIN labels l ON l.doc_id = d.doc_id WHERE d.lang = 'fr'""")
+def bibtex_join(spark, sf):
+    """Detail page -> link reading 'Bibtex' -> left join to the landed
+    bibtex pages (absent -> null)."""
+    pages = _rendered(spark, sf)
+    det = L.link_by_text(pages.where((F.col("kind") == "detail") & (F.col("venue") == "conference")),
+                         "Bibtex", keep=["doc_id", "url"]).withColumnRenamed("link", "bibtex_url")
+    bib = pages.where(F.col("kind") == "bibtex").select(F.col("url").alias("bibtex_url"), F.col("html").alias("bibtex"))
+    return det.join(bib, "bibtex_url", "left").select("doc_id", "bibtex_url", "bibtex")
+
+
+@register("accept_flag", f"""WITH {DOCS_P}
+SELECT 'f' || CAST(d.doc_id AS VARCHAR) AS fid, coalesce(l.quality = 1 OR l.toxic = 1, false) AS accepted,
+       l.doc_id IS NOT NULL AS has_notes
+FROM docs_p d LEFT JOIN labels l ON l.doc_id = d.doc_id WHERE d.lang = 'es'""")
+def accept_flag(spark, sf):
+    return C.forum_accept(_rendered(spark, sf))
+
+
+@register("notes_json", """SELECT CAST(conv_id AS VARCHAR) AS forum, CAST(conv_id AS VARCHAR) || '-' || CAST(turn AS VARCHAR) AS note_id,
+       split_part(text, chr(10), 1) AS title, role AS decision
+FROM conversations WHERE contains(lower(split_part(text, chr(10), 1)), 'the')""")
+def notes_json(spark, sf):
+    """S2 + L5: notes replies (JSON) parsed, title query on the note title."""
+    from ..sources.notes import parse_notes
+    replies = D.conversation_listing(D.read(spark, sf, "conversations"))
+    notes = parse_notes(replies, "body")
+    return M.filter_by_query(notes, "the").select("forum", "note_id", "title", "decision")
+
+
+@register("id_to_year", """SELECT o_orderkey,
+  CASE o_orderstatus WHEN 'O' THEN strftime(o_orderdate, '%y%m') || '.' || lpad(CAST(o_orderkey AS VARCHAR), 7, '0')
+                     WHEN 'F' THEN strftime(o_orderdate, '%y%m') || lpad(CAST(o_orderkey % 1000 AS VARCHAR), 3, '0')
+                     ELSE 'x' || CAST(o_orderkey AS VARCHAR) END AS pid,
+  CASE WHEN o_orderstatus = 'O' THEN 'https://preprints.example.org/abs/' ELSE 'https://preprints.example.org/abs/cs/' END
+  || CASE o_orderstatus WHEN 'O' THEN strftime(o_orderdate, '%y%m') || '.' || lpad(CAST(o_orderkey AS VARCHAR), 7, '0')
+                     WHEN 'F' THEN strftime(o_orderdate, '%y%m') || lpad(CAST(o_orderkey % 1000 AS VARCHAR), 3, '0')
+                     ELSE 'x' || CAST(o_orderkey AS VARCHAR) END AS url,
+  CASE o_orderstatus WHEN 'O' THEN '20' || strftime(o_orderdate, '%y')
+                     WHEN 'F' THEN CASE WHEN CAST(strftime(o_orderdate, '%y') AS INTEGER) > 7
+                                        THEN '19' ELSE '20' END || strftime(o_orderdate, '%y') END AS year
+FROM orders""")
+def id_to_year(spark, sf):
+    from ..functions.ids import preprint_url_and_year
+    o = D.read(spark, sf, "orders")
+    yymm = F.date_format("o_orderdate", "yyMM")
+    pid = (F.when(F.col("o_orderstatus") == "O",
+                  F.concat(yymm, F.lit("."), F.lpad(F.col("o_orderkey").cast("string"), 7, "0")))
+           .when(F.col("o_orderstatus") == "F",
+                 F.concat(yymm, F.lpad(F.pmod("o_orderkey", F.lit(1000)).cast("string"), 3, "0")))
+           .otherwise(F.concat(F.lit("x"), F.col("o_orderkey").cast("string"))))
+    uy = preprint_url_and_year(pid)
+    return o.select("o_orderkey", pid.alias("pid"), uy["url"].alias("url"), uy["year"].alias("year"))
+
+
+# --- S5, P8 ----------------------------------------------------------------------------
+
+@register("csv_records", f"""WITH {DOCS_P}
+SELECT title, CASE WHEN authors IS NOT NULL THEN array_to_string(authors, '; ') END AS authors,
+       CASE WHEN lang = 'de' THEN NULL ELSE year END AS year, abstract,
+       CASE WHEN lang = 'es' THEN '' ELSE url_pdf END AS url_pdf, lang <> 'es' AS accepted
+FROM docs_p""")
+def csv_records(spark, sf):
+    """S5 round trip: a 16-column CSV export written from the documents (quoted
+    commas, quotes and newlines; 'n.d.' years; empty pdf urls), read back by
+    position."""
+    from ..session import shared_path
+    from ..sources.store import read_csv_papers
+    d = _docs(spark, sf)
+    cols = [F.lit("").alias(f"c{i}") for i in range(16)]
+    cols[0] = F.col("title").alias("c0")
+    cols[1] = F.array_join("authors", "; ").alias("c1")
+    cols[5] = F.when(F.col("lang") == "de", F.lit("n.d.")).otherwise(F.col("year").cast("string")).alias("c5")
+    cols[10] = F.col("abstract").alias("c10")
+    cols[15] = F.when(F.col("lang") == "es", F.lit("")).otherwise(F.col("url_pdf")).alias("c15")
+    path = shared_path(spark, "csv-export") + "/ieee.csv"
+    d.select(*cols).write.option("header", True).option("escape", '"').csv(path)
+    recs = read_csv_papers(spark, path)
+    return recs.select("title", F.array_join("authors", "; ").alias("authors"), "year", "abstract", "url_pdf",
+                       "accepted")
+
+
+# --- T1 ----------------------------------------------------------------------------------
+
+@register("stream_ingest", f"""WITH {LATEST}
+SELECT title, doc_id, run_seq FROM latest""")
+def stream_ingest(spark, sf):
+    """The documents' records landed as several files and ingested by a
+    stream (one upsert per micro-batch); ends equal to the batch upsert."""
+    from ..streaming.ingest import ingest_landed_records
+    store = ingest_landed_records(spark, _docs(spark, sf).withColumn("url", F.col("url_pdf")), n_files=4)
+    return store.read().select("title", F.col("pos").alias("doc_id"), "run_seq")

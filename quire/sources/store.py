@@ -94,10 +94,15 @@ def read_csv_papers(spark: SparkSession, path: str, venue: str = CSV_VENUE) -> D
     raw = (spark.read.option("header", True).option("multiLine", True).option("escape", '"')
            .option("mode", "PERMISSIVE").csv(path))
     cols = raw.columns
-    pick = lambda name: F.col(f"`{cols[CSV_POSITIONS[name]]}`") if CSV_POSITIONS[name] < len(cols) else F.lit(None)
+
+    def pick(name):
+        # A missing or empty field reads as '' (as a Python csv reader gives).
+        i = CSV_POSITIONS[name]
+        return F.coalesce(F.col(f"`{cols[i]}`"), F.lit("")) if i < len(cols) else F.lit("")
+
     url = pick("url_pdf")
     return R.assemble(
-        raw, title=pick("title"), authors=F.when(pick("authors").isNotNull(), F.array(pick("authors"))),
+        raw, title=pick("title"), authors=F.when(pick("authors") != "", F.array(pick("authors"))),
         venue=venue, year=pick("year"), bibtex=F.lit(None).cast("string"), url_pdf=url,
         abstract=pick("abstract"), accepted=R.present(url), run_seq=F.lit(0).cast("bigint"),
         pos=F.monotonically_increasing_id())
