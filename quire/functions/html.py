@@ -59,17 +59,36 @@ def tags_with_attr(html: Column, tag: str, name: str, value: str) -> Column:
     return F.filter(start_tags(html, tag), lambda t: attr(t, name) == F.lit(value))
 
 
+def meta_pairs(clean_html: Column) -> Column:
+    """All ``meta`` tags of a page (already passed through :func:`markup`) as
+    array<struct<name, content>>, page order. Compute once per page and read
+    every field from it with :func:`first_meta` / :func:`all_metas`."""
+    tags = F.regexp_extract_all(clean_html, F.lit(r"(?is)<meta\b[^>]*>"), 0)
+    return F.transform(tags, lambda t: F.struct(attr(t, "name").alias("name"), attr(t, "content").alias("content")))
+
+
+def first_meta(pairs: Column, name: str) -> Column:
+    """X1 over :func:`meta_pairs`: content of the first meta named ``name``."""
+    return F.try_element_at(F.transform(F.filter(pairs, lambda m: m["name"] == F.lit(name)),
+                                        lambda m: m["content"]), F.lit(1))
+
+
+def all_metas(pairs: Column, name: str) -> Column:
+    """X2 over :func:`meta_pairs`: all contents named ``name``, page order;
+    null (not empty) when none."""
+    arr = F.transform(F.filter(pairs, lambda m: m["name"] == F.lit(name)), lambda m: m["content"])
+    return F.when(F.size(arr) > 0, arr)
+
+
 def meta_content(html: Column, name: str) -> Column:
     """Content of the first ``meta`` named ``name``; null when none."""
-    return F.try_element_at(F.transform(tags_with_attr(html, "meta", "name", name),
-                                        lambda t: attr(t, "content")), F.lit(1))
+    return first_meta(meta_pairs(markup(html)), name)
 
 
 def meta_contents(html: Column, name: str) -> Column:
     """Contents of all ``meta`` named ``name`` in page order; null (not
     empty) when none."""
-    arr = F.transform(tags_with_attr(html, "meta", "name", name), lambda t: attr(t, "content"))
-    return F.when(F.size(arr) > 0, arr)
+    return all_metas(meta_pairs(markup(html)), name)
 
 
 def attr_of_first(html: Column, tag: str, name: str, value: str, want: str) -> Column:
@@ -86,10 +105,11 @@ def strip_tags(c: Column) -> Column:
     return F.regexp_replace(c, r"(?s)<[^>]*>", "")
 
 
-def links(html: Column) -> Column:
+def links(html: Column, clean: bool = False) -> Column:
     """All ``<a>`` elements as array<struct<href, text>>, page order. ``href``
-    is null when the link has none; ``text`` is the decoded, tag-free text."""
-    elems = F.regexp_extract_all(markup(html), F.lit(r"(?is)<a\b[^>]*>.*?</a>"), 0)
+    is null when the link has none; ``text`` is the decoded, tag-free text.
+    ``clean``: the html already went through :func:`markup`."""
+    elems = F.regexp_extract_all(html if clean else markup(html), F.lit(r"(?is)<a\b[^>]*>.*?</a>"), 0)
 
     def one(e):
         start = F.regexp_extract(e, r"(?is)^<a\b[^>]*>", 0)

@@ -5,12 +5,12 @@ Two plans for a table of queries:
 * ``inline``: the query table is small (size checked on the driver), so every
   query becomes one boolean expression and each text row yields the array of
   the query ids it satisfies, exploded. One narrow pass, no join, no shuffle.
-* ``index``: for a query table of any size. Texts explode their distinct
-  character n-grams (n = 1..3, only the lengths in use), pieces are keyed by
-  their first three characters, and the two meet in an equi-join. Candidates
-  are verified with ``contains`` and a (row, query) pair is kept when every
-  non-empty piece of the query was verified. Hot n-grams are split by AQE's
-  skew-join handling; no pair is emitted that the exact rule would not check.
+* ``index``: for a query table of any size. Texts explode their character
+  n-grams (n = 1..3, only the lengths in use) with the text window that
+  follows; pieces are keyed by their first three characters; the two meet in
+  an equi-join. A candidate is verified by ``startswith(window, piece)`` and
+  a (row, query) pair is kept when every non-empty piece of the query was
+  verified. Hot n-grams are split by AQE's skew-join handling.
 """
 
 from __future__ import annotations
@@ -24,6 +24,8 @@ from ..functions.query import matches_query, pieces_column
 INLINE_QUERY_LIMIT = 256
 # Longest n-gram used as a join anchor.
 ANCHOR_LEN = 3
+# Most query pieces broadcast to the n-gram join.
+BROADCAST_PIECES = 200_000
 
 
 def filter_by_query(df: DataFrame, query: str, text_col: str = "title") -> DataFrame:
@@ -64,10 +66,16 @@ def _match_inline(texts: DataFrame, queries: DataFrame, text_col: str) -> DataFr
     return texts.withColumn("query_id", F.explode(hits))
 
 
-def _grams(text: Column, k: int) -> Column:
-    n = F.length(text) - F.lit(k) + F.lit(1)
-    return F.when(n >= 1, F.transform(F.sequence(F.lit(1), n), lambda i: F.substring(text, i, k))) \
-        .otherwise(F.array().cast("array<string>"))
+def _text_grams(keyed: DataFrame, key_cols: list[str], lengths: list[int], window: int) -> DataFrame:
+    """(keys, anchor, window) for every position of ``_t`` and every anchor
+    length in use. ``window`` is the text from that position, as long as the
+    longest piece: one native regex pass (a lookahead capture at every
+    position) cuts all windows, so no row carries the whole text and no
+    per-position lambda runs."""
+    wins = F.regexp_extract_all(F.col("_t"), F.lit(f"(?s)(?=(.{{1,{window}}}))"), 1)
+    pos = keyed.select(*key_cols, F.explode(wins).alias("window"))
+    anchors = F.array(*[F.when(F.length("window") >= k, F.substring("window", 1, k)) for k in lengths])
+    return pos.select(*key_cols, "window", F.explode(anchors).alias("anchor")).where(F.col("anchor").isNotNull())
 
 
 def _match_index(texts: DataFrame, queries: DataFrame, key_cols: list[str], text_col: str) -> DataFrame:
@@ -75,19 +83,26 @@ def _match_index(texts: DataFrame, queries: DataFrame, key_cols: list[str], text
     nonempty = pieces.where(F.length("piece") > 0)
     need = pieces.groupBy("query_id").agg(
         F.count(F.when(F.length("piece") > 0, True)).alias("n_need"))
-    lengths = sorted(r[0] for r in nonempty.select(F.length("anchor")).distinct().collect())
-
-    low = F.lower(F.col(text_col))
-    keyed = texts.select(*key_cols, low.alias("_t"))
-    parts = [_grams(F.col("_t"), k) for k in lengths]
-    grams = F.array_distinct(F.concat(*parts)) if parts else F.array().cast("array<string>")
-    text_grams = keyed.select(*key_cols, "_t", F.explode(grams).alias("anchor"))
-
-    verified = (text_grams.join(nonempty, "anchor")
-                .where(F.contains(F.col("_t"), F.col("piece")))
-                .select(*key_cols, "query_id", "piece_idx").distinct()
-                .groupBy(*key_cols, "query_id").agg(F.count("*").alias("n_hit")))
-    hit = verified.join(need, "query_id").where(F.col("n_hit") == F.col("n_need")).select(*key_cols, "query_id")
+    stats = nonempty.agg(F.collect_set(F.length("anchor")).alias("lens"), F.max(F.length("piece")).alias("w"),
+                         F.count("*").alias("n")).first()
+    lengths, window = sorted(stats["lens"] or []), int(stats["w"] or 0)
+    # The pieces are the build side: broadcast when their count is checked
+    # small, otherwise a shuffled hash join built on them. Never let the
+    # optimizer broadcast the exploded text side (its size estimate ignores
+    # the explode).
+    build = F.broadcast(nonempty) if stats["n"] <= BROADCAST_PIECES else nonempty.hint("shuffle_hash")
+
+    keyed = texts.select(*key_cols, F.lower(F.col(text_col)).alias("_t"))
+    if lengths:
+        # A piece occurs iff the text, at some position where its anchor
+        # occurs, starts with the piece.
+        cands = _text_grams(keyed, key_cols, lengths, window).join(build, "anchor") \
+            .where(F.startswith(F.col("window"), F.col("piece")))
+        verified = (cands.select(*key_cols, "query_id", "piece_idx").distinct()
+                    .groupBy(*key_cols, "query_id").agg(F.count("*").alias("n_hit")))
+        hit = verified.join(need, "query_id").where(F.col("n_hit") == F.col("n_need")).select(*key_cols, "query_id")
+    else:
+        hit = keyed.select(*key_cols).withColumn("query_id", F.lit(None).cast("string")).limit(0)
 
     # Queries made only of empty pieces match every row.
     trivial = need.where(F.col("n_need") == 0).select("query_id")

@@ -29,6 +29,15 @@ ACCEPTED = {"proceedings": True, "conference": True, "preprints": False}
 RECORD_EXTRA = ["url", "doc_id", "year_text"]
 
 
+def _citation_meta() -> list[Column]:
+    """X1-X3 from the page's meta pairs (column ``_mt``, computed once)."""
+    mt = F.col("_mt")
+    return [H.first_meta(mt, "citation_title").alias("title"),
+            H.all_metas(mt, "citation_author").alias("authors"),
+            F.substring(H.first_meta(mt, "citation_publication_date"), 1, 4).alias("year_text"),
+            H.first_meta(mt, "citation_pdf_url").alias("url_pdf")]
+
+
 def _detail(pages: DataFrame, venue: str) -> DataFrame:
     return pages.where((F.col("kind") == "detail") & (F.col("venue") == venue))
 
@@ -39,12 +48,8 @@ def _bibtex_pages(pages: DataFrame, venue: str) -> DataFrame:
 
 
 def proceedings_records(pages: DataFrame, query_term: str | None = None) -> DataFrame:
-    d = _detail(pages, "proceedings").withColumn("_m", H.markup(F.col("html")))
-    flat = d.select("url", "doc_id", "run_seq", "pos", "html",
-                    H.meta_content(F.col("_m"), "citation_title").alias("title"),
-                    H.meta_contents(F.col("_m"), "citation_author").alias("authors"),
-                    F.substring(H.meta_content(F.col("_m"), "citation_publication_date"), 1, 4).alias("year_text"),
-                    H.meta_content(F.col("_m"), "citation_pdf_url").alias("url_pdf"))
+    d = _detail(pages, "proceedings").withColumn("_mt", H.meta_pairs(H.markup(F.col("html"))))
+    flat = d.select("url", "doc_id", "run_seq", "pos", "html", *_citation_meta())
     specs = [dict(name="abstract", tag="div", cls="abstract"),
              dict(name="bibtex", tag="code", cls="citecode", id="bibtex")]
     x = N.extract(flat, specs, [c for c in flat.columns if c != "html"])
@@ -55,13 +60,10 @@ def proceedings_records(pages: DataFrame, query_term: str | None = None) -> Data
 
 
 def conference_records(pages: DataFrame, query_term: str | None = None) -> DataFrame:
-    d = _detail(pages, "conference").withColumn("_m", H.markup(F.col("html")))
-    bib_link = F.try_element_at(F.filter(H.links(F.col("_m")), lambda a: H.strip_ws(a["text"]) == F.lit("Bibtex")), F.lit(1))
-    flat = d.select("url", "doc_id", "run_seq", "pos", "html",
-                    H.meta_content(F.col("_m"), "citation_title").alias("title"),
-                    H.meta_contents(F.col("_m"), "citation_author").alias("authors"),
-                    F.substring(H.meta_content(F.col("_m"), "citation_publication_date"), 1, 4).alias("year_text"),
-                    H.meta_content(F.col("_m"), "citation_pdf_url").alias("url_pdf"),
+    d = (_detail(pages, "conference").withColumn("_m", H.markup(F.col("html")))
+         .withColumn("_mt", H.meta_pairs(F.col("_m"))).withColumn("_links", H.links(F.col("_m"), clean=True)))
+    bib_link = F.try_element_at(F.filter(F.col("_links"), lambda a: H.strip_ws(a["text"]) == F.lit("Bibtex")), F.lit(1))
+    flat = d.select("url", "doc_id", "run_seq", "pos", "html", *_citation_meta(),
                     F.when(bib_link["href"].isNotNull(),
                            H.absolutize(bib_link["href"], H.origin(F.col("url")))).alias("bibtex_url"))
     specs = [dict(name="abstract", tag="p", after=dict(tag="h4", text="Abstract"))]

@@ -498,7 +498,14 @@ def nested_text(spark, sf):
 # --- collect: X1-X14, J1, J2, A3, P2, W1 over rendered pages ----------------------------
 
 def _rendered(spark, sf):
-    return D.render_pages(_docs(spark, sf), D.read(spark, sf, "labels"))
+    """Render the stand-in pages and land them (S11) under the shared folder,
+    partitioned by venue and kind; the collect plan then scans (S1) only the
+    partitions it needs."""
+    from ..session import shared_path
+    from ..sources.pages import land_pages, read_pages
+    path = shared_path(spark, "landed-pages")
+    land_pages(D.render_pages(_docs(spark, sf), D.read(spark, sf, "labels")), path, ["venue", "kind"], "overwrite")
+    return read_pages(spark, path)
 
 
 PREPRINT_ID_SQL = """CASE WHEN d.year >= 2007
@@ -585,11 +592,12 @@ def meta_fields(spark, sf):
     """X1-X3 alone (JVM only) on the rendered proceedings and conference pages."""
     from ..functions import html as H
     pages = _rendered(spark, sf).where(F.col("kind") == "detail").where(F.col("venue").isin("proceedings", "conference"))
-    m = H.markup(F.col("html"))
-    return pages.select("doc_id", H.meta_content(m, "citation_title").alias("title"),
-                        F.array_join(H.meta_contents(m, "citation_author"), " | ").alias("authors"),
-                        F.substring(H.meta_content(m, "citation_publication_date"), 1, 4).alias("year_text"),
-                        H.meta_content(m, "citation_pdf_url").alias("url_pdf"))
+    mt = pages.select("doc_id", H.meta_pairs(H.markup(F.col("html"))).alias("_mt"))
+    mp = F.col("_mt")
+    return mt.select("doc_id", H.first_meta(mp, "citation_title").alias("title"),
+                     F.array_join(H.all_metas(mp, "citation_author"), " | ").alias("authors"),
+                     F.substring(H.first_meta(mp, "citation_publication_date"), 1, 4).alias("year_text"),
+                     H.first_meta(mp, "citation_pdf_url").alias("url_pdf"))
 
 
 @register("bibtex_join", f"""WITH {DOCS_P}

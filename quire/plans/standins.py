@@ -43,6 +43,8 @@ HOSTS = {
     "es": "https://forum.example.org",
 }
 VENUES = {"en": "proceedings", "fr": "conference", "de": "preprints", "es": "forum"}
+# Notes per JSON reply page (the listing API's offset step).
+REPLY_PAGE = 1000
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -158,11 +160,10 @@ def render_pages(papers: DataFrame, labels: DataFrame) -> DataFrame:
     doc_id) for the
     stand-in papers: detail pages of the four layouts, bibtex pages and notes
     replies."""
-    p = papers.join(labels.select("doc_id", "quality", "toxic"), "doc_id", "left")
+    p = papers.join(labels.select("doc_id", "quality", "toxic", F.lit(True).alias("_lab")), "doc_id", "left")
     odd = F.pmod(F.col("doc_id"), F.lit(2)) == 1
     esc = H.escape
     year_s = F.col("year").cast("string")
-    authors_join = F.array_join(F.coalesce(F.col("authors"), F.array().cast("array<string>")), ", ")
 
     # en: proceedings layout
     en_url = F.concat(F.lit(HOSTS["en"] + "/v"), F.col("run_seq").cast("string"), F.lit("/doc"),
@@ -221,25 +222,6 @@ def render_pages(papers: DataFrame, labels: DataFrame) -> DataFrame:
                        F.lit("<script id=\"__NEXT_DATA__\" type=\"application/json\">"), data,
                        F.lit("</script>\n</body></html>\n"))
 
-    def page(kind, lang, url, html, year=F.lit(None).cast("int")):
-        return p.where(F.col("lang") == lang).select(
-            F.col("doc_id"), url.alias("url"), html.alias("html"), F.lit(VENUES[lang]).alias("venue"),
-            F.lit(kind).alias("kind"), year.alias("year"), "run_seq", F.col("doc_id").alias("pos"))
-
-    detail = (page("detail", "en", en_url, en_html)
-              .unionByName(page("detail", "fr", fr_url, fr_html))
-              .unionByName(page("detail", "de", de_url, de_html))
-              .unionByName(page("detail", "es", es_url, es_html, F.col("year"))))
-
-    fr_bib = p.where((F.col("lang") == "fr") & F.col("quality").isNotNull()).select(
-        "doc_id", F.concat(F.lit(HOSTS["fr"]), fr_bib_href).alias("url"), F.col("bibtex").alias("html"),
-        F.lit(VENUES["fr"]).alias("venue"), F.lit("bibtex").alias("kind"), F.lit(None).cast("int").alias("year"), "run_seq",
-        F.col("doc_id").alias("pos"))
-    de_bib = p.where(F.col("lang") == "de").select(
-        "doc_id", F.concat(F.lit(HOSTS["de"] + "/bibtex/"), pid).alias("url"), F.col("bibtex").alias("html"),
-        F.lit(VENUES["de"]).alias("venue"), F.lit("bibtex").alias("kind"), F.lit(None).cast("int").alias("year"), "run_seq",
-        F.col("doc_id").alias("pos"))
-
     decision = F.when(F.col("quality") == 1, F.lit("Accept (Poster)")) \
         .when(F.col("toxic") == 1, F.lit("Not accepted")).otherwise(F.lit("Reject"))
     notes = F.array(
@@ -247,16 +229,30 @@ def render_pages(papers: DataFrame, labels: DataFrame) -> DataFrame:
                  F.struct(F.lit(None).cast("string").alias("title"), F.lit(None).cast("string").alias("decision")).alias("content")),
         F.struct(F.concat(fid, F.lit("-d")).alias("id"), fid.alias("forum"),
                  F.struct(F.lit(None).cast("string").alias("title"), decision.alias("decision")).alias("content")))
-    reply = F.when(F.col("quality").isNotNull(), F.to_json(F.struct(notes.alias("notes")))) \
-        .otherwise(F.lit('{"status": "no notes"}'))
-    es_notes = p.where(F.col("lang") == "es").select(
-        "doc_id", F.concat(F.lit(HOSTS["es"] + "/notes?forum="), fid).alias("url"), reply.alias("html"),
-        F.lit(VENUES["es"]).alias("venue"), F.lit("notes").alias("kind"), F.lit(None).cast("int").alias("year"), "run_seq",
-        F.col("doc_id").alias("pos"))
-
-    out = detail.unionByName(fr_bib).unionByName(de_bib).unionByName(es_notes)
-    return out.withColumn("page_id", F.xxhash64("url")).select(
-        "page_id", "url", "html", "venue", "kind", "year", "run_seq", "pos", "doc_id")
+    labeled = F.col("_lab").isNotNull()
+    reply = F.when(labeled, F.to_json(F.struct(notes.alias("notes")))).otherwise(F.lit('{"status": "no notes"}'))
+
+    # One pass: every document yields its pages as an array, exploded once.
+    lang = F.col("lang")
+    no_year = F.lit(None).cast("int")
+
+    def pg(url, html, kind, year=no_year):
+        return F.struct(url.alias("url"), html.alias("html"), F.lit(kind).alias("kind"), year.alias("year"))
+
+    detail = (F.when(lang == "en", pg(en_url, en_html, "detail"))
+              .when(lang == "fr", pg(fr_url, fr_html, "detail"))
+              .when(lang == "de", pg(de_url, de_html, "detail"))
+              .when(lang == "es", pg(es_url, es_html, "detail", F.col("year"))))
+    bib = (F.when((lang == "fr") & labeled, pg(F.concat(F.lit(HOSTS["fr"]), fr_bib_href), F.col("bibtex"), "bibtex"))
+           .when(lang == "de", pg(F.concat(F.lit(HOSTS["de"] + "/bibtex/"), pid), F.col("bibtex"), "bibtex")))
+    reply_pg = F.when(lang == "es", pg(F.concat(F.lit(HOSTS["es"] + "/notes?forum="), fid), reply, "notes"))
+    venue = F.lit(None).cast("string")
+    for lg in ("es", "de", "fr", "en"):
+        venue = F.when(lang == lg, F.lit(VENUES[lg])).otherwise(venue)
+    out = p.select("doc_id", "run_seq", venue.alias("venue"),
+                   F.explode(F.array_compact(F.array(detail, bib, reply_pg))).alias("pg"))
+    return out.select(F.xxhash64("pg.url").alias("page_id"), "pg.url", "pg.html", "venue", "pg.kind", "pg.year",
+                      "run_seq", F.col("doc_id").alias("pos"), "doc_id")
 
 
 def conversation_listing(conv: DataFrame) -> DataFrame:
@@ -267,7 +263,9 @@ def conversation_listing(conv: DataFrame) -> DataFrame:
         F.concat(F.col("conv_id").cast("string"), F.lit("-"), F.col("turn").cast("string")).alias("id"),
         F.col("conv_id").cast("string").alias("forum"),
         F.struct(first_line(F.col("text")).alias("title"), F.col("role").alias("decision")).alias("content"))
-    return conv.groupBy("conv_id").agg(
+    # One reply per forum and block of REPLY_PAGE notes (the listing's offset
+    # step), so no reply grows with the largest forum.
+    return conv.groupBy("conv_id", F.floor(F.col("turn") / REPLY_PAGE).alias("page")).agg(
         F.to_json(F.struct(F.transform(F.array_sort(F.collect_list(F.struct("turn", note.alias("n")))),
                                        lambda e: e["n"]).alias("notes"))).alias("body"))
 
