@@ -64,7 +64,7 @@ def profile_literal(profile_df: DataFrame, list_name: str) -> list[float]:
         raise UnknownProfile(f"Unknown sentence list: {list_name}")
     if len(rows) > 1:
         raise ValueError(f"sentence list {list_name!r} is not unique")
-    if rows[0]["profile"] is None:
+    if rows[0]["profile"] is None or any(x is None for x in rows[0]["profile"]):
         raise ValueError(f"sentence list {list_name!r} has a zero weight sum")
     if rows[0]["d"] > MAX_PROFILE_DIM:
         raise ValueError("profile vector too wide to inline")
