@@ -94,3 +94,10 @@ def frontier(links: DataFrame, known_urls: DataFrame, link_col: str = "link") ->
     """Discovered URLs not yet landed (distinct), via a left-anti join."""
     found = links.select(F.col(link_col).alias("url")).where(F.col("url").isNotNull()).distinct()
     return found.join(known_urls.select("url"), "url", "left_anti")
+
+
+def linked_pages(links: DataFrame, pages: DataFrame, link_col: str = "link") -> DataFrame:
+    """Discovered links -> landed pages (inner equi-join on the URL).
+    Unmatched links are the :func:`frontier`."""
+    target = pages.select(F.col("url").alias(link_col), F.col("page_id").alias("target_page_id"))
+    return links.join(target, link_col)

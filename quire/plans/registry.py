@@ -695,3 +695,39 @@ def stream_ingest(spark, sf):
     from ..streaming.ingest import ingest_landed_records
     store = ingest_landed_records(spark, _docs(spark, sf).withColumn("url", F.col("url_pdf")), n_files=4)
     return store.read().select("title", F.col("pos").alias("doc_id"), "run_seq")
+
+
+# --- J6, V1 (c), A4 ------------------------------------------------------------------------
+
+@register("linked_pages", f"""WITH {PAGE_LINKS},
+abs AS (SELECT page_id, pos, {sql_absolutize('href', SQL_ORIGIN)} AS link FROM links WHERE href IS NOT NULL)
+SELECT a.page_id, a.pos, a.link, p.page_id AS target_page_id FROM abs a JOIN pages p ON p.url = a.link""")
+def linked_pages(spark, sf):
+    """Links of the landed pages that point at landed pages."""
+    pages = D.read(spark, sf, "pages")
+    return L.linked_pages(L.absolute_links(pages).select("page_id", "pos", "link"), pages)
+
+
+@register("encoded_vectors", f"""WITH {LATEST},
+t AS (SELECT DISTINCT md5(coalesce(title, '')) AS key, title FROM latest),
+e AS (SELECT key, unnest({_hashed_sql('title', '1.0')}) AS e FROM t)
+SELECT key, e.bucket AS bucket, round(sum(e.value), 9) AS value FROM e GROUP BY key, e.bucket""")
+def encoded_vectors(spark, sf):
+    """V1 (c): a user encoder in Python workers over the distinct titles not yet
+    encoded (md5 key, anti-join against stored vectors: none here). The encoder
+    is the numpy twin of the hashed encoder, so SQL can check it."""
+    from ..operators.encode import encode_missing, hashed_encoder_factory
+    vecs = encode_missing(_valid_latest(spark, sf), None, hashed_encoder_factory(), "title", dtype="double")
+    return vecs.select("key", F.posexplode("embedding").alias("bucket", "value")).where(F.col("value") > 0) \
+        .select("key", F.col("bucket").cast("int").alias("bucket"), F.round("value", 9).alias("value"))
+
+
+@register("collect_counts", f"""WITH {EXPECTED}
+SELECT venue, count(*) AS n_records, count(*) FILTER (WHERE reason IS NULL) AS n_valid,
+       count(*) FILTER (WHERE reason IS NOT NULL) AS n_rejected FROM expc GROUP BY venue""")
+def collect_counts(spark, sf):
+    """A4: records read, kept and rejected per venue (one aggregate)."""
+    recs = _records(spark, sf)
+    return recs.groupBy("venue").agg(F.count("*").alias("n_records"),
+                                     F.count(F.when(F.col("reason").isNull(), True)).alias("n_valid"),
+                                     F.count(F.when(F.col("reason").isNotNull(), True)).alias("n_rejected"))
