@@ -91,14 +91,14 @@ def test_links_and_frontier(spark):
 
 
 def test_listing_operators(spark):
-    listing = ("<ul><li><a href='vol1/'>ICML 2020</a> Proceedings</li><li><a href='vol2/'>ICML Workshop</a></li>"
-               "<li>ICML without link</li><li><a href='/paper_files/p1'>p1</a></li></ul>")
+    listing = ("<ul><li><a href='vol1/'>CONF 2020</a> Proceedings</li><li><a href='vol2/'>CONF Workshop</a></li>"
+               "<li>CONF without link</li><li><a href='/paper_files/p1'>p1</a></li></ul>")
     vol = ('<div class="paper"><p class="title">Noisy Labels at Scale</p><a href="/v/a.html">abs</a></div>'
            '<div class="paper"><p class="title">Clean Data</p><a href="/v/b.html">abs</a></div>'
            '<div class="paper"><a href="/v/c.html">abs</a></div>')
     pages = spark.createDataFrame([(1, "https://site.example/", listing), (2, "https://site.example/v", vol)],
                                   "page_id long, url string, html string")
-    l1 = [r["link"] for r in L.listing_items(pages.where("page_id = 1"), "ICML", "Workshop", "https://base.example/").collect()]
+    l1 = [r["link"] for r in L.listing_items(pages.where("page_id = 1"), "CONF", "Workshop", "https://base.example/").collect()]
     assert l1 == ["https://base.example/vol1/"]
     l3 = [r["link"] for r in L.search_result_links(pages.where("page_id = 1"), "paper_files").collect()]
     assert l3 == ["https://site.example/paper_files/p1"]
