@@ -81,10 +81,10 @@ def score_hashed(df: DataFrame, profile: list[float], list_name: str, title_col:
                  abstract_col: str = "abstract", w_title: float = 0.5, w_abstract: float = 0.5) -> DataFrame:
     """V4 + V5 with the hashed encoder: no vectors are stored or shuffled."""
     dim = len(profile)
-    vec = V.hashed_paper_vector(F.col(title_col), F.col(abstract_col), w_title, w_abstract, dim)
+    vec = V.hashed_paper_dense(F.col(title_col), F.col(abstract_col), w_title, w_abstract, dim)
     # Materialise the vector once; the cosine reads it twice.
     return (df.withColumn("_vec", vec).withColumn("list_name", F.lit(list_name))
-            .withColumn("score", V.sparse_cosine_dense(F.col("_vec"), V.literal_vector(profile))).drop("_vec"))
+            .withColumn("score", V.cosine(F.col("_vec"), V.literal_vector(profile))).drop("_vec"))
 
 
 def rank_by_score(scored: DataFrame, tie_cols: list[str], group_col: str | None = "list_name") -> DataFrame:

@@ -27,9 +27,11 @@ def read_raw_pages(spark: SparkSession, path: str, pattern: str | None = None) -
                      F.input_file_name().alias("url"), F.col("value").alias("html"))
 
 
-def land_pages(pages: DataFrame, path: str, partition_by: list[str] | None = None, mode: str = "append") -> None:
-    """Write pages unchanged (raw html), partitioned for pruning."""
-    w = pages.write.mode(mode)
+def land_pages(pages: DataFrame, path: str, partition_by: list[str] | None = None, mode: str = "append",
+               max_records_per_file: int = 1000) -> None:
+    """Write pages unchanged (raw html), partitioned for pruning, in files
+    of bounded size so later scans (and Python extraction) get many tasks."""
+    w = pages.write.mode(mode).option("maxRecordsPerFile", max_records_per_file)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
