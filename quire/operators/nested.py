@@ -7,6 +7,10 @@ is parsed once with the standard library's event parser and every requested
 field is taken in that one pass. Only the key columns and the extracted fields
 come back: the html never leaves the worker.
 
+Arrow batches are bounded by ``spark.sql.execution.arrow.maxBytesPerBatch``
+(64 MB by default) as well as by record count, so large pages cannot blow a
+worker's memory.
+
 Tree rules: void elements have no children; an end tag closes up to its most
 recent open match and a stray end tag is ignored; nesting is kept as written
 (a ``p`` inside a ``p`` stays inside). Text inside ``script``, ``style`` and
@@ -163,10 +167,15 @@ def take(node, spec):
 
 
 def extract_fields(html: str | None, specs: list[dict]) -> list:
+    """Fields of one page; a page the parser cannot read yields nulls (the
+    record then fails validity and lands in the rejects, as P4 asks)."""
     if html is None:
         return [None] * len(specs)
-    root = parse(html)
-    return [take(find(root, s), s) for s in specs]
+    try:
+        root = parse(html)
+        return [take(find(root, s), s) for s in specs]
+    except Exception:  # noqa: BLE001 - one bad page must not fail the task
+        return [None] * len(specs)
 
 
 def extract(df: DataFrame, specs: list[dict], key_cols: list[str], html_col: str = "html") -> DataFrame:
