@@ -731,3 +731,18 @@ def collect_counts(spark, sf):
     return recs.groupBy("venue").agg(F.count("*").alias("n_records"),
                                      F.count(F.when(F.col("reason").isNull(), True)).alias("n_valid"),
                                      F.count(F.when(F.col("reason").isNotNull(), True)).alias("n_rejected"))
+
+
+@register("linked_site_pages", f"""WITH {DOCS_P}
+SELECT 'https://conference.example.org/paper/doc' || CAST(d.doc_id AS VARCHAR) || '-Abstract.html' AS url,
+       1 AS pos, 'https://conference.example.org/bibtex/doc' || CAST(d.doc_id AS VARCHAR) || '.bib' AS link,
+       'bibtex' AS target_kind
+FROM docs_p d JOIN labels l ON l.doc_id = d.doc_id WHERE d.lang = 'fr'""")
+def linked_site_pages(spark, sf):
+    """J6 on the rendered site: every link of every landed detail page, joined
+    to the landed pages it points at."""
+    pages = _rendered(spark, sf)
+    detail = pages.where(F.col("kind") == "detail").select("page_id", "url", "html")
+    links = L.absolute_links(detail).select("url", "pos", "link")
+    target = pages.select(F.col("url").alias("link"), F.col("kind").alias("target_kind"))
+    return links.join(target, "link").select("url", F.col("pos").cast("int").alias("pos"), "link", "target_kind")
