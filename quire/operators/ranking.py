@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ..session import ensure_checkpoint_dir
 
 _LOW_BITS = 33
-# Most (partition, group) offsets broadcast back to the rows.
+# Most (partition, group) offset rows broadcast back to the rows.
 MAX_OFFSET_ROWS = 2_000_000
 
 
@@ -32,15 +32,17 @@ def global_rank(df: DataFrame, order: list[Column], rank_col: str = "rank", grou
     g = [F.col(group_col).alias("_g")] if group_col else [F.lit(0).alias("_g")]
     stats = tagged.groupBy(pid, *g).agg(F.count("*").alias("_n"), F.min(local).alias("_first"))
     n_stats = stats.count()
-    if n_stats > MAX_OFFSET_ROWS:
-        raise ValueError("too many (partition, group) cells to rank")
     # Offsets: rows of the same group in earlier partitions (partitions are in
-    # sort order, and a group's rows are contiguous).
+    # sort order, and a group's rows are contiguous). One row per (partition,
+    # group); a group spans at most all partitions, so each window is small.
     from pyspark.sql import Window
     w = Window.partitionBy("_g").orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = stats.withColumn("_before", F.coalesce(F.sum("_n").over(w), F.lit(0)))
-    # ``offsets`` is small (checked above): broadcast it.
-    offsets = F.broadcast(offsets.select("_pid", "_g", "_before", "_first"))
+    offsets = stats.withColumn("_before", F.coalesce(F.sum("_n").over(w), F.lit(0))) \
+        .select("_pid", "_g", "_before", "_first")
+    # Broadcast only when the count above proves it small; otherwise a
+    # regular shuffle join (exact either way).
+    if n_stats <= MAX_OFFSET_ROWS:
+        offsets = F.broadcast(offsets)
     keyed = tagged.select("*", pid, *g)
     out = keyed.join(offsets, ["_pid", "_g"]).withColumn(
         rank_col, F.col("_before") + (local - F.col("_first")) + F.lit(1))

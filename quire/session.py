@@ -22,8 +22,12 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
-    # Upper bound for automatic broadcast; explicit broadcasts are size checked.
+    # Static broadcast only below this estimated size (file statistics);
+    # explicit broadcasts are count checked; AQE converts at runtime on
+    # measured shuffle sizes.
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * 1024 * 1024),
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
 }
 
 
@@ -39,6 +43,33 @@ def get_spark(master: str | None = None, app: str = "quire", conf: dict | None =
     return spark
 
 
+# Target bytes per shuffle partition when sizing a job for its input.
+TARGET_PARTITION_BYTES = 128 * 1024 * 1024
+
+
+def size_shuffle_for_input(spark: SparkSession, input_bytes: int, min_partitions: int = 200,
+                           max_partitions: int = 200_000) -> int:
+    """Size the initial shuffle partition count so each partition holds about
+    128 MB of the input (AQE then coalesces small ones and splits skewed
+    ones). Returns the number set."""
+    n = max(min_partitions, min(max_partitions, -(-int(input_bytes) // TARGET_PARTITION_BYTES)))
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(n))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(TARGET_PARTITION_BYTES))
+    return n
+
+
+def input_bytes(spark: SparkSession, *paths: str) -> int:
+    """Total size of the files under ``paths`` (Hadoop file system)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    total = 0
+    for p in paths:
+        hp = jvm.org.apache.hadoop.fs.Path(p)
+        total += hp.getFileSystem(conf).getContentSummary(hp).getLength()
+    return total
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, choosing a scratch one only if unset."""
     sc = spark.sparkContext
