@@ -59,7 +59,7 @@ def width_profile(view: DataFrame) -> DataFrame:
             w = F.lit(base)
         else:
             w = F.greatest(F.lit(base), F.coalesce(F.max(F.length(text[c])), F.lit(0)))
-        aggs.append((w * F.lit(PIXELS_PER_CHAR)).alias(c))
+        aggs.append((w * F.lit(PIXELS_PER_CHAR)).cast("bigint").alias(c))
     row = view.agg(*aggs)
     stack = ", ".join(f"'{c}', `{c}`" for c in COLUMNS)
     return row.selectExpr(f"stack({len(COLUMNS)}, {stack}) AS (`column`, width)")

@@ -17,7 +17,8 @@ def page_links(pages: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """Every ``<a>`` of every page: (page cols, pos, href, text)."""
     keep = keep or ["page_id", "url"]
     return pages.select(*keep, F.posexplode(H.links(F.col("html"))).alias("pos", "a")) \
-        .select(*keep, "pos", F.col("a.href").alias("href"), F.col("a.text").alias("text"))
+        .select(*keep, F.col("pos").cast("bigint").alias("pos"), F.col("a.href").alias("href"),
+                F.col("a.text").alias("text"))
 
 
 def absolute_links(pages: DataFrame) -> DataFrame:
@@ -63,7 +64,7 @@ def listing_items(pages: DataFrame, include: str, exclude: str | None, base: str
     first = F.try_element_at(H.links(F.col("li")), F.lit(1))
     prefix = F.lit(base) if base is not None else H.origin(F.col("url"))
     return items.where(cond).where(first["href"].isNotNull()).select(
-        "page_id", "pos", F.concat(prefix, first["href"]).alias("link"))
+        "page_id", F.col("pos").cast("bigint").alias("pos"), F.concat(prefix, first["href"]).alias("link"))
 
 
 def search_result_links(pages: DataFrame, marker: str, host: str | None = None) -> DataFrame:
@@ -72,7 +73,7 @@ def search_result_links(pages: DataFrame, marker: str, host: str | None = None)
     first = F.try_element_at(H.links(F.col("li")), F.lit(1))
     prefix = F.lit(host) if host is not None else H.origin(F.col("url"))
     return items.where(F.contains(first["href"], F.lit(marker))).select(
-        "page_id", "pos", F.concat(prefix, first["href"]).alias("link"))
+        "page_id", F.col("pos").cast("bigint").alias("pos"), F.concat(prefix, first["href"]).alias("link"))
 
 
 def volume_links(pages: DataFrame, query: str, link_text: str = "abs") -> DataFrame:
@@ -87,7 +88,7 @@ def volume_links(pages: DataFrame, query: str, link_text: str = "abs") -> DataFr
     return (b.withColumn("title", title)
             .where(matches_query(F.lower(F.col("title")), query))
             .where(link["href"].isNotNull())
-            .select("page_id", "pos", "title", link["href"].alias("link")))
+            .select("page_id", F.col("pos").cast("bigint").alias("pos"), "title", link["href"].alias("link")))
 
 
 def frontier(links: DataFrame, known_urls: DataFrame, link_col: str = "link") -> DataFrame:

@@ -172,7 +172,8 @@ def query_table_match_index(spark, sf):
 SELECT doc_id, title, venue, year, len(authors) AS n_authors FROM docs_p WHERE {VALID_COND}""")
 def valid_records(spark, sf):
     valid, _ = R.split_valid(_docs(spark, sf).withColumn("url", F.col("url_pdf")))
-    return valid.select(F.col("pos").alias("doc_id"), "title", "venue", "year", F.size("authors").alias("n_authors"))
+    return valid.select(F.col("pos").alias("doc_id"), "title", "venue", "year",
+                        F.size("authors").cast("bigint").alias("n_authors"))
 
 
 @register("reject_reasons", f"""WITH {DOCS_P}
@@ -240,7 +241,7 @@ def hashed_vectors(spark, sf):
 
 
 @register("profile_vector", f"""WITH {PROFILES}
-SELECT list_name, bucket, round(x, 9) AS x FROM prof""")
+SELECT list_name, CAST(bucket AS INTEGER) AS bucket, round(x, 9) AS x FROM prof""")
 def profile_vector(spark, sf):
     prof = S.profile_vectors_hashed(D.profiles(spark, sf))
     return prof.select("list_name", F.posexplode("profile").alias("bucket", "x")).select(
@@ -576,7 +577,7 @@ def _fq_sql() -> str:
     for f in _FQ_FIELDS:
         blank = {"authors": "len(authors) = 0", "year": "false", "accepted": "false"}.get(f, f"{f} = ''")
         parts.append(f"SELECT '{f}' AS field, count(*) AS n_rows, count(*) - count({f}) AS n_null, "
-                     f"count(*) FILTER (WHERE {blank}) AS n_blank, 0 AS n_badcast FROM exp")
+                     f"count(*) FILTER (WHERE {blank}) AS n_blank, CAST(0 AS BIGINT) AS n_badcast FROM exp")
     return f"WITH {EXPECTED}\n" + "\nUNION ALL\n".join(parts)
 
 
@@ -735,7 +736,7 @@ def collect_counts(spark, sf):
 
 @register("linked_site_pages", f"""WITH {DOCS_P}
 SELECT 'https://conference.example.org/paper/doc' || CAST(d.doc_id AS VARCHAR) || '-Abstract.html' AS url,
-       1 AS pos, 'https://conference.example.org/bibtex/doc' || CAST(d.doc_id AS VARCHAR) || '.bib' AS link,
+       CAST(1 AS BIGINT) AS pos, 'https://conference.example.org/bibtex/doc' || CAST(d.doc_id AS VARCHAR) || '.bib' AS link,
        'bibtex' AS target_kind
 FROM docs_p d JOIN labels l ON l.doc_id = d.doc_id WHERE d.lang = 'fr'""")
 def linked_site_pages(spark, sf):
@@ -745,4 +746,4 @@ def linked_site_pages(spark, sf):
     detail = pages.where(F.col("kind") == "detail").select("page_id", "url", "html")
     links = L.absolute_links(detail).select("url", "pos", "link")
     target = pages.select(F.col("url").alias("link"), F.col("kind").alias("target_kind"))
-    return links.join(target, "link").select("url", F.col("pos").cast("int").alias("pos"), "link", "target_kind")
+    return links.join(target, "link").select("url", "pos", "link", "target_kind")
