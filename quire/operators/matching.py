@@ -19,13 +19,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.query import matches_query, pieces_column
+from .bounds import string_side_fits
 
 # Largest query table compiled into one expression.
 INLINE_QUERY_LIMIT = 256
 # Longest n-gram used as a join anchor.
 ANCHOR_LEN = 3
-# Most query pieces broadcast to the n-gram join.
-BROADCAST_PIECES = 200_000
 
 
 def filter_by_query(df: DataFrame, query: str, text_col: str = "title") -> DataFrame:
@@ -86,11 +85,12 @@ def _match_index(texts: DataFrame, queries: DataFrame, key_cols: list[str], text
     stats = nonempty.agg(F.collect_set(F.length("anchor")).alias("lens"), F.max(F.length("piece")).alias("w"),
                          F.count("*").alias("n")).first()
     lengths, window = sorted(stats["lens"] or []), int(stats["w"] or 0)
-    # The pieces are the build side: broadcast when their count is checked
+    # The pieces are the build side: broadcast when an aggregate proves them
     # small, otherwise a shuffled hash join built on them. Never let the
     # optimizer broadcast the exploded text side (its size estimate ignores
     # the explode).
-    build = F.broadcast(nonempty) if stats["n"] <= BROADCAST_PIECES else nonempty.hint("shuffle_hash")
+    build = F.broadcast(nonempty) if string_side_fits(nonempty, ["piece", "anchor", "query_id"]) \
+        else nonempty.hint("shuffle_hash")
 
     keyed = texts.select(*key_cols, F.lower(F.col(text_col)).alias("_t"))
     if lengths:

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import schemas
+from .bounds import maybe_broadcast
 
 
 def latest_by_key(df: DataFrame, key_cols: list[str], order_cols: list[str] | None = None) -> DataFrame:
@@ -30,10 +31,21 @@ def latest_by_title(df: DataFrame) -> DataFrame:
 def upsert(existing: DataFrame | None, new_valid: DataFrame) -> DataFrame:
     """Insert-or-replace by title. ``new_valid`` must already be filtered by
     validity (P2), so a later invalid record never replaces a valid one. A
-    replaced row is replaced whole, with an empty score list."""
-    new = new_valid.select(*schemas.PAPER_COLUMNS)
-    both = new if existing is None else existing.select(*schemas.PAPER_COLUMNS).unionByName(new)
-    return latest_by_title(both)
+    replaced row is replaced whole, with an empty score list.
+
+    The stored table (one row per title) is never shuffled: only the new rows
+    are deduplicated (W1); the stored rows are split into untouched and
+    touched titles by an anti / semi join against the new titles (broadcast
+    when their count proves them small, a shuffle join otherwise), and W1 runs
+    again only over the touched titles. Same result as W1 over everything."""
+    new = latest_by_title(new_valid.select(*schemas.PAPER_COLUMNS))
+    if existing is None:
+        return new
+    old = existing.select(*schemas.PAPER_COLUMNS)
+    titles = maybe_broadcast(new.select("title"), ["title"])
+    untouched = old.join(titles, "title", "left_anti")
+    touched = latest_by_title(old.join(titles, "title", "left_semi").unionByName(new))
+    return untouched.unionByName(touched)
 
 
 def write_back_scores(papers: DataFrame, scores: DataFrame, mode: str = "replace") -> DataFrame:
