@@ -138,6 +138,12 @@ _DENSE_UDFS: dict[int, object] = {}
 
 def hashed_dense(text: Column, dim: int = DEFAULT_DIM) -> Column:
     """Dense mean-pooled hashed vector (array<double> of ``dim``) of a text."""
+    from pyspark.sql import SparkSession
+
+    from ..session import ship_package
+    active = SparkSession.getActiveSession()
+    if active is not None:
+        ship_package(active)
     fn = _DENSE_UDFS.get(dim)
     if fn is None:
         @F.pandas_udf("array<double>")

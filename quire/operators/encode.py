@@ -29,6 +29,8 @@ def text_key(text) -> F.Column:
 def encode_texts(texts: DataFrame, encoder_factory: Callable[[], Callable], text_col: str = "text",
                  key_col: str = "key", dtype: str = "float") -> DataFrame:
     """(key, embedding array<dtype>) for every row of ``texts``."""
+    from ..session import ship_package
+    ship_package(texts.sparkSession)
     src = texts.select(F.col(key_col), F.col(text_col).alias("_text"))
     np_type = np.float32 if dtype == "float" else np.float64
 

@@ -181,6 +181,8 @@ def extract_fields(html: str | None, specs: list[dict]) -> list:
 def extract(df: DataFrame, specs: list[dict], key_cols: list[str], html_col: str = "html") -> DataFrame:
     """Run the extractor over ``df``: output = key columns + one string column
     per spec. Only ``key_cols`` and ``html_col`` are sent to Python."""
+    from ..session import ship_package
+    ship_package(df.sparkSession)
     specs = [dict(s) for s in specs]
     names = [s["name"] for s in specs]
     src = df.select(*key_cols, html_col)

@@ -31,7 +31,13 @@ SQL: dict[str, str] = {}
 
 def register(name: str, sql: str | None = None):
     def deco(fn):
-        QUERIES[name] = fn
+        def run(spark: SparkSession, sf: str) -> DataFrame:
+            from ..session import ensure_checkpoint_dir
+            ensure_checkpoint_dir(spark)  # also ships the package to Python workers
+            return fn(spark, sf)
+
+        run.__name__, run.__doc__ = fn.__name__, fn.__doc__
+        QUERIES[name] = run
         if sql is not None:
             SQL[name] = sql
         return fn

@@ -70,8 +70,32 @@ def input_bytes(spark: SparkSession, *paths: str) -> int:
     return total
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Make ``quire`` importable in Python workers (as ``--py-files`` would):
+    zip the package once per SparkContext and ``addPyFile`` it. Operators
+    that run Python (mapInPandas, pandas UDFs) call this when they build
+    their plan."""
+    sc = spark.sparkContext
+    if getattr(sc, "_quire_shipped", False):
+        return
+    import zipfile
+
+    root = os.path.dirname(os.path.abspath(__file__))
+    fd, path = tempfile.mkstemp(prefix="quire-", suffix=".zip")
+    os.close(fd)
+    with zipfile.ZipFile(path, "w") as z:
+        for dirpath, _, files in os.walk(root):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(root)))
+    sc.addPyFile(path)
+    sc._quire_shipped = True
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, choosing a scratch one only if unset."""
+    ship_package(spark)
     sc = spark.sparkContext
     base = sc.getCheckpointDir()
     if base:
