@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import schemas
+from ..session import ensure_checkpoint_dir
 from .bounds import maybe_broadcast
 
 
@@ -41,6 +42,12 @@ def upsert(existing: DataFrame | None, new_valid: DataFrame) -> DataFrame:
     new = latest_by_title(new_valid.select(*schemas.PAPER_COLUMNS))
     if existing is None:
         return new
+    # The new rows feed three consumers (size proof, split, W1): materialise
+    # them once in the shared checkpoint folder. This also gives every
+    # consumer one physical source (exchange reuse across re-derived copies
+    # of the same subtree gave wrong rows in chained upserts).
+    ensure_checkpoint_dir(new.sparkSession)
+    new = new.checkpoint(eager=True)
     old = existing.select(*schemas.PAPER_COLUMNS)
     titles = maybe_broadcast(new.select("title"), ["title"])
     untouched = old.join(titles, "title", "left_anti")
