@@ -84,8 +84,9 @@ def classify(records: DataFrame) -> DataFrame:
 
 
 def split_valid(records: DataFrame, url_col: str = "url") -> tuple[DataFrame, DataFrame]:
-    """(valid papers, rejects). Rejects keep the url, reason and missing fields."""
-    c = classify(records)
+    """(valid papers, rejects). Rejects keep the url, reason and missing fields.
+    ``records`` may already be classified (``reason`` and ``missing`` present)."""
+    c = records if {"reason", "missing"} <= set(records.columns) else classify(records)
     valid = c.where(F.col("reason").isNull()).select(*schemas.PAPER_COLUMNS)
     rejects = c.where(F.col("reason").isNotNull()).select(
         F.col(url_col).alias("url") if url_col in records.columns else F.lit(None).cast("string").alias("url"),

@@ -76,7 +76,12 @@ class PaperStore:
         """Validate new records (P2), last write wins per title over the
         current table plus the new rows, commit as a new version. Returns the
         version and the rejects."""
-        valid, rejects = R.split_valid(records)
+        # Classify once and materialise in the shared checkpoint folder, so the
+        # valid rows and the rejects do not each re-run the extraction.
+        from ..session import ensure_checkpoint_dir
+        ensure_checkpoint_dir(self.spark)
+        classified = R.classify(records).checkpoint(eager=True)
+        valid, rejects = R.split_valid(classified)
         cur = self.current_version()
         existing = None if cur is None else self.read(cur)
         merged = U.upsert(existing, valid)
