@@ -16,7 +16,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .. import schemas
 from ..functions import html as H
 from ..functions.ids import preprint_url_and_year
 from ..operators import nested as N
@@ -26,7 +25,6 @@ from ..sources.notes import forum_record, parse_notes
 
 # Accepted flag per venue layout (the forum layout is computed).
 ACCEPTED = {"proceedings": True, "conference": True, "preprints": False}
-RECORD_EXTRA = ["url", "doc_id", "year_text"]
 
 
 def _citation_meta() -> list[Column]:
