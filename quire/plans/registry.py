@@ -8,6 +8,7 @@ result and the SQL. Doubles are rounded in both.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -504,14 +505,26 @@ def nested_text(spark, sf):
 
 # --- collect: X1-X14, J1, J2, A3, P2, W1 over rendered pages ----------------------------
 
+_LANDED: dict[tuple, str] = {}
+
+
 def _rendered(spark, sf):
     """Render the stand-in pages and land them (S11) under the shared folder,
     partitioned by venue and kind; the collect plan then scans (S1) only the
-    partitions it needs."""
+    partitions it needs. Like a real landing, it happens once per session and
+    input: later queries read the landed table."""
     from ..session import shared_path
     from ..sources.pages import land_pages, read_pages
+    from ..sources.store import _fs
+    key = (id(spark.sparkContext), spark.sparkContext.applicationId, os.path.abspath(sf))
+    path = _LANDED.get(key)
+    if path is not None:
+        fs, p, jvm = _fs(spark, path)
+        if fs.exists(jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS")):
+            return read_pages(spark, path)
     path = shared_path(spark, "landed-pages")
     land_pages(D.render_pages(_docs(spark, sf), D.read(spark, sf, "labels")), path, ["venue", "kind"], "overwrite")
+    _LANDED[key] = path
     return read_pages(spark, path)
 
 
