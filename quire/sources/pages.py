@@ -19,10 +19,12 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
 
 def read_raw_pages(spark: SparkSession, path: str, pattern: str | None = None) -> DataFrame:
     """S1 over raw saved files: one row per file, url = file path."""
-    reader = spark.read.option("wholetext", True)
+    reader = spark.read
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
-    df = reader.text(path)
+    # ``text`` has its own ``wholetext`` argument (default False) that would
+    # override a reader option: pass it here.
+    df = reader.text(path, wholetext=True)
     return df.select(F.xxhash64(F.input_file_name()).alias("page_id"),
                      F.input_file_name().alias("url"), F.col("value").alias("html"))
 
