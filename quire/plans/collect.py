@@ -45,7 +45,7 @@ def _bibtex_pages(pages: DataFrame, venue: str) -> DataFrame:
         F.col("url").alias("bibtex_url"), F.col("html").alias("bibtex"))
 
 
-def proceedings_records(pages: DataFrame, query_term: str | None = None) -> DataFrame:
+def proceedings_records(pages: DataFrame, query_term: str | None = None, lookup: DataFrame | None = None) -> DataFrame:
     d = _detail(pages, "proceedings").withColumn("_mt", H.meta_pairs(H.markup(F.col("html"))))
     flat = d.select("url", "doc_id", "run_seq", "pos", "html", *_citation_meta())
     specs = [dict(name="abstract", tag="div", cls="abstract"),
@@ -57,7 +57,7 @@ def proceedings_records(pages: DataFrame, query_term: str | None = None) -> Data
                       run_seq=F.col("run_seq"), pos=F.col("pos"), extra=["url", "doc_id"])
 
 
-def conference_records(pages: DataFrame, query_term: str | None = None) -> DataFrame:
+def conference_records(pages: DataFrame, query_term: str | None = None, lookup: DataFrame | None = None) -> DataFrame:
     d = (_detail(pages, "conference").withColumn("_m", H.markup(F.col("html")))
          .withColumn("_mt", H.meta_pairs(F.col("_m"))).withColumn("_links", H.links(F.col("_m"), clean=True)))
     bib_link = F.try_element_at(F.filter(F.col("_links"), lambda a: H.strip_ws(a["text"]) == F.lit("Bibtex")), F.lit(1))
@@ -67,14 +67,14 @@ def conference_records(pages: DataFrame, query_term: str | None = None) -> DataF
     specs = [dict(name="abstract", tag="p", after=dict(tag="h4", text="Abstract"))]
     x = N.extract(flat, specs, [c for c in flat.columns if c != "html"])
     # Detail -> its bibtex page; absent page -> null bibtex (invalid).
-    x = x.join(_bibtex_pages(pages, "conference"), "bibtex_url", "left")
+    x = x.join(_bibtex_pages(pages if lookup is None else lookup, "conference"), "bibtex_url", "left")
     return R.assemble(x, title=F.col("title"), authors=F.col("authors"), venue="conference",
                       year=F.col("year_text"), bibtex=F.col("bibtex"), url_pdf=F.col("url_pdf"),
                       abstract=F.col("abstract"), accepted=ACCEPTED["conference"], query_term=query_term,
                       run_seq=F.col("run_seq"), pos=F.col("pos"), extra=["url", "doc_id"])
 
 
-def preprint_records(pages: DataFrame, query_term: str | None = None) -> DataFrame:
+def preprint_records(pages: DataFrame, query_term: str | None = None, lookup: DataFrame | None = None) -> DataFrame:
     d = _detail(pages, "preprints")
     pid = F.element_at(F.split(F.col("url"), "/"), -1)
     url_year = preprint_url_and_year(pid)
@@ -87,7 +87,7 @@ def preprint_records(pages: DataFrame, query_term: str | None = None) -> DataFra
              dict(name="a", tag="div", cls="authors", take="rawtext"),
              dict(name="ab", tag="blockquote", cls="abstract mathjax", take="rawtext")]
     x = N.extract(flat, specs, [c for c in flat.columns if c != "html"])
-    x = x.join(_bibtex_pages(pages, "preprints"), "bibtex_url", "left")
+    x = x.join(_bibtex_pages(pages if lookup is None else lookup, "preprints"), "bibtex_url", "left")
     # Label removed, newline -> space, stripped; authors stay one string.
     authors = H.strip_ws(F.replace(F.replace(F.col("a"), F.lit("\n"), F.lit(" ")), F.lit("Authors:"), F.lit("")))
     abstract = H.strip_ws(F.replace(F.replace(F.col("ab"), F.lit("\n"), F.lit(" ")), F.lit("Abstract: "), F.lit("")))
@@ -109,7 +109,7 @@ def forum_accept(pages: DataFrame) -> DataFrame:
         F.bool_or("has_notes").alias("has_notes"))
 
 
-def forum_records(pages: DataFrame, query_term: str | None = None) -> DataFrame:
+def forum_records(pages: DataFrame, query_term: str | None = None, lookup: DataFrame | None = None) -> DataFrame:
     d = _detail(pages, "forum")
     rec = forum_record(F.col("html"))
     c = rec["content"]
@@ -118,7 +118,7 @@ def forum_records(pages: DataFrame, query_term: str | None = None) -> DataFrame:
                     c["title"].alias("title"), c["authors"].alias("authors"), c["_bibtex"].alias("bibtex"),
                     F.when(c["pdf"].isNotNull(), H.absolutize(c["pdf"], H.origin(F.col("url")))).alias("url_pdf"),
                     c["abstract"].alias("abstract"))
-    x = flat.join(forum_accept(pages), "fid", "left")
+    x = flat.join(forum_accept(pages if lookup is None else lookup), "fid", "left")
     return R.assemble(x, title=F.col("title"), authors=F.col("authors"), venue="forum",
                       year=F.col("year").cast("string"), bibtex=F.col("bibtex"), url_pdf=F.col("url_pdf"),
                       abstract=F.col("abstract"), accepted=F.coalesce(F.col("accepted"), F.lit(False)),
@@ -135,11 +135,15 @@ RECORD_BUILDERS = {
 }
 
 
-def collect_records(pages: DataFrame, query: str | None = None, venues: list[str] | None = None) -> DataFrame:
-    """All records of the landed pages (valid or not), optionally only those
-    whose lowercased title matches ``query`` (P1, applied to every venue)."""
+def collect_records(pages: DataFrame, query: str | None = None, venues: list[str] | None = None,
+                    lookup: DataFrame | None = None) -> DataFrame:
+    """All records of the detail pages in ``pages`` (valid or not), optionally
+    only those whose lowercased title matches ``query`` (P1, applied to every
+    venue). BibTeX pages and notes replies are looked up in ``lookup``
+    (default: ``pages``); a stream passes the whole landed table, since a
+    detail page and its BibTeX page can land in different batches."""
     venues = venues or list(RECORD_BUILDERS)
-    parts = [RECORD_BUILDERS[v](pages, query) for v in venues]
+    parts = [RECORD_BUILDERS[v](pages, query, lookup) for v in venues]
     out = reduce(lambda a, b: a.unionByName(b), parts)
     if query is not None:
         out = filter_by_query(out.withColumn("title", F.coalesce("title", F.lit(""))), query)

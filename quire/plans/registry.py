@@ -766,3 +766,22 @@ def linked_site_pages(spark, sf):
     links = L.absolute_links(detail).select("url", "pos", "link")
     target = pages.select(F.col("url").alias("link"), F.col("kind").alias("target_kind"))
     return links.join(target, "link").select("url", "pos", "link", "target_kind")
+
+
+@register("stream_collect", f"""WITH {EXPECTED}
+SELECT title, doc_id, venue FROM (
+  SELECT *, row_number() OVER (PARTITION BY title ORDER BY run_seq DESC, pos DESC) AS rn
+  FROM expc WHERE reason IS NULL) WHERE rn = 1""")
+def stream_collect(spark, sf):
+    """T1 over pages: the landed pages are copied into a landing directory as
+    several files; a stream runs the collect plan per micro-batch and upserts
+    into the versioned store. Ends equal to the batch collect (W1 winners)."""
+    from ..session import shared_path
+    from ..sources.store import PaperStore
+    from ..streaming.ingest import ingest_landed_pages
+    landed = _rendered(spark, sf)
+    landing = shared_path(spark, "page-landing")
+    landed.repartition(2).write.parquet(landing)
+    store = PaperStore(spark, shared_path(spark, "papers"))
+    ingest_landed_pages(spark, landing, landed, store)
+    return store.read().select("title", F.col("pos").alias("doc_id"), "venue")

@@ -42,3 +42,24 @@ def ingest_landed_records(spark: SparkSession, records: DataFrame, n_files: int
     if q.exception() is not None:
         raise q.exception()
     return store
+
+
+def ingest_landed_pages(spark: SparkSession, landing: str, lookup: DataFrame, store: PaperStore,
+                        files_per_batch: int = 1, query: str | None = None):
+    """T1 over pages: stream the landed page files, run the collect plan on
+    each micro-batch (lookups against the whole landed table) and upsert the
+    records with version = batch id. Runs until the landing is drained."""
+    from ..plans.collect import collect_records
+
+    schema = spark.read.parquet(landing).schema
+    pages = read_landed(spark, landing, schema, files_per_batch)
+
+    def per_batch(batch: DataFrame, batch_id: int) -> None:
+        store.upsert(collect_records(batch, query, lookup=lookup), version=batch_id)
+
+    q = (pages.writeStream.foreachBatch(per_batch).option("checkpointLocation", shared_path(spark, "stream-ckpt"))
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise q.exception()
+    return store
