@@ -81,7 +81,7 @@ def preprint_records(pages: DataFrame, query_term: str | None = None, lookup: Da
     pdf = H.attr_of_first(F.col("html"), "a", "accesskey", "f", "href")
     flat = d.select("url", "doc_id", "run_seq", "pos", "html", pid.alias("pid"),
                     url_year["year"].alias("year_text"),
-                    F.when(pdf.isNotNull(), F.concat(H.origin(F.col("url")), pdf)).alias("url_pdf"),
+                    F.when(pdf.isNotNull(), H.absolutize(pdf, H.origin(F.col("url")))).alias("url_pdf"),
                     F.concat(H.origin(F.col("url")), F.lit("/bibtex/"), pid).alias("bibtex_url"))
     specs = [dict(name="t", tag="h1", cls="title mathjax", take="rawtext"),
              dict(name="a", tag="div", cls="authors", take="rawtext"),
