@@ -27,9 +27,14 @@ INLINE_QUERY_LIMIT = 256
 ANCHOR_LEN = 3
 
 
-def filter_by_query(df: DataFrame, query: str, text_col: str = "title") -> DataFrame:
-    """Rows whose lowercased ``text_col`` matches ``query``."""
-    return df.where(matches_query(F.lower(F.col(text_col)), query))
+def filter_by_query(df: DataFrame, query: str, text_col: str = "title", lowered_col: str | None = None) -> DataFrame:
+    """Rows whose lowercased ``text_col`` matches ``query``.
+
+    ``lowered_col`` names a stored, already-lowercased copy of the text: the
+    filter then reads it directly, and Parquet gets the pieces as pushed
+    ``StringContains`` filters (they cannot be pushed through ``lower``)."""
+    text = F.col(lowered_col) if lowered_col else F.lower(F.col(text_col))
+    return df.where(matches_query(text, query))
 
 
 def query_pieces(queries: DataFrame) -> DataFrame:

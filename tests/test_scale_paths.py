@@ -48,3 +48,17 @@ def test_shuffle_sizing(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_query_pushdown_with_stored_lowercase(spark, tmp_dir):
+    import os
+    from pyspark.sql import functions as F
+    path = os.path.join(tmp_dir, "t")
+    spark.createDataFrame([("Noisy Labels",), ("Clean",)], "title string") \
+        .withColumn("title_lc", F.lower("title")).write.parquet(path)
+    df = spark.read.parquet(path)
+    q = M.filter_by_query(df, "noisy+labels", lowered_col="title_lc")
+    plan = q._jdf.queryExecution().executedPlan().toString()
+    assert "StringContains(title_lc,noisy)" in plan
+    assert [r["title"] for r in q.collect()] == ["Noisy Labels"]
+    assert M.filter_by_query(df, "noisy+labels").count() == 1
