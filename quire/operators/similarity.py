@@ -104,9 +104,11 @@ def sample_key(seed: str, key: Column) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), key.cast("string")))
 
 
-def seeded_sample(df: DataFrame, n: int, key_col: str, seed: str = "0", small_limit: int = 100_000) -> DataFrame:
+def seeded_sample(df: DataFrame, n: int, key_col: str, seed: str = "0", small_limit: int = 10_000) -> DataFrame:
     """O3: ``n`` rows without replacement, chosen by a seeded hash of the key.
-    n = 0 means all rows; n above the row count raises, as in the reference."""
+    n = 0 means all rows; n above the row count raises, as in the reference.
+    Up to ``small_limit`` rows: per-partition top-n merged on the driver
+    (TakeOrderedAndProject); above it: a distributed rank and a filter."""
     if n == 0:
         return df
     if n < 0:
