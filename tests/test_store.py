@@ -110,3 +110,16 @@ def test_stream_equals_batch(spark, tmp_dir):
     store = ingest_landed_records(spark, recs, n_files=4, store_path=os.path.join(tmp_dir, "s"))
     assert titles(store.read()) == titles(U.latest_by_title(papers(spark, rows)))
     assert len(store.versions()) >= 1
+
+
+def test_chained_upserts_over_parquet_batches(spark, tmp_dir):
+    # Regression: three lazily chained upserts over Parquet batches used to
+    # return one row per batch for a title while exchange reuse was on.
+    state = None
+    for i in range(4):
+        path = os.path.join(tmp_dir, f"batch{i}")
+        papers(spark, [rec("a", i, i), rec(f"only{i}", i, 0)]).write.parquet(path)
+        state = U.upsert(state, spark.read.parquet(path))
+    got = titles(state)
+    assert got == {"a": (3, 3), "only0": (0, 0), "only1": (1, 0), "only2": (2, 0), "only3": (3, 0)}
+    assert state.count() == len(state.collect()) == 5
