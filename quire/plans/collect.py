@@ -154,3 +154,27 @@ def collect(pages: DataFrame, query: str | None = None) -> tuple[DataFrame, Data
     """(valid records, rejects) ready for the upsert."""
     recs = collect_records(pages, query)
     return R.split_valid(recs)
+
+
+def collect_runs(records: DataFrame, runs: DataFrame) -> DataFrame:
+    """U2 + J5 + D11: many collect runs at once. ``runs`` holds (run_seq,
+    query, venue), one row per run in the order the runs happen (terms x
+    venues in the reference's example workload). A record belongs to every run
+    of its venue whose query its title matches; it takes that run's
+    ``run_seq`` and ``query_term``. Valid records are then upserted, so the
+    last run to touch a title wins, with its query term."""
+    from ..operators.matching import match_queries
+    from ..operators.records import split_valid
+    from ..operators.upsert import upsert
+
+    q = runs.select(F.col("run_seq").cast("string").alias("query_id"), "query")
+    keyed = records.withColumn("_rid", F.monotonically_increasing_id())
+    hits = match_queries(keyed, q, ["_rid"], "title")
+    per_run = (hits.join(runs.select(F.col("run_seq").cast("string").alias("query_id"),
+                                     F.col("run_seq").alias("_run"), F.col("query").alias("_q"),
+                                     F.col("venue").alias("_v")), "query_id")
+               .where(F.col("venue") == F.col("_v"))
+               .withColumn("run_seq", F.col("_run").cast("bigint")).withColumn("query_term", F.col("_q"))
+               .drop("_rid", "query_id", "_run", "_q", "_v"))
+    valid, _ = split_valid(per_run)
+    return upsert(None, valid)

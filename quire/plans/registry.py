@@ -785,3 +785,27 @@ def stream_collect(spark, sf):
     store = PaperStore(spark, shared_path(spark, "papers"))
     ingest_landed_pages(spark, landing, landed, store)
     return store.read().select("title", F.col("pos").alias("doc_id"), "venue")
+
+
+# Fixed run table for collect_runs: query terms x venues, in run order.
+RUN_TERMS = ["the", "ing+an", '"or" AND th']
+RUN_VENUES = ["proceedings", "conference", "forum"]
+RUNS = [(t * len(RUN_VENUES) + v, term, venue) for t, term in enumerate(RUN_TERMS) for v, venue in enumerate(RUN_VENUES)]
+_RUN_VALUES = ", ".join("({}, '{}', '{}')".format(s, q.replace("'", "''"), v) for s, q, v in RUNS)
+
+
+@register("collect_runs", f"""WITH {EXPECTED},
+runs(run_seq, query, venue) AS (VALUES {_RUN_VALUES}),
+rp AS (SELECT run_seq, query, venue, flatten(list_transform(string_split(query, ' AND '),
+               lambda t: string_split(trim(t, '"'), '+'))) AS pieces FROM runs),
+hits AS (SELECT e.title, e.doc_id, e.venue, e.pos, CAST(r.run_seq AS BIGINT) AS run_seq, r.query AS query_term
+         FROM expc e JOIN rp r ON r.venue = e.venue
+         WHERE e.reason IS NULL AND list_bool_and(list_transform(r.pieces, lambda p: contains(lower(e.title), p))))
+SELECT title, doc_id, venue, query_term, run_seq FROM (
+  SELECT *, row_number() OVER (PARTITION BY title ORDER BY run_seq DESC, pos DESC) AS rn FROM hits) WHERE rn = 1""")
+def collect_runs(spark, sf):
+    """Nine collect runs (three query terms x three venues) over the
+    landed pages; the last run to touch a title wins, with its query term."""
+    runs = spark.createDataFrame(RUNS, "run_seq long, query string, venue string")
+    recs = C.collect_records(_rendered(spark, sf))
+    return C.collect_runs(recs, runs).select("title", F.col("pos").alias("doc_id"), "venue", "query_term", "run_seq")
