@@ -123,3 +123,16 @@ def test_chained_upserts_over_parquet_batches(spark, tmp_dir):
     got = titles(state)
     assert got == {"a": (3, 3), "only0": (0, 0), "only1": (1, 0), "only2": (2, 0), "only3": (3, 0)}
     assert state.count() == len(state.collect()) == 5
+
+
+def test_collect_runs_last_run_wins_with_its_query_term(spark):
+    from quire.plans.collect import collect_runs
+    recs = papers(spark, [rec("noisy labels study", 0, 1), rec("weak labels", 0, 2),
+                          rec("noisy labels study", 0, 3, abstract="")]) \
+        .withColumn("url", F.lit("p")).withColumn("year_text", F.lit("2020"))
+    runs = spark.createDataFrame([(0, "noisy", "v"), (1, "labels", "v"), (2, "weak", "other")],
+                                 "run_seq long, query string, venue string")
+    got = {r["title"]: (r["query_term"], r["run_seq"], r["pos"]) for r in collect_runs(recs, runs).collect()}
+    # run 1 ('labels') is the last run of venue v touching both titles; the
+    # invalid copy (empty abstract) never wins; venue 'other' matches nothing.
+    assert got == {"noisy labels study": ("labels", 1, 1), "weak labels": ("labels", 1, 2)}
