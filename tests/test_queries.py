@@ -25,7 +25,8 @@ def test_every_query_has_an_oracle():
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="driver test data not present")
 @pytest.mark.parametrize("name", ["title_query", "query_table_match_index", "upsert_latest", "similarity_rank",
-                                  "collect_records", "page_links", "nested_text", "csv_records", "stream_ingest"])
+                                  "collect_records", "page_links", "nested_text", "csv_records", "stream_ingest",
+                                  "collect_runs", "encoded_vectors"])
 def test_query_equals_oracle(spark, name):
     import duckdb
     from oracle_check import TABLES, digest
