@@ -93,3 +93,9 @@ def bibtex_entries(selected: DataFrame) -> DataFrame:
     arrival order; :func:`quire.sources.store.export_bibtex` writes them
     joined by blank lines."""
     return selected.select("run_seq", "pos", "title", F.coalesce(F.col("bibtex"), F.lit("")).alias("entry"))
+
+
+def authors_json(authors: Column) -> Column:
+    """The author list as JSON text for export (arrays stay arrays in the
+    table; ``to_json`` writes ``["José","b"]``, not Python's escaped form)."""
+    return F.to_json(authors)

@@ -39,3 +39,8 @@ def test_lookup_missing_titles(spark):
     got = {r["title"]: (r["abstract"], r["bibtex"]) for r in B.lookup_by_title(sel, papers, ["abstract", "bibtex"]).collect()}
     assert got == {"t": ("abs", "@b"), "missing": ("", "")}
     assert B.bibtex_entries(papers.withColumn("run_seq", F.lit(1)).withColumn("pos", F.lit(1)).limit(0)).count() == 0
+
+
+def test_authors_json(spark):
+    df = spark.createDataFrame([(["José", "b"],), (None,), ([],)], "a array<string>")
+    assert [r[0] for r in df.select(B.authors_json(F.col("a"))).collect()] == ['["José","b"]', None, "[]"]
