@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from . import exact_dedup as o7
+from . import packing as o10
 
 QUERIES = {
     "op7_exact_dedup": o7.op7_exact_dedup,
+    "op10_best_fit_packing": o10.op10_best_fit_packing,
 }
 SQL = {
     "op7_exact_dedup": o7.SQL,
