@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from . import byte_bpe as o3
 from . import exact_dedup as o7
+from . import language_id as o4
 from . import packing as o10
 
 QUERIES = {
+    "op4_language_id": o4.op4_language_id,
+    "op3_byte_bpe": o3.op3_byte_bpe,
     "op7_exact_dedup": o7.op7_exact_dedup,
     "op10_best_fit_packing": o10.op10_best_fit_packing,
 }
