@@ -45,8 +45,9 @@ def texts(column: pa.Array) -> list[str]:
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(offsets of n + 1, bytes) of an Arrow string column, null as empty."""
-    column = pc.fill_null(column.cast(pa.large_string()), "")
+    """(offsets of n + 1, bytes) of an Arrow string or binary column, null as
+    empty."""
+    column = pc.fill_null(column.cast(pa.large_binary()), b"")
     _, offsets, data = column.buffers()
     offsets = np.frombuffer(offsets, np.int64)[column.offset:column.offset + len(column) + 1]
     data = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)

@@ -6,8 +6,10 @@ from . import byte_bpe as o3
 from . import exact_dedup as o7
 from . import language_id as o4
 from . import packing as o10
+from . import suffix_dedup as o9
 
 QUERIES = {
+    "op9_suffix_dedup": o9.op9_suffix_dedup,
     "op4_language_id": o4.op4_language_id,
     "op3_byte_bpe": o3.op3_byte_bpe,
     "op7_exact_dedup": o7.op7_exact_dedup,
