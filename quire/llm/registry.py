@@ -7,8 +7,10 @@ from . import exact_dedup as o7
 from . import language_id as o4
 from . import packing as o10
 from . import suffix_dedup as o9
+from . import toxicity as o2
 
 QUERIES = {
+    "op2_toxicity": o2.op2_toxicity,
     "op9_suffix_dedup": o9.op9_suffix_dedup,
     "op4_language_id": o4.op4_language_id,
     "op3_byte_bpe": o3.op3_byte_bpe,
