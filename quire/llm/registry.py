@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from . import byte_bpe as o3
+from . import embedding_dedup as o5
 from . import exact_dedup as o7
 from . import language_id as o4
 from . import packing as o10
@@ -10,6 +11,7 @@ from . import suffix_dedup as o9
 from . import toxicity as o2
 
 QUERIES = {
+    "op5_embedding_dedup": o5.op5_embedding_dedup,
     "op2_toxicity": o2.op2_toxicity,
     "op9_suffix_dedup": o9.op9_suffix_dedup,
     "op4_language_id": o4.op4_language_id,
