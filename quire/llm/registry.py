@@ -5,12 +5,14 @@ from __future__ import annotations
 from . import byte_bpe as o3
 from . import embedding_dedup as o5
 from . import exact_dedup as o7
+from . import jaccard_join as o8
 from . import language_id as o4
 from . import packing as o10
 from . import suffix_dedup as o9
 from . import toxicity as o2
 
 QUERIES = {
+    "op8_ngram_jaccard": o8.op8_ngram_jaccard,
     "op5_embedding_dedup": o5.op5_embedding_dedup,
     "op2_toxicity": o2.op2_toxicity,
     "op9_suffix_dedup": o9.op9_suffix_dedup,
