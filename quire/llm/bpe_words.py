@@ -17,7 +17,7 @@ _RUN = re.compile(r"\s (?:\s|\Z)")
 #: Units longer than this are encoded but not remembered.
 MEMO_CHARS = 64
 #: Remembered units; at this number the memory is emptied.
-MEMO_UNITS = 500_000
+MEMO_UNITS = 900_000
 
 
 def units(text: str) -> list[str]:

@@ -24,6 +24,7 @@ empty table gives an empty result; other columns are ignored.
 from __future__ import annotations
 
 import os
+import struct
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -33,7 +34,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .bpe_words import by_units
+from .bpe_words import MEMO_CHARS, by_units
+from .byte_bpe import pattern
 from .common import byte_slices, read_table, texts, written
 
 CAPACITY = 2048
@@ -52,15 +54,26 @@ def tokenizer_file() -> str:
 
 
 @lru_cache(maxsize=2)
-def _encoder(spec: str):
+def _encoder(spec: str, split: str):
+    """(encoder of units, its memory). A unit is cut into pre-tokens, and only
+    pre-tokens not met before go to the tokenizer, each once."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    import regex
     from tokenizers import Tokenizer
-    tok = Tokenizer.from_str(spec)
+    tok, cut, memo = Tokenizer.from_str(spec), regex.compile(split).findall, {}
+    special = [t.content for t in tok.get_added_tokens_decoder().values()]
 
     def encode(units: list[str]) -> list[bytes]:
-        return [np.asarray(e.ids, "<u4").tobytes() for e in tok.encode_batch_fast(units, add_special_tokens=False)]
+        joined = "\n".join(units)
+        marks = [s for s in special if s in joined]
+        parts = [[u] if any(s in u for s in marks) else cut(u) for u in units] if marks else [cut(u) for u in units]
+        new = list(set().union(*parts).difference(memo))
+        known = dict(zip(new, (struct.pack(f"<{len(e.ids)}I", *e.ids) for e in tok.encode_batch_fast(new, add_special_tokens=False)), strict=True))
+        memo.update((t, c) for t, c in known.items() if len(t) <= MEMO_CHARS)
+        find = known.get
+        return [b"".join([find(t) or memo[t] for t in p]) for p in parts]
 
-    return encode, {}
+    return encode, memo
 
 
 def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokenizer: str | None = None,
@@ -71,10 +84,11 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", toke
     spark = docs.sparkSession
     with open(tokenizer or tokenizer_file(), encoding="utf-8") as f:
         spec = spark.sparkContext.broadcast(f.read())
+    split = pattern()
     end = np.asarray([end_id], "<u4").tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, memo = _encoder(spec.value)
+        encode, memo = _encoder(spec.value, split)
         n_rows = 0
         for batch in batches:
             for b in byte_slices(batch, 1):

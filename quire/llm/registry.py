@@ -7,11 +7,13 @@ from . import embedding_dedup as o5
 from . import exact_dedup as o7
 from . import jaccard_join as o8
 from . import language_id as o4
+from . import lm_scoring as o6
 from . import packing as o10
 from . import suffix_dedup as o9
 from . import toxicity as o2
 
 QUERIES = {
+    "op6_lm_scoring": o6.op6_lm_scoring,
     "op8_ngram_jaccard": o8.op8_ngram_jaccard,
     "op5_embedding_dedup": o5.op5_embedding_dedup,
     "op2_toxicity": o2.op2_toxicity,
@@ -22,5 +24,6 @@ QUERIES = {
     "op10_best_fit_packing": o10.op10_best_fit_packing,
 }
 SQL = {
+    "op6_lm_scoring": o6.SQL,
     "op7_exact_dedup": o7.SQL,
 }
