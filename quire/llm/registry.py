@@ -11,8 +11,10 @@ from . import lm_scoring as o6
 from . import packing as o10
 from . import suffix_dedup as o9
 from . import toxicity as o2
+from . import warc_audit as o1
 
 QUERIES = {
+    "op1_warc_audit": o1.op1_warc_audit,
     "op6_lm_scoring": o6.op6_lm_scoring,
     "op8_ngram_jaccard": o8.op8_ngram_jaccard,
     "op5_embedding_dedup": o5.op5_embedding_dedup,
@@ -24,6 +26,7 @@ QUERIES = {
     "op10_best_fit_packing": o10.op10_best_fit_packing,
 }
 SQL = {
+    "op1_warc_audit": o1.SQL,
     "op6_lm_scoring": o6.SQL,
     "op7_exact_dedup": o7.SQL,
 }
