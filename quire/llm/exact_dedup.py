@@ -198,6 +198,16 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         F.lower(F.hex("sha")).alias("text_sha256"))
 
 
+def without_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows that stay, with all their columns."""
+    gone = exact_duplicates(docs, id_col, text_col).filter(~F.col("kept")) \
+        .select(F.col("doc_id").alias("gone_id"), F.col("text_sha256").alias("gone_sha")).distinct()
+    rows = docs.select(F.struct("*").alias("row"), F.col(id_col).cast("long").alias("id"),
+                       F.sha2(normalised(F.col(text_col)).cast("binary"), 256).alias("sha"))
+    return rows.join(gone, F.col("id").eqNullSafe(F.col("gone_id")) & (F.col("sha") == F.col("gone_sha")), "left_anti") \
+        .select("row.*")
+
+
 def op7_exact_dedup(spark, sf_dir: str) -> DataFrame:
     """Exact deduplication of all documents, one row each."""
     return exact_duplicates(read_table(spark, sf_dir, "documents"))

@@ -310,6 +310,14 @@ def _verified(pairs: DataFrame, nodes: DataFrame, words: int, percent: int) -> D
                    .mapInArrow(compare, "a long, b long, linked boolean"), "verified")
 
 
+def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of each component's smallest id, with all their columns."""
+    gone = linked(docs, id_col, text_col).filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))) \
+        .select(F.col("doc_id").alias("gone_id")).distinct()
+    rows = docs.select(F.struct("*").alias("row"), F.col(id_col).cast("long").alias("id"))
+    return rows.join(gone, F.col("id").eqNullSafe(F.col("gone_id")), "left_anti").select("row.*")
+
+
 def op8_ngram_jaccard(spark, sf_dir: str) -> DataFrame:
     """Components of all documents whose shingle sets are similar, one row each."""
     return linked(read_table(spark, sf_dir, "documents"))

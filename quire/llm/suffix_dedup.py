@@ -274,12 +274,13 @@ def _range_columns(length: int) -> list:
             (start + F.col("run").bitwiseAND(F.lit(255)) + F.lit(length - 1)).alias("stop")]
 
 
-def _marked(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def _marked(docs: DataFrame, id_col: str, text_col: str, row=None) -> DataFrame:
     """(doc, mark, text): the id (a null id as the largest), 23 bits of a hash
-    of the text, and the text (null as empty)."""
+    of the text, the text (null as empty) and, where given, ``row``."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     return docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_LAST)).alias("doc"),
-                       F.pmod(F.xxhash64(text), F.lit(1 << 23)).alias("mark"), text.alias("text"))
+                       F.pmod(F.xxhash64(text), F.lit(1 << 23)).alias("mark"), text.alias("text"),
+                       *([] if row is None else [row.alias("row")]))
 
 
 def _strings(b: pa.RecordBatch, length: int) -> Iterator[pa.RecordBatch]:
@@ -316,14 +317,16 @@ def _strings(b: pa.RecordBatch, length: int) -> Iterator[pa.RecordBatch]:
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH,
                    seed: int = SEED, hot_runs: int = HOT_RUNS, keep_text: bool = False) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every text and, with
-    ``keep_text``, the removed byte ranges (``spans``) and the text that is
-    left (``kept_text``; a character cut in two by a removal is dropped)."""
+    ``keep_text``, the removed byte ranges (``spans``), the text that is left
+    (``kept_text``; a character cut in two by a removal is dropped) and the
+    whole input row (``row``)."""
     spans = written(repeated(docs, id_col, text_col, length, seed, hot_runs), "spans").groupBy("doc", "mark") \
         .agg(F.collect_list("start").alias("start"), F.collect_list("stop").alias("stop"))
-    marked = _marked(docs, id_col, text_col).withColumnsRenamed({"doc": "d", "mark": "m"}) \
+    row = F.struct(*(F.col(c) for c in docs.columns if c != text_col)) if keep_text else F.lit(None).cast("int")
+    marked = _marked(docs, id_col, text_col, row).withColumnsRenamed({"doc": "d", "mark": "m"}) \
         .withColumn("doc_id", F.when(F.col("d") != _LAST, F.col("d")))
     joined = marked.join(spans, (F.col("d") == F.col("doc")) & (F.col("m") == F.col("mark")), "left") \
-        .select("doc_id", "text", "start", "stop")
+        .select("doc_id", "text", "start", "stop", *(["row"] if keep_text else []))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -344,12 +347,14 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             out = [b.column(0), *(pa.array(c, pa.int64()) for c in cols[:3]), pa.array(cols[3], pa.string())]
             names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
             if keep_text:
-                out += [pa.array(cols[4], pa.list_(pa.list_(pa.int64()))), pa.array(cols[5], pa.string())]
-                names += ["spans", "kept_text"]
+                out += [pa.array(cols[4], pa.list_(pa.list_(pa.int64()))), pa.array(cols[5], pa.string()), b.column(4)]
+                names += ["spans", "kept_text", "row"]
             yield pa.RecordBatch.from_arrays(out, names)
 
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
-    return joined.mapInArrow(cut, schema + (", spans array<array<long>>, kept_text string" if keep_text else ""))
+    if keep_text:
+        schema += f", spans array<array<long>>, kept_text string, row {joined.schema['row'].dataType.simpleString()}"
+    return joined.mapInArrow(cut, schema)
 
 
 def op9_suffix_dedup(spark, sf_dir: str) -> DataFrame:

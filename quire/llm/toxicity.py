@@ -177,19 +177,28 @@ class Classifier:
     def __init__(self, lexicon: dict[str, float], trees, steps, prior: float):
         self.lexicon, self.trees, self.steps, self.prior = lexicon, trees, steps, prior
 
-    def score(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-        """doc_id, score, predicted and the features of every text."""
-        rows = with_features(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")),
-                             self.lexicon, ["doc_id"])
+    def judged(self, rows: DataFrame, keep: list[str]) -> DataFrame:
+        """The kept columns, score, predicted and features of column ``text``."""
+        rows = with_features(rows, self.lexicon, keep)
         if self.trees is None:
             score = F.lit(self.prior)
         else:
             rows = _raw(rows, self.trees)
             score = F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col("calibrated")))
             rows = self.steps.transform(rows) if self.steps is not None else rows.withColumn("calibrated", F.col("raw"))
-        return rows.withColumn("score", score).select("doc_id", "score", (F.col("score") >= 0.5).cast("int")
+        return rows.withColumn("score", score).select(*keep, "score", (F.col("score") >= 0.5).cast("int")
                                                       .alias("predicted"), "features")
 
+    def score(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+        """doc_id, score, predicted and features of every text."""
+        return self.judged(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")),
+                           ["doc_id"])
+
+    def clean(self, docs: DataFrame, text_col: str = "text") -> DataFrame:
+        """The rows that aren't predicted toxic, with all their columns."""
+        rows = docs.select(F.struct("*").alias("row"), F.col(text_col).alias("text"))
+        return self.judged(rows, ["row"]).filter("predicted = 0").select("row.*")
+
 
 def _raw(rows: DataFrame, trees) -> DataFrame:
     from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -231,14 +240,13 @@ def fit(docs: DataFrame, labels: DataFrame, learn_rows: int = LEARN_ROWS, seed:
     return Classifier(lexicon, trees, steps, prior)
 
 
-def scored(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """``docs`` scored by a classifier that learns from the labels of
-    documents that are not held out."""
-    labels = read_table(spark, sf_dir, "labels").filter(~held_out(F.col("doc_id")))
-    return fit(docs, labels).score(docs)
+def classifier(spark, docs: DataFrame, sf_dir: str) -> Classifier:
+    """A classifier that learns from the labels of documents that are not held out."""
+    return fit(docs, read_table(spark, sf_dir, "labels").filter(~held_out(F.col("doc_id"))))
 
 
 def op2_toxicity(spark, sf_dir: str) -> DataFrame:
     """The toxicity of every document."""
-    return scored(spark, read_table(spark, sf_dir, "documents"), sf_dir) \
+    docs = read_table(spark, sf_dir, "documents")
+    return classifier(spark, docs, sf_dir).score(docs) \
         .select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
