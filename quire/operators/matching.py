@@ -46,9 +46,18 @@ def match_queries(texts: DataFrame, queries: DataFrame, key_cols: list[str], tex
                   strategy: str = "auto") -> DataFrame:
     """All (text row, query_id) pairs where the lowercased text matches the query.
 
-    ``queries`` has columns ``query_id`` and ``query``. Output: the columns of
-    ``texts`` plus ``query_id``.
+    ``queries`` has columns ``query_id`` and ``query``; equal queries are
+    matched once. ``key_cols`` must identify a row and come out alike each time
+    ``texts`` is evaluated. Output: the columns of ``texts`` plus ``query_id``.
     """
+    ids = queries.select(F.col("query_id").alias("_id"), "query")
+    distinct = queries.select("query").distinct().withColumn("query_id", F.col("query"))
+    hits = _match_distinct(texts, distinct, key_cols, text_col, strategy).withColumnRenamed("query_id", "_query")
+    return hits.join(ids, F.col("_query") == ids["query"]).select(*texts.columns, F.col("_id").alias("query_id"))
+
+
+def _match_distinct(texts: DataFrame, queries: DataFrame, key_cols: list[str], text_col: str,
+                    strategy: str) -> DataFrame:
     if strategy == "auto":
         n = queries.count()
         strategy = "inline" if n <= INLINE_QUERY_LIMIT else "index"
@@ -60,9 +69,7 @@ def match_queries(texts: DataFrame, queries: DataFrame, key_cols: list[str], tex
 
 
 def _match_inline(texts: DataFrame, queries: DataFrame, text_col: str) -> DataFrame:
-    rows = queries.select("query_id", "query").limit(INLINE_QUERY_LIMIT + 1).collect()
-    if len(rows) > INLINE_QUERY_LIMIT:
-        raise ValueError("query table too large for the inline plan")
+    rows = queries.select("query_id", "query").collect()  # small, or the caller chose this plan
     if not rows:
         return texts.withColumn("query_id", F.lit(None).cast("string")).limit(0)
     low = F.lower(F.col(text_col))
@@ -110,13 +117,9 @@ def _match_index(texts: DataFrame, queries: DataFrame, key_cols: list[str], text
         hit = keyed.select(*key_cols).withColumn("query_id", F.lit(None).cast("string")).limit(0)
 
     # Queries made only of empty pieces match every row.
-    trivial = need.where(F.col("n_need") == 0).select("query_id")
-    n_trivial = trivial.count()
+    # (Their distinct spellings are few; the rows they make are the result itself.)
+    ids = [r[0] for r in need.where(F.col("n_need") == 0).select("query_id").collect()]
     out = texts.join(hit, key_cols)
-    if n_trivial:
-        if n_trivial > INLINE_QUERY_LIMIT:
-            raise ValueError("too many queries without pieces")
-        ids = [r[0] for r in trivial.collect()]
-        all_rows = texts.withColumn("query_id", F.explode(F.array(*[F.lit(i) for i in ids])))
-        out = out.unionByName(all_rows)
+    if ids:
+        out = out.unionByName(texts.withColumn("query_id", F.explode(F.array(*[F.lit(i) for i in ids]))))
     return out

@@ -40,6 +40,13 @@ def _detail(pages: DataFrame, venue: str) -> DataFrame:
     return pages.where((F.col("kind") == "detail") & (F.col("venue") == venue))
 
 
+def _with_bibtex(x: DataFrame, pages: DataFrame, venue: str) -> DataFrame:
+    """Detail -> its bibtex page; absent page -> null bibtex (invalid). A
+    row without a link joins under a key of its own, not all under null."""
+    key = F.coalesce("bibtex_url", F.concat(F.lit("none:"), F.col("url")))
+    return x.withColumn("bibtex_url", key).join(_bibtex_pages(pages, venue), "bibtex_url", "left")
+
+
 def _bibtex_pages(pages: DataFrame, venue: str) -> DataFrame:
     return pages.where((F.col("kind") == "bibtex") & (F.col("venue") == venue)).select(
         F.col("url").alias("bibtex_url"), F.col("html").alias("bibtex"))
@@ -66,8 +73,7 @@ def conference_records(pages: DataFrame, query_term: str | None = None, lookup:
                            H.absolutize(bib_link["href"], H.origin(F.col("url")))).alias("bibtex_url"))
     specs = [dict(name="abstract", tag="p", after=dict(tag="h4", text="Abstract"))]
     x = N.extract(flat, specs, [c for c in flat.columns if c != "html"])
-    # Detail -> its bibtex page; absent page -> null bibtex (invalid).
-    x = x.join(_bibtex_pages(pages if lookup is None else lookup, "conference"), "bibtex_url", "left")
+    x = _with_bibtex(x, pages if lookup is None else lookup, "conference")
     return R.assemble(x, title=F.col("title"), authors=F.col("authors"), venue="conference",
                       year=F.col("year_text"), bibtex=F.col("bibtex"), url_pdf=F.col("url_pdf"),
                       abstract=F.col("abstract"), accepted=ACCEPTED["conference"], query_term=query_term,
@@ -78,7 +84,9 @@ def preprint_records(pages: DataFrame, query_term: str | None = None, lookup: Da
     d = _detail(pages, "preprints")
     pid = F.element_at(F.split(F.col("url"), "/"), -1)
     url_year = preprint_url_and_year(pid)
-    pdf = H.attr_of_first(F.col("html"), "a", "accesskey", "f", "href")
+    d = d.select("*", F.inline(F.array(F.struct(H.attr_of_first(F.col("html"), "a", "accesskey", "f", "href")
+                                               .alias("_pdf")))))
+    pdf = F.col("_pdf")
     flat = d.select("url", "doc_id", "run_seq", "pos", "html", pid.alias("pid"),
                     url_year["year"].alias("year_text"),
                     F.when(pdf.isNotNull(), H.absolutize(pdf, H.origin(F.col("url")))).alias("url_pdf"),
@@ -87,7 +95,7 @@ def preprint_records(pages: DataFrame, query_term: str | None = None, lookup: Da
              dict(name="a", tag="div", cls="authors", take="rawtext"),
              dict(name="ab", tag="blockquote", cls="abstract mathjax", take="rawtext")]
     x = N.extract(flat, specs, [c for c in flat.columns if c != "html"])
-    x = x.join(_bibtex_pages(pages if lookup is None else lookup, "preprints"), "bibtex_url", "left")
+    x = _with_bibtex(x, pages if lookup is None else lookup, "preprints")
     # Label removed, newline -> space, stripped; authors stay one string.
     authors = H.strip_ws(F.replace(F.replace(F.col("a"), F.lit("\n"), F.lit(" ")), F.lit("Authors:"), F.lit("")))
     abstract = H.strip_ws(F.replace(F.replace(F.col("ab"), F.lit("\n"), F.lit(" ")), F.lit("Abstract: "), F.lit("")))
@@ -102,18 +110,18 @@ def preprint_records(pages: DataFrame, query_term: str | None = None, lookup: Da
 def forum_accept(pages: DataFrame) -> DataFrame:
     """J2 input: per forum id, accepted (A3 over P7) and whether notes existed."""
     replies = pages.where((F.col("kind") == "notes") & (F.col("venue") == "forum")).select(
-        F.regexp_extract(F.col("url"), r"[?&]forum=([^&#]+)", 1).alias("fid"), F.col("html").alias("body"))
-    notes = parse_notes(replies, "body", keep=["fid"])
+        F.nullif(F.regexp_extract(F.col("url"), r"[?&]forum=([^&#]+)", 1), F.lit("")).alias("fid"), F.col("html").alias("body"))
+    notes = parse_notes(replies.where(F.col("fid").isNotNull()), "body", keep=["fid"])
     return notes.groupBy("fid").agg(
         F.coalesce(F.bool_or(R.is_accepting(F.col("decision"))), F.lit(False)).alias("accepted"),
         F.bool_or("has_notes").alias("has_notes"))
 
 
 def forum_records(pages: DataFrame, query_term: str | None = None, lookup: DataFrame | None = None) -> DataFrame:
-    d = _detail(pages, "forum")
-    rec = forum_record(F.col("html"))
-    c = rec["content"]
-    fid = F.regexp_extract(F.col("url"), r"[?&]id=([^&#]+)", 1)
+    # The JSON is parsed once: filters and projections stay above the inline.
+    d = _detail(pages, "forum").select("*", F.inline(F.array(F.struct(forum_record(F.col("html")).alias("_rec")))))
+    c = F.col("_rec")["content"]
+    fid = F.nullif(F.regexp_extract(F.col("url"), r"[?&]id=([^&#]+)", 1), F.lit(""))
     flat = d.select("url", "doc_id", "run_seq", "pos", "year", fid.alias("fid"),
                     c["title"].alias("title"), c["authors"].alias("authors"), c["_bibtex"].alias("bibtex"),
                     F.when(c["pdf"].isNotNull(), H.absolutize(c["pdf"], H.origin(F.col("url")))).alias("url_pdf"),
@@ -166,15 +174,21 @@ def collect_runs(records: DataFrame, runs: DataFrame) -> DataFrame:
     from ..operators.matching import match_queries
     from ..operators.records import split_valid
     from ..operators.upsert import upsert
-
-    q = runs.select(F.col("run_seq").cast("string").alias("query_id"), "query")
-    keyed = records.withColumn("_rid", F.monotonically_increasing_id())
+    from ..session import shared_path
+
+    # The matching reads the records more than once: their row id must be a
+    # stored value, not one made anew by each plan.
+    spark = records.sparkSession
+    path = shared_path(spark, "run-records")
+    records.withColumn("_rid", F.monotonically_increasing_id()).write.parquet(path)
+    keyed = spark.read.parquet(path)
+    # Distinct queries are matched once; a hit then meets the runs of its venue.
+    q = runs.select(F.col("query").alias("query_id"), "query").distinct()
     hits = match_queries(keyed, q, ["_rid"], "title")
-    per_run = (hits.join(runs.select(F.col("run_seq").cast("string").alias("query_id"),
-                                     F.col("run_seq").alias("_run"), F.col("query").alias("_q"),
-                                     F.col("venue").alias("_v")), "query_id")
-               .where(F.col("venue") == F.col("_v"))
-               .withColumn("run_seq", F.col("_run").cast("bigint")).withColumn("query_term", F.col("_q"))
-               .drop("_rid", "query_id", "_run", "_q", "_v"))
+    on_run = runs.select(F.col("run_seq").alias("_run"), F.col("query").alias("query_id"),
+                         F.col("venue").alias("_v"))
+    per_run = (hits.join(on_run, (hits["query_id"] == on_run["query_id"]) & (F.col("venue") == F.col("_v")))
+               .withColumn("run_seq", F.col("_run").cast("bigint")).withColumn("query_term", on_run["query_id"])
+               .drop(hits["query_id"]).drop(on_run["query_id"]).drop("_rid", "_run", "_v"))
     valid, _ = split_valid(per_run)
     return upsert(None, valid)

@@ -23,17 +23,19 @@ def profile_for(profiles: DataFrame, list_name: str, vectors: DataFrame | None =
 
 
 def rank_papers(papers: DataFrame, profiles: DataFrame, list_name: str, sample: int = 0, seed: str = "0",
-                with_rank: bool = True, w_title: float = 0.5, w_abstract: float = 0.5) -> DataFrame:
+                with_rank: bool = True, w_title: float = 0.5, w_abstract: float = 0.5,
+                digits: int | None = None) -> DataFrame:
     """Scores (and 1-based ranks) of ``papers`` against the named profile.
 
-    Ranks order by the score rounded to 9 decimals (so engines that sum in a
-    different order agree), then by arrival (run_seq, pos)."""
+    Ranks order by the score, then by arrival (run_seq, pos). ``digits`` rounds
+    the score in that order, for comparisons between engines that sum in
+    different orders."""
     if sample:
         papers = S.seeded_sample(papers, sample, "pos", seed)
     vec = profile_for(profiles, list_name)
     scored = S.score_hashed(papers, vec, list_name, w_title=w_title, w_abstract=w_abstract)
     if not with_rank:
         return scored
-    keyed = scored.withColumn("_k", F.round("score", 9))
+    keyed = scored.withColumn("_k", F.col("score") if digits is None else F.round("score", digits))
     return global_rank(keyed, [F.col("_k").desc_nulls_last(), F.col("run_seq").asc(), F.col("pos").asc()],
                        "rank").drop("_k")

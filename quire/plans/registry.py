@@ -24,6 +24,7 @@ from ..operators import similarity as S
 from ..operators import upsert as U
 from . import collect as C
 from . import standins as D
+from ..operators.ranking import global_rank
 from .rank import rank_papers
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -274,7 +275,7 @@ def profile_vector_stored(spark, sf):
 SELECT doc_id, title, round(score, 6) AS score,
        row_number() OVER (ORDER BY round(score, 9) DESC, run_seq, pos) AS rank FROM scored""")
 def similarity_rank(spark, sf):
-    ranked = rank_papers(_valid_latest(spark, sf), D.profiles(spark, sf), "benchmark")
+    ranked = rank_papers(_valid_latest(spark, sf), D.profiles(spark, sf), "benchmark", digits=9)
     return ranked.select(F.col("pos").alias("doc_id"), "title", F.round("score", 6).alias("score"), "rank")
 
 
@@ -529,8 +530,8 @@ def _rendered(spark, sf):
 
 
 PREPRINT_ID_SQL = """CASE WHEN d.year >= 2007
-  THEN lpad(CAST(d.year % 100 AS VARCHAR), 2, '0') || '01.' || lpad(CAST(d.doc_id AS VARCHAR), 5, '0')
-  ELSE lpad(CAST(d.year % 100 AS VARCHAR), 2, '0') || '01' || lpad(CAST(d.doc_id AS VARCHAR), 3, '0') END"""
+  THEN lpad(CAST(d.year % 100 AS VARCHAR), 2, '0') || '01.' || lpad(CAST(d.doc_id AS VARCHAR), CAST(greatest(5, length(CAST(d.doc_id AS VARCHAR))) AS INTEGER), '0')
+  ELSE lpad(CAST(d.year % 100 AS VARCHAR), 2, '0') || '01' || lpad(CAST(d.doc_id AS VARCHAR), CAST(greatest(3, length(CAST(d.doc_id AS VARCHAR))) AS INTEGER), '0') END"""
 
 EXPECTED = f"""{DOCS_P},
 exp AS (
@@ -809,3 +810,31 @@ def collect_runs(spark, sf):
     runs = spark.createDataFrame(RUNS, "run_seq long, query string, venue string")
     recs = C.collect_records(_rendered(spark, sf))
     return C.collect_runs(recs, runs).select("title", F.col("pos").alias("doc_id"), "venue", "query_term", "run_seq")
+
+
+# More runs than the inline plan takes: each distinct word of the benchmark
+# passages, against two venues.
+MANY_RUNS = """words AS (SELECT DISTINCT lower(unnest(regexp_extract_all(text, '[A-Za-z]{3,}'))) AS w FROM benchmark),
+runs AS (SELECT CAST(row_number() OVER (ORDER BY w, v.venue) AS BIGINT) AS run_seq, w AS query, v.venue AS venue
+         FROM words, (VALUES ('proceedings'), ('conference')) v(venue))"""
+
+
+def many_runs(spark, sf):
+    words = D.read(spark, sf, "benchmark").select(F.explode(F.regexp_extract_all(
+        "text", F.lit("[A-Za-z]{3,}"), 0)).alias("w")).select(F.lower("w").alias("query")).distinct()
+    both = words.withColumn("venue", F.explode(F.array(F.lit("proceedings"), F.lit("conference"))))
+    return global_rank(both, [F.col("query"), F.col("venue")], "run_seq")
+
+
+@register("collect_runs_many", f"""WITH {EXPECTED},
+{MANY_RUNS},
+hits AS (SELECT e.title, e.doc_id, e.venue, e.pos, r.run_seq, r.query AS query_term
+         FROM expc e JOIN runs r ON r.venue = e.venue AND contains(lower(e.title), r.query)
+         WHERE e.reason IS NULL)
+SELECT title, doc_id, venue, query_term, run_seq FROM (
+  SELECT *, row_number() OVER (PARTITION BY title ORDER BY run_seq DESC, pos DESC) AS rn FROM hits) WHERE rn = 1""")
+def collect_runs_many(spark, sf):
+    """U2 / J5 over hundreds of runs, above the inline plan's limit."""
+    recs = C.collect_records(_rendered(spark, sf), venues=["proceedings", "conference"])
+    return C.collect_runs(recs, many_runs(spark, sf)) \
+        .select("title", F.col("pos").alias("doc_id"), "venue", "query_term", "run_seq")

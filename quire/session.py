@@ -102,7 +102,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return base
     base = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not base:
-        # Only reached when the session names no shared folder (local tests).
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        # Only reached in local mode, where the driver is the executor.
         base = tempfile.mkdtemp(prefix="quire-ckpt-")
     sc.setCheckpointDir(base)
     return sc.getCheckpointDir() or base
