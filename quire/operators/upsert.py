@@ -51,8 +51,9 @@ def upsert(existing: DataFrame | None, new_valid: DataFrame) -> DataFrame:
     old = existing.select(*schemas.PAPER_COLUMNS)
     titles = maybe_broadcast(new.select("title"), ["title"])
     untouched = old.join(titles, "title", "left_anti")
-    touched = latest_by_title(old.join(titles, "title", "left_semi").unionByName(new))
-    return untouched.unionByName(touched)
+    # Of equal arrivals the new row wins: a record collected again loses its scores.
+    both = old.join(titles, "title", "left_semi").withColumn("_new", F.lit(0)).unionByName(new.withColumn("_new", F.lit(1)))
+    return untouched.unionByName(latest_by_key(both, ["title"], ["run_seq", "pos", "_new"]).drop("_new"))
 
 
 def write_back_scores(papers: DataFrame, scores: DataFrame, mode: str = "replace") -> DataFrame:

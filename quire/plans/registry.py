@@ -714,7 +714,8 @@ def stream_ingest(spark, sf):
     """The documents' records landed as several files and ingested by a
     stream (one upsert per micro-batch); ends equal to the batch upsert."""
     from ..streaming.ingest import ingest_landed_records
-    store = ingest_landed_records(spark, _docs(spark, sf).withColumn("url", F.col("url_pdf")), n_files=4)
+    store = ingest_landed_records(spark, _docs(spark, sf).withColumn("url", F.col("url_pdf")), n_files=4,
+                                  files_per_batch=1)
     return store.read().select("title", F.col("pos").alias("doc_id"), "run_seq")
 
 
@@ -780,14 +781,48 @@ def stream_collect(spark, sf):
     from ..session import shared_path
     from ..sources.store import PaperStore
     from ..streaming.ingest import ingest_landed_pages
-    landed = _rendered(spark, sf)
     landing = shared_path(spark, "page-landing")
-    landed.repartition(2).write.parquet(landing)
+    _rendered(spark, sf).write.parquet(landing)
     store = PaperStore(spark, shared_path(spark, "papers"))
-    ingest_landed_pages(spark, landing, landed, store)
+    ingest_landed_pages(spark, landing, store)
     return store.read().select("title", F.col("pos").alias("doc_id"), "venue")
 
 
+@register("stream_late_lookups", f"""WITH {EXPECTED}
+SELECT title, doc_id, venue FROM (
+  SELECT *, row_number() OVER (PARTITION BY title ORDER BY run_seq DESC, pos DESC) AS rn
+  FROM expc WHERE reason IS NULL AND venue <> 'forum') WHERE rn = 1""")
+def stream_late_lookups(spark, sf):
+    """Pages whose BibTeX page lands after them are rejected first and
+    accepted by the later batch. (Forum pages are valid without their notes.)"""
+    from ..session import shared_path
+    from ..sources.store import PaperStore
+    from ..streaming.ingest import ingest_landed_pages
+    pages = _rendered(spark, sf).where(F.col("venue") != "forum")
+    landing, checkpoint = shared_path(spark, "page-landing"), shared_path(spark, "stream-ckpt")
+    store = PaperStore(spark, shared_path(spark, "papers"))
+    for kinds in (F.col("kind") == "detail", F.col("kind") != "detail"):
+        pages.where(kinds).write.mode("append").parquet(landing)
+        ingest_landed_pages(spark, landing, store, checkpoint=checkpoint)
+    return store.read().select("title", F.col("pos").alias("doc_id"), "venue")
+
+
+@register("stream_after_writeback", f"""WITH {LATEST}
+SELECT title, doc_id, run_seq, false AS scored FROM latest""")
+def stream_after_writeback(spark, sf):
+    """Two streams into one table with a score write-back between
+    them; no batch is taken for a replay, and re-collected titles lose scores."""
+    from ..session import shared_path
+    from ..streaming.ingest import ingest_landed_records
+    docs = _docs(spark, sf).withColumn("url", F.col("url_pdf"))
+    path = shared_path(spark, "papers")
+    store = ingest_landed_records(spark, docs.where(F.col("pos") % 2 == 0), path)
+    store.write_back(store.read().select("title", F.lit("list").alias("list_name"), F.lit(0.5).alias("score")))
+    store = ingest_landed_records(spark, docs, path)
+    return store.read().select("title", F.col("pos").alias("doc_id"), "run_seq",
+                               (F.size("similarities") > 0).alias("scored"))
+
+
 # Fixed run table for collect_runs: query terms x venues, in run order.
 RUN_TERMS = ["the", "ing+an", '"or" AND th']
 RUN_VENUES = ["proceedings", "conference", "forum"]

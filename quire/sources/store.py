@@ -3,12 +3,16 @@ versioned upsert (S8) and score write-back (S9), BibTeX export (S10).
 
 Parquet files are never overwritten while they are read: each change writes a
 new version ``<path>/v=<n>`` and the newest version with a ``_SUCCESS`` marker
-is current. A job that dies mid-write leaves no marker and is ignored; a
-replay that names an existing committed version is skipped (idempotent).
+is current. A job that dies mid-write leaves no marker and is ignored. A
+version is always the next one; a stream's batch is named in its version's
+folder, and only that pair (stream, batch) marks a replay, which is skipped.
 """
 
 from __future__ import annotations
 
+import re
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,46 +40,56 @@ class PaperStore:
         self.path = path.rstrip("/")
 
     # -- versions ---------------------------------------------------------
-    def versions(self) -> list[int]:
+    def _committed(self) -> dict[int, str]:
+        """Folder name of every committed version, in order."""
         fs, p, jvm = _fs(self.spark, self.path)
-        if not fs.exists(p):
-            return []
-        out = []
-        for st in fs.listStatus(p):
-            name = st.getPath().getName()
-            if st.isDirectory() and name.startswith("v="):
-                if fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-                    try:
-                        out.append(int(name[2:]))
-                    except ValueError:
-                        pass
-        return sorted(out)
+        out = {}
+        if fs.exists(p):
+            for st in fs.listStatus(p):
+                m = re.fullmatch(r"v=(\d+)(?:@.*)?", st.getPath().getName())
+                if m and st.isDirectory() and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+                    out[int(m[1])] = m[0]
+        return dict(sorted(out.items()))
+
+    def versions(self) -> list[int]:
+        return list(self._committed())
 
     def current_version(self) -> int | None:
         v = self.versions()
         return v[-1] if v else None
 
+    def version_of(self, batch: tuple[str, int]) -> int | None:
+        """The version that committed a stream's batch; None before it did."""
+        tag = _tag(batch)
+        return next((v for v, name in self._committed().items() if name.endswith(tag)), None)
+
     def read(self, version: int | None = None) -> DataFrame:
         """S4 (and S7: an empty table with the fixed schema when none exists)."""
-        version = self.current_version() if version is None else version
+        names = self._committed()
+        version = (list(names)[-1] if names else None) if version is None else version
         if version is None:
             return self.spark.createDataFrame([], schemas.PAPERS)
-        return self.spark.read.schema(schemas.PAPERS).parquet(f"{self.path}/v={version}")
+        return self.spark.read.schema(schemas.PAPERS).parquet(f"{self.path}/{names[version]}")
 
-    def commit(self, df: DataFrame, version: int | None = None) -> int:
-        if version is None:
-            cur = self.current_version()
-            version = 0 if cur is None else cur + 1
-        elif version in self.versions():
-            return version  # replay of a committed change
-        df.select(*schemas.PAPER_COLUMNS).write.mode("overwrite").parquet(f"{self.path}/v={version}")
+    def commit(self, df: DataFrame, batch: tuple[str, int] | None = None) -> int:
+        """Write the next version. ``batch`` (stream id, batch id) goes into the
+        folder's name, so the version and its batch are committed as one."""
+        if batch is not None and (done := self.version_of(batch)) is not None:
+            return done
+        cur = self.current_version()
+        version = 0 if cur is None else cur + 1
+        name = f"v={version}" + ("" if batch is None else _tag(batch))
+        df.select(*schemas.PAPER_COLUMNS).write.mode("overwrite").parquet(f"{self.path}/{name}")
         return version
 
     # -- changes ----------------------------------------------------------
-    def upsert(self, records: DataFrame, version: int | None = None) -> tuple[int, DataFrame]:
+    def upsert(self, records: DataFrame, batch: tuple[str, int] | None = None) -> tuple[int, DataFrame]:
         """Validate new records (P2), last write wins per title over the
         current table plus the new rows, commit as a new version. Returns the
-        version and the rejects."""
+        version and the rejects. A batch that a version has committed already
+        is a replay: nothing is done again."""
+        if batch is not None and (done := self.version_of(batch)) is not None:
+            return done, self.spark.createDataFrame([], schemas.REJECTS)
         # Classify once and materialise in the shared checkpoint folder, so the
         # valid rows and the rejects do not each re-run the extraction.
         from ..session import ensure_checkpoint_dir
@@ -85,11 +99,32 @@ class PaperStore:
         cur = self.current_version()
         existing = None if cur is None else self.read(cur)
         merged = U.upsert(existing, valid)
-        return self.commit(merged, version), rejects
-
-    def write_back(self, scores: DataFrame, mode: str = "replace", version: int | None = None) -> int:
+        version = 0 if cur is None else cur + 1
+        if "url" in classified.columns:  # every judgement, before the version that it belongs to
+            classified.select("url", "reason", "missing", "run_seq").write.mode("overwrite") \
+                .parquet(f"{self.path}/judged/{version}")
+        return self.commit(merged, batch), rejects
+
+    def rejects(self) -> DataFrame:
+        """(url, reason, missing, run_seq) of the pages whose latest
+        judgement is a rejection; a page that a later batch accepted is gone."""
+        fs, _, jvm = _fs(self.spark, self.path)
+        paths = [(v, f"{self.path}/judged/{v}") for v in self.versions()]
+        paths = [(v, p) for v, p in paths if fs.exists(jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))]
+        if not paths:
+            return self.spark.createDataFrame([], schemas.REJECTS)
+        schema = schemas.REJECTS
+        log = reduce(DataFrame.unionByName, [self.spark.read.schema(schema).parquet(p).withColumn("_v", F.lit(v))
+                                             for v, p in paths])
+        return U.latest_by_key(log, ["url"], ["_v", "run_seq"]).where(F.col("reason").isNotNull()).drop("_v")
+
+    def write_back(self, scores: DataFrame, mode: str = "replace", batch: tuple[str, int] | None = None) -> int:
         """Set score lists of scored titles, leave other rows alone."""
-        return self.commit(U.write_back_scores(self.read(), scores, mode), version)
+        return self.commit(U.write_back_scores(self.read(), scores, mode), batch)
+
+
+def _tag(batch: tuple[str, int]) -> str:
+    return f"@{batch[0]}@{batch[1]}"
 
 
 def read_csv_papers(spark: SparkSession, path: str, venue: str = CSV_VENUE) -> DataFrame:
@@ -98,7 +133,17 @@ def read_csv_papers(spark: SparkSession, path: str, venue: str = CSV_VENUE) -> D
     that does not parse becomes null (a reject), not an abort."""
     raw = (spark.read.option("header", True).option("multiLine", True).option("escape", '"')
            .option("mode", "PERMISSIVE").csv(path))
-    cols = raw.columns
+    # Arrival: files in order of name, rows in order within a file (a file with
+    # quoted newlines is one task, so exports should come in files of bounded
+    # size). The ids that Spark gives rise within a file.
+    raw = raw.withColumn("_file", F.input_file_name()).withColumn("_row", F.monotonically_increasing_id())
+    firsts = raw.groupBy("_file").agg(F.min("_row").alias("_first"), F.count("*").alias("_n")).orderBy("_file").collect()
+    starts, n = {}, 0
+    for r in firsts:
+        starts[r["_file"]], n = n - r["_first"], n + r["_n"]
+    shift = F.create_map(*[F.lit(x) for k, v in starts.items() for x in (k, v)])[F.col("_file")] if starts else F.lit(0)
+    raw = raw.withColumn("_pos", F.col("_row") + shift)
+    cols = [c for c in raw.columns if c not in ("_file", "_row", "_pos")]
 
     def pick(name):
         # A missing or empty field reads as '' (as a Python csv reader gives).
@@ -110,13 +155,14 @@ def read_csv_papers(spark: SparkSession, path: str, venue: str = CSV_VENUE) -> D
         raw, title=pick("title"), authors=F.when(pick("authors") != "", F.array(pick("authors"))),
         venue=venue, year=pick("year"), bibtex=F.lit(None).cast("string"), url_pdf=url,
         abstract=pick("abstract"), accepted=R.present(url), run_seq=F.lit(0).cast("bigint"),
-        pos=F.monotonically_increasing_id())
+        pos=F.col("_pos").cast("bigint"))
 
 
 def load_papers(spark: SparkSession, path: str, fmt: str | None = None) -> DataFrame:
     """Choose the reader by explicit format, or by the path suffix."""
     if fmt is None:
-        fmt = "csv" if path.endswith(".csv") else "papers"
+        name = path.rstrip("/").rsplit("/", 1)[-1]
+        fmt = "csv" if name.endswith(".csv") else "papers" if "." not in name or name.endswith(".papers") else None
     if fmt == "csv":
         return read_csv_papers(spark, path).select(*schemas.PAPER_COLUMNS)
     if fmt == "papers":

@@ -3,63 +3,92 @@ micro-batch into the versioned papers table.
 
 Arrival order travels with the data (``run_seq``, ``pos``), so the table a
 stream ends with equals the batch upsert of the same records, whatever the
-batch boundaries. Each micro-batch commits version ``batch_id``: a replay
-after a failure finds the version committed and skips it (idempotent).
+batch boundaries. A micro-batch is committed under (stream, batch id): a replay
+after a failure finds that pair and skips it, and other writers may commit in
+between.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import shared_path
 from ..sources.store import PaperStore
 
+# Input of a micro-batch; larger files are a batch by themselves.
+BATCH_BYTES = 1 << 30
+
+
+def stream_id(checkpoint: str) -> str:
+    """A name for the stream that lives in ``checkpoint``, alike after restarts."""
+    return hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:16]
+
 
 def upsert_stream(records: DataFrame, store: PaperStore, checkpoint: str, available_now: bool = True):
     """Start the stream ``records`` -> ``store`` (upsert per micro-batch)."""
+    stream = stream_id(checkpoint)
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        store.upsert(batch, version=batch_id)
+        store.upsert(batch, batch=(stream, batch_id))
 
     w = records.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")
     return w.start()
 
 
-def read_landed(spark: SparkSession, landing: str, schema, files_per_batch: int = 1) -> DataFrame:
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(landing)
+def read_landed(spark: SparkSession, landing: str, schema, files_per_batch: int | None = None) -> DataFrame:
+    """A stream of the landed files, in batches of bounded bytes (or of a number
+    of files, as tests ask for)."""
+    r = spark.readStream.schema(schema)
+    r = r.option("maxBytesPerTrigger", BATCH_BYTES) if files_per_batch is None else \
+        r.option("maxFilesPerTrigger", files_per_batch)
+    return r.parquet(landing)
 
 
-def ingest_landed_records(spark: SparkSession, records: DataFrame, n_files: int = 4,
-                          store_path: str | None = None) -> PaperStore:
-    """Land ``records`` as ``n_files`` files under the shared folder, then
-    ingest them with a stream until all are processed. Returns the store."""
+def _drained(query) -> None:
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise query.exception()
+
+
+def ingest_landed_records(spark: SparkSession, records: DataFrame, store_path: str | None = None,
+                          files_per_batch: int | None = None, n_files: int | None = None) -> PaperStore:
+    """Land ``records`` under the shared folder, then ingest them with a stream
+    until all are processed. Returns the store."""
     landing = shared_path(spark, "landing")
-    records.repartition(n_files).write.parquet(landing)
+    (records if n_files is None else records.repartition(n_files)).write.parquet(landing)
     store = PaperStore(spark, store_path or shared_path(spark, "papers"))
-    q = upsert_stream(read_landed(spark, landing, records.schema), store, shared_path(spark, "stream-ckpt"))
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise q.exception()
+    _drained(upsert_stream(read_landed(spark, landing, records.schema, files_per_batch), store,
+                           shared_path(spark, "stream-ckpt")))
     return store
 
 
-def ingest_landed_pages(spark: SparkSession, landing: str, lookup: DataFrame, store: PaperStore,
-                        files_per_batch: int = 1, query: str | None = None):
+def ingest_landed_pages(spark: SparkSession, landing: str, store: PaperStore, files_per_batch: int | None = None,
+                        query: str | None = None, checkpoint: str | None = None) -> PaperStore:
     """T1 over pages: stream the landed page files, run the collect plan on
-    each micro-batch (lookups against the whole landed table) and upsert the
-    records with version = batch id. Runs until the landing is drained."""
+    each micro-batch and upsert the records. Lookups (BibTeX pages, notes) read
+    what has landed by the time of the batch, and a batch that brings such
+    pages also tries the pages rejected so far again: a detail page may land
+    before what it needs. Runs until the landing is drained."""
     from ..plans.collect import collect_records
 
     schema = spark.read.parquet(landing).schema
-    pages = read_landed(spark, landing, schema, files_per_batch)
+    checkpoint = checkpoint or shared_path(spark, "stream-ckpt")
+    stream = stream_id(checkpoint)
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        store.upsert(collect_records(batch, query, lookup=lookup), version=batch_id)
-
-    q = (pages.writeStream.foreachBatch(per_batch).option("checkpointLocation", shared_path(spark, "stream-ckpt"))
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise q.exception()
+        landed = spark.read.schema(schema).parquet(landing)  # lists the files anew
+        batch = batch.sparkSession.createDataFrame([], schema) if batch.isEmpty() else batch
+        if not batch.where(F.col("kind") != "detail").isEmpty():
+            again = store.rejects().select("url").distinct()
+            late = landed.where(F.col("kind") == "detail").join(again, "url", "left_semi") \
+                .join(batch.select("url"), "url", "left_anti")
+            batch = batch.unionByName(late.select(*batch.columns))
+        store.upsert(collect_records(batch, query, lookup=landed), batch=(stream, batch_id))
+
+    _drained(read_landed(spark, landing, schema, files_per_batch).writeStream.foreachBatch(per_batch)
+             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     return store

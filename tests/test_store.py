@@ -58,8 +58,10 @@ def test_upsert_resets_scores_and_later_invalid_never_replaces(spark, tmp_dir):
     assert got == {"t": (2, 0), "u": (1, 0)}
     assert [r["reason"] for r in rejects.collect()] == ["invalid"]
     assert (v0, v1, v2) == (0, 1, 2)
-    # replaying a committed version is a no-op
-    assert store.upsert(later, version=2)[0] == 2 and store.versions() == [0, 1, 2]
+    # replaying a committed batch is a no-op; the same batch number of another stream isn't
+    assert store.upsert(later, batch=("s", 2))[0] == 3
+    assert store.upsert(later, batch=("s", 2))[0] == 3 and store.versions() == [0, 1, 2, 3]
+    assert store.upsert(later, batch=("other", 2))[0] == 4
     assert R is not None
 
 
