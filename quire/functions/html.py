@@ -10,21 +10,43 @@ values in double, single or no quotes.
 
 from __future__ import annotations
 
+import json
+from html.entities import name2codepoint
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Entities decoded on the JVM path, in application order
-# (``&amp;`` last so ``&amp;lt;`` stays ``&lt;``).
-ENTITIES = [
-    ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&#x27;", "'"), ("&apos;", "'"),
-    ("&nbsp;", " "), ("&middot;", "·"), ("&copy;", "©"), ("&amp;", "&"),
-]
+# A start tag to its closing ``>``: a quoted value may hold ``>``.
+_REST = r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+>"""
+# One attribute: name and value with its quotes. Matches follow one another
+# through the tag, so what stands inside a value is never taken for a name.
+_ATTRIBUTE = r"""([^\s"'>/=]+)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
+# A character reference after its ``&``.
+_REFERENCE = r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,30});"
+
+
+def _named() -> Column:
+    """Named references and their characters (one folded literal)."""
+    return F.from_json(F.lit(json.dumps({k: chr(v) for k, v in name2codepoint.items()} | {"apos": "'"})),
+                       "map<string,string>")
 
 
 def unescape(c: Column) -> Column:
-    for ent, ch in ENTITIES:
-        c = F.replace(c, F.lit(ent), F.lit(ch))
-    return c
+    """Character references decoded, once: numeric and named ones; an unknown
+    one stays as it is."""
+    def one(part: Column) -> Column:
+        ref = F.regexp_extract(part, _REFERENCE, 1)
+        rest = F.substring(part, F.length(ref) + 2, F.length(part))
+        code = F.when(F.startswith(F.lower(ref), F.lit("#x")), F.conv(F.substring(ref, F.lit(3), F.lit(8)), 16, 10)) \
+            .otherwise(F.substring(ref, F.lit(2), F.lit(8))).try_cast("bigint")
+        code = F.when(code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF), code).otherwise(F.lit(0xFFFD))
+        char = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+        known = F.when(F.startswith(ref, F.lit("#")), char).otherwise(F.try_element_at(_named(), ref))
+        return F.coalesce(F.when(ref != "", F.concat(known, rest)), F.concat(F.lit("&"), part))
+
+    parts = F.split(c, "&")
+    return F.when(~F.contains(c, F.lit("&")), c).otherwise(F.concat(
+        F.element_at(parts, 1), F.array_join(F.transform(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), one), "")))
 
 
 def escape(c: Column) -> Column:
@@ -43,15 +65,17 @@ def markup(html: Column) -> Column:
 
 def start_tags(html: Column, tag: str) -> Column:
     """All start tags ``<tag ...>`` in page order (array of tag strings)."""
-    return F.regexp_extract_all(markup(html), F.lit(rf"(?is)<{tag}\b[^>]*>"), 0)
+    return F.regexp_extract_all(markup(html), F.lit(rf"(?is)<{tag}\b{_REST}"), 0)
 
 
 def attr(tag_text: Column, name: str) -> Column:
-    """Value of attribute ``name`` in one start tag, '' when absent, entities decoded."""
-    p = rf"""(?is)\s{name}\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
-    v = F.concat(F.regexp_extract(tag_text, p, 1), F.regexp_extract(tag_text, p, 2),
-                 F.regexp_extract(tag_text, p, 3))
-    return unescape(v)
+    """Value of attribute ``name`` in one start tag, '' when absent, entities
+    decoded; of a repeated attribute the first counts."""
+    body = F.regexp_replace(tag_text, r"^<[^\s>/]+", "")
+    names = F.transform(F.regexp_extract_all(body, F.lit(_ATTRIBUTE), 1), F.lower)
+    value = F.coalesce(F.try_element_at(F.regexp_extract_all(body, F.lit(_ATTRIBUTE), 2),
+                                        F.nullif(F.array_position(names, name), F.lit(0)).cast("int")), F.lit(""))
+    return unescape(F.regexp_replace(value, r"""(?s)^(["'])(.*)\1$""", "$2"))
 
 
 def tags_with_attr(html: Column, tag: str, name: str, value: str) -> Column:
@@ -63,7 +87,7 @@ def meta_pairs(clean_html: Column) -> Column:
     """All ``meta`` tags of a page (already passed through :func:`markup`) as
     array<struct<name, content>>, page order. Compute once per page and read
     every field from it with :func:`first_meta` / :func:`all_metas`."""
-    tags = F.regexp_extract_all(clean_html, F.lit(r"(?is)<meta\b[^>]*>"), 0)
+    tags = F.regexp_extract_all(clean_html, F.lit(rf"(?is)<meta\b{_REST}"), 0)
     return F.transform(tags, lambda t: F.struct(attr(t, "name").alias("name"), attr(t, "content").alias("content")))
 
 
@@ -109,12 +133,12 @@ def links(html: Column, clean: bool = False) -> Column:
     """All ``<a>`` elements as array<struct<href, text>>, page order. ``href``
     is null when the link has none; ``text`` is the decoded, tag-free text.
     ``clean``: the html already went through :func:`markup`."""
-    elems = F.regexp_extract_all(html if clean else markup(html), F.lit(r"(?is)<a\b[^>]*>.*?</a>"), 0)
+    elems = F.regexp_extract_all(html if clean else markup(html), F.lit(rf"(?is)<a\b{_REST}.*?</a>"), 0)
 
     def one(e):
-        start = F.regexp_extract(e, r"(?is)^<a\b[^>]*>", 0)
-        has = F.regexp_like(start, F.lit(r"(?is)\shref\s*="))
-        inner = F.regexp_replace(F.regexp_replace(e, r"(?is)^<a\b[^>]*>", ""), r"(?is)</a>$", "")
+        start = F.regexp_extract(e, rf"(?is)^<a\b{_REST}", 0)
+        has = F.array_contains(F.transform(F.regexp_extract_all(start, F.lit(_ATTRIBUTE), 1), F.lower), "href")
+        inner = F.regexp_replace(F.regexp_replace(e, rf"(?is)^<a\b{_REST}", ""), r"(?is)</a>$", "")
         return F.struct(F.when(has, attr(start, "href")).alias("href"),
                         unescape(strip_tags(inner)).alias("text"))
 

@@ -393,9 +393,14 @@ def _sql_str(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
+# The references that occur in the driver's pages, and those of a page writer
+# (fixed values, listed apart from the engine's; ``&amp;`` last).
+SQL_ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&middot;", "·"), ("&copy;", "©"),
+                ("&amp;", "&")]
+
+
 def sql_unescape(expr: str) -> str:
-    from ..functions.html import ENTITIES
-    for ent, ch in ENTITIES:
+    for ent, ch in SQL_ENTITIES:
         expr = f"replace({expr}, {_sql_str(ent)}, {_sql_str(ch)})"
     return expr
 

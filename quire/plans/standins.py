@@ -150,8 +150,12 @@ def preprint_id(year: Column, doc_id: Column) -> Column:
 
 
 def _meta(name: str, value: Column, content_first: Column) -> Column:
-    v = H.escape(value)
-    a = F.concat(F.lit(f'<meta name="{name}" content="'), v, F.lit('">'))
+    # As page writers do: ``>`` stays in attributes, accents as named and
+    # numeric references, text that looks like another attribute before it.
+    v = F.replace(F.replace(value, F.lit("&"), F.lit("&amp;")), F.lit('"'), F.lit("&quot;"))
+    for char, ref in (("é", "&eacute;"), ("è", "&#232;"), ("ñ", "&#xF1;"), ("ü", "&uuml;")):
+        v = F.replace(v, F.lit(char), F.lit(ref))
+    a = F.concat(F.lit(f'<meta data-note="a > b name=x content=y" name="{name}" content="'), v, F.lit('">'))
     b = F.concat(F.lit("<meta content='"), F.replace(v, F.lit("'"), F.lit("&#39;")), F.lit(f"' NAME={name}>"))
     return F.when(content_first, b).otherwise(a)
 

@@ -106,3 +106,15 @@ def test_listing_operators(spark):
     assert l2 == [("Noisy Labels at Scale", "/v/a.html")]
     # '' title (no p.title) matches only the empty query.
     assert L.volume_links(pages.where("page_id = 2"), "").count() == 3
+
+
+def test_meta_reading_hazards(spark):
+    """``>`` and name-like text in values, references, first of repeated attributes."""
+    from quire.functions import html as H
+    page = ('<meta content="O(n) -> O(1) sorting" name="t"><meta content="a name=z here" name="u">'
+            "<META NAME=v CONTENT='Caf&eacute; &#233; &ndash; &#8217;x &amp;lt; &unknown; &#x1F600; AT&T'>"
+            '<meta name="w" name="t" content="first">')
+    row = spark.createDataFrame([(page,)], "html string").select(
+        *[H.first_meta(H.meta_pairs(H.markup(F.col("html"))), n).alias(n) for n in "tuvw"]).first()
+    assert row["t"] == "O(n) -> O(1) sorting" and row["u"] == "a name=z here" and row["w"] == "first"
+    assert row["v"] == "Café é – ’x &lt; &unknown; 😀 AT&T"
