@@ -192,6 +192,37 @@ def reject_reasons(spark, sf):
     return rej.groupBy("reason", F.array_join("missing", ",").alias("missing")).agg(F.count("*").alias("n"))
 
 
+# Fields emptied by id, so that every required field and reason occurs.
+DAMAGED_SQL = f"""{DOCS_P},
+damaged AS (SELECT * REPLACE (
+  CASE WHEN doc_id % 7 = 1 THEN '' ELSE title END AS title, CASE WHEN doc_id % 11 = 2 THEN NULL ELSE authors END AS authors,
+  CASE WHEN doc_id % 13 = 3 THEN NULL ELSE venue END AS venue, CASE WHEN doc_id % 17 = 4 THEN NULL ELSE year END AS year,
+  CASE WHEN doc_id % 19 = 5 THEN '' ELSE url_pdf END AS url_pdf, CASE WHEN doc_id % 23 = 6 THEN NULL ELSE bibtex END AS bibtex)
+  FROM docs_p)"""
+
+
+def _damaged(spark, sf):
+    k = F.col("doc_id")
+
+    def lost(name, n, left, value):
+        return F.when(k % n == left, F.lit(value)).otherwise(F.col(name)).alias(name)
+
+    docs = _docs(spark, sf)
+    new = {"title": lost("title", 7, 1, ""), "authors": lost("authors", 11, 2, None), "venue": lost("venue", 13, 3, None),
+           "year": lost("year", 17, 4, None), "year_text": F.when(k % 17 == 4, "2023x").otherwise(F.col("year_text")),
+           "url_pdf": lost("url_pdf", 19, 5, ""), "bibtex": lost("bibtex", 23, 6, None)}
+    return docs.withColumns({c: v for c, v in new.items() if c in docs.columns or c == "year_text" and "year_text" in docs.columns})
+
+
+@register("reject_kinds", f"""WITH {DAMAGED_SQL}
+SELECT CASE WHEN year IS NULL THEN 'error' ELSE 'invalid' END AS reason, {MISSING_EXPR} AS missing, count(*) AS n
+FROM damaged WHERE year IS NULL OR NOT {VALID_COND} GROUP BY ALL""")
+def reject_kinds(spark, sf):
+    """Both reasons, over fields emptied by id."""
+    _, rej = R.split_valid(_damaged(spark, sf).withColumn("url", F.col("url_pdf")))
+    return rej.groupBy("reason", F.array_join("missing", ",").alias("missing")).agg(F.count("*").alias("n"))
+
+
 # --- W1, S8, U1, U2 -----------------------------------------------------------
 
 @register("upsert_latest", f"""WITH {LATEST}
@@ -368,6 +399,18 @@ def bibtex_export(spark, sf):
     return B.bibtex_entries(sel).select("pos", "entry")
 
 
+@register("bibtex_file", f"""WITH {LATEST}
+SELECT row_number() OVER (ORDER BY run_seq, pos) - 1 AS pos, coalesce(bibtex, '') AS entry FROM latest
+WHERE contains(lower(title), 'the')""")
+def bibtex_file(spark, sf):
+    """The export written as text and read back, text and order."""
+    from ..session import shared_path
+    from ..sources.store import export_bibtex, read_bibtex
+    path = shared_path(spark, "bibtex")
+    export_bibtex(M.filter_by_query(_valid_latest(spark, sf), "the"), path)
+    return read_bibtex(spark, path)
+
+
 # --- A5, O2 ------------------------------------------------------------------------
 
 @register("type_aware_sort", """SELECT p_partkey, 'p_size' AS col,
@@ -454,6 +497,13 @@ def absolute_links(spark, sf):
     return L.absolute_links(D.read(spark, sf, "pages")).select("page_id", "pos", "link")
 
 
+@register("prefixed_ids", f"""WITH {PAGE_LINKS}
+SELECT page_id, pos, href, string_split(href, '/')[-1] AS link_id FROM links WHERE starts_with(href, '/a')""")
+def prefixed_ids(spark, sf):
+    """L4: links with a known prefix and the id in their last segment."""
+    return L.prefixed_links(D.read(spark, sf, "pages"), "/a").select("page_id", "pos", "href", "link_id")
+
+
 @register("frontier", f"""WITH {PAGE_LINKS}
 SELECT DISTINCT {sql_absolutize('href', SQL_ORIGIN)} AS url FROM links
 WHERE href IS NOT NULL AND {sql_absolutize('href', SQL_ORIGIN)} NOT IN (SELECT url FROM pages)""")
@@ -770,9 +820,9 @@ def linked_site_pages(spark, sf):
     to the landed pages it points at."""
     pages = _rendered(spark, sf)
     detail = pages.where(F.col("kind") == "detail").select("page_id", "url", "html")
-    links = L.absolute_links(detail).select("url", "pos", "link")
-    target = pages.select(F.col("url").alias("link"), F.col("kind").alias("target_kind"))
-    return links.join(target, "link").select("url", "pos", "link", "target_kind")
+    hits = L.linked_pages(L.absolute_links(detail).select("url", "pos", "link"), pages)
+    kinds = pages.select(F.col("page_id").alias("target_page_id"), F.col("kind").alias("target_kind"))
+    return hits.join(kinds, "target_page_id").select("url", "pos", "link", "target_kind")
 
 
 @register("stream_collect", f"""WITH {EXPECTED}

@@ -127,23 +127,30 @@ def _tag(batch: tuple[str, int]) -> str:
     return f"@{batch[0]}@{batch[1]}"
 
 
+def arrival(rows: DataFrame) -> DataFrame:
+    """``_pos``: the place of each row of a file source, files in order of name
+    and rows in order within a file (Spark's row ids rise within a file, while
+    the order of files follows their packing)."""
+    rows = rows.withColumn("_file", F.input_file_name()).withColumn("_row", F.monotonically_increasing_id())
+    files = rows.groupBy("_file").agg(F.min("_row").alias("first"), F.count("*").alias("n")).orderBy("_file").collect()
+    shifts, n = [], 0
+    for r in files:  # one entry for each file
+        shifts += [F.lit(r["_file"]), F.lit(n - r["first"])]
+        n += r["n"]
+    shift = F.create_map(*shifts)[F.col("_file")] if shifts else F.lit(0)
+    return rows.withColumn("_pos", (F.col("_row") + shift).cast("bigint")).drop("_file", "_row")
+
+
 def read_csv_papers(spark: SparkSession, path: str, venue: str = CSV_VENUE) -> DataFrame:
     """A CSV export with a header row; columns read by position. Quoted
     commas, doubled quotes and newlines inside quotes are read as data. Year
     that does not parse becomes null (a reject), not an abort."""
     raw = (spark.read.option("header", True).option("multiLine", True).option("escape", '"')
            .option("mode", "PERMISSIVE").csv(path))
-    # Arrival: files in order of name, rows in order within a file (a file with
-    # quoted newlines is one task, so exports should come in files of bounded
-    # size). The ids that Spark gives rise within a file.
-    raw = raw.withColumn("_file", F.input_file_name()).withColumn("_row", F.monotonically_increasing_id())
-    firsts = raw.groupBy("_file").agg(F.min("_row").alias("_first"), F.count("*").alias("_n")).orderBy("_file").collect()
-    starts, n = {}, 0
-    for r in firsts:
-        starts[r["_file"]], n = n - r["_first"], n + r["_n"]
-    shift = F.create_map(*[F.lit(x) for k, v in starts.items() for x in (k, v)])[F.col("_file")] if starts else F.lit(0)
-    raw = raw.withColumn("_pos", F.col("_row") + shift)
-    cols = [c for c in raw.columns if c not in ("_file", "_row", "_pos")]
+    # A file with quoted newlines is one task: exports should come in files of
+    # bounded size.
+    raw = arrival(raw)
+    cols = [c for c in raw.columns if c not in ("_pos",)]
 
     def pick(name):
         # A missing or empty field reads as '' (as a Python csv reader gives).
@@ -170,6 +177,11 @@ def load_papers(spark: SparkSession, path: str, fmt: str | None = None) -> DataF
     raise ValueError(f"Unknown database file: {path}")
 
 
+def read_bibtex(spark: SparkSession, path: str) -> DataFrame:
+    """(pos, entry) of an exported file set, in the order of the export."""
+    return arrival(spark.read.text(path, lineSep="\n\n")).select(F.col("_pos").alias("pos"), F.col("value").alias("entry"))
+
+
 def export_bibtex(selected: DataFrame, path: str, order_cols: list[str] | None = None) -> None:
     """Write the BibTeX entries of the selected rows as text, a blank line
     between entries, missing entries as empty strings. Distributed: each task

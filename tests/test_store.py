@@ -138,3 +138,23 @@ def test_collect_runs_last_run_wins_with_its_query_term(spark):
     # run 1 ('labels') is the last run of venue v touching both titles; the
     # invalid copy (empty abstract) never wins; venue 'other' matches nothing.
     assert got == {"noisy labels study": ("labels", 1, 1), "weak labels": ("labels", 1, 2)}
+
+
+def test_csv_order_over_files(spark, tmp_dir):
+    """The last of equal titles is that of the last file by name."""
+    header = [f"h{i}" for i in range(16)]
+    for k in range(3):
+        with open(os.path.join(tmp_dir, f"part-{k}.csv"), "w", newline="") as f:
+            w = csv.writer(f)
+            w.writerow(header)
+            for n in range(50 * (3 - k)):  # the first file is the largest
+                w.writerow([f"t{n}", "A"] + [""] * 3 + ["2020"] + [""] * 4 + [f"file {k}"] + [""] * 4 + ["http://x"])
+    rows = read_csv_papers(spark, tmp_dir).orderBy("pos").collect()
+    assert [r["pos"] for r in rows] == list(range(300))
+    assert [r["abstract"] for r in rows] == ["file 0"] * 150 + ["file 1"] * 100 + ["file 2"] * 50
+
+
+def test_unknown_source_raises(spark, tmp_dir):
+    import pytest
+    with pytest.raises(ValueError):
+        load_papers(spark, os.path.join(tmp_dir, "papers.xlsx"))
