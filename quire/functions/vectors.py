@@ -106,10 +106,6 @@ def sparse_dot_dense(sparse: Column, dense: Column) -> Column:
                        lambda acc, e: acc + e["value"] * F.element_at(dense, e["bucket"] + 1).cast("double"))
 
 
-def sparse_cosine_dense(sparse: Column, dense: Column, eps: float = COSINE_EPS) -> Column:
-    return sparse_dot_dense(sparse, dense) / F.greatest(sparse_norm(sparse) * norm(dense), F.lit(eps))
-
-
 def sparse_to_dense(sparse: Column, dim: int = DEFAULT_DIM) -> Column:
     """Dense array of ``dim`` doubles. Folds entries into a zero vector; the
     lambdas read only their own variables (nothing re-evaluated per element)."""

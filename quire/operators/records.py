@@ -25,11 +25,6 @@ def to_int(text: Column) -> Column:
     return F.trim(text).try_cast("int")
 
 
-def year_prefix(date_text: Column) -> Column:
-    """year = first four characters of a date string, as int."""
-    return to_int(F.substring(date_text, 1, 4))
-
-
 def assemble(df: DataFrame, *, title, authors, venue, year, bibtex, url_pdf, abstract,
              accepted, query_term=None, run_seq=None, pos=None, extra: list[str] | None = None) -> DataFrame:
     """Project extracted columns into the papers schema.

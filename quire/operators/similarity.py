@@ -15,10 +15,6 @@ from pyspark.sql import functions as F
 from ..functions import vectors as V
 from .ranking import global_rank
 
-# Largest profile dimension inlined into a plan.
-MAX_PROFILE_DIM = 1 << 16
-
-
 class UnknownProfile(ValueError):
     pass
 
@@ -56,8 +52,8 @@ def profile_vectors_hashed(profiles: DataFrame, dim: int = V.DEFAULT_DIM) -> Dat
 
 
 def profile_literal(profile_df: DataFrame, list_name: str) -> list[float]:
-    """V2: the profile vector of one list, brought to the driver after a size
-    check. An unknown name raises, like the reference."""
+    """V2: the profile vector of one list: one row, as wide as the encoder. An
+    unknown name raises, like the reference."""
     one = profile_df.where(F.col("list_name") == F.lit(list_name)).select(F.size("profile").alias("d"), "profile")
     rows = one.limit(2).collect()
     if not rows:
@@ -66,8 +62,6 @@ def profile_literal(profile_df: DataFrame, list_name: str) -> list[float]:
         raise ValueError(f"sentence list {list_name!r} is not unique")
     if rows[0]["profile"] is None or any(x is None for x in rows[0]["profile"]):
         raise ValueError(f"sentence list {list_name!r} has a zero weight sum")
-    if rows[0]["d"] > MAX_PROFILE_DIM:
-        raise ValueError("profile vector too wide to inline")
     return [float(x) for x in rows[0]["profile"]]
 
 
@@ -87,14 +81,6 @@ def score_hashed(df: DataFrame, profile: list[float], list_name: str, title_col:
             .withColumn("score", V.cosine(F.col("_vec"), V.literal_vector(profile))).drop("_vec"))
 
 
-def rank_by_score(scored: DataFrame, tie_cols: list[str], group_col: str | None = "list_name") -> DataFrame:
-    """1-based rank by score descending, ties by arrival order, within
-    each list. Distributed (range sort + per-partition offsets), so one list
-    holding every paper is never a single task."""
-    order = [F.col("score").desc_nulls_last()] + [F.col(c).asc() for c in tie_cols]
-    return global_rank(scored, order, "rank", group_col)
-
-
 def top_k(scored: DataFrame, k: int, tie_cols: list[str]) -> DataFrame:
     """O1 with a limit: top-k report (per-partition top-k, then merge)."""
     return scored.orderBy(F.col("score").desc_nulls_last(), *[F.col(c).asc() for c in tie_cols]).limit(k)

@@ -8,7 +8,6 @@ result and the SQL. Doubles are rounded in both.
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -572,7 +571,13 @@ def _rendered(spark, sf):
     from ..session import shared_path
     from ..sources.pages import land_pages, read_pages
     from ..sources.store import _fs
-    key = (id(spark.sparkContext), spark.sparkContext.applicationId, os.path.abspath(sf))
+    files = sorted(D.read(spark, sf, "documents").inputFiles() + D.read(spark, sf, "labels").inputFiles())
+    stamps = []
+    for f in files:
+        fs, p, _ = _fs(spark, f)
+        st = fs.getFileStatus(p)
+        stamps.append((f, st.getLen(), st.getModificationTime()))
+    key = (spark.sparkContext.applicationId, *stamps)
     path = _LANDED.get(key)
     if path is not None:
         fs, p, jvm = _fs(spark, path)

@@ -59,17 +59,6 @@ def size_shuffle_for_input(spark: SparkSession, input_bytes: int, min_partitions
     return n
 
 
-def input_bytes(spark: SparkSession, *paths: str) -> int:
-    """Total size of the files under ``paths`` (Hadoop file system)."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    total = 0
-    for p in paths:
-        hp = jvm.org.apache.hadoop.fs.Path(p)
-        total += hp.getFileSystem(conf).getContentSummary(hp).getLength()
-    return total
-
-
 def ship_package(spark: SparkSession) -> None:
     """Make ``quire`` importable in Python workers (as ``--py-files`` would):
     zip the package once per SparkContext and ``addPyFile`` it. Operators

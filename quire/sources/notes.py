@@ -31,9 +31,3 @@ def forum_record(html: Column, element_id: str = "__NEXT_DATA__") -> Column:
     """S3 + X14: the forum note struct at props.pageProps.forumNote."""
     data = F.from_json(F.nullif(script_json(html, element_id), F.lit("")), schemas.FORUM_PAGE_DATA)
     return data["props"]["pageProps"]["forumNote"]
-
-
-def json_field(body: Column, path: str) -> Column:
-    """Untyped JSON path read (``$.a.b``), for ad hoc fields."""
-    return F.get_json_object(body, path)
-

@@ -9,7 +9,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .. import schemas
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
@@ -37,7 +36,3 @@ def land_pages(pages: DataFrame, path: str, partition_by: list[str] | None = Non
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
-
-
-def empty_pages(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], schemas.PAGES)
