@@ -24,24 +24,22 @@ def units(text: str) -> list[str]:
     """Cut ``text`` into strings whose encodings joined are its encoding."""
     if not text:
         return []
-    if _RUN.search(text):
+    if "\0" in text or _RUN.search(text):
         return [text]
-    first, *rest = text.split(" ")
-    return ([first] if first else []) + [" " + w for w in rest]
+    cut = text.replace(" ", "\0 ").split("\0")
+    return cut if cut[0] else cut[1:]
 
 
 def by_units(texts: list[str], encode: Callable[[list[str]], list], memo: dict) -> Iterator[list]:
     """For each text the codes of its units, encoding every new unit of the
     given texts once. ``encode`` maps a list of units to their codes."""
     cut = [units(t) for t in texts]
-    wanted = set().union(*cut)
-    new = [u for u in wanted if u not in memo]
-    if len(memo) + len(new) > MEMO_UNITS:
+    found = [list(map(memo.get, us)) for us in cut]
+    new = list({u for us, codes in zip(cut, found, strict=True) if None in codes
+                for u, c in zip(us, codes, strict=True) if c is None})
+    fresh = dict(zip(new, encode(new), strict=True))
+    for us, codes in zip(cut, found, strict=True):
+        yield [fresh[u] if c is None else c for u, c in zip(us, codes, strict=True)] if None in codes else codes
+    if len(memo) + len(fresh) > MEMO_UNITS:
         memo.clear()
-        new = list(wanted)
-    memo.update(zip(new, encode(new), strict=True))
-    for us in cut:
-        yield [memo[u] for u in us]
-    for u in new:
-        if len(u) > MEMO_CHARS:
-            memo.pop(u, None)
+    memo.update((u, c) for u, c in fresh.items() if len(u) <= MEMO_CHARS)

@@ -2,13 +2,13 @@
 
 A configuration is a multiset of lengths that fit one sequence. The program
 asks for the fewest configurations that cover the histogram of lengths. It is
-solved by multiplicative weights: a length's price falls where the
-configurations found so far cover it and rises where they do not; a knapsack
-dynamic program prices all configurations, giving for every length the best
-one that holds it. Rounding takes the whole parts, drawing the fractions by a
-fixed low-discrepancy rule and never above the demand, and solves again for what is left; the last
-few pieces are placed largest first, each sequence filled by an exact subset
-sum over the lengths that remain.
+solved by multiplicative weights: a length's price rises exponentially as its
+cover lags and falls as it runs ahead; a knapsack dynamic program prices all
+configurations, giving every length that is short the best one that holds it.
+The prices also give a lower bound. Rounding keeps whole parts of the
+solution, never above the demand, and places the remaining pieces largest
+first, each sequence filled by an exact subset sum over the lengths that
+remain; of several shares kept, the plan with the fewest sequences stays.
 
 Scale: the driver sees only the histogram (at most ``capacity`` counts) and
 makes a plan of rank ranges per length, whose size depends on the capacity
@@ -23,6 +23,7 @@ empty table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+import math
 import os
 import struct
 import zlib
@@ -41,11 +42,11 @@ from .common import byte_slices, read_table, texts, written
 CAPACITY = 2048
 SALTS = 64
 #: Rounds of multiplicative weights in one solution of the program.
-ROUNDS = 24
-#: How strongly a length's price answers to its cover.
-RATE = 0.5
-#: Solutions of the program on what rounding left over.
-SOLUTIONS = 8
+ROUNDS = 32
+#: How strongly a length's price answers to a lag of one round.
+RATE = 0.3
+#: Parts of the solution that rounding keeps, in turn; the fewest sequences win.
+SHARES = (1.0, 0.5, 0.25, 0.125)
 
 
 def tokenizer_file() -> str:
@@ -62,13 +63,32 @@ def _encoder(spec: str, split: str):
     from tokenizers import Tokenizer
     tok, cut, memo = Tokenizer.from_str(spec), regex.compile(split).findall, {}
     special = [t.content for t in tok.get_added_tokens_decoder().values()]
+    line = tok.encode("\n", add_special_tokens=False).ids[0]
+
+    def code(e) -> bytes:
+        return struct.pack(f"<{len(e.ids)}I", *e.ids)
+
+    def encoded(new: list[str]) -> dict[str, bytes]:
+        # Pre-tokens that aren't white space go many to a text, one a line: the pattern cuts them at the line ends.
+        solid = [t for t in new if not t.isspace()]
+        blank = [t for t in new if t.isspace()]
+        out = dict(zip(blank, map(code, tok.encode_batch_fast(blank, add_special_tokens=False)), strict=True))
+        for at in range(0, len(solid), 1000):
+            some = solid[at:at + 1000]
+            ids = np.asarray(tok.encode_batch_fast(["\n".join(some)], add_special_tokens=False)[0].ids, "<u4")
+            ends = [*(4 * np.flatnonzero(ids == line)).tolist(), 4 * len(ids)]
+            raw, start = ids.tobytes(), 0
+            for t, end in zip(some, ends, strict=True):
+                out[t], start = raw[start:end], end + 4
+        return out
 
     def encode(units: list[str]) -> list[bytes]:
         joined = "\n".join(units)
         marks = [s for s in special if s in joined]
-        parts = [[u] if any(s in u for s in marks) else cut(u) for u in units] if marks else [cut(u) for u in units]
-        new = list(set().union(*parts).difference(memo))
-        known = dict(zip(new, (struct.pack(f"<{len(e.ids)}I", *e.ids) for e in tok.encode_batch_fast(new, add_special_tokens=False)), strict=True))
+        whole = [u for u in units if any(s in u for s in marks)] if marks else []
+        known = dict(zip(whole, map(code, tok.encode_batch_fast(whole, add_special_tokens=False)), strict=True))
+        parts = [[u] if u in known else cut(u) for u in units]
+        known |= encoded(list(set().union(*parts).difference(memo, known)))
         memo.update((t, c) for t, c in known.items() if len(t) <= MEMO_CHARS)
         find = known.get
         return [b"".join([find(t) or memo[t] for t in p]) for p in parts]
@@ -127,7 +147,7 @@ def _knapsack(prices: np.ndarray, lengths: np.ndarray, capacity: int) -> tuple[n
         k = int(np.searchsorted(lengths, c, "right"))
         if k:
             values = prices[:k] + best[c - lengths[:k]]
-            i = int(values.argmax())
+            i = k - 1 - int(values[::-1].argmax())  # of equal ones the largest: small lengths fill any gap
             if values[i] > best[c] + 1e-12:
                 best[c], last[c] = values[i], i
     return best, last
@@ -148,33 +168,32 @@ def _traced(last: np.ndarray, lengths: np.ndarray, c: int) -> list[int]:
 def solve(lengths: np.ndarray, demand: np.ndarray, capacity: int, rounds: int = ROUNDS) \
         -> tuple[dict[tuple[int, ...], float], float]:
     """Fractional configurations (tuples of length indexes) that cover the
-    demand on average, and a lower bound on the program's value."""
+    demand, and a lower bound on the program's value.
+
+    After round t every length is covered to the share t / rounds. A length's
+    weight is exponential in how far its cover lags behind, so the dynamic
+    program fills sequences with lengths that lag; each length still short
+    takes the best configuration that holds it."""
     share = lengths / capacity
-    weight, x, bound = np.ones(len(lengths)), {}, float(demand @ share)
-    for _ in range(rounds):
-        prices = share * weight
+    covered, x, bound = np.zeros(len(lengths)), {}, float(demand @ share)
+    for t in range(1, rounds + 1):
+        lag = t / rounds - covered / demand
+        prices = share * np.exp(np.clip(RATE * rounds * (lag - 1 / rounds), -8, 2))
         best, last = _knapsack(prices, lengths, capacity)
         bound = max(bound, float(demand @ prices) / best[capacity])
-        held = np.zeros(len(lengths))
-        found = []
-        value = prices + best[capacity - lengths]
-        near = value >= best[capacity] * 0.97
         fill: dict[int, list[int]] = {}
-        for i in np.flatnonzero(near | (weight > 1.2)):
+        for i in range(len(lengths) - 1, -1, -1):
+            short = demand[i] * t / rounds - covered[i]
+            if short <= 1e-9 * demand[i]:
+                continue
             room = int(capacity - lengths[i])
             if room not in fill:
                 fill[room] = _traced(last, lengths, room)
-            c = tuple(sorted([int(i), *fill[room]]))
-            found.append((c, float(demand[i]) / c.count(i)))
-        for c, w in found:
-            for i in c:
-                held[i] += w
-        total = bound / max(1e-9, sum(w for _, w in found))
-        for c, w in found:
-            x[c] = x.get(c, 0.0) + w * total / rounds
-        cover = held * total / demand
-        weight *= np.exp(-RATE * np.clip(cover - 1, -1, 1))
-        weight = np.clip(weight / weight.mean(), 1e-3, 1e3)
+            c = tuple(sorted([i, *fill[room]]))
+            amount = short / c.count(i)
+            x[c] = x.get(c, 0.0) + amount
+            for j in c:
+                covered[j] += amount
     return x, bound
 
 
@@ -204,34 +223,22 @@ def _filled(lengths: list[int], left: dict[int, int], capacity: int) -> list[int
     return out
 
 
-def configurations(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[tuple[int, ...], int]]:
-    """(lengths in one sequence, number of such sequences), covering the
-    histogram exactly."""
-    left = {n: c for n, c in histogram.items() if c}
-    out = [((capacity,), left.pop(capacity))] if left.get(capacity) else []
-    for turn in range(SOLUTIONS):
-        if sum(left.values()) < 64:
-            break
-        lengths = np.array(sorted(n for n, c in left.items() if c))
-        x, _ = solve(lengths, np.array([left[n] for n in lengths], float), capacity)
-        ranked = sorted(x.items(), key=lambda kv: (-sum(int(lengths[i]) for i in kv[0]), -kv[1], kv[0]))
-        before = sum(left.values())
-        for k, (c, amount) in enumerate(ranked):
-            need: dict[int, int] = {}
-            for i in c:
-                need[int(lengths[i])] = need.get(int(lengths[i]), 0) + 1
-            if sum(n * a for n, a in need.items()) < 0.995 * capacity:
-                break  # poorly filled ones are left to the next solution
-            m = min(int(amount + (k * 0.6180339887 + turn * 0.37) % 1), *(left[n] // a for n, a in need.items()))
-            if m > 0:
-                out.append((tuple(sorted((n for n, a in need.items() for _ in range(a)), reverse=True)), m))
-                for n, a in need.items():
-                    left[n] -= a * m
-        if before - sum(left.values()) < 0.05 * before:
-            break
+def _rounded(x: dict[tuple[int, ...], float], lengths: np.ndarray, left: dict[int, int], share: float, capacity: int) \
+        -> list[tuple[tuple[int, ...], int]]:
+    """Whole parts of ``share`` times the solution, never above the demand;
+    what is left is placed largest first."""
+    out, left = [], dict(left)
+    for c, amount in sorted(x.items(), key=lambda kv: (-sum(int(lengths[i]) for i in kv[0]), -kv[1], kv[0])):
+        need: dict[int, int] = {}
+        for i in c:
+            need[int(lengths[i])] = need.get(int(lengths[i]), 0) + 1
+        m = min(int(amount * share), *(left[n] // a for n, a in need.items()))
+        if m > 0:
+            out.append((tuple(sorted((n for n, a in need.items() for _ in range(a)), reverse=True)), m))
+            for n, a in need.items():
+                left[n] -= a * m
     order = sorted(left, reverse=True)
-    while any(left[n] for n in order):
-        order = [n for n in order if left[n]]
+    while order := [n for n in order if left[n]]:
         c = _filled(order, left, capacity)
         m = min(left[n] // c.count(n) for n in set(c))
         out.append((tuple(sorted(c, reverse=True)), m))
@@ -240,6 +247,25 @@ def configurations(histogram: dict[int, int], capacity: int = CAPACITY) -> list[
     return out
 
 
+def configurations(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[tuple[int, ...], int]]:
+    """(lengths in one sequence, number of such sequences), covering the
+    histogram exactly."""
+    left = {n: c for n, c in histogram.items() if c}
+    out = [((capacity,), left.pop(capacity))] if left.get(capacity) else []
+    if not left:
+        return out
+    lengths = np.array(sorted(left))
+    x, bound = solve(lengths, np.array([left[n] for n in lengths], float), capacity)
+    best = None
+    for share in SHARES:
+        plan = _rounded(x, lengths, left, share, capacity)
+        if best is None or sum(m for _, m in plan) < sum(m for _, m in best):
+            best = plan
+        if sum(m for _, m in best) <= math.ceil(bound - 1e-6):
+            break  # as few as the bound allows
+    return out + best
+
+
 def _plan(configs: list[tuple[tuple[int, ...], int]], capacity: int) -> tuple[np.ndarray, np.ndarray]:
     """Rows (first key, sequence, copies, offset) sorted by first key, where a
     piece's key is length << 40 | rank within its length; and the keys."""
