@@ -47,7 +47,7 @@ SEED = 32
 #: Different runs of one seed above which its positions are dealt singly.
 HOT_RUNS = 4096
 #: Windows handled at a time; rows and bytes of a block of whole keys.
-_BLOCK, _ROWS, _BYTES = 1 << 20, 1 << 18, 4 << 20
+_BLOCK, _ROWS, _BYTES = 1 << 19, 1 << 17, 1 << 20
 _PLACE = 21  # bits of a position in a block and the longest string after it
 _LAST = (1 << 63) - 1  # stands for a null id
 _BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
@@ -190,7 +190,7 @@ def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", le
     def seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["key", "ctx", "doc", "run"]
         for batch in batches:
-            for b in byte_slices(batch, 2):
+            for b in byte_slices(batch, 2, 2 << 20):
                 offsets, data = text_bytes(b.column(2))
                 parts = list(_runs(offsets, data, length, seed))
                 if not parts:
