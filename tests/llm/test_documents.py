@@ -115,7 +115,10 @@ def shingles(text):
     return {tuple(w[i:i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else ({tuple(w)} if w else set())
 
 
-def test_jaccard_components(docs, rows, none):
+@pytest.mark.parametrize("block", [jaccard_join.BLOCK_NODES, 2])
+def test_jaccard_components(docs, rows, none, monkeypatch, block):
+    """Also with groups dealt over many blocks."""
+    monkeypatch.setattr(jaccard_join, "BLOCK_NODES", block)
     ids = sorted({r[0] for r in rows if r[0] is not None})
     sets = {r[0]: shingles(r[1]) for r in rows if r[0] is not None}
     root = {i: i for i in ids}
