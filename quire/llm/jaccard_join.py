@@ -10,17 +10,19 @@ shared shingles, which pays where frequent shingles promise many candidates.
 A pair is compared when it shares as many prefix shingles, of levels up to the
 smaller l, as the smaller l.
 
-Groups of near copies are not paired off. Equal sets are one node. First each
-posting list compares its nodes with one pivot, which joins most of a group;
-lists that still hold several components do so again with another pivot; what
-is left, between nodes of different components only, is paired by a join on
-the shingle and counted against l. Verification counts whole sets.
+Groups of near copies are not paired off. Equal sets are one node. Each
+shingle's posting list, cut into bands of sizes that may be linked, has a
+pivot, its smallest node; a pivot's group holds the nodes of all its lists,
+and any two nodes that share a prefix shingle and may be linked meet in a
+group. A group is dealt into blocks, a task compares two blocks by
+products of incidence matrices (prefixes against l first, then whole sets)
+and returns a spanning forest of the links it found: rows grow with the nodes
+of a group, not with its pairs.
 
 Scale: texts are read in two passes that send only prefixes; shingles found in
 one document leave at once. Frequencies that order the sets are counted in
 blocks of rows over all data; the ``ORDERED`` most frequent shingles are
-broadcast (the order steers cost, never results). Comparisons of a pivot are
-dealt over keys of about ``PER_KEY`` documents.
+broadcast (the order steers cost, never results).
 
 Defined cases: null, empty or blank texts have no shingles and link with
 nothing; with fewer than five words the whole sequence is the one shingle;
@@ -40,6 +42,7 @@ from pyspark.sql import functions as F
 
 from .common import byte_slices, mix64, read_table, text_bytes, window_hash, written
 from .components import components
+from .embedding_dedup import _forest
 
 WORDS = 5
 PERCENT = 80
@@ -49,8 +52,8 @@ ORDERED = 100_000
 SEEN, BLOCK = 4, 2_000_000
 #: Prefix lengths to choose from, and the cost of a candidate in prefix rows.
 LEVELS, CANDIDATE = (1, 2, 3, 4, 6, 8), 4.0
-#: Documents compared with a pivot under one key.
-PER_KEY = 64
+#: Nodes of a block in a pivot's group; columns of an incidence matrix.
+BLOCK_NODES, _COLUMNS = 1024, 1024
 _BASE, _WORD_BASE = 0xD1342543DE82EF95, 0x9E3779B97F4A7C15
 _BLANK = np.zeros(256, bool)
 _BLANK[[9, 10, 11, 12, 13, 32]] = True
@@ -213,50 +216,29 @@ def linked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", word
     live = written(source.mapInArrow(prefixes, schema).repartition("shingle").sortWithinPartitions("shingle", "node")
                    .mapInArrow(met, schema), "postings")
 
+    # Linked sets differ in size by at most 100 / percent: with bands of that ratio,
+    # each node at home in one and a guest of the next, they meet in a band. The
+    # pivot of a list and band is its smallest node, and any two nodes that share a
+    # shingle and may be linked meet in the group of a pivot.
+    ratio = float(np.log(100 / percent)) * 1.0001 if percent < 100 else 1e-9
+    band = F.floor(F.log(F.shiftright("info", 16)) / ratio)
+    banded = live.select("shingle", "node", band.alias("home")) \
+        .select("shingle", "node", "home", F.explode(F.array(F.col("home"), F.col("home") + 1)).alias("band"))
+    pivots = banded.groupBy("shingle", "band").agg(F.min("node").alias("pivot"), F.max("node").alias("last"),
+                                                   F.max("home").alias("top")) \
+        .filter("pivot < last and top = band").select("shingle", "band", "pivot")
+    groups = written(banded.join(pivots, ["shingle", "band"])
+                     .select(F.xxhash64("pivot", "band").alias("pivot"), "node").distinct(), "groups")
     # The text of each node that may be compared: that of its first row.
     firsts = measured.filter("n > 0").groupBy("node").agg(F.min(F.struct("doc_id", "mark")).alias("row"))
-    wanted = firsts.join(live.select("node").distinct(), "node") \
+    wanted = firsts.join(groups.select("node").distinct(), "node") \
         .select("node", F.col("row.doc_id").alias("d"), F.col("row.mark").alias("m"))
-    nodes = written(source.join(wanted, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("mark") == F.col("m")))
-                    .select("node", "text").dropDuplicates(["node"]), "nodes")
-
-    sized = live.select("shingle", "node", F.shiftright("info", 16).alias("n"))
-    links = tested = None
-    tree = None
-    for pick in (F.min, F.max):
-        here = sized
-        if tree is not None:
-            here = _unsettled(sized, tree).select("shingle", "node", "n", "component")
-        pivot = here.groupBy("shingle").agg(pick(F.struct("node", "n", *(["component"] if tree is not None else [])))
-                                            .alias("p"))
-        pairs = here.join(pivot, "shingle").filter(F.col("p.node") != F.col("node"))
-        if tree is not None:
-            pairs = pairs.filter(F.col("component") != F.col("p.component"))
-        pairs = pairs.filter(F.least("n", "p.n") * 100 >= F.greatest("n", "p.n") * percent) \
-            .select(F.col("p.node").alias("a"), F.col("node").alias("b")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested.select("a", "b"), ["a", "b"], "left_anti") \
-                .join(tested.select(F.col("b").alias("a"), F.col("a").alias("b")), ["a", "b"], "left_anti")
-        found = _verified(pairs, nodes, words, percent)
-        tested = found if tested is None else tested.unionByName(found)
-        links = found.filter("linked") if links is None else links.unionByName(found.filter("linked"))
-        tree = components(links.select("a", "b"))
-
-    # The rest: nodes of different components that share enough of their prefixes.
-    open_ = _unsettled(live.select("shingle", "node", F.shiftright("info", 16).alias("n"),
-                                   F.shiftright("info", 8).bitwiseAND(F.lit(255)).alias("level"),
-                                   F.col("info").bitwiseAND(F.lit(255)).alias("l")), tree)
-    x = open_.select("shingle", *(F.col(c).alias(f"x_{c}") for c in ("node", "n", "level", "l", "component")))
-    y = open_.select("shingle", *(F.col(c).alias(f"y_{c}") for c in ("node", "n", "level", "l", "component")))
-    pairs = x.join(y, "shingle").filter(
-        (F.col("x_node") < F.col("y_node")) & (F.col("x_component") != F.col("y_component"))
-        & (F.greatest("x_level", "y_level") <= F.least("x_l", "y_l"))
-        & (F.least("x_n", "y_n") * 100 >= F.greatest("x_n", "y_n") * percent)) \
-        .groupBy(F.col("x_node").alias("a"), F.col("y_node").alias("b")) \
-        .agg(F.count("*").alias("shared"), F.min(F.least("x_l", "y_l")).alias("l")).filter("shared >= l").select("a", "b")
-    pairs = pairs.join(tested.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
-    links = links.unionByName(_verified(pairs, nodes, words, percent).filter("linked"))
-    tree = components(links.select("a", "b"))
+    nodes = _packed_rows(source).join(wanted, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("mark") == F.col("m"))) \
+        .select("node", "text")
+    if not measured.filter("n > 0").groupBy("doc_id", "mark").count().filter("count > 1").isEmpty():
+        nodes = nodes.dropDuplicates(["node"])  # only repeated rows give a node twice
+    nodes = written(nodes, "nodes")
+    tree = components(_linked_in_groups(groups, nodes, shared, words, percent), "a", "b")
 
     named = firsts.select("node", F.col("row.doc_id").alias("low")).join(tree, "node", "left") \
         .withColumn("component", F.coalesce("component", "node"))
@@ -269,45 +251,121 @@ def linked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", word
         .unionByName(rows.filter("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
 
 
-def _unsettled(postings: DataFrame, tree: DataFrame) -> DataFrame:
-    """Postings with their component, of shingles that several components hold."""
-    classed = postings.join(tree, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    several = classed.groupBy("shingle").agg(F.min("component").alias("lo"), F.max("component").alias("hi")) \
-        .filter("lo < hi").select("shingle")
-    return classed.join(several, "shingle")
+def _pack(text: str) -> bytes:
+    data = (text or "").encode()
+    return len(data).to_bytes(8, "little") + pa.Codec("zstd", compression_level=3).compress(data, asbytes=True)
 
 
-def _verified(pairs: DataFrame, nodes: DataFrame, words: int, percent: int) -> DataFrame:
-    """(a, b, linked) of every pair, by whole sets. Rows of one key are a's
-    text and then those it is compared with."""
-    pairs = written(pairs, "pairs")
-    salts = pairs.groupBy("a").agg(F.ceil(F.count("*") / PER_KEY).alias("salts"))
-    dealt = pairs.join(salts, "a").select("a", "b", F.pmod(F.xxhash64("b"), "salts").alias("salt"))
-    left = dealt.select("a", "salt").distinct().join(nodes, F.col("a") == F.col("node")) \
-        .select("a", "salt", F.lit(0).alias("role"), "node", "text")
-    right = dealt.join(nodes, F.col("b") == F.col("node")).select("a", "salt", F.lit(1).alias("role"), "node", "text")
+def _unpacked(column: pa.Array) -> pa.Array:
+    codec = pa.Codec("zstd")
+    return pa.array([codec.decompress(b[8:], int.from_bytes(b[:8], "little"), asbytes=True) if b[:8].strip(b"\0") else b""
+                     for b in column.to_pylist()], pa.large_binary())
 
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pivot = np.zeros(0, np.uint64)
+
+def _packed_rows(source: DataFrame) -> DataFrame:
+    """(doc_id, mark, text) with the text compressed: it is shuffled several times."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for b in byte_slices(batch, 4):
-                rows, sets = shingle_sets(*text_bytes(b.column(4)), words)
-                ends = np.cumsum(np.bincount(rows, minlength=b.num_rows))
-                a, role, node = (b.column(k).to_numpy() for k in (0, 2, 3))
-                out = []
-                for r in range(b.num_rows):
-                    mine = sets[ends[r - 1] if r else 0:ends[r]]
-                    if role[r] == 0:
-                        pivot = mine
-                        continue
-                    both = len(np.intersect1d(pivot, mine, assume_unique=True))
-                    out.append((a[r], node[r], 100 * both >= percent * (len(pivot) + len(mine) - both)))
-                cols = list(zip(*out, strict=True)) or [(), (), ()]
-                yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()),
-                                                  pa.array(cols[2], pa.bool_())], ["a", "b", "linked"])
-
-    return written(left.unionByName(right).repartition("a", "salt").sortWithinPartitions("a", "salt", "role")
-                   .mapInArrow(compare, "a long, b long, linked boolean"), "verified")
+            for b in byte_slices(batch, 2):
+                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1),
+                                                  pa.array([_pack(t) for t in b.column(2).to_pylist()], pa.binary())],
+                                                 ["doc_id", "mark", "text"])
+
+    return source.mapInArrow(run, "doc_id long, mark long, text binary")
+
+
+def _linked_in_groups(groups: DataFrame, nodes: DataFrame, often, words: int, percent: int) -> DataFrame:
+    """(a, b): links that connect what the links of each pivot's group connect.
+
+    A group is dealt into blocks of nodes; a task compares two blocks (or one
+    with itself) and returns a spanning forest, at most a row for each node."""
+    blocks = groups.groupBy("pivot").agg(F.ceil(F.count("*") / BLOCK_NODES).cast("int").alias("blocks"))
+    code = F.pmod(F.xxhash64("node", "pivot"), "blocks").cast("int")
+    dealt = groups.join(blocks, "pivot").withColumn("own", code).select(
+        "pivot", "node", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    dealt = dealt.select("pivot", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"),
+                         (F.col("own") > F.col("other")).alias("second"), "node")
+    rows = dealt.join(nodes, "node").select("pivot", "lo", "hi", "second", "node", "text")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in _whole_tasks(batches):
+            lo, hi = part.column("lo")[0].as_py(), part.column("hi")[0].as_py()
+            a, b = _links(part, lo == hi, *often.value, words, percent)
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+
+    return written(rows.repartition("pivot", "lo", "hi").sortWithinPartitions("pivot", "lo", "hi", "node")
+                   .mapInArrow(compare, "a long, b long").distinct(), "links")
+
+
+def _whole_tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows of each (pivot, lo, hi), from sorted batches."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for b in batches:
+        if not b.num_rows:
+            continue
+        keys = np.stack([b.column(k).to_numpy().astype(np.int64) for k in range(3)], axis=1)
+        starts = np.flatnonzero(np.r_[True, (keys[1:] != keys[:-1]).any(axis=1)])
+        for s, e in zip(starts, [*starts[1:], b.num_rows], strict=True):
+            key = tuple(keys[s])
+            if held and key != last:
+                yield pa.Table.from_batches(held).combine_chunks()
+                held = []
+            held.append(b.slice(s, e - s))
+            last = key
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
+def _shared_counts(row: np.ndarray, value: np.ndarray, n: int, rows: np.ndarray, cols: np.ndarray) -> np.ndarray:
+    """How many values each of ``rows`` has in common with each of ``cols``."""
+    _, column, times = np.unique(value, return_inverse=True, return_counts=True)
+    often = times[column] > 1
+    row, column = row[often], np.unique(column[often], return_inverse=True)[1]
+    out = np.zeros((len(rows), len(cols)), np.float32)
+    by = np.argsort(column, kind="stable")
+    row, column = row[by], column[by]
+    for start in range(0, int(column[-1]) + 1 if len(column) else 0, _COLUMNS):
+        here = slice(*np.searchsorted(column, [start, start + _COLUMNS]))
+        m = np.zeros((n, _COLUMNS), np.float32)
+        m[row[here], column[here] - start] = 1
+        out += m[rows] @ m[cols].T
+    return out
+
+
+def _links(part: pa.Table, alone: bool, often: np.ndarray, count: np.ndarray, words: int, percent: int) \
+        -> tuple[np.ndarray, np.ndarray]:
+    """A spanning forest of the links among the nodes of one task."""
+    node = part.column("node").to_numpy()
+    second = part.column("second").to_numpy().astype(bool)
+    slices = [b for whole in part.to_batches() for b in byte_slices(whole, 5, 1 << 20)]
+    found = [shingle_sets(*text_bytes(_unpacked(b.column(5))), words) for b in slices]
+    sizes = [b.num_rows for b in slices]
+    row = np.concatenate([r + s for (r, _), s in zip(found, np.cumsum([0, *sizes]), strict=False)])
+    sets = np.concatenate([x for _, x in found])
+    n = np.bincount(row, minlength=len(node))
+    rows = np.arange(len(node)) if alone else np.flatnonzero(~second)
+    cols = np.arange(len(node)) if alone else np.flatnonzero(second)
+    p_row, p_value, level, chosen = _prefixes(row, sets, n, often, count, percent)
+    least = np.ones(len(node), np.int64)
+    least[p_row] = chosen
+    need = np.minimum(least[rows][:, None], least[cols][None, :])
+    open_ = np.zeros(need.shape, bool)
+    for l in np.unique(need):
+        use = level <= l
+        open_ |= (need == l) & (_shared_counts(p_row[use], p_value[use], len(node), rows, cols) >= l)
+    small = np.minimum(n[rows][:, None], n[cols][None, :])
+    large = np.maximum(n[rows][:, None], n[cols][None, :])
+    open_ &= (100 * small >= percent * large) & (node[rows][:, None] != node[cols][None, :])
+    if open_.any():  # verification by whole sets
+        both = _shared_counts(row, sets, len(node), rows, cols).astype(np.int64)
+        open_ &= 100 * both >= percent * (n[rows][:, None] + n[cols][None, :] - both)
+    a, b = np.nonzero(open_)
+    if not len(a):
+        return node[:0], node[:0]
+    root = _forest(np.stack([rows[a], cols[b]], axis=1), len(node))
+    moved = np.flatnonzero(root != np.arange(len(node)))
+    return node[moved], node[root[moved]]
 
 
 def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
