@@ -141,8 +141,20 @@ def _prefixes(rows: np.ndarray, sets: np.ndarray, n: np.ndarray, often: np.ndarr
 def linked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS,
            percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id of every document."""
-    spark = docs.sparkSession
-    source = _rows(docs, id_col, text_col)
+    measured, placed = _placed(_rows(docs, id_col, text_col), words, percent)
+    low = measured.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("low"))
+    named = low.join(placed, "node")
+    names = named.groupBy("component").agg(F.min("low").alias("name"))
+    named = named.join(names, "component").select("node", "name")
+    rows = measured.filter("shingle is null").select("doc_id", F.col("n").alias("n_shingles"), "node")
+    return rows.filter("n_shingles > 0").join(named, "node").select("doc_id", "n_shingles", F.col("name").alias("component_id")) \
+        .unionByName(rows.filter("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
+
+
+def _placed(source: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, mark, n, node, shingle) of every row, and of some shingles
+    without a node; (node, component) of every set that isn't empty."""
+    spark = source.sparkSession
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["doc_id", "mark", "n", "node", "shingle"]
@@ -240,15 +252,8 @@ def linked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", word
     nodes = written(nodes, "nodes")
     tree = components(_linked_in_groups(groups, nodes, shared, words, percent), "a", "b")
 
-    named = firsts.select("node", F.col("row.doc_id").alias("low")).join(tree, "node", "left") \
-        .withColumn("component", F.coalesce("component", "node"))
-    low = measured.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("low"))
-    named = low.join(named.select("node", "component"), "node")
-    names = named.groupBy("component").agg(F.min("low").alias("name"))
-    named = named.join(names, "component").select("node", "name")
-    rows = measured.filter("shingle is null").select("doc_id", F.col("n").alias("n_shingles"), "node")
-    return rows.filter("n_shingles > 0").join(named, "node").select("doc_id", "n_shingles", F.col("name").alias("component_id")) \
-        .unionByName(rows.filter("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
+    return measured, firsts.select("node").join(tree, "node", "left") \
+        .select("node", F.coalesce("component", "node").alias("component"))
 
 
 def _pack(text: str) -> bytes:
@@ -369,11 +374,22 @@ def _links(part: pa.Table, alone: bool, often: np.ndarray, count: np.ndarray, wo
 
 
 def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of each component's smallest id, with all their columns."""
-    gone = linked(docs, id_col, text_col).filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))) \
-        .select(F.col("doc_id").alias("gone_id")).distinct()
-    rows = docs.select(F.struct("*").alias("row"), F.col(id_col).cast("long").alias("id"))
-    return rows.join(gone, F.col("id").eqNullSafe(F.col("gone_id")), "left_anti").select("row.*")
+    """The row of each component's smallest id, with all its columns; of several
+    texts under that id the one of the smallest mark. Rows are told apart by id
+    and mark, so a row that goes takes no other text of its id (or null) along."""
+    source = _rows(docs, id_col, text_col)
+    measured, placed = _placed(source, WORDS, PERCENT)
+    mine = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "mark")
+    lows = measured.filter("n > 0").groupBy("node").agg(F.min(mine).alias("low")).join(placed, "node")
+    keeps = lows.groupBy("component").agg(F.min("low").alias("keep"))
+    keeps = lows.join(keeps, "component").select("node", "keep")
+    gone = measured.filter("n > 0").join(keeps, "node") \
+        .filter(~(F.col("doc_id").eqNullSafe(F.col("keep.doc_id")) & (F.col("mark") == F.col("keep.mark")))) \
+        .select(F.col("doc_id").alias("gone_id"), F.col("mark").alias("gone_mark")).distinct()
+    rows = docs.select(F.struct("*").alias("row"), F.col(id_col).cast("long").alias("id"),
+                       F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit(""))).alias("mark"))
+    return rows.join(gone, F.col("id").eqNullSafe(F.col("gone_id")) & (F.col("mark") == F.col("gone_mark")), "left_anti") \
+        .select("row.*")
 
 
 def op8_ngram_jaccard(spark, sf_dir: str) -> DataFrame:

@@ -316,3 +316,15 @@ def test_toxicity(spark, none, rows):
     assert model.score(none).collect() == []
     blank = toxicity.fit(none, spark.createDataFrame([], "doc_id long, toxic int"))
     assert blank.score(edge).agg(F.max("score")).first()[0] == 0.0
+
+
+def test_representatives_of_null_and_repeated_ids(spark):
+    """A row that goes takes no other text of its id along."""
+    rng = random.Random(21)
+    a, b, c, d, e = (words(rng, 60) for _ in range(5))
+    table = [(1, a), (None, a + " more"), (None, b), (None, c),  # b and c are clean
+             (2, d), (5, d + " more"), (5, e), (7, e + " more"),  # e is its group's own representative
+             (None, None), (9, "")]
+    docs = spark.createDataFrame(table, "doc_id long, text string").repartition(3)
+    kept = [tuple(r) for r in jaccard_join.representatives(docs).collect()]
+    assert sorted(kept, key=str) == sorted([(1, a), (None, b), (None, c), (2, d), (5, e), (None, None), (9, "")], key=str)
