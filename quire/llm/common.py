@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir, shared_path, table_path
 
-__all__ = ["byte_slices", "held_out", "mix64", "read_table", "shared_path", "text_bytes", "texts", "window_hash",
+__all__ = ["byte_slices", "held_out", "left_rows", "mix64", "read_table", "shared_path", "text_bytes", "texts", "window_hash",
            "written"]
 
 U64 = np.uint64
@@ -39,6 +39,22 @@ def held_out(id_col, folds: int = 5):
     return F.coalesce(F.crc32(id_col.cast("string").cast("binary")) % folds == 0, F.lit(False))
 
 
+def left_rows(docs: DataFrame, id_col: str, text_col: str, code, gone: DataFrame, tied: DataFrame) -> DataFrame:
+    """The rows of ``docs`` but those of (id, code) in ``gone``, and of the
+    rows that share an (id, code) in ``tied`` one: that of the longest text."""
+    def matched(keys: DataFrame, how: str) -> DataFrame:
+        keys = keys.toDF("key_id", "key_code")
+        return rows.join(keys, F.col("id").eqNullSafe(F.col("key_id")) & (F.col("code") == F.col("key_code")), how)
+
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    rows = docs.select(F.struct("*").alias("row"), F.col(id_col).cast("long").alias("id"), code.alias("code"),
+                       F.struct(F.length(text), F.xxhash64(text)).alias("size"))
+    if tied.isEmpty():
+        return matched(gone, "left_anti").select("row.*")
+    ones = matched(tied, "left_semi").groupBy("id", "code").agg(F.max_by("row", "size").alias("row"))
+    return matched(gone.unionByName(tied), "left_anti").select("row.*").unionByName(ones.select("row.*"))
+
+
 def texts(column: pa.Array) -> list[str]:
     """Python strings of an Arrow string column, null as empty."""
     return [t or "" for t in column.to_pylist()]

@@ -16,8 +16,8 @@ staying text. Only texts whose fingerprint repeats are compared.
 
 Defined cases: a null text counts as empty (all empty texts are one group);
 repeated rows (same id, same text) are copies of one another and share one
-decision; a null id loses every tie and is kept only where nothing else can
-stay; an empty table gives an empty result; other columns are ignored.
+decision (``without_duplicates`` lets one of them through, the longest); a
+null id loses every tie and is kept only where nothing else can stay; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import read_table, written
+from .common import left_rows, read_table, written
 
 BLANKS = b"\x20\x09\x0a\x0b\x0c\x0d"
 #: (base, prime) pairs of the fingerprint.
@@ -199,13 +199,12 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
 
 def without_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows that stay, with all their columns."""
-    gone = exact_duplicates(docs, id_col, text_col).filter(~F.col("kept")) \
-        .select(F.col("doc_id").alias("gone_id"), F.col("text_sha256").alias("gone_sha")).distinct()
-    rows = docs.select(F.struct("*").alias("row"), F.col(id_col).cast("long").alias("id"),
-                       F.sha2(normalised(F.col(text_col)).cast("binary"), 256).alias("sha"))
-    return rows.join(gone, F.col("id").eqNullSafe(F.col("gone_id")) & (F.col("sha") == F.col("gone_sha")), "left_anti") \
-        .select("row.*")
+    """One row of each group, with all its columns."""
+    found = written(exact_duplicates(docs, id_col, text_col).filter("group_size > 1")
+                    .groupBy("doc_id", "text_sha256", "kept").agg(F.count("*").alias("n")), "decisions")
+    keys = ("doc_id", "text_sha256")
+    return left_rows(docs, id_col, text_col, F.sha2(normalised(F.col(text_col)).cast("binary"), 256),
+                     found.filter(~F.col("kept")).select(*keys), found.filter("kept and n > 1").select(*keys))
 
 
 def op7_exact_dedup(spark, sf_dir: str) -> DataFrame:

@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import byte_slices, mix64, read_table, text_bytes, window_hash, written
+from .common import byte_slices, left_rows, mix64, read_table, text_bytes, window_hash, written
 from .components import components
 from .embedding_dedup import _forest
 
@@ -374,22 +374,20 @@ def _links(part: pa.Table, alone: bool, often: np.ndarray, count: np.ndarray, wo
 
 
 def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The row of each component's smallest id, with all its columns; of several
-    texts under that id the one of the smallest mark. Rows are told apart by id
-    and mark, so a row that goes takes no other text of its id (or null) along."""
-    source = _rows(docs, id_col, text_col)
-    measured, placed = _placed(source, WORDS, PERCENT)
+    """One row of each component, with all its columns: that of the smallest id;
+    of several texts under that id the one of the smallest mark, of repeated
+    rows any. Rows are told apart by id and mark, so a row that goes takes no
+    other text of its id (or null) along."""
+    measured, placed = _placed(_rows(docs, id_col, text_col), WORDS, PERCENT)
     mine = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "mark")
     lows = measured.filter("n > 0").groupBy("node").agg(F.min(mine).alias("low")).join(placed, "node")
     keeps = lows.groupBy("component").agg(F.min("low").alias("keep"))
     keeps = lows.join(keeps, "component").select("node", "keep")
-    gone = measured.filter("n > 0").join(keeps, "node") \
-        .filter(~(F.col("doc_id").eqNullSafe(F.col("keep.doc_id")) & (F.col("mark") == F.col("keep.mark")))) \
-        .select(F.col("doc_id").alias("gone_id"), F.col("mark").alias("gone_mark")).distinct()
-    rows = docs.select(F.struct("*").alias("row"), F.col(id_col).cast("long").alias("id"),
-                       F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit(""))).alias("mark"))
-    return rows.join(gone, F.col("id").eqNullSafe(F.col("gone_id")) & (F.col("mark") == F.col("gone_mark")), "left_anti") \
-        .select("row.*")
+    found = measured.filter("n > 0").groupBy("node", "doc_id", "mark").agg(F.count("*").alias("times")).join(keeps, "node") \
+        .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("keep.doc_id")) & (F.col("mark") == F.col("keep.mark")))
+    found = written(found.filter("times > 1 or not kept").select("doc_id", "mark", "kept"), "decisions")
+    return left_rows(docs, id_col, text_col, F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit(""))),
+                     found.filter(~F.col("kept")).select("doc_id", "mark"), found.filter("kept").select("doc_id", "mark"))
 
 
 def op8_ngram_jaccard(spark, sf_dir: str) -> DataFrame:

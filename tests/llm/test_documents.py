@@ -328,3 +328,19 @@ def test_representatives_of_null_and_repeated_ids(spark):
     docs = spark.createDataFrame(table, "doc_id long, text string").repartition(3)
     kept = [tuple(r) for r in jaccard_join.representatives(docs).collect()]
     assert sorted(kept, key=str) == sorted([(1, a), (None, b), (None, c), (2, d), (5, e), (None, None), (9, "")], key=str)
+
+
+@pytest.mark.parametrize("stage", [exact_dedup.without_duplicates, jaccard_join.representatives])
+def test_one_of_equal_rows_stays(spark, stage):
+    """Repeated rows, with and without an id, and blanks that tie on the id."""
+    rng = random.Random(22)
+    a, b, c = (words(rng, 40) for _ in range(3))
+    table = [(1, a, "x"), *[(1, a, "x")] * 20, (None, b, "x"), *[(None, b, "x")] * 20, (3, c, "x"), (3, c + "  ", "y"),
+             (4, c, "x"), (8, "alone by itself", "z")]
+    docs = spark.createDataFrame(table, "doc_id long, text string, lang string").repartition(3)
+    kept = stage(docs)
+    assert kept.columns == docs.columns
+    kept = [tuple(r) for r in kept.collect()]
+    assert len(kept) == 4 and {r[0] for r in kept} == {1, None, 3, 8}
+    if stage is exact_dedup.without_duplicates:
+        assert (3, c + "  ", "y") in kept  # the longest
