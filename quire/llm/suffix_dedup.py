@@ -53,8 +53,8 @@ _LAST = (1 << 63) - 1  # stands for a null id
 _BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 _RUN, _GONE, _SINGLE = 0, 1, 2
 
-# A run is packed in one long: 24 bits of the text's hash, 32 of its start, 8 of its positions.
-_RUNS = "key long, ctx long, doc long, run long"
+# A text is named by its id and a 64-bit mark; a run's start and its positions (8 bits) are packed in one long.
+_RUNS = "key long, ctx long, doc long, mark long, run long"
 
 
 def _codes(salt: int) -> np.ndarray:
@@ -101,20 +101,22 @@ def _runs(offsets: np.ndarray, data: np.ndarray, length: int, seed: int) \
         yield row[first], at[first] - offsets[row[first]], n, gram[least[first]], content
 
 
-def _earlier(rank: np.ndarray, doc: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(order, first of its rank, gone) after sorting by (rank, doc, place);
-    a row at the very place of the first is not gone."""
-    by = np.lexsort((place, doc, rank))
+def _earlier(rank: np.ndarray, doc: np.ndarray, mark: np.ndarray, place: np.ndarray) \
+        -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(order, first of its rank, gone) after sorting by (rank, doc, mark,
+    place); a row at the very place of the first is not gone."""
+    by = np.lexsort((place, mark, doc, rank))
     r = rank[by]
     first = np.r_[True, r[1:] != r[:-1]] if len(r) else np.zeros(0, bool)
     lead = by[np.maximum.accumulate(np.where(first, np.arange(len(by)), 0))] if len(r) else by
-    gone = (doc[by] != doc[lead]) | (place[by] != place[lead])
+    gone = (doc[by] != doc[lead]) | (mark[by] != mark[lead]) | (place[by] != place[lead])
     return by, first, gone
 
 
-def _settled(key: np.ndarray, ctx: np.ndarray, doc: np.ndarray, run: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _settled(key: np.ndarray, ctx: np.ndarray, doc: np.ndarray, mark: np.ndarray, run: np.ndarray) \
+        -> tuple[np.ndarray, np.ndarray]:
     """(rows that stay, rows that are gone) among rows of equal key and content."""
-    by, first, gone = _earlier(_pair(key, ctx), doc, run)
+    by, first, gone = _earlier(_pair(key, ctx), doc, mark, run)
     return by[first], by[gone]
 
 
@@ -188,7 +190,7 @@ def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", le
         raise ValueError("seed must lie in 1..length")
 
     def seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["key", "ctx", "doc", "run"]
+        names = ["key", "ctx", "doc", "mark", "run"]
         for batch in batches:
             for b in byte_slices(batch, 2, 2 << 20):
                 offsets, data = text_bytes(b.column(2))
@@ -196,27 +198,29 @@ def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", le
                 if not parts:
                     continue
                 row, start, n, key, ctx = (np.concatenate(c) for c in zip(*parts, strict=True))
-                doc = b.column(0).to_numpy()[row]
-                run = b.column(1).to_numpy()[row] << 40 | start << 8 | n
-                stay, gone = _settled(key, ctx, doc, run)
-                yield _longs(names, key[stay], ctx[stay], doc[stay], run[stay])
-                spread = _longs(names, mix64(doc[gone].astype(np.uint64)), ctx[gone], doc[gone], run[gone])
+                doc, mark = (b.column(k).to_numpy()[row] for k in (0, 1))
+                run = start << 8 | n
+                stay, gone = _settled(key, ctx, doc, mark, run)
+                yield _longs(names, key[stay], ctx[stay], doc[stay], mark[stay], run[stay])
+                spread = _longs(names, mix64((doc[gone] ^ mark[gone]).astype(np.uint64)), ctx[gone], doc[gone], mark[gone],
+                                run[gone])
                 yield spread.set_column(1, "ctx", pa.nulls(len(gone), pa.int64()))
 
     def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["kind", "key", "doc", "run"]
+        names = ["kind", "key", "doc", "mark", "run"]
         for t in _whole_keys(batches, _ROWS):
             told = t.filter(t.column("ctx").is_null())
             if told.num_rows:
                 yield _longs(names, np.full(told.num_rows, _GONE), *(told.column(c).to_numpy() for c in names[1:]))
             t = t.filter(t.column("ctx").is_valid())
-            key, ctx, doc, run = (t.column(c).to_numpy() for c in ("key", "ctx", "doc", "run"))
-            stay, gone = _settled(key, ctx, doc, run)
-            yield _longs(names, np.full(len(gone), _GONE), key[gone], doc[gone], run[gone])
+            key, ctx, doc, mark, run = (t.column(c).to_numpy() for c in ("key", "ctx", "doc", "mark", "run"))
+            stay, gone = _settled(key, ctx, doc, mark, run)
+            yield _longs(names, np.full(len(gone), _GONE), key[gone], doc[gone], mark[gone], run[gone])
             _, which, count = np.unique(key[stay], return_inverse=True, return_counts=True)
             count = count[which] if len(stay) else np.zeros(0, np.int64)
             stay, count = stay[count > 1], count[count > 1]
-            yield _longs(names, np.where(count > hot_runs, _SINGLE, _RUN), key[stay], doc[stay], run[stay])
+            yield _longs(names, np.where(count > hot_runs, _SINGLE, _RUN), key[stay], doc[stay], mark[stay],
+                         run[stay])
 
     def strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -225,74 +229,73 @@ def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", le
 
     def doubled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["doc", "mark", "start", "stop"]
-        for t in _whole_keys(batches, _ROWS, 3):
+        for t in _whole_keys(batches, _ROWS, 4):
             told = t.filter(t.column("bytes").is_null())
             if told.num_rows:
-                yield _longs(names, told.column("doc").to_numpy(), *_range(told.column("run").to_numpy(), length))
+                yield _longs(names, *(told.column(c).to_numpy() for c in ("doc", "mark")),
+                             *_range(told.column("run").to_numpy(), length))
             t = t.filter(t.column("bytes").is_valid())
             if not t.num_rows:
                 continue
             offsets, data = text_bytes(t.column("bytes").combine_chunks())
-            doc, run = t.column("doc").to_numpy(), t.column("run").to_numpy()
+            doc, mark, run = (t.column(c).to_numpy() for c in ("doc", "mark", "run"))
             n = run & 255
             row = np.repeat(np.arange(len(n)), n)
             shift = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
             rank = _ranked(data, length)[offsets[row] + shift]
-            place = (run[row] >> 8) + shift  # mark and start
-            by, _, gone = _earlier(rank, doc[row], place)
+            place = (run[row] >> 8) + shift
+            by, _, gone = _earlier(rank, doc[row], mark[row], place)
             at = by[gone]
-            at = at[np.lexsort((place[at], doc[row[at]]))]
-            d, p = doc[row[at]], place[at]
-            new = np.flatnonzero(np.r_[True, (d[1:] != d[:-1]) | (p[1:] != p[:-1] + 1)]) if len(at) else at
+            at = at[np.lexsort((place[at], mark[row[at]], doc[row[at]]))]
+            d, m, p = doc[row[at]], mark[row[at]], place[at]
+            new = np.flatnonzero(np.r_[True, (d[1:] != d[:-1]) | (m[1:] != m[:-1]) | (p[1:] != p[:-1] + 1)]) if len(at) else at
             last = np.r_[new[1:] - 1, len(at) - 1] if len(at) else at
-            start = p[new] & 0xFFFFFFFF
-            yield _longs(names, d[new], p[new] >> 32, start, (p[last] & 0xFFFFFFFF) + length)
+            yield _longs(names, d[new], m[new], p[new], p[last] + length)
 
     marked = _marked(docs, id_col, text_col)
     runs = marked.mapInArrow(seeds, _RUNS).repartition("key").sortWithinPartitions("key")
-    runs = written(runs.mapInArrow(shared, "kind long, key long, doc long, run long"), "runs")
-    gone = runs.filter(F.col("kind") == _GONE).select("doc", *_range_columns(length))
-    left = runs.filter(F.col("kind") != _GONE).withColumn("mark", F.shiftright("run", 40)) \
+    runs = written(runs.mapInArrow(shared, "kind long, key long, doc long, mark long, run long"), "runs")
+    gone = runs.filter(F.col("kind") == _GONE).select("doc", "mark", *_range_columns(length))
+    left = runs.filter(F.col("kind") != _GONE) \
         .groupBy("doc", "mark").agg(F.collect_list(F.struct("kind", "key", "run")).alias("runs"))
     marked = marked.withColumnsRenamed({"doc": "d", "mark": "m"})
     joined = marked.join(left, (F.col("d") == F.col("doc")) & (F.col("m") == F.col("mark"))) \
-        .select("text", "doc", F.transform("runs", lambda r: r["kind"]).alias("kind"),
+        .select("text", "doc", "mark", F.transform("runs", lambda r: r["kind"]).alias("kind"),
                 F.transform("runs", lambda r: r["key"]).alias("key"), F.transform("runs", lambda r: r["run"]).alias("run"))
-    cut = joined.mapInArrow(strings, "key long, doc long, run long, bytes binary")
+    cut = joined.mapInArrow(strings, "key long, doc long, mark long, run long, bytes binary")
     return gone.unionByName(cut.repartition("key").sortWithinPartitions("key")
                             .mapInArrow(doubled, "doc long, mark long, start long, stop long"))
 
 
-def _range(run: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    start = run >> 8 & 0xFFFFFFFF
-    return run >> 40, start, start + (run & 255) - 1 + length
+def _range(run: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    start = run >> 8
+    return start, start + (run & 255) - 1 + length
 
 
 def _range_columns(length: int) -> list:
-    start = F.shiftright("run", 8).bitwiseAND(F.lit(0xFFFFFFFF))
-    return [F.shiftright("run", 40).alias("mark"), start.alias("start"),
-            (start + F.col("run").bitwiseAND(F.lit(255)) + F.lit(length - 1)).alias("stop")]
+    start = F.shiftright("run", 8)
+    return [start.alias("start"), (start + F.col("run").bitwiseAND(F.lit(255)) + F.lit(length - 1)).alias("stop")]
 
 
 def _marked(docs: DataFrame, id_col: str, text_col: str, row=None) -> DataFrame:
-    """(doc, mark, text): the id (a null id as the largest), 23 bits of a hash
-    of the text, the text (null as empty) and, where given, ``row``."""
+    """(doc, mark, text): the id (a null id as the largest), a 64-bit hash of
+    the text, the text (null as empty) and, where given, ``row``."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     return docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_LAST)).alias("doc"),
-                       F.pmod(F.xxhash64(text), F.lit(1 << 23)).alias("mark"), text.alias("text"),
+                       F.xxhash64(text).alias("mark"), text.alias("text"),
                        *([] if row is None else [row.alias("row")]))
 
 
 def _strings(b: pa.RecordBatch, length: int) -> Iterator[pa.RecordBatch]:
     """The bytes of each run; a hot one position by position, keyed by the
     whole string, equal strings of the block settled at once."""
-    names = ["key", "doc", "run", "bytes"]
+    names = ["key", "doc", "mark", "run", "bytes"]
     offsets, data = text_bytes(b.column("text"))
     kinds = b.column("kind")
     row = np.repeat(np.arange(b.num_rows), np.diff(kinds.offsets.to_numpy()))
     kind, key, run = (b.column(c).flatten().to_numpy() for c in ("kind", "key", "run"))
-    doc = b.column("doc").to_numpy()[row]
-    start, n = offsets[row] + (run >> 8 & 0xFFFFFFFF), run & 255
+    doc, mark = (b.column(c).to_numpy()[row] for c in ("doc", "mark"))
+    start, n = offsets[row] + (run >> 8), run & 255
     ship = np.flatnonzero(kind == _RUN)
     hot = np.flatnonzero(kind == _SINGLE)
     raw = data.tobytes()
@@ -303,14 +306,14 @@ def _strings(b: pa.RecordBatch, length: int) -> Iterator[pa.RecordBatch]:
         single = (run[which] & ~np.int64(255)) + (shift << 8) + 1
         text = [raw[i:i + length] for i in at]
         code = np.array([int.from_bytes(hashlib.blake2b(t, digest_size=8).digest(), "little", signed=True) for t in text])
-        by, first, gone = _earlier(code, doc[which], single)
+        by, first, gone = _earlier(code, doc[which], mark[which], single)
         stay, out = by[first], by[gone]
-        yield pa.RecordBatch.from_arrays([pa.array(code[stay]), pa.array(doc[which][stay]), pa.array(single[stay]),
-                                          pa.array([text[i] for i in stay], pa.binary())], names)
-        yield pa.RecordBatch.from_arrays([pa.array(code[out]), pa.array(doc[which][out]), pa.array(single[out]),
-                                          pa.nulls(len(out), pa.binary())], names)
+        yield pa.RecordBatch.from_arrays([pa.array(code[stay]), pa.array(doc[which][stay]), pa.array(mark[which][stay]),
+                                          pa.array(single[stay]), pa.array([text[i] for i in stay], pa.binary())], names)
+        yield pa.RecordBatch.from_arrays([pa.array(code[out]), pa.array(doc[which][out]), pa.array(mark[which][out]),
+                                          pa.array(single[out]), pa.nulls(len(out), pa.binary())], names)
     yield pa.RecordBatch.from_arrays(
-        [pa.array(key[ship]), pa.array(doc[ship]), pa.array(run[ship]),
+        [pa.array(key[ship]), pa.array(doc[ship]), pa.array(mark[ship]), pa.array(run[ship]),
          pa.array([raw[s:s + k - 1 + length] for s, k in zip(start[ship], n[ship], strict=True)], pa.binary())], names)
 
 

@@ -344,3 +344,16 @@ def test_one_of_equal_rows_stays(spark, stage):
     assert len(kept) == 4 and {r[0] for r in kept} == {1, None, 3, 8}
     if stage is exact_dedup.without_duplicates:
         assert (3, c + "  ", "y") in kept  # the longest
+
+
+def test_suffix_dedup_of_texts_without_an_id(spark):
+    """Two texts without an id whose hashes agree in 23 bits: neither gets the other's cuts."""
+    rng = random.Random(23)
+    passage, plain = words(rng, 60), words(rng, 90)
+    pairs = spark.createDataFrame([(f"{plain} p{k}", f"{passage} f{k}") for k in range(20000)], "plain string, found string")
+    code = [F.pmod(F.xxhash64(c), F.lit(1 << 23)).alias("code") for c in ("plain", "found")]
+    one, two = pairs.select("plain", code[0]).join(pairs.select("found", code[1]), "code") \
+        .orderBy("plain").select("plain", "found").first()
+    docs = spark.createDataFrame([(1, passage), (None, one), (None, two)], "doc_id long, text string")
+    got = {r["kept_text"]: r["n_removed"] for r in suffix_dedup.remove_repeats(docs, keep_text=True).collect()}
+    assert got == {passage: 0, one: 0, two[len(passage):]: len(passage)}
