@@ -15,7 +15,9 @@ size of an archive, so a hot archive is many nodes. Digests are written once
 
 Defined cases: a null payload is an empty one; a null archive is an archive of
 its own; several records at one offset are ordered by digest, and repeated
-rows count by their number; an archive or record that one replica lacks is
+rows count by their number; records with a null offset are dealt by digest over
+ranges below all offsets, equal ones match first and the rest are paired in
+order of digest; an archive or record that one replica lacks is
 ``missing`` (the second lacks it) or ``extra``; an empty replica has no trees;
 other columns are ignored.
 """
@@ -29,6 +31,8 @@ from .common import read_table, written
 
 LEAF_SPAN = 1 << 18
 FANOUT = 16
+#: Ranges that an archive's records without an offset are dealt over.
+UNPLACED = 4096
 
 
 def records(replica: DataFrame, archive: str = "archive", offset: str = "offset", payload: str = "payload") -> DataFrame:
@@ -46,11 +50,17 @@ def _hash_of(children: Column) -> Column:
         c["at"].cast("string"), F.lit(":"), F.hex(c["hash"]))), ";").cast("binary"), 256))
 
 
+def _range(span: int) -> Column:
+    """The leaf range of a record; below 0 where it has no offset."""
+    return F.coalesce(F.floor(F.col("offset") / span), -1 - F.pmod(F.xxhash64("digest"), F.lit(UNPLACED)))
+
+
 def leaves(recs: DataFrame, span: int = LEAF_SPAN) -> DataFrame:
     """(archive, node, hash) of the lowest ranges."""
-    of_record = F.unhex(F.sha2(F.concat(F.col("digest"), F.concat_ws(":", "length", "copies").cast("binary")), 256))
-    return recs.groupBy("archive", F.floor(F.col("offset") / span).alias("node")) \
-        .agg(_hash_of(F.collect_list(F.struct(F.col("offset").alias("at"), of_record.alias("hash")))).alias("hash"))
+    of_record = F.unhex(F.sha2(F.concat(F.col("digest"), F.concat_ws(
+        ":", "length", "copies", F.when(F.col("offset").isNull(), "unplaced")).cast("binary")), 256))
+    return recs.groupBy("archive", _range(span).alias("node")) \
+        .agg(_hash_of(F.collect_list(F.struct(F.coalesce("offset", F.lit(-1)).alias("at"), of_record.alias("hash")))).alias("hash"))
 
 
 def level_above(nodes: DataFrame, fanout: int = FANOUT) -> DataFrame:
@@ -92,16 +102,19 @@ def audit(first: DataFrame, second: DataFrame, span: int = LEAF_SPAN, fanout: in
         suspects = written(x.withColumnRenamed("hash", "mine").join(y.withColumnRenamed("hash", "other"),
                                                                     ["archive", "node"], "full")
                            .filter(~F.col("mine").eqNullSafe(F.col("other"))).select("archive", "node"), "suspects")
-    under = F.floor(F.col("offset") / span)
-    a, b = (t.withColumn("node", under).join(suspects, ["archive", "node"], "left_semi") for t in (a, b))
+    a, b = (t.withColumn("node", _range(span)).join(suspects, ["archive", "node"], "left_semi")
+            .select("archive", F.coalesce("offset", F.lit(0)).alias("at"), F.col("offset").isNotNull().alias("placed"),
+                    "length", "digest", "copies") for t in (a, b))
+    # Without an offset, records that both replicas hold are not paired with others.
+    a, b = (t.join(o.filter("not placed"), t.columns, "left_anti") for t, o in ((a, b), (b, a)))
     # Several records at one offset are paired in order of digest.
-    order = Window.partitionBy("archive", "offset").orderBy("digest", "length")
+    order = Window.partitionBy("archive", "at", "placed").orderBy("digest", "length")
     a, b = (t.withColumn("k", F.row_number().over(order)).select(
-        "archive", "offset", "k", F.struct("length", "digest", "copies").alias(name))
+        "archive", "at", "placed", "k", F.struct("length", "digest", "copies").alias(name))
         for t, name in ((a, "mine"), (b, "other")))
     status = F.when(F.col("other").isNull(), "missing").when(F.col("mine").isNull(), "extra").otherwise("corrupt")
-    return a.join(b, ["archive", "offset", "k"], "full").filter(~F.col("mine").eqNullSafe(F.col("other"))).select(
-        "archive", "offset", F.coalesce("mine.length", "other.length").alias("length"), status.alias("status"),
+    return a.join(b, ["archive", "at", "placed", "k"], "full").filter(~F.col("mine").eqNullSafe(F.col("other"))).select(
+        "archive", F.when(F.col("placed"), F.col("at")).alias("offset"), F.coalesce("mine.length", "other.length").alias("length"), status.alias("status"),
         F.lower(F.hex("mine.digest")).alias("expected"), F.lower(F.hex("other.digest")).alias("found"))
 
 

@@ -102,6 +102,20 @@ def test_warc_audit(spark):
     assert warc_audit.audit(none, b).count() == len({r[:3] for r in other})
 
 
+def test_warc_audit_without_offsets(spark):
+    """Records without an offset: changed, lost, new, repeated and whole ones."""
+    whole = [("a", None, b"one"), *(("b", None, b"rec%d" % k) for k in range(50)), ("c", 0, b"x"), ("c", None, b"twice"),
+             (None, None, b"no archive"), ("d", None, b"same"), ("d", 4, b"same")]
+    other = [r for r in whole if r[2] not in (b"one", b"rec7", b"no archive")]
+    other += [("a", None, b"changed"), ("c", None, b"twice"), ("e", None, b"new")]
+    a, b = (spark.createDataFrame(r, "archive string, offset long, payload binary") for r in (whole, other))
+    rows = warc_audit.audit(a, b, span=512, fanout=4).collect()
+    assert {(r["archive"], r["offset"], r["length"], r["status"]) for r in rows} == {
+        ("a", None, 3, "corrupt"), ("b", None, 4, "missing"), ("c", None, 5, "corrupt"), ("", None, 10, "missing"),
+        ("e", None, 3, "extra")} and len(rows) == 5
+    assert warc_audit.audit(a, a).count() == 0
+
+
 def test_equal_trees_are_not_descended(spark):
     """Only nodes under mismatches are compared: equal roots end the audit."""
     rows = [("a", 100 * k, bytes([k % 250])) for k in range(200)]
