@@ -3,9 +3,9 @@
 Equal vectors are grouped first. Centres come from spherical k-means on a
 bounded sample; every vector then has a home cell, the centre of the highest
 cosine, and is a guest of each other cell whose border it stands near: a
-linked pair differs by at most ``sqrt(2 - 2 * threshold)``, so its part along
-the direction across a border exceeds ``SIGMAS`` times that over the root of
-the dimension only for differences that lean that way. Home rows are compared
+linked pair differs by at most ``sqrt(2 - 2 * threshold)``, so of a pair
+across a border one end lies within half of that, and no link is missed,
+whatever the dimension. Home rows are compared
 with all rows of their cell by matrix products in double precision. A link
 seen from one side only is credited to the other end, so counts are those of
 the links found. One vector of each component is kept, the smallest id.
@@ -40,8 +40,6 @@ THRESHOLD = 0.9
 FIT_ROWS = 16_384
 #: Vectors of a cell, on average, and the most cells.
 CELL_ROWS, MOST_CELLS = 1024, 4096
-#: Width of the border in which a vector is also compared with the next cell.
-SIGMAS = 4.0
 BLOCK = 2048
 _STEP = 256  # home rows of one product
 
@@ -86,7 +84,7 @@ def _forest(pairs: np.ndarray, n: int) -> np.ndarray:
 
 def near_duplicates(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding",
                     threshold: float = THRESHOLD, fit_rows: int = FIT_ROWS, cell_rows: int = CELL_ROWS,
-                    sigmas: float = SIGMAS, block: int = BLOCK) -> DataFrame:
+                    block: int = BLOCK) -> DataFrame:
     """vec_id, n_links, component_id, kept of every row."""
     spark = rows.sparkSession
     v = F.col("v")
@@ -102,7 +100,7 @@ def near_duplicates(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "
         same = groups.filter(F.col("dim") == dim)
         sample = same.orderBy(F.xxhash64("v"), "id").limit(fit_rows).select("v").collect()
         c = centres(_unit([r[0] for r in sample]), max(1, min(MOST_CELLS, n // cell_rows, len(sample) // 8)))
-        out.append(_linked(spark, same, c, threshold, sigmas * float(np.sqrt((2 - 2 * threshold) / dim)), block))
+        out.append(_linked(spark, same, c, threshold, float(np.sqrt(2 - 2 * threshold)) / 2 + 1e-9, block))
     if not out:
         return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"),
                            F.lit(True).alias("kept"))

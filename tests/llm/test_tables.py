@@ -84,6 +84,20 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
 
 
+def test_wide_embeddings_across_a_border(spark):
+    """Pairs whose whole difference lies across the border of two cells."""
+    rng = np.random.default_rng(3)
+    rows = []
+    for k in range(80):
+        v = rng.normal(size=256) * 0.001
+        v[0], v[1] = np.sqrt(1 - 0.22 ** 2), 0.22 if k % 2 else -0.22
+        rows.append((k, v.tolist(), 1, "a", "b", "c"))
+    got = embedding_dedup.near_duplicates(spark.createDataFrame(rows, VECTORS), cell_rows=40).collect()
+    _, links = linked(rows)
+    assert {r["vec_id"]: r["n_links"] for r in got} == {k: len(links[k]) for k in range(80)}
+    assert {r["component_id"] for r in got} == {0}
+
+
 def test_warc_audit(spark):
     schema = "archive string, offset long, payload binary, node string, digest string"
     rng = random.Random(4)
