@@ -9,11 +9,17 @@ from . import jaccard_join as o8
 from . import language_id as o4
 from . import lm_scoring as o6
 from . import packing as o10
+from . import periodic_runs as o12
+from . import secret_scan as o13
 from . import suffix_dedup as o9
 from . import toxicity as o2
+from . import vector_codes as o11
 from . import warc_audit as o1
 
 QUERIES = {
+    "op11_vector_codes": o11.op11_vector_codes,
+    "op12_periodic_runs": o12.op12_periodic_runs,
+    "op13_secret_scan": o13.op13_secret_scan,
     "op1_warc_audit": o1.op1_warc_audit,
     "op6_lm_scoring": o6.op6_lm_scoring,
     "op8_ngram_jaccard": o8.op8_ngram_jaccard,
@@ -26,6 +32,8 @@ QUERIES = {
     "op10_best_fit_packing": o10.op10_best_fit_packing,
 }
 SQL = {
+    "op11_vector_codes": o11.SQL,
+    "op13_secret_scan": o13.SQL,
     "op1_warc_audit": o1.SQL,
     "op6_lm_scoring": o6.SQL,
     "op7_exact_dedup": o7.SQL,

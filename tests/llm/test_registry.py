@@ -15,12 +15,12 @@ SF = "/root/testdata/sf0.001"
 def test_one_query_for_each_operator():
     import __spark_entry__ as E
     names = [n for n in E.queries() if re.match(r"op\d+_", n)]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert "pipeline" in E.queries()
 
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="driver test data not present")
-@pytest.mark.parametrize("name", ["op1_warc_audit", "op6_lm_scoring", "op7_exact_dedup"])
+@pytest.mark.parametrize("name", ["op1_warc_audit", "op6_lm_scoring", "op7_exact_dedup", "op11_vector_codes", "op13_secret_scan"])
 def test_query_equals_sql(spark, name):
     import duckdb
     from oracle_check import TABLES, digest
