@@ -167,33 +167,40 @@ def take(node, spec):
 
 
 def extract_fields(html: str | None, specs: list[dict]) -> list:
-    """Fields of one page; a page the parser cannot read yields nulls (the
-    record then fails validity and lands in the rejects, as P4 asks)."""
+    """Fields of one page; all null where the parser refuses it."""
+    return parsed_fields(html, specs)[0]
+
+
+def parsed_fields(html: str | None, specs: list[dict]) -> tuple[list, str | None]:
+    """(fields of one page, error). A page that the parser refuses yields nulls
+    and the parser's message (P4: the record is then an ``error`` reject)."""
     if html is None:
-        return [None] * len(specs)
+        return [None] * len(specs), None
     try:
         root = parse(html)
-        return [take(find(root, s), s) for s in specs]
-    except Exception:  # noqa: BLE001 - one bad page must not fail the task
-        return [None] * len(specs)
+        return [take(find(root, s), s) for s in specs], None
+    except (AssertionError, ValueError, RecursionError) as e:  # what the parser raises on broken markup
+        return [None] * len(specs), f"{type(e).__name__}: {e}"
 
 
-def extract(df: DataFrame, specs: list[dict], key_cols: list[str], html_col: str = "html") -> DataFrame:
+def extract(df: DataFrame, specs: list[dict], key_cols: list[str], html_col: str = "html",
+            error_col: str | None = None) -> DataFrame:
     """Run the extractor over ``df``: output = key columns + one string column
-    per spec. Only ``key_cols`` and ``html_col`` are sent to Python."""
+    per spec (+ ``error_col``: why a page could not be parsed, else null). Only
+    ``key_cols`` and ``html_col`` are sent to Python."""
     from ..session import ship_package
     ship_package(df.sparkSession)
     specs = [dict(s) for s in specs]
-    names = [s["name"] for s in specs]
+    names = [s["name"] for s in specs] + ([error_col] if error_col else [])
     src = df.select(*key_cols, html_col)
     key_schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema.fields if f.name in key_cols)
     out_schema = key_schema + "".join(f", `{n}` string" for n in names)
 
     def run(batches):
         for pdf in batches:
-            rows = [extract_fields(h, specs) for h in pdf[html_col]]
+            rows = [(*fields, error) for fields, error in (parsed_fields(h, specs) for h in pdf[html_col])]
             out = pdf[key_cols].copy()
-            cols = list(zip(*rows)) if rows else [[] for _ in names]
+            cols = list(zip(*rows)) if rows else [[] for _ in range(len(specs) + 1)]
             for n, vals in zip(names, cols):
                 out[n] = pd.Series(list(vals), index=out.index, dtype=object)
             yield out

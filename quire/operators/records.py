@@ -69,9 +69,12 @@ def missing_fields(df: DataFrame) -> Column:
 
 def classify(records: DataFrame) -> DataFrame:
     """Add ``missing`` and ``reason``: null reason = valid; ``error`` = the year
-    could not be read (the record is lost in the reference); ``invalid`` = a
-    required field is empty."""
+    could not be read or the page not parsed (``parse_error``, where there is
+    one; the record is lost in the reference); ``invalid`` = a required field
+    is empty."""
     bad_year = F.col("year").isNull()
+    if "parse_error" in records.columns:
+        bad_year = bad_year | F.col("parse_error").isNotNull()
     missing = missing_fields(records)
     return (records.withColumn("missing", missing)
             .withColumn("reason", F.when(bad_year, F.lit("error"))

@@ -1,23 +1,34 @@
 """Collect: landed pages -> paper records -> validity -> upsert (F1 registry).
 
-Each venue has a record builder ``(detail_pages, all_pages) -> records``.
-Flat fields are JVM columns; nested text goes through one Python pass per
+Each venue is a :class:`Site`: the links of its listings, and the records of
+its detail pages. :func:`crawl` follows the listings from their first pages;
+:func:`collect_from_listings` reads the detail pages they lead to.
+
+A title query is applied before the Python pass, by a title that the JVM cuts
+from the page, and so is the semi-join with the urls that a crawl found: pages
+that can't match are never parsed. Flat fields are JVM columns; nested text goes through one Python pass per
 page (the JVM fields ride along, so no join is needed to put them back);
 the bibtex page (J1) and the notes replies (J2, A3) are joined on derived
 URLs / forum ids.
 
-Records carry the papers columns plus ``url``, ``doc_id`` and ``year_text``.
+Records carry the papers columns plus ``url``, ``doc_id``, ``year_text`` and
+``parse_error``.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import html as H
 from ..functions.ids import preprint_url_and_year
+from ..functions.query import matches_query
+from ..operators import crawl as W
+from ..operators import links as L
 from ..operators import nested as N
 from ..operators import records as R
 from ..operators.matching import filter_by_query
@@ -25,6 +36,8 @@ from ..sources.notes import forum_record, parse_notes
 
 # Accepted flag per venue layout (the forum layout is computed).
 ACCEPTED = {"proceedings": True, "conference": True, "preprints": False}
+# The heading of a preprint page, up to its first end tag.
+PREPRINT_HEADING = r"""(?is)<h1\b[^>]*\sclass\s*=\s*["']title mathjax["'][^>]*>(.*?)</h1"""
 
 
 def _citation_meta() -> list[Column]:
@@ -36,6 +49,17 @@ def _citation_meta() -> list[Column]:
             H.first_meta(mt, "citation_pdf_url").alias("url_pdf")]
 
 
+def _named(df: DataFrame, **columns: Column) -> DataFrame:
+    """``df`` with columns that are computed once a row: filters and later
+    projections stay above the generator."""
+    return df.select("*", F.inline(F.array(F.struct(*(c.alias(n) for n, c in columns.items())))))
+
+
+def _titled(df: DataFrame, query: str | None, title: Column) -> DataFrame:
+    """P1 below the Python pass: rows whose title can match ``query``."""
+    return df if query is None else df.where(matches_query(F.lower(F.coalesce(title, F.lit(""))), query))
+
+
 def _detail(pages: DataFrame, venue: str) -> DataFrame:
     return pages.where((F.col("kind") == "detail") & (F.col("venue") == venue))
 
@@ -53,39 +77,46 @@ def _bibtex_pages(pages: DataFrame, venue: str) -> DataFrame:
 
 
 def proceedings_records(pages: DataFrame, query_term: str | None = None, lookup: DataFrame | None = None) -> DataFrame:
-    d = _detail(pages, "proceedings").withColumn("_mt", H.meta_pairs(H.markup(F.col("html"))))
+    d = _named(_detail(pages, "proceedings"), _mt=H.meta_pairs(H.markup(F.col("html"))))
+    d = _titled(d, query_term, H.first_meta(F.col("_mt"), "citation_title"))
     flat = d.select("url", "doc_id", "run_seq", "pos", "html", *_citation_meta())
     specs = [dict(name="abstract", tag="div", cls="abstract"),
              dict(name="bibtex", tag="code", cls="citecode", id="bibtex")]
-    x = N.extract(flat, specs, [c for c in flat.columns if c != "html"])
+    x = N.extract(flat, specs, [c for c in flat.columns if c != "html"], error_col="parse_error")
     return R.assemble(x, title=F.col("title"), authors=F.col("authors"), venue="proceedings",
                       year=F.col("year_text"), bibtex=F.col("bibtex"), url_pdf=F.col("url_pdf"),
                       abstract=F.col("abstract"), accepted=ACCEPTED["proceedings"], query_term=query_term,
-                      run_seq=F.col("run_seq"), pos=F.col("pos"), extra=["url", "doc_id"])
+                      run_seq=F.col("run_seq"), pos=F.col("pos"), extra=["url", "doc_id", "parse_error"])
 
 
 def conference_records(pages: DataFrame, query_term: str | None = None, lookup: DataFrame | None = None) -> DataFrame:
-    d = (_detail(pages, "conference").withColumn("_m", H.markup(F.col("html")))
-         .withColumn("_mt", H.meta_pairs(F.col("_m"))).withColumn("_links", H.links(F.col("_m"), clean=True)))
+    d = _named(_detail(pages, "conference"), _m=H.markup(F.col("html")))
+    d = _named(d, _mt=H.meta_pairs(F.col("_m")))
+    d = _named(_titled(d, query_term, H.first_meta(F.col("_mt"), "citation_title")), _links=H.links(F.col("_m"), clean=True))
     bib_link = F.try_element_at(F.filter(F.col("_links"), lambda a: H.strip_ws(a["text"]) == F.lit("Bibtex")), F.lit(1))
     flat = d.select("url", "doc_id", "run_seq", "pos", "html", *_citation_meta(),
                     F.when(bib_link["href"].isNotNull(),
                            H.absolutize(bib_link["href"], H.origin(F.col("url")))).alias("bibtex_url"))
     specs = [dict(name="abstract", tag="p", after=dict(tag="h4", text="Abstract"))]
-    x = N.extract(flat, specs, [c for c in flat.columns if c != "html"])
+    x = N.extract(flat, specs, [c for c in flat.columns if c != "html"], error_col="parse_error")
     x = _with_bibtex(x, pages if lookup is None else lookup, "conference")
     return R.assemble(x, title=F.col("title"), authors=F.col("authors"), venue="conference",
                       year=F.col("year_text"), bibtex=F.col("bibtex"), url_pdf=F.col("url_pdf"),
                       abstract=F.col("abstract"), accepted=ACCEPTED["conference"], query_term=query_term,
-                      run_seq=F.col("run_seq"), pos=F.col("pos"), extra=["url", "doc_id"])
+                      run_seq=F.col("run_seq"), pos=F.col("pos"), extra=["url", "doc_id", "parse_error"])
 
 
 def preprint_records(pages: DataFrame, query_term: str | None = None, lookup: DataFrame | None = None) -> DataFrame:
-    d = _detail(pages, "preprints")
+    # The exact title is nested text. The JVM cuts it where the heading holds
+    # no other one; otherwise the page goes on to the parser.
+    heading = F.regexp_extract(F.col("html"), PREPRINT_HEADING, 1)
+    d = _named(_detail(pages, "preprints"), _h=F.when((heading != "") & ~F.contains(F.lower(heading), F.lit("<h1")), heading))
+    if query_term is not None:
+        title = F.replace(H.unescape(H.strip_tags(F.col("_h"))), F.lit("Title: "), F.lit(""))
+        d = _named(d, _t=title).where(F.col("_t").isNull() | matches_query(F.lower(F.col("_t")), query_term))
     pid = F.element_at(F.split(F.col("url"), "/"), -1)
     url_year = preprint_url_and_year(pid)
-    d = d.select("*", F.inline(F.array(F.struct(H.attr_of_first(F.col("html"), "a", "accesskey", "f", "href")
-                                               .alias("_pdf")))))
+    d = _named(d, _pdf=H.attr_of_first(F.col("html"), "a", "accesskey", "f", "href"))
     pdf = F.col("_pdf")
     flat = d.select("url", "doc_id", "run_seq", "pos", "html", pid.alias("pid"),
                     url_year["year"].alias("year_text"),
@@ -94,7 +125,7 @@ def preprint_records(pages: DataFrame, query_term: str | None = None, lookup: Da
     specs = [dict(name="t", tag="h1", cls="title mathjax", take="rawtext"),
              dict(name="a", tag="div", cls="authors", take="rawtext"),
              dict(name="ab", tag="blockquote", cls="abstract mathjax", take="rawtext")]
-    x = N.extract(flat, specs, [c for c in flat.columns if c != "html"])
+    x = N.extract(flat, specs, [c for c in flat.columns if c != "html"], error_col="parse_error")
     x = _with_bibtex(x, pages if lookup is None else lookup, "preprints")
     # Label removed, newline -> space, stripped; authors stay one string.
     authors = H.strip_ws(F.replace(F.replace(F.col("a"), F.lit("\n"), F.lit(" ")), F.lit("Authors:"), F.lit("")))
@@ -104,7 +135,7 @@ def preprint_records(pages: DataFrame, query_term: str | None = None, lookup: Da
                       venue="preprints", year=F.col("year_text"), bibtex=F.col("bibtex"),
                       url_pdf=F.col("url_pdf"), abstract=F.when(F.col("ab").isNotNull(), abstract),
                       accepted=ACCEPTED["preprints"], query_term=query_term,
-                      run_seq=F.col("run_seq"), pos=F.col("pos"), extra=["url", "doc_id"])
+                      run_seq=F.col("run_seq"), pos=F.col("pos"), extra=["url", "doc_id", "parse_error"])
 
 
 def forum_accept(pages: DataFrame) -> DataFrame:
@@ -119,45 +150,122 @@ def forum_accept(pages: DataFrame) -> DataFrame:
 
 def forum_records(pages: DataFrame, query_term: str | None = None, lookup: DataFrame | None = None) -> DataFrame:
     # The JSON is parsed once: filters and projections stay above the inline.
-    d = _detail(pages, "forum").select("*", F.inline(F.array(F.struct(forum_record(F.col("html")).alias("_rec")))))
+    d = _named(_detail(pages, "forum"), _rec=forum_record(F.col("html")))
     c = F.col("_rec")["content"]
+    d = _titled(d, query_term, c["title"])
     fid = F.nullif(F.regexp_extract(F.col("url"), r"[?&]id=([^&#]+)", 1), F.lit(""))
     flat = d.select("url", "doc_id", "run_seq", "pos", "year", fid.alias("fid"),
                     c["title"].alias("title"), c["authors"].alias("authors"), c["_bibtex"].alias("bibtex"),
                     F.when(c["pdf"].isNotNull(), H.absolutize(c["pdf"], H.origin(F.col("url")))).alias("url_pdf"),
-                    c["abstract"].alias("abstract"))
+                    c["abstract"].alias("abstract"),
+                    F.when(F.col("_rec").isNull(), F.lit("no record in the page")).alias("parse_error"))
     x = flat.join(forum_accept(pages if lookup is None else lookup), "fid", "left")
     return R.assemble(x, title=F.col("title"), authors=F.col("authors"), venue="forum",
                       year=F.col("year").cast("string"), bibtex=F.col("bibtex"), url_pdf=F.col("url_pdf"),
                       abstract=F.col("abstract"), accepted=F.coalesce(F.col("accepted"), F.lit(False)),
-                      query_term=query_term, run_seq=F.col("run_seq"), pos=F.col("pos"), extra=["url", "doc_id"])
+                      query_term=query_term, run_seq=F.col("run_seq"), pos=F.col("pos"), extra=["url", "doc_id", "parse_error"])
+
+
+# --- F1: the sites -------------------------------------------------------------
+
+def _hops(found: DataFrame, hop: str, link: Column | None = None) -> DataFrame:
+    return found.select("url", (F.col("link") if link is None else link).alias("link"), F.lit(hop).alias("hop"))
+
+
+def _next(listing: DataFrame) -> DataFrame:
+    found = L.next_page(listing, keep=["url"])
+    return _hops(found.where(F.col("next_url").isNotNull()), "next", F.col("next_url"))
+
+
+def proceedings_links(listing: DataFrame, query: str | None = None) -> DataFrame:
+    """L1 and L2: volumes that are no workshops, then the papers of a volume."""
+    volumes = L.listing_items(listing, VOLUME_WORD, WORKSHOP_WORD, keep=["url"])
+    papers = L.volume_links(listing, query or "", keep=["url"])
+    return _next(listing).unionByName(_hops(volumes, "listing")) \
+        .unionByName(_hops(papers, "detail", H.absolutize(F.col("link"), H.origin(F.col("url")))))
 
 
-# venue -> record builder. Links are found by the operators in
-# ``quire.operators.links``; landed detail pages are selected by ``kind``.
-RECORD_BUILDERS = {
-    "proceedings": proceedings_records,
-    "conference": conference_records,
-    "preprints": preprint_records,
-    "forum": forum_records,
+def conference_links(listing: DataFrame, query: str | None = None) -> DataFrame:
+    """L3: search results."""
+    return _next(listing).unionByName(_hops(L.search_result_links(listing, PAPER_MARKER, keep=["url"]), "detail"))
+
+
+def preprint_links(listing: DataFrame, query: str | None = None) -> DataFrame:
+    """L4 and X11: links with the prefix, whose ids give the urls."""
+    found = L.prefixed_links(listing, PREPRINT_PREFIX, keep=["url"])
+    return _next(listing).unionByName(_hops(found, "detail", preprint_url_and_year(F.col("link_id"))["url"]))
+
+
+def forum_links(listing: DataFrame, query: str | None = None) -> DataFrame:
+    """Notes whose title matches; the listing goes on by offset."""
+    notes = parse_notes(listing, "html", keep=["url"]).where(F.col("note_id").isNotNull())
+    notes = filter_by_query(notes.withColumn("title", F.coalesce("title", F.lit(""))), query or "")
+    later = L.next_notes(listing, NOTES_STEP)
+    return _hops(later, "next", F.col("next_url")).unionByName(
+        _hops(notes, "detail", F.concat(H.origin(F.col("url")), F.lit("/forum?id="), F.col("note_id"))))
+
+
+class Site(NamedTuple):
+    """``links(listing_pages, query)`` gives (url, link, hop): the next page of
+    a listing, another listing, or a detail page; ``records(pages, query,
+    lookup)`` gives the records of the detail pages."""
+    links: Callable[[DataFrame, str | None], DataFrame]
+    records: Callable[[DataFrame, str | None, DataFrame | None], DataFrame]
+
+
+# Words and link marks of the listings, notes of a reply.
+VOLUME_WORD, WORKSHOP_WORD = "Proceedings", "Workshop"
+PAPER_MARKER = "/paper/"
+PREPRINT_PREFIX = "https://preprints.example.org/abs"
+NOTES_STEP = 1000
+
+SITES = {
+    "proceedings": Site(proceedings_links, proceedings_records),
+    "conference": Site(conference_links, conference_records),
+    "preprints": Site(preprint_links, preprint_records),
+    "forum": Site(forum_links, forum_records),
 }
 
 
 def collect_records(pages: DataFrame, query: str | None = None, venues: list[str] | None = None,
-                    lookup: DataFrame | None = None) -> DataFrame:
+                    lookup: DataFrame | None = None, urls: DataFrame | None = None) -> DataFrame:
     """All records of the detail pages in ``pages`` (valid or not), optionally
     only those whose lowercased title matches ``query`` (P1, applied to every
-    venue). BibTeX pages and notes replies are looked up in ``lookup``
-    (default: ``pages``); a stream passes the whole landed table, since a
-    detail page and its BibTeX page can land in different batches."""
-    venues = venues or list(RECORD_BUILDERS)
-    parts = [RECORD_BUILDERS[v](pages, query, lookup) for v in venues]
+    venue) and those of the given ``urls``. BibTeX pages and notes replies are
+    looked up in ``lookup`` (default: ``pages``); a stream passes the whole
+    landed table, since a detail page and its BibTeX page can land in different
+    batches."""
+    lookup = pages if lookup is None else lookup
+    if urls is not None:
+        pages = pages.join(urls.select("url"), "url", "left_semi")
+    parts = [SITES[v].records(pages, query, lookup) for v in venues or list(SITES)]
     out = reduce(lambda a, b: a.unionByName(b), parts)
     if query is not None:
         out = filter_by_query(out.withColumn("title", F.coalesce("title", F.lit(""))), query)
     return out
 
 
+def crawl(pages: DataFrame, seeds: DataFrame, query: str | None = None,
+          venues: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """(links (url, link, hop) of all landed listings, urls of the listings
+    reached from ``seeds`` (url))."""
+    listings = pages.where(F.col("kind") == "listing")
+    parts = [SITES[v].links(listings.where(F.col("venue") == v), query).checkpoint() for v in venues or list(SITES)]
+    links = reduce(lambda a, b: a.unionByName(b), parts)
+    hop = F.col("hop")
+    return links, W.reachable(links.where(hop == "listing"), seeds, links.where(hop == "next"))
+
+
+def collect_from_listings(pages: DataFrame, seeds: DataFrame, query: str | None = None,
+                          venues: list[str] | None = None) -> DataFrame:
+    """The records of the detail pages that the listings lead to: links, crawl
+    to a fixpoint, semi-join of the landed detail pages, extraction."""
+    links, reached = crawl(pages, seeds, query, venues)
+    found = links.where(F.col("hop") == "detail").join(reached, "url", "left_semi")
+    urls = found.select(F.col("link").alias("url")).distinct()
+    return collect_records(pages, query, venues, urls=urls)
+
+
 def collect(pages: DataFrame, query: str | None = None) -> tuple[DataFrame, DataFrame]:
     """(valid records, rejects) ready for the upsert."""
     recs = collect_records(pages, query)

@@ -563,11 +563,11 @@ def nested_text(spark, sf):
 _LANDED: dict[tuple, str] = {}
 
 
-def _rendered(spark, sf):
-    """Render the stand-in pages and land them (S11) under the shared folder,
-    partitioned by venue and kind; the collect plan then scans (S1) only the
-    partitions it needs. Like a real landing, it happens once per session and
-    input: later queries read the landed table."""
+def _landed(spark, sf, what: str, pages: Callable[[], DataFrame]) -> DataFrame:
+    """Stand-in pages landed (S11) under the shared folder, partitioned by
+    venue and kind; plans then scan (S1) only the partitions they need. Like a
+    real landing, it happens once per session and input: later queries read
+    the landed table."""
     from ..session import shared_path
     from ..sources.pages import land_pages, read_pages
     from ..sources.store import _fs
@@ -577,18 +577,22 @@ def _rendered(spark, sf):
         fs, p, _ = _fs(spark, f)
         st = fs.getFileStatus(p)
         stamps.append((f, st.getLen(), st.getModificationTime()))
-    key = (spark.sparkContext.applicationId, *stamps)
+    key = (spark.sparkContext.applicationId, what, *stamps)
     path = _LANDED.get(key)
     if path is not None:
         fs, p, jvm = _fs(spark, path)
         if fs.exists(jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS")):
             return read_pages(spark, path)
-    path = shared_path(spark, "landed-pages")
-    land_pages(D.render_pages(_docs(spark, sf), D.read(spark, sf, "labels")), path, ["venue", "kind"], "overwrite")
+    path = shared_path(spark, what)
+    land_pages(pages(), path, ["venue", "kind"], "overwrite")
     _LANDED[key] = path
     return read_pages(spark, path)
 
 
+def _rendered(spark, sf):
+    return _landed(spark, sf, "landed-pages", lambda: D.render_pages(_docs(spark, sf), D.read(spark, sf, "labels")))
+
+
 PREPRINT_ID_SQL = """CASE WHEN d.year >= 2007
   THEN lpad(CAST(d.year % 100 AS VARCHAR), 2, '0') || '01.' || lpad(CAST(d.doc_id AS VARCHAR), CAST(greatest(5, length(CAST(d.doc_id AS VARCHAR))) AS INTEGER), '0')
   ELSE lpad(CAST(d.year % 100 AS VARCHAR), 2, '0') || '01' || lpad(CAST(d.doc_id AS VARCHAR), CAST(greatest(3, length(CAST(d.doc_id AS VARCHAR))) AS INTEGER), '0') END"""
@@ -613,7 +617,8 @@ exp AS (
          ELSE d.bibtex END AS bibtex,
     CASE d.lang WHEN 'de' THEN false WHEN 'es' THEN coalesce(l.quality = 1 OR l.toxic = 1, false) ELSE true END AS accepted,
     d.run_seq, d.pos
-  FROM docs_p d LEFT JOIN labels l ON l.doc_id = d.doc_id),
+  FROM (SELECT * REPLACE (CASE WHEN lang IN ('en', 'fr', 'de') THEN lang ELSE 'es' END AS lang) FROM docs_p) d
+  LEFT JOIN labels l ON l.doc_id = d.doc_id),
 expc AS (
   SELECT *, CASE WHEN year IS NULL THEN 'error' WHEN NOT {VALID_COND} THEN 'invalid' END AS reason,
          {MISSING_EXPR} AS missing FROM exp)"""
@@ -649,16 +654,88 @@ def collect_papers(spark, sf):
     return U.upsert(None, valid).select("title", F.col("pos").alias("doc_id"), "venue")
 
 
+# The listings a crawl walks, as (venue, kind, number), without their html:
+# fronts and results name the next page, fronts the volumes of their ids.
+CRAWL = f"""lastid AS (SELECT max(doc_id) AS n FROM documents),
+walk AS (
+  SELECT venue, kind, CAST(0 AS BIGINT) AS k FROM (VALUES ('proceedings', 'front'), ('conference', 'results'),
+    ('preprints', 'results'), ('forum', 'results')) v(venue, kind)
+  UNION
+  SELECT w.venue, s.kind, s.k FROM walk w, lastid, LATERAL (
+    SELECT w.kind AS kind, w.k + 1 AS k WHERE w.kind <> 'volume' AND w.k < n //
+      CASE w.venue WHEN 'proceedings' THEN {D.VOLUME * D.VOLUMES} WHEN 'forum' THEN {D.REPLY_PAGE} ELSE {D.RESULTS} END
+    UNION ALL
+    SELECT 'volume', j FROM (SELECT unnest(range(w.k * {D.VOLUMES}, (w.k + 1) * {D.VOLUMES})) AS j)
+    WHERE w.kind = 'front' AND j <= n // {D.VOLUME}) s),
+found AS (
+  SELECT e.* FROM expc e JOIN walk w ON w.venue = e.venue AND w.kind <> 'front' AND w.k = e.doc_id //
+    CASE e.venue WHEN 'proceedings' THEN {D.VOLUME} WHEN 'forum' THEN {D.REPLY_PAGE} ELSE {D.RESULTS} END)"""
+_RECORD_SQL = """doc_id, venue, title, array_to_string(authors, ' | ') AS authors, year, url_pdf, abstract, bibtex,
+       accepted, reason, missing"""
+
+
+def _site(spark, sf):
+    """Landed pages, the listings that lead to them, and the listings' first pages."""
+    pages = _rendered(spark, sf)
+    seeds = spark.createDataFrame([(u,) for u in D.LISTING_SEEDS], "url string")
+    listings = _landed(spark, sf, "landed-listings", lambda: D.listing_pages(_docs(spark, sf)))
+    return pages.unionByName(listings), seeds
+
+
+def _found(records):
+    return R.classify(records).select(
+        "doc_id", "venue", "title", F.array_join("authors", " | ").alias("authors"), "year", "url_pdf",
+        "abstract", "bibtex", "accepted", "reason", F.array_join("missing", ",").alias("missing"))
+
+
+@register("collect_from_listings", f"""WITH RECURSIVE {EXPECTED},
+{CRAWL}
+SELECT {_RECORD_SQL} FROM found""")
+def collect_from_listings(spark, sf):
+    """The listings walked to a fixpoint, then the records of
+    the detail pages they lead to."""
+    pages, seeds = _site(spark, sf)
+    return _found(C.collect_from_listings(pages, seeds))
+
+
+@register("collect_query_from_listings", f"""WITH RECURSIVE {EXPECTED},
+{CRAWL}
+SELECT {_RECORD_SQL.replace(" title,", " coalesce(title, '') AS title,")} FROM found
+WHERE contains(lower(coalesce(title, '')), 'the') AND contains(lower(coalesce(title, '')), 'ing')
+  AND contains(lower(coalesce(title, '')), 'an')""")
+def collect_query_from_listings(spark, sf):
+    """P1 at the listings and below the Python pass: only pages whose title
+    matches are parsed."""
+    pages, seeds = _site(spark, sf)
+    return _found(C.collect_from_listings(pages, seeds, TITLE_QUERY))
+
+
+@register("crawl_frontier", f"""WITH RECURSIVE {EXPECTED},
+{CRAWL}
+SELECT CASE venue WHEN 'proceedings' THEN 'https://proceedings.example.org/v0/missing' || k || '.html'
+                  WHEN 'conference' THEN 'https://conference.example.org/paper/missing' || k || '-Abstract.html'
+                  WHEN 'preprints' THEN 'https://preprints.example.org/abs/0001.m' || k
+                  ELSE 'https://forum.example.org/forum?id=missing' || k END AS url
+FROM walk WHERE kind <> 'front'""")
+def crawl_frontier(spark, sf):
+    """What the reached listings link to and nobody has landed."""
+    from ..operators.crawl import to_fetch
+    pages, seeds = _site(spark, sf)
+    links, reached = C.crawl(pages, seeds)
+    return to_fetch(links, reached, pages)
+
+
 _FQ_FIELDS = ["title", "authors", "venue", "year", "url_pdf", "abstract", "bibtex", "accepted"]
 
 
-def _fq_sql() -> str:
+def _fq_sql(ctes: str = EXPECTED, table: str = "exp", badcast: str = "false") -> str:
     parts = []
     for f in _FQ_FIELDS:
         blank = {"authors": "len(authors) = 0", "year": "false", "accepted": "false"}.get(f, f"{f} = ''")
         parts.append(f"SELECT '{f}' AS field, count(*) AS n_rows, count(*) - count({f}) AS n_null, "
-                     f"count(*) FILTER (WHERE {blank}) AS n_blank, CAST(0 AS BIGINT) AS n_badcast FROM exp")
-    return f"WITH {EXPECTED}\n" + "\nUNION ALL\n".join(parts)
+                     f"count(*) FILTER (WHERE {blank}) AS n_blank, "
+                     f"count(*) FILTER (WHERE {badcast if f == 'year' else 'false'}) AS n_badcast FROM {table}")
+    return f"WITH {ctes}\n" + "\nUNION ALL\n".join(parts)
 
 
 @register("field_quality", _fq_sql())
@@ -666,6 +743,39 @@ def field_quality(spark, sf):
     return R.field_quality(C.collect_records(_rendered(spark, sf)))
 
 
+# The damage of D.damage_pages: what is left of the records' fields.
+DAMAGED_PAGES = f"""{EXPECTED},
+hurt AS (SELECT *, venue = 'forum' AND doc_id % 5 = 1 AS cut, venue = 'forum' AND doc_id % 5 = 2 AS odd,
+                venue <> 'forum' AND doc_id % 7 = 3 AS broken,
+                venue IN ('proceedings', 'conference') AND doc_id % 7 = 4 AS undated FROM exp),
+left_over AS (SELECT * REPLACE (
+    CASE WHEN cut OR (broken AND venue = 'preprints') THEN NULL ELSE title END AS title,
+    CASE WHEN cut OR odd OR (broken AND venue = 'preprints') THEN NULL ELSE authors END AS authors,
+    CASE WHEN undated THEN NULL ELSE year END AS year,
+    CASE WHEN cut THEN NULL ELSE url_pdf END AS url_pdf,
+    CASE WHEN cut OR broken THEN NULL ELSE abstract END AS abstract,
+    CASE WHEN cut OR (broken AND venue = 'proceedings') THEN NULL ELSE bibtex END AS bibtex) FROM hurt)"""
+
+
+def _damaged_pages(spark, sf):
+    return C.collect_records(D.damage_pages(_rendered(spark, sf)))
+
+
+@register("damaged_pages", f"""WITH {DAMAGED_PAGES}
+SELECT doc_id, venue, CASE WHEN cut OR broken OR year IS NULL THEN 'error' WHEN NOT {VALID_COND} THEN 'invalid' END AS reason,
+       {MISSING_EXPR} AS missing FROM left_over""")
+def damaged_pages(spark, sf):
+    """Pages that the parser refuses, embedded JSON that is cut off, years
+    that are no numbers: ``error``; a mistyped field: ``invalid``."""
+    return R.classify(_damaged_pages(spark, sf)).select("doc_id", "venue", "reason", F.array_join("missing", ",").alias("missing"))
+
+
+@register("field_quality_damaged", _fq_sql(DAMAGED_PAGES, "left_over", "undated"))
+def field_quality_damaged(spark, sf):
+    """P3 over damaged pages: failed casts of the year, nulls of lost fields."""
+    return R.field_quality(_damaged_pages(spark, sf))
+
+
 @register("meta_fields", f"""WITH {DOCS_P}
 SELECT doc_id, title, array_to_string(authors, ' | ') AS authors, CAST(year AS VARCHAR) AS year_text, url_pdf
 FROM docs_p WHERE lang IN ('en', 'fr')""")
@@ -698,7 +808,7 @@ def bibtex_join(spark, sf):
 @register("accept_flag", f"""WITH {DOCS_P}
 SELECT 'f' || CAST(d.doc_id AS VARCHAR) AS fid, coalesce(l.quality = 1 OR l.toxic = 1, false) AS accepted,
        l.doc_id IS NOT NULL AS has_notes
-FROM docs_p d LEFT JOIN labels l ON l.doc_id = d.doc_id WHERE d.lang = 'es'""")
+FROM docs_p d LEFT JOIN labels l ON l.doc_id = d.doc_id WHERE coalesce(d.lang NOT IN ('en', 'fr', 'de'), true)""")
 def accept_flag(spark, sf):
     return C.forum_accept(_rendered(spark, sf))
 

@@ -26,11 +26,14 @@ Landed pages rendered from those papers, by ``lang``:
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions import html as H
+from ..functions.ids import preprint_url_and_year
 from ..session import table_path
 
 SCORES = schemas.PAPERS["similarities"].dataType
@@ -43,6 +46,7 @@ HOSTS = {
     "es": "https://forum.example.org",
 }
 VENUES = {"en": "proceedings", "fr": "conference", "de": "preprints", "es": "forum"}
+PREPRINT_ABS = HOSTS["de"] + "/abs/"
 # Notes per JSON reply page (the listing API's offset step).
 REPLY_PAGE = 1000
 
@@ -149,6 +153,25 @@ def preprint_id(year: Column, doc_id: Column) -> Column:
     return F.when(year >= 2007, new).otherwise(old)
 
 
+def site_lang(lang: Column) -> Column:
+    """The layout of a language: those without one of their own take the forum's."""
+    return F.when(lang.isin("en", "fr", "de"), lang).otherwise(F.lit("es"))
+
+
+def damage_pages(pages: DataFrame) -> DataFrame:
+    """Landed pages with the damage that sites show, by id: raw years that are
+    no numbers, markup that breaks the parser, embedded JSON that is cut off
+    or of another type."""
+    k, html, venue = F.col("doc_id"), F.col("html"), F.col("venue")
+    detail, forum = F.col("kind") == "detail", venue == "forum"
+    year = F.regexp_replace(html, r"[0-9]{3}([0-9])(/01/15|-06-01)", "20x$1$2")
+    return pages.withColumn(
+        "html", F.when(detail & forum & (k % 5 == 1), F.regexp_replace(html, r"(?s)\}[^}]*</script>.*$", "</script>"))
+        .when(detail & forum & (k % 5 == 2), F.regexp_replace(html, r'(?s)"authors":\[[^\]]*\]', '"authors":{"first":1}'))
+        .when(detail & ~forum & (k % 7 == 3), F.concat(html, F.lit("<![broken]>")))
+        .when(detail & ~forum & (k % 7 == 4), year).otherwise(html))
+
+
 def _meta(name: str, value: Column, content_first: Column) -> Column:
     # As page writers do: ``>`` stays in attributes, accents as named and
     # numeric references, text that looks like another attribute before it.
@@ -208,7 +231,7 @@ def render_pages(papers: DataFrame, labels: DataFrame) -> DataFrame:
 
     # de: preprint layout
     pid = preprint_id(F.col("year"), F.col("doc_id"))
-    de_url = F.concat(F.lit(HOSTS["de"] + "/abs/"), pid)
+    de_url = preprint_url_and_year(pid, PREPRINT_ABS)["url"]
     de_html = F.concat(
         F.lit("<html><head><title>"), esc(F.col("title")), F.lit("</title></head><body>\n"),
         F.lit("<h1 class=\"title\">decoy</h1>\n"),
@@ -243,7 +266,7 @@ def render_pages(papers: DataFrame, labels: DataFrame) -> DataFrame:
     reply = F.when(labeled, F.to_json(F.struct(notes.alias("notes")))).otherwise(F.lit('{"status": "no notes"}'))
 
     # One pass: every document yields its pages as an array, exploded once.
-    lang = F.col("lang")
+    lang = site_lang(F.col("lang"))
     no_year = F.lit(None).cast("int")
 
     def pg(url, html, kind, year=no_year):
@@ -265,6 +288,95 @@ def render_pages(papers: DataFrame, labels: DataFrame) -> DataFrame:
                       "run_seq", F.col("doc_id").alias("pos"), "doc_id")
 
 
+# Entries of a listing page: volumes on a front page, papers of a volume,
+# search results. (A front page spans VOLUMES * VOLUME ids.)
+VOLUMES, VOLUME, RESULTS = 8, 50, 100
+#: First pages of the four listings.
+LISTING_SEEDS = [HOSTS["en"] + "/?page=0", HOSTS["fr"] + "/papers/search?page=0", HOSTS["de"] + "/search?page=0",
+                 HOSTS["es"] + "/notes?invitation=all&offset=0"]
+
+
+def listing_pages(papers: DataFrame) -> DataFrame:
+    """The listings of the four sites, as landed pages of kind ``listing``.
+    Each page names the next one; the last has none (a notes reply without
+    notes ends the forum's). Each also links to one page that has not landed;
+    front pages name a workshop volume as well, which no crawl should enter."""
+    spark = papers.sparkSession
+    papers = papers.where(F.col("doc_id") >= 0)
+    last = papers.agg(F.max("doc_id")).first()[0]
+    last = -1 if last is None else last
+    key = F.col("doc_id")
+
+    def entries(lang: str, size: int, entry: Column) -> DataFrame:
+        """(blk, body): one row for every block of ids, also for an empty one."""
+        own = papers.where(site_lang(F.col("lang")) == lang).select(F.floor(key / size).alias("blk"), "doc_id", entry.alias("e"))
+        own = own.groupBy("blk").agg(F.transform(F.array_sort(F.collect_list(F.struct("doc_id", "e"))), lambda x: x["e"]).alias("es"))
+        blocks = spark.range(last // size + 1).select(F.col("id").alias("blk"))
+        return blocks.join(own, "blk", "left").withColumn("es", F.coalesce("es", F.array().cast("array<string>")))
+
+    def numbered(lang: str, path: str, blk: Column) -> Column:
+        return F.concat(F.lit(HOSTS[lang] + path), blk.cast("string"))
+
+    def later(path: str, blk: Column, size: int) -> Column:
+        link = F.concat(F.lit(f'<p><a class="pagination-next x" href="{path}'), (blk + 1).cast("string"), F.lit('">Next</a></p>'))
+        return F.when(blk < last // size, link).otherwise(F.lit(""))
+
+    def page(rows: DataFrame, lang: str, url: Column, html: Column) -> DataFrame:
+        null = F.lit(None)
+        return rows.select(F.xxhash64(url).alias("page_id"), url.alias("url"), html.alias("html"), F.lit(VENUES[lang]).alias("venue"),
+                           F.lit("listing").alias("kind"), null.cast("int").alias("year"), null.cast("bigint").alias("run_seq"),
+                           null.cast("bigint").alias("pos"), null.cast("bigint").alias("doc_id"))
+
+    blk = F.col("blk")
+    n, doc, title = blk.cast("string"), key.cast("string"), F.col("title")
+    joined = F.array_join("es", "\n")
+
+    # en: front pages name volumes, volumes name papers
+    volume = spark.range(last // VOLUME + 1).select(F.floor(F.col("id") / VOLUMES).alias("blk"), "id")
+    item = F.concat(F.lit('<li><a href="/volume/'), F.col("id").cast("string"), F.lit('"><b>Volume</b></a> Proceedings of the meeting</li>'))
+    fronts = volume.groupBy("blk").agg(F.array_join(F.transform(
+        F.array_sort(F.collect_list(F.struct("id", item.alias("e")))), lambda x: x["e"]), "\n").alias("items"))
+    workshop = F.concat(F.lit('<li><a href="/volume/w'), n, F.lit('">Volume</a> Proceedings of a Workshop</li><li>About <a href="/about">us</a></li>'))
+    front = page(fronts, "en", numbered("en", "/?page=", blk), F.concat(
+        F.lit("<html><body><ul>"), F.col("items"), workshop, F.lit("</ul>"), later("/?page=", blk, VOLUME * VOLUMES), F.lit("</body></html>")))
+
+    def paper(title: Column, href: Column) -> Column:
+        return F.concat(F.lit('<div class="paper">'),
+                        F.when(title != "", F.concat(F.lit('<p class="title">'), H.escape(title), F.lit("</p>"))).otherwise(F.lit("")),
+                        F.lit('<p>[<a href="'), href, F.lit('">abs</a>] [<a href="/x.pdf">pdf</a>]</p></div>'))
+
+    own = paper(title, F.concat(F.lit("/v"), F.col("run_seq").cast("string"), F.lit("/doc"), doc, F.lit(".html")))
+    gone = paper(F.lit("missing"), F.concat(F.lit("/v0/missing"), n, F.lit(".html")))
+    volumes = page(entries("en", VOLUME, own), "en", numbered("en", "/volume/", blk),
+                   F.concat(F.lit("<html><body>"), joined, gone, F.lit("</body></html>")))
+
+    # fr: search results
+    own = F.concat(F.lit('<li><a title="paper" href="/paper/doc'), doc, F.lit('-Abstract.html">'), H.escape(title), F.lit("</a> <i>names</i></li>"))
+    gone = F.concat(F.lit('<li><a href="/about">About</a></li><li><a href="/paper/missing'), n, F.lit('-Abstract.html">missing</a></li>'))
+    results = page(entries("fr", RESULTS, own), "fr", numbered("fr", "/papers/search?page=", blk),
+                   F.concat(F.lit("<html><body><ul>"), joined, gone, F.lit("</ul>"), later("/papers/search?page=", blk, RESULTS), F.lit("</body></html>")))
+
+    # de: search results with ids
+    abs_url = PREPRINT_ABS
+    own = F.concat(F.lit(f'<li><p class="list-title"><a href="{abs_url}'), preprint_id(F.col("year"), key), F.lit('">id</a> <a href="/pdf/x">pdf</a></p></li>'))
+    gone = F.concat(F.lit(f'<li><a href="{abs_url}0001.m'), n, F.lit('">missing</a></li>'))
+    preprints = page(entries("de", RESULTS, own), "de", numbered("de", "/search?page=", blk),
+                     F.concat(F.lit("<html><body><ol>"), joined, gone, F.lit("</ol>"), later("/search?page=", blk, RESULTS), F.lit("</body></html>")))
+
+    # es: notes replies, by offset
+    def note(i: Column, title: Column) -> Column:
+        return F.to_json(F.struct(i.alias("id"), i.alias("forum"), F.struct(title.alias("title")).alias("content")))
+
+    own = note(F.concat(F.lit("f"), doc), title)
+    reply = entries("es", REPLY_PAGE, own)
+    empty = spark.range(1).select(F.lit(last // REPLY_PAGE + 1).cast("bigint").alias("blk"), F.array().cast("array<string>").alias("es"))
+    notes = F.when(blk <= last // REPLY_PAGE, F.array_join(F.concat(F.col("es"), F.array(note(F.concat(F.lit("missing"), n), F.lit("missing")))), ",")) \
+        .otherwise(F.lit(""))
+    forum = page(reply.unionByName(empty), "es", F.concat(F.lit(HOSTS["es"] + "/notes?invitation=all&offset="), (blk * REPLY_PAGE).cast("string")),
+                 F.concat(F.lit('{"notes": ['), notes, F.lit("]}")))
+    return reduce(DataFrame.unionByName, [front, volumes, results, preprints, forum])
+
+
 def conversation_listing(conv: DataFrame) -> DataFrame:
     """A JSON notes listing per conversation (one reply body per forum, at most
     the conversation's turns): note id = conv-turn, title = first line of the

@@ -118,3 +118,12 @@ def test_meta_reading_hazards(spark):
         *[H.first_meta(H.meta_pairs(H.markup(F.col("html"))), n).alias(n) for n in "tuvw"]).first()
     assert row["t"] == "O(n) -> O(1) sorting" and row["u"] == "a name=z here" and row["w"] == "first"
     assert row["v"] == "Café é – ’x &lt; &unknown; 😀 AT&T"
+
+
+def test_broken_markup_is_an_error(spark):
+    fields, error = N.parsed_fields("<p>a</p><![broken]>", [dict(name="x", tag="p")])
+    assert fields == [None] and error.startswith("AssertionError")
+    assert N.parsed_fields("<p>a</p>", [dict(name="x", tag="p")]) == (["a"], None)
+    got = N.extract(_pages(spark, "<p>a</p>", "<p>b</p><![broken]>", None), [dict(name="x", tag="p")], ["page_id"], error_col="why")
+    rows = {r["page_id"]: (r["x"], r["why"] is None) for r in got.collect()}
+    assert rows == {0: ("a", True), 1: (None, False), 2: (None, True)}
