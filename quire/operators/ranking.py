@@ -47,3 +47,20 @@ def global_rank(df: DataFrame, order: list[Column], rank_col: str = "rank", grou
     out = keyed.join(offsets, ["_pid", "_g"]).withColumn(
         rank_col, F.col("_before") + (local - F.col("_first")) + F.lit(1))
     return out.drop("_mid", "_pid", "_g", "_before", "_first")
+
+
+def running_totals(df: DataFrame, order: list[Column], value: str, total_col: str) -> DataFrame:
+    """``total_col``: the sum of ``value`` over all rows that come earlier in
+    ``order``. Rows are range-sorted; each partition sums its own, and only the
+    partitions' sums (one row each) are added up in one place."""
+    from pyspark.sql import Window
+    ensure_checkpoint_dir(df.sparkSession)
+    tagged = df.orderBy(*order).withColumn("_mid", F.monotonically_increasing_id()).checkpoint(eager=True)
+    keyed = tagged.withColumn("_pid", F.shiftright(F.col("_mid"), _LOW_BITS))
+    earlier = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    parts = keyed.groupBy("_pid").agg(F.sum(value).alias("_sum")) \
+        .select("_pid", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_of_parts"))
+    within = Window.partitionBy("_pid").orderBy("_mid").rowsBetween(Window.unboundedPreceding, -1)
+    own = keyed.withColumn("_of_rows", F.coalesce(F.sum(value).over(within), F.lit(0)))
+    return own.join(F.broadcast(parts), "_pid").withColumn(total_col, F.col("_of_parts") + F.col("_of_rows")) \
+        .drop("_pid", "_mid", "_of_parts", "_of_rows")

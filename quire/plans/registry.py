@@ -402,11 +402,11 @@ def bibtex_export(spark, sf):
 SELECT row_number() OVER (ORDER BY run_seq, pos) - 1 AS pos, coalesce(bibtex, '') AS entry FROM latest
 WHERE contains(lower(title), 'the')""")
 def bibtex_file(spark, sf):
-    """The export written as text and read back, text and order."""
+    """The export written as several text files and read back, text and order."""
     from ..session import shared_path
     from ..sources.store import export_bibtex, read_bibtex
     path = shared_path(spark, "bibtex")
-    export_bibtex(M.filter_by_query(_valid_latest(spark, sf), "the"), path)
+    export_bibtex(M.filter_by_query(_valid_latest(spark, sf), "the"), path, entries_per_file=100)
     return read_bibtex(spark, path)
 
 

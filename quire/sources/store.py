@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..operators import records as R
 from ..operators import upsert as U
+from ..operators.bounds import maybe_broadcast
+from ..operators.ranking import running_totals
 
 # Fixed values of the CSV export source: positions of the columns read, and
 # the venue it stands for.
@@ -128,17 +130,18 @@ def _tag(batch: tuple[str, int]) -> str:
 
 
 def arrival(rows: DataFrame) -> DataFrame:
-    """``_pos``: the place of each row of a file source, files in order of name
-    and rows in order within a file (Spark's row ids rise within a file, while
-    the order of files follows their packing)."""
-    rows = rows.withColumn("_file", F.input_file_name()).withColumn("_row", F.monotonically_increasing_id())
-    files = rows.groupBy("_file").agg(F.min("_row").alias("first"), F.count("*").alias("n")).orderBy("_file").collect()
-    shifts, n = [], 0
-    for r in files:  # one entry for each file
-        shifts += [F.lit(r["_file"]), F.lit(n - r["first"])]
-        n += r["n"]
-    shift = F.create_map(*shifts)[F.col("_file")] if shifts else F.lit(0)
-    return rows.withColumn("_pos", (F.col("_row") + shift).cast("bigint")).drop("_file", "_row")
+    """``_pos``: the place of each row of a file source: files in order of
+    name, the splits of a file in order of their first byte, rows in order
+    within a split. Spark reads a split in one task, so its row ids rise there;
+    how splits are packed into tasks makes no difference. Splits are counted,
+    their counts added up over the sorted splits, and the sums joined back."""
+    rows = rows.withColumn("_file", F.col("_metadata.file_path")).withColumn("_block", F.col("_metadata.file_block_start")) \
+        .withColumn("_row", F.monotonically_increasing_id())
+    splits = rows.groupBy("_file", "_block").agg(F.min("_row").alias("_first"), F.count("*").alias("_n"))
+    splits = running_totals(splits, [F.col("_file"), F.col("_block")], "_n", "_before").drop("_n")
+    pos = F.col("_row") - F.col("_first") + F.col("_before")
+    return rows.join(maybe_broadcast(splits, ["_file"]), ["_file", "_block"]).withColumn("_pos", pos.cast("bigint")) \
+        .drop("_file", "_block", "_row", "_first", "_before")
 
 
 def read_csv_papers(spark: SparkSession, path: str, venue: str = CSV_VENUE) -> DataFrame:
@@ -182,10 +185,12 @@ def read_bibtex(spark: SparkSession, path: str) -> DataFrame:
     return arrival(spark.read.text(path, lineSep="\n\n")).select(F.col("_pos").alias("pos"), F.col("value").alias("entry"))
 
 
-def export_bibtex(selected: DataFrame, path: str, order_cols: list[str] | None = None) -> None:
+def export_bibtex(selected: DataFrame, path: str, order_cols: list[str] | None = None, entries_per_file: int = 0) -> None:
     """Write the BibTeX entries of the selected rows as text, a blank line
     between entries, missing entries as empty strings. Distributed: each task
-    writes its range of the order; files are named in order."""
+    writes its range of the order; files are named in order.
+    ``entries_per_file`` cuts a task's range into several files (0: none; up to
+    1,000 files a task keep the order of names)."""
     order_cols = order_cols or ["run_seq", "pos"]
     (selected.orderBy(*order_cols).select(F.coalesce(F.col("bibtex"), F.lit("")).alias("value"))
-     .write.mode("overwrite").option("lineSep", "\n\n").text(path))
+     .write.mode("overwrite").option("lineSep", "\n\n").option("maxRecordsPerFile", entries_per_file).text(path))
