@@ -9,7 +9,8 @@ from the page, and so is the semi-join with the urls that a crawl found: pages
 that can't match are never parsed. Flat fields are JVM columns; nested text goes through one Python pass per
 page (the JVM fields ride along, so no join is needed to put them back);
 the bibtex page (J1) and the notes replies (J2, A3) are joined on derived
-URLs / forum ids.
+URLs / forum ids. A stream takes the same details and lookups apart
+(:mod:`quire.streaming.ingest`) and holds what still misses the other.
 
 Records carry the papers columns plus ``url``, ``doc_id``, ``year_text`` and
 ``parse_error``.
@@ -64,78 +65,80 @@ def _detail(pages: DataFrame, venue: str) -> DataFrame:
     return pages.where((F.col("kind") == "detail") & (F.col("venue") == venue))
 
 
-def _with_bibtex(x: DataFrame, pages: DataFrame, venue: str) -> DataFrame:
-    """Detail -> its bibtex page; absent page -> null bibtex (invalid). A
-    row without a link joins under a key of its own, not all under null."""
-    key = F.coalesce("bibtex_url", F.concat(F.lit("none:"), F.col("url")))
-    return x.withColumn("bibtex_url", key).join(_bibtex_pages(pages, venue), "bibtex_url", "left")
+# What is read off a detail page alone, the same columns for every venue.
+# ``lookup_key`` names what the record still needs: a BibTeX page by its url, or
+# the notes of a forum by its id; a venue that needs neither has null.
+DETAIL = ["url", "doc_id", "run_seq", "pos", "title", "authors", "year_text", "url_pdf", "abstract", "bibtex",
+          "lookup_key", "parse_error"]
 
 
-def _bibtex_pages(pages: DataFrame, venue: str) -> DataFrame:
-    return pages.where((F.col("kind") == "bibtex") & (F.col("venue") == venue)).select(
-        F.col("url").alias("bibtex_url"), F.col("html").alias("bibtex"))
+def _extracted(flat: DataFrame, specs: list[dict]) -> DataFrame:
+    return N.extract(flat, specs, [c for c in flat.columns if c != "html"], error_col="parse_error")
 
 
-def proceedings_records(pages: DataFrame, query_term: str | None = None, lookup: DataFrame | None = None) -> DataFrame:
+def _details(x: DataFrame, **columns: Column) -> DataFrame:
+    """The columns of ``DETAIL``: those of ``x``, or given, or null."""
+    types = {"authors": "array<string>"}
+    cols = {c: columns.get(c, F.col(c) if c in x.columns else F.lit(None)) for c in DETAIL}
+    return x.select(*(v.cast(types.get(c, "string" if c not in ("doc_id", "run_seq", "pos") else "bigint")).alias(c)
+                      for c, v in cols.items()))
+
+
+def proceedings_details(pages: DataFrame, query: str | None = None) -> DataFrame:
     d = _named(_detail(pages, "proceedings"), _mt=H.meta_pairs(H.markup(F.col("html"))))
-    d = _titled(d, query_term, H.first_meta(F.col("_mt"), "citation_title"))
+    d = _titled(d, query, H.first_meta(F.col("_mt"), "citation_title"))
     flat = d.select("url", "doc_id", "run_seq", "pos", "html", *_citation_meta())
-    specs = [dict(name="abstract", tag="div", cls="abstract"),
-             dict(name="bibtex", tag="code", cls="citecode", id="bibtex")]
-    x = N.extract(flat, specs, [c for c in flat.columns if c != "html"], error_col="parse_error")
-    return R.assemble(x, title=F.col("title"), authors=F.col("authors"), venue="proceedings",
-                      year=F.col("year_text"), bibtex=F.col("bibtex"), url_pdf=F.col("url_pdf"),
-                      abstract=F.col("abstract"), accepted=ACCEPTED["proceedings"], query_term=query_term,
-                      run_seq=F.col("run_seq"), pos=F.col("pos"), extra=["url", "doc_id", "parse_error"])
+    return _details(_extracted(flat, [dict(name="abstract", tag="div", cls="abstract"),
+                                      dict(name="bibtex", tag="code", cls="citecode", id="bibtex")]))
 
 
-def conference_records(pages: DataFrame, query_term: str | None = None, lookup: DataFrame | None = None) -> DataFrame:
+def conference_details(pages: DataFrame, query: str | None = None) -> DataFrame:
     d = _named(_detail(pages, "conference"), _m=H.markup(F.col("html")))
     d = _named(d, _mt=H.meta_pairs(F.col("_m")))
-    d = _named(_titled(d, query_term, H.first_meta(F.col("_mt"), "citation_title")), _links=H.links(F.col("_m"), clean=True))
+    d = _named(_titled(d, query, H.first_meta(F.col("_mt"), "citation_title")), _links=H.links(F.col("_m"), clean=True))
     bib_link = F.try_element_at(F.filter(F.col("_links"), lambda a: H.strip_ws(a["text"]) == F.lit("Bibtex")), F.lit(1))
     flat = d.select("url", "doc_id", "run_seq", "pos", "html", *_citation_meta(),
                     F.when(bib_link["href"].isNotNull(),
-                           H.absolutize(bib_link["href"], H.origin(F.col("url")))).alias("bibtex_url"))
-    specs = [dict(name="abstract", tag="p", after=dict(tag="h4", text="Abstract"))]
-    x = N.extract(flat, specs, [c for c in flat.columns if c != "html"], error_col="parse_error")
-    x = _with_bibtex(x, pages if lookup is None else lookup, "conference")
-    return R.assemble(x, title=F.col("title"), authors=F.col("authors"), venue="conference",
-                      year=F.col("year_text"), bibtex=F.col("bibtex"), url_pdf=F.col("url_pdf"),
-                      abstract=F.col("abstract"), accepted=ACCEPTED["conference"], query_term=query_term,
-                      run_seq=F.col("run_seq"), pos=F.col("pos"), extra=["url", "doc_id", "parse_error"])
+                           H.absolutize(bib_link["href"], H.origin(F.col("url")))).alias("lookup_key"))
+    return _details(_extracted(flat, [dict(name="abstract", tag="p", after=dict(tag="h4", text="Abstract"))]))
 
 
-def preprint_records(pages: DataFrame, query_term: str | None = None, lookup: DataFrame | None = None) -> DataFrame:
+def preprint_details(pages: DataFrame, query: str | None = None) -> DataFrame:
     # The exact title is nested text. The JVM cuts it where the heading holds
     # no other one; otherwise the page goes on to the parser.
     heading = F.regexp_extract(F.col("html"), PREPRINT_HEADING, 1)
     d = _named(_detail(pages, "preprints"), _h=F.when((heading != "") & ~F.contains(F.lower(heading), F.lit("<h1")), heading))
-    if query_term is not None:
+    if query is not None:
         title = F.replace(H.unescape(H.strip_tags(F.col("_h"))), F.lit("Title: "), F.lit(""))
-        d = _named(d, _t=title).where(F.col("_t").isNull() | matches_query(F.lower(F.col("_t")), query_term))
+        d = _named(d, _t=title).where(F.col("_t").isNull() | matches_query(F.lower(F.col("_t")), query))
     pid = F.element_at(F.split(F.col("url"), "/"), -1)
     url_year = preprint_url_and_year(pid)
     d = _named(d, _pdf=H.attr_of_first(F.col("html"), "a", "accesskey", "f", "href"))
     pdf = F.col("_pdf")
-    flat = d.select("url", "doc_id", "run_seq", "pos", "html", pid.alias("pid"),
-                    url_year["year"].alias("year_text"),
+    flat = d.select("url", "doc_id", "run_seq", "pos", "html", url_year["year"].alias("year_text"),
                     F.when(pdf.isNotNull(), H.absolutize(pdf, H.origin(F.col("url")))).alias("url_pdf"),
-                    F.concat(H.origin(F.col("url")), F.lit("/bibtex/"), pid).alias("bibtex_url"))
-    specs = [dict(name="t", tag="h1", cls="title mathjax", take="rawtext"),
-             dict(name="a", tag="div", cls="authors", take="rawtext"),
-             dict(name="ab", tag="blockquote", cls="abstract mathjax", take="rawtext")]
-    x = N.extract(flat, specs, [c for c in flat.columns if c != "html"], error_col="parse_error")
-    x = _with_bibtex(x, pages if lookup is None else lookup, "preprints")
+                    F.concat(H.origin(F.col("url")), F.lit("/bibtex/"), pid).alias("lookup_key"))
+    x = _extracted(flat, [dict(name="t", tag="h1", cls="title mathjax", take="rawtext"),
+                          dict(name="a", tag="div", cls="authors", take="rawtext"),
+                          dict(name="ab", tag="blockquote", cls="abstract mathjax", take="rawtext")])
     # Label removed, newline -> space, stripped; authors stay one string.
     authors = H.strip_ws(F.replace(F.replace(F.col("a"), F.lit("\n"), F.lit(" ")), F.lit("Authors:"), F.lit("")))
     abstract = H.strip_ws(F.replace(F.replace(F.col("ab"), F.lit("\n"), F.lit(" ")), F.lit("Abstract: "), F.lit("")))
-    return R.assemble(x, title=F.replace(F.col("t"), F.lit("Title: "), F.lit("")),
-                      authors=F.when(F.col("a").isNotNull() & (authors != ""), F.array(authors)),
-                      venue="preprints", year=F.col("year_text"), bibtex=F.col("bibtex"),
-                      url_pdf=F.col("url_pdf"), abstract=F.when(F.col("ab").isNotNull(), abstract),
-                      accepted=ACCEPTED["preprints"], query_term=query_term,
-                      run_seq=F.col("run_seq"), pos=F.col("pos"), extra=["url", "doc_id", "parse_error"])
+    return _details(x, title=F.replace(F.col("t"), F.lit("Title: "), F.lit("")),
+                    authors=F.when(F.col("a").isNotNull() & (authors != ""), F.array(authors)),
+                    abstract=F.when(F.col("ab").isNotNull(), abstract))
+
+
+def forum_details(pages: DataFrame, query: str | None = None) -> DataFrame:
+    # The JSON is parsed once: filters and projections stay above the inline.
+    d = _named(_detail(pages, "forum"), _rec=forum_record(F.col("html")))
+    c = F.col("_rec")["content"]
+    d = _titled(d, query, c["title"])
+    fid = F.nullif(F.regexp_extract(F.col("url"), r"[?&]id=([^&#]+)", 1), F.lit(""))
+    return _details(d, title=c["title"], authors=c["authors"], bibtex=c["_bibtex"],
+                    url_pdf=F.when(c["pdf"].isNotNull(), H.absolutize(c["pdf"], H.origin(F.col("url")))),
+                    abstract=c["abstract"], year_text=F.col("year"), lookup_key=fid,
+                    parse_error=F.when(F.col("_rec").isNull(), F.lit("no record in the page")))
 
 
 def forum_accept(pages: DataFrame) -> DataFrame:
@@ -148,22 +151,40 @@ def forum_accept(pages: DataFrame) -> DataFrame:
         F.bool_or("has_notes").alias("has_notes"))
 
 
-def forum_records(pages: DataFrame, query_term: str | None = None, lookup: DataFrame | None = None) -> DataFrame:
-    # The JSON is parsed once: filters and projections stay above the inline.
-    d = _named(_detail(pages, "forum"), _rec=forum_record(F.col("html")))
-    c = F.col("_rec")["content"]
-    d = _titled(d, query_term, c["title"])
-    fid = F.nullif(F.regexp_extract(F.col("url"), r"[?&]id=([^&#]+)", 1), F.lit(""))
-    flat = d.select("url", "doc_id", "run_seq", "pos", "year", fid.alias("fid"),
-                    c["title"].alias("title"), c["authors"].alias("authors"), c["_bibtex"].alias("bibtex"),
-                    F.when(c["pdf"].isNotNull(), H.absolutize(c["pdf"], H.origin(F.col("url")))).alias("url_pdf"),
-                    c["abstract"].alias("abstract"),
-                    F.when(F.col("_rec").isNull(), F.lit("no record in the page")).alias("parse_error"))
-    x = flat.join(forum_accept(pages if lookup is None else lookup), "fid", "left")
-    return R.assemble(x, title=F.col("title"), authors=F.col("authors"), venue="forum",
-                      year=F.col("year").cast("string"), bibtex=F.col("bibtex"), url_pdf=F.col("url_pdf"),
-                      abstract=F.col("abstract"), accepted=F.coalesce(F.col("accepted"), F.lit(False)),
-                      query_term=query_term, run_seq=F.col("run_seq"), pos=F.col("pos"), extra=["url", "doc_id", "parse_error"])
+def bibtex_lookups(pages: DataFrame, venue: str) -> DataFrame:
+    """The landed BibTeX pages of a venue, by url."""
+    found = pages.where((F.col("kind") == "bibtex") & (F.col("venue") == venue))
+    return found.select(F.col("url").alias("lookup_key"), F.col("html").alias("found_bibtex"),
+                        F.lit(None).cast("boolean").alias("found_accepted"))
+
+
+def forum_lookups(pages: DataFrame, venue: str = "forum") -> DataFrame:
+    """Whether the notes of a forum accept it."""
+    return forum_accept(pages).select(F.col("fid").alias("lookup_key"), F.lit(None).cast("string").alias("found_bibtex"),
+                                      F.col("accepted").alias("found_accepted"))
+
+
+def finished(x: DataFrame, venue: str, query_term: str | None = None) -> DataFrame:
+    """Records (X13) of details and what was found for them; without it the
+    BibTeX is null (a reject) and a forum is not accepted."""
+    accepted = F.lit(ACCEPTED[venue]) if venue in ACCEPTED else F.coalesce(F.col("found_accepted"), F.lit(False))
+    return R.assemble(x, title=F.col("title"), authors=F.col("authors"), venue=venue, year=F.col("year_text"),
+                      bibtex=F.coalesce("bibtex", "found_bibtex"), url_pdf=F.col("url_pdf"), abstract=F.col("abstract"),
+                      accepted=accepted, query_term=query_term, run_seq=F.col("run_seq"), pos=F.col("pos"),
+                      extra=["url", "doc_id", "parse_error"])
+
+
+def site_records(venue: str, pages: DataFrame, query: str | None = None, lookup: DataFrame | None = None) -> DataFrame:
+    """Details of a venue joined with what they need. A row without a key joins
+    under one of its own, not all under null."""
+    site = SITES[venue]
+    details = site.details(pages, query)
+    if site.lookups is None:
+        found = details.withColumns({"found_bibtex": F.lit(None).cast("string"), "found_accepted": F.lit(None).cast("boolean")})
+    else:
+        key = F.coalesce("lookup_key", F.concat(F.lit("none:"), F.col("url")))
+        found = details.withColumn("lookup_key", key).join(site.lookups(pages if lookup is None else lookup, venue), "lookup_key", "left")
+    return finished(found, venue, query)
 
 
 # --- F1: the sites -------------------------------------------------------------
@@ -207,10 +228,12 @@ def forum_links(listing: DataFrame, query: str | None = None) -> DataFrame:
 
 class Site(NamedTuple):
     """``links(listing_pages, query)`` gives (url, link, hop): the next page of
-    a listing, another listing, or a detail page; ``records(pages, query,
-    lookup)`` gives the records of the detail pages."""
+    a listing, another listing, or a detail page; ``details(pages, query)``
+    what is read off the detail pages; ``lookups(pages, venue)`` what other
+    pages hold for them, by ``lookup_key``."""
     links: Callable[[DataFrame, str | None], DataFrame]
-    records: Callable[[DataFrame, str | None, DataFrame | None], DataFrame]
+    details: Callable[[DataFrame, str | None], DataFrame]
+    lookups: Callable[[DataFrame, str], DataFrame] | None
 
 
 # Words and link marks of the listings, notes of a reply.
@@ -220,10 +243,10 @@ PREPRINT_PREFIX = "https://preprints.example.org/abs"
 NOTES_STEP = 1000
 
 SITES = {
-    "proceedings": Site(proceedings_links, proceedings_records),
-    "conference": Site(conference_links, conference_records),
-    "preprints": Site(preprint_links, preprint_records),
-    "forum": Site(forum_links, forum_records),
+    "proceedings": Site(proceedings_links, proceedings_details, None),
+    "conference": Site(conference_links, conference_details, bibtex_lookups),
+    "preprints": Site(preprint_links, preprint_details, bibtex_lookups),
+    "forum": Site(forum_links, forum_details, forum_lookups),
 }
 
 
@@ -232,13 +255,11 @@ def collect_records(pages: DataFrame, query: str | None = None, venues: list[str
     """All records of the detail pages in ``pages`` (valid or not), optionally
     only those whose lowercased title matches ``query`` (P1, applied to every
     venue) and those of the given ``urls``. BibTeX pages and notes replies are
-    looked up in ``lookup`` (default: ``pages``); a stream passes the whole
-    landed table, since a detail page and its BibTeX page can land in different
-    batches."""
+    looked up in ``lookup`` (default: ``pages``)."""
     lookup = pages if lookup is None else lookup
     if urls is not None:
         pages = pages.join(urls.select("url"), "url", "left_semi")
-    parts = [SITES[v].records(pages, query, lookup) for v in venues or list(SITES)]
+    parts = [site_records(v, pages, query, lookup) for v in venues or list(SITES)]
     out = reduce(lambda a, b: a.unionByName(b), parts)
     if query is not None:
         out = filter_by_query(out.withColumn("title", F.coalesce("title", F.lit(""))), query)

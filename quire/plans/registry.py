@@ -949,10 +949,11 @@ def stream_collect(spark, sf):
     several files; a stream runs the collect plan per micro-batch and upserts
     into the versioned store. Ends equal to the batch collect (W1 winners)."""
     from ..session import shared_path
+    from ..sources.pages import land_pages
     from ..sources.store import PaperStore
     from ..streaming.ingest import ingest_landed_pages
     landing = shared_path(spark, "page-landing")
-    _rendered(spark, sf).write.parquet(landing)
+    land_pages(_rendered(spark, sf), landing, ["venue", "kind"])
     store = PaperStore(spark, shared_path(spark, "papers"))
     ingest_landed_pages(spark, landing, store)
     return store.read().select("title", F.col("pos").alias("doc_id"), "venue")
@@ -964,15 +965,16 @@ SELECT title, doc_id, venue FROM (
   FROM expc WHERE reason IS NULL AND venue <> 'forum') WHERE rn = 1""")
 def stream_late_lookups(spark, sf):
     """Pages whose BibTeX page lands after them are rejected first and
-    accepted by the later batch. (Forum pages are valid without their notes.)"""
+    wait in state for the later batch. (Forum pages are valid without their notes.)"""
     from ..session import shared_path
+    from ..sources.pages import land_pages
     from ..sources.store import PaperStore
     from ..streaming.ingest import ingest_landed_pages
     pages = _rendered(spark, sf).where(F.col("venue") != "forum")
     landing, checkpoint = shared_path(spark, "page-landing"), shared_path(spark, "stream-ckpt")
     store = PaperStore(spark, shared_path(spark, "papers"))
     for kinds in (F.col("kind") == "detail", F.col("kind") != "detail"):
-        pages.where(kinds).write.mode("append").parquet(landing)
+        land_pages(pages.where(kinds), landing, ["venue", "kind"])
         ingest_landed_pages(spark, landing, store, checkpoint=checkpoint)
     return store.read().select("title", F.col("pos").alias("doc_id"), "venue")
 

@@ -1,20 +1,22 @@
 """The papers table: create (S7), scan (S4), CSV source (S5), routing (S6),
 versioned upsert (S8) and score write-back (S9), BibTeX export (S10).
 
-Parquet files are never overwritten while they are read: each change writes a
-new version ``<path>/v=<n>`` and the newest version with a ``_SUCCESS`` marker
-is current. A job that dies mid-write leaves no marker and is ignored. A
-version is always the next one; a stream's batch is named in its version's
-folder, and only that pair (stream, batch) marks a replay, which is skipped.
+Papers lie in buckets by a hash of their title. A change reads and writes only
+the buckets of the titles it touches: version ``<path>/of=<buckets>/v=<n>``
+holds these, and a bucket's rows are those of the newest version that has it.
+Files are never overwritten while they are read; a version counts once it has
+a ``_SUCCESS`` marker, so a job that dies mid-write is ignored. A version is
+always the next one; a stream's batch is named in its version's folder, and
+only that pair (stream, batch) marks a replay, which is skipped.
 """
 
 from __future__ import annotations
 
 import re
-from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import schemas
 from ..operators import records as R
@@ -34,23 +36,32 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
 
 
+# Buckets of a new table; a table keeps the number it was made with.
+BUCKETS = 32
+
+
 class PaperStore:
     """A versioned papers table at ``path``."""
 
-    def __init__(self, spark: SparkSession, path: str):
+    def __init__(self, spark: SparkSession, path: str, buckets: int = BUCKETS):
         self.spark = spark
         self.path = path.rstrip("/")
+        made = [m[1] for name in self._folders(self.path) if (m := re.fullmatch(r"of=(\d+)", name))]
+        self.buckets = int(made[0]) if made else buckets
+        self.root = f"{self.path}/of={self.buckets}"
+
+    def _folders(self, path: str) -> list[str]:
+        fs, p, _ = _fs(self.spark, path)
+        return [st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory()] if fs.exists(p) else []
 
     # -- versions ---------------------------------------------------------
     def _committed(self) -> dict[int, str]:
         """Folder name of every committed version, in order."""
-        fs, p, jvm = _fs(self.spark, self.path)
         out = {}
-        if fs.exists(p):
-            for st in fs.listStatus(p):
-                m = re.fullmatch(r"v=(\d+)(?:@.*)?", st.getPath().getName())
-                if m and st.isDirectory() and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-                    out[int(m[1])] = m[0]
+        for name in self._folders(self.root):
+            fs, p, _ = _fs(self.spark, f"{self.root}/{name}/_SUCCESS")
+            if (m := re.fullmatch(r"v=(\d+)(?:@.*)?", name)) and fs.exists(p):
+                out[int(m[1])] = name
         return dict(sorted(out.items()))
 
     def versions(self) -> list[int]:
@@ -65,31 +76,49 @@ class PaperStore:
         tag = _tag(batch)
         return next((v for v, name in self._committed().items() if name.endswith(tag)), None)
 
-    def read(self, version: int | None = None) -> DataFrame:
-        """S4 (and S7: an empty table with the fixed schema when none exists)."""
-        names = self._committed()
-        version = (list(names)[-1] if names else None) if version is None else version
-        if version is None:
+    def bucket_paths(self, version: int | None = None) -> dict[int, str]:
+        """Folder of every bucket that has rows, as of a version."""
+        out = {}
+        for v, name in self._committed().items():
+            if version is None or v <= version:
+                out.update({int(f[7:]): f"{self.root}/{name}/{f}" for f in self._folders(f"{self.root}/{name}")
+                            if f.startswith("bucket=")})
+        return out
+
+    def read(self, version: int | None = None, buckets: set[int] | None = None) -> DataFrame:
+        """S4 (and S7: an empty table with the fixed schema when none exists),
+        of all buckets or of some."""
+        paths = [p for b, p in self.bucket_paths(version).items() if buckets is None or b in buckets]
+        if not paths:
             return self.spark.createDataFrame([], schemas.PAPERS)
-        return self.spark.read.schema(schemas.PAPERS).parquet(f"{self.path}/{names[version]}")
+        return self.spark.read.schema(schemas.PAPERS).parquet(*paths)
+
+    def bucket(self) -> Column:
+        return F.pmod(F.xxhash64("title"), F.lit(self.buckets)).cast("int")
+
+    def touched(self, rows: DataFrame) -> set[int]:
+        """The buckets of the titles of ``rows``: at most as many as there are."""
+        return {r[0] for r in rows.select(self.bucket().alias("b")).distinct().collect()}
 
     def commit(self, df: DataFrame, batch: tuple[str, int] | None = None) -> int:
-        """Write the next version. ``batch`` (stream id, batch id) goes into the
-        folder's name, so the version and its batch are committed as one."""
+        """Write the next version: all rows of the buckets it holds. ``batch``
+        (stream id, batch id) goes into the folder's name, so the version and
+        its batch are committed as one."""
         if batch is not None and (done := self.version_of(batch)) is not None:
             return done
         cur = self.current_version()
         version = 0 if cur is None else cur + 1
         name = f"v={version}" + ("" if batch is None else _tag(batch))
-        df.select(*schemas.PAPER_COLUMNS).write.mode("overwrite").parquet(f"{self.path}/{name}")
+        rows = df.select(*schemas.PAPER_COLUMNS, self.bucket().alias("bucket"))
+        rows.hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{self.root}/{name}")
         return version
 
     # -- changes ----------------------------------------------------------
     def upsert(self, records: DataFrame, batch: tuple[str, int] | None = None) -> tuple[int, DataFrame]:
         """Validate new records (P2), last write wins per title over the
-        current table plus the new rows, commit as a new version. Returns the
-        version and the rejects. A batch that a version has committed already
-        is a replay: nothing is done again."""
+        current rows of their buckets plus the new rows, commit as a new
+        version. Returns the version and the rejects. A batch that a version
+        has committed already is a replay: nothing is done again."""
         if batch is not None and (done := self.version_of(batch)) is not None:
             return done, self.spark.createDataFrame([], schemas.REJECTS)
         # Classify once and materialise in the shared checkpoint folder, so the
@@ -99,30 +128,32 @@ class PaperStore:
         classified = R.classify(records).checkpoint(eager=True)
         valid, rejects = R.split_valid(classified)
         cur = self.current_version()
-        existing = None if cur is None else self.read(cur)
+        existing = None if cur is None else self.read(cur, self.touched(valid))
         merged = U.upsert(existing, valid)
         version = 0 if cur is None else cur + 1
         if "url" in classified.columns:  # every judgement, before the version that it belongs to
             classified.select("url", "reason", "missing", "run_seq").write.mode("overwrite") \
-                .parquet(f"{self.path}/judged/{version}")
+                .parquet(f"{self.path}/judged/of_version={version}")
         return self.commit(merged, batch), rejects
 
     def rejects(self) -> DataFrame:
         """(url, reason, missing, run_seq) of the pages whose latest
-        judgement is a rejection; a page that a later batch accepted is gone."""
-        fs, _, jvm = _fs(self.spark, self.path)
-        paths = [(v, f"{self.path}/judged/{v}") for v in self.versions()]
-        paths = [(v, p) for v, p in paths if fs.exists(jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))]
-        if not paths:
+        judgement is a rejection; a page that a later batch accepted is gone.
+        One scan of the log, whatever the number of versions."""
+        cur = self.current_version()
+        fs, p, _ = _fs(self.spark, f"{self.path}/judged")
+        if cur is None or not fs.exists(p):
             return self.spark.createDataFrame([], schemas.REJECTS)
-        schema = schemas.REJECTS
-        log = reduce(DataFrame.unionByName, [self.spark.read.schema(schema).parquet(p).withColumn("_v", F.lit(v))
-                                             for v, p in paths])
-        return U.latest_by_key(log, ["url"], ["_v", "run_seq"]).where(F.col("reason").isNotNull()).drop("_v")
+        schema = T.StructType([*schemas.REJECTS.fields, T.StructField("of_version", T.LongType())])
+        log = self.spark.read.schema(schema).parquet(f"{self.path}/judged").where(F.col("of_version") <= cur)
+        return U.latest_by_key(log, ["url"], ["of_version", "run_seq"]).where(F.col("reason").isNotNull()).drop("of_version")
 
     def write_back(self, scores: DataFrame, mode: str = "replace", batch: tuple[str, int] | None = None) -> int:
         """Set score lists of scored titles, leave other rows alone."""
-        return self.commit(U.write_back_scores(self.read(), scores, mode), batch)
+        from ..session import ensure_checkpoint_dir
+        ensure_checkpoint_dir(self.spark)
+        scores = scores.select("title", "list_name", "score").checkpoint(eager=True)  # read twice
+        return self.commit(U.write_back_scores(self.read(buckets=self.touched(scores)), scores, mode), batch)
 
 
 def _tag(batch: tuple[str, int]) -> str:

@@ -11,9 +11,13 @@ between.
 from __future__ import annotations
 
 import hashlib
+import json
+from functools import reduce
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupStateTimeout
 
 from ..session import shared_path
 from ..sources.store import PaperStore
@@ -66,29 +70,108 @@ def ingest_landed_records(spark: SparkSession, records: DataFrame, store_path: s
     return store
 
 
+# --- pages: details wait for what they need ---------------------------------------
+
+EVENT = "key string, venue string, url string, run_seq long, pos long, detail string, bibtex string, accepted boolean"
+#: State of a key: the details read off its pages (JSON by url) and what was found for them.
+STATE = "details string, bibtex string, accepted boolean"
+JOINED = "venue string, detail string, found_bibtex string, found_accepted boolean"
+
+
+def page_events(pages: DataFrame, query: str | None = None) -> DataFrame:
+    """Landed pages as events (EVENT): what a detail page holds, or what a
+    BibTeX page or notes reply holds for one, under the key that they share.
+    Each page is read and parsed once; nothing is joined."""
+    from ..plans.collect import DETAIL, SITES
+    from ..schemas import NOTES_REPLY
+    from ..operators.records import is_accepting
+
+    parts = []
+    for venue, site in SITES.items():
+        d = site.details(pages, query)
+        key = F.coalesce("lookup_key", F.concat(F.lit("none:"), F.col("url")))
+        parts.append(d.select(key.alias("key"), F.lit(venue).alias("venue"), "url", "run_seq", "pos",
+                              F.to_json(F.struct(*DETAIL)).alias("detail"), F.lit(None).cast("string").alias("bibtex"),
+                              F.lit(None).cast("boolean").alias("accepted")))
+    null = F.lit(None)
+    found = pages.where(F.col("kind").isin("bibtex", "notes"))
+    notes = F.from_json("html", NOTES_REPLY)["notes"]
+    accepts = F.exists(notes, lambda n: F.coalesce(is_accepting(n["content"]["decision"]), F.lit(False)))
+    forum = F.nullif(F.regexp_extract(F.col("url"), r"[?&]forum=([^&#]+)", 1), F.lit(""))
+    is_notes = F.col("kind") == "notes"
+    parts.append(found.select(F.when(is_notes, forum).otherwise(F.col("url")).alias("key"), "venue", "url", "run_seq", "pos",
+                              null.cast("string").alias("detail"), F.when(~is_notes, F.col("html")).alias("bibtex"),
+                              F.when(is_notes, F.coalesce(accepts, F.lit(False))).alias("accepted"))
+                 .where(F.col("key").isNotNull()))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _meet(key, batches, state):
+    """One key's new events: its details, old and new, are put out with what
+    has been found by now whenever either changes. A detail that can need
+    nothing (no lookup) leaves no state."""
+    details, bibtex, accepted = state.get if state.exists else (None, None, None)
+    details = json.loads(details) if details else {}
+    latest_bibtex = None
+    for pdf in batches:
+        for e in pdf.itertuples(index=False):
+            if e.detail is not None:
+                order = [_whole(e.run_seq), _whole(e.pos)]
+                if e.url not in details or details[e.url][0] <= order:
+                    details[e.url] = [order, e.venue, e.detail]
+            if e.bibtex is not None:  # of several landed in a batch the greatest text, so that replays agree
+                latest_bibtex = e.bibtex if latest_bibtex is None else max(latest_bibtex, e.bibtex)
+            if e.accepted is not None:
+                accepted = bool(e.accepted) or bool(accepted)
+    bibtex = bibtex if latest_bibtex is None else latest_bibtex
+    if not key[0].startswith("none:"):
+        state.update((json.dumps(details), bibtex, accepted))
+    rows = [(venue, detail, bibtex, accepted) for _, venue, detail in details.values()]
+    yield pd.DataFrame(rows, columns=["venue", "detail", "found_bibtex", "found_accepted"], dtype=object)
+
+
+def _whole(x) -> int:
+    return -1 if x is None or x != x else int(x)
+
+
+def meet(events: DataFrame) -> DataFrame:
+    """Details with what was found for them (JOINED), by state on their key."""
+    return events.groupBy("key").applyInPandasWithState(_meet, JOINED, STATE, "append", GroupStateTimeout.NoTimeout)
+
+
+def joined_records(joined: DataFrame, query: str | None = None) -> DataFrame:
+    """Records (as the batch plan makes them) of joined details."""
+    from ..plans.collect import SITES, finished
+    schema = ("url string, doc_id long, run_seq long, pos long, title string, authors array<string>, year_text string, "
+              "url_pdf string, abstract string, bibtex string, lookup_key string, parse_error string")
+    x = joined.select("venue", F.from_json("detail", schema).alias("d"), "found_bibtex", "found_accepted")
+    x = x.select("venue", "d.*", "found_bibtex", "found_accepted")
+    parts = [finished(x.where(F.col("venue") == v), v, query) for v in SITES]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def ingest_landed_pages(spark: SparkSession, landing: str, store: PaperStore, files_per_batch: int | None = None,
                         query: str | None = None, checkpoint: str | None = None) -> PaperStore:
-    """T1 over pages: stream the landed page files, run the collect plan on
-    each micro-batch and upsert the records. Lookups (BibTeX pages, notes) read
-    what has landed by the time of the batch, and a batch that brings such
-    pages also tries the pages rejected so far again: a detail page may land
-    before what it needs. Runs until the landing is drained."""
-    from ..plans.collect import collect_records
+    """T1 over pages: stream the landed page files, read each once, and upsert
+    the records. A detail page waits in keyed state for its BibTeX page or
+    notes, and the other way round: whichever lands last completes the record
+    (until then it is a reject, or not accepted). The landing is never scanned
+    again. State grows with the keys that pages share, one entry each; on a
+    cluster it belongs in the RocksDB state store, which spills to disk.
+    Runs until the landing is drained."""
+    from ..operators.matching import filter_by_query
 
     schema = spark.read.parquet(landing).schema
     checkpoint = checkpoint or shared_path(spark, "stream-ckpt")
     stream = stream_id(checkpoint)
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        landed = spark.read.schema(schema).parquet(landing)  # lists the files anew
-        batch = batch.sparkSession.createDataFrame([], schema) if batch.isEmpty() else batch
-        if not batch.where(F.col("kind") != "detail").isEmpty():
-            again = store.rejects().select("url").distinct()
-            late = landed.where(F.col("kind") == "detail").join(again, "url", "left_semi") \
-                .join(batch.select("url"), "url", "left_anti")
-            batch = batch.unionByName(late.select(*batch.columns))
-        store.upsert(collect_records(batch, query, lookup=landed), batch=(stream, batch_id))
-
-    _drained(read_landed(spark, landing, schema, files_per_batch).writeStream.foreachBatch(per_batch)
-             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+        records = joined_records(batch.checkpoint(eager=True), query)
+        if query is not None:
+            records = filter_by_query(records.withColumn("title", F.coalesce("title", F.lit(""))), query)
+        store.upsert(records, batch=(stream, batch_id))
+
+    joined = meet(page_events(read_landed(spark, landing, schema, files_per_batch), query))
+    _drained(joined.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
+             .trigger(availableNow=True).start())
     return store

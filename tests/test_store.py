@@ -158,3 +158,35 @@ def test_unknown_source_raises(spark, tmp_dir):
     import pytest
     with pytest.raises(ValueError):
         load_papers(spark, os.path.join(tmp_dir, "papers.xlsx"))
+
+
+def _files(path):
+    return {os.path.join(d, f) for d, _, fs in os.walk(path) for f in fs if f.startswith("part-")}
+
+
+def test_a_batch_rewrites_only_its_buckets(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "papers")
+    store = PaperStore(spark, path, buckets=8)
+    extra = {"url": F.col("title"), "year_text": F.lit("2020")}
+    store.upsert(papers(spark, [rec(f"t{k}", 1, k) for k in range(200)]).withColumns(extra))
+    before = store.bucket_paths()
+    assert sorted(before) == list(range(8))
+    store = PaperStore(spark, path, buckets=99)  # an existing table keeps its buckets
+    assert store.buckets == 8
+    batch = papers(spark, [rec("t3", 2, 1), rec("t3", 2, 2), rec("bad", 2, 3, abstract="")]).withColumns(extra)
+    touched = store.touched(batch.where("title = 't3'"))
+    store.upsert(batch, batch=("s", 0))
+    after = store.bucket_paths()
+    assert {b for b in after if after[b] != before[b]} == touched and len(touched) == 1
+    written = [f for f in _files(path) if "/v=1@" in f]
+    assert written and all(f"/bucket={next(iter(touched))}/" in f for f in written)
+    want = {f"t{k}": (1, k) for k in range(200)} | {"t3": (2, 2)}
+    assert titles(store.read()) == want and titles(store.read(0))["t3"] == (1, 3)
+    store.write_back(spark.createDataFrame([("t5", "a", 0.5), ("unknown", "a", 0.1)], "title string, list_name string, score double"))
+    assert titles(store.read()) == want
+    assert [r["title"] for r in store.read().where("size(similarities) > 0").collect()] == ["t5"]
+    assert [r["url"] for r in store.rejects().collect()] == ["bad"]
+    # an unfinished version is not read, and its number is used again
+    os.remove(os.path.join(path, "of=8", "v=2", "_SUCCESS"))
+    assert store.current_version() == 1 and store.read().where("size(similarities) > 0").count() == 0
+    assert store.upsert(batch.where("title = 'bad'"))[0] == 2 and titles(store.read()) == want
