@@ -80,6 +80,37 @@ def type_aware_sort(df: DataFrame, col: str, descending: bool = False, tie_col:
     return global_rank(df, [key, F.col(tie_col).asc()], rank_col)
 
 
+def numeric_columns(df: DataFrame, cols: list[str]) -> set[str]:
+    """A5 for several columns, in one aggregate."""
+    if not cols:
+        return set()
+    row = df.agg(*((F.count(F.lit(1)) == F.count(F.col(c).try_cast("double"))).alias(c) for c in cols)).first()
+    return {c for c in cols if row[c]}
+
+
+def sorted_by_clicks(df: DataFrame, clicks: list[tuple[str, bool]], id_col: str, rank_col: str = "rank") -> DataFrame:
+    """O2 as it is used: one sort after another, each (column, descending), on
+    the order that the one before left. A numeric column keeps that order among
+    equal numbers; a text column orders equal texts by ``id_col``, downwards if
+    the sort is. The first order is that of ``id_col``.
+
+    The whole chain is one key: from the last click back, each numeric sort is
+    followed by the one before it, a text sort ends the chain. So it takes one
+    distributed sort, of the id and the keys alone. Result: id and rank."""
+    numeric = numeric_columns(df, sorted({c for c, _ in clicks}))
+    keys: list[Column] = []
+    cols: list[Column] = []
+    for k, (c, down) in enumerate(reversed(clicks)):
+        cols.append((F.col(c).try_cast("double") if c in numeric else F.col(c)).alias(f"_{k}"))
+        keys.append(F.col(f"_{k}").desc() if down else F.col(f"_{k}").asc())
+        if c not in numeric:
+            keys.append(F.col(id_col).desc() if down else F.col(id_col).asc())
+            break
+    else:
+        keys.append(F.col(id_col).asc())
+    return global_rank(df.select(id_col, *cols), keys, rank_col).select(id_col, rank_col)
+
+
 def lookup_by_title(selection: DataFrame, papers: DataFrame, cols: list[str]) -> DataFrame:
     """For each selected title, the requested fields, '' when the title is
     unknown (left join; papers are unique per title)."""

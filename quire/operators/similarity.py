@@ -9,6 +9,9 @@ brought to the driver.
 
 from __future__ import annotations
 
+from functools import reduce
+
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -81,6 +84,57 @@ def score_hashed(df: DataFrame, profile: list[float], list_name: str, title_col:
             .withColumn("score", V.cosine(F.col("_vec"), V.literal_vector(profile))).drop("_vec"))
 
 
+# Bytes of the profile matrix that a pass over the papers holds.
+MATRIX_BYTES = 32 << 20
+
+
+def score_all(vectors: DataFrame, profiles: DataFrame, keys: list[str], matrix_bytes: int = MATRIX_BYTES) -> DataFrame:
+    """J7 / V5 for all lists at once: ``keys``, ``list_name`` and ``score`` of
+    every paper and list. ``vectors``: keys, embedding; ``profiles``:
+    list_name, profile (one row each). A batch of papers is multiplied by the
+    matrix of profiles; lists come in blocks of bounded size, one pass each."""
+    from ..session import ship_package
+    ship_package(vectors.sparkSession)
+    rows = profiles.where("profile is not null").orderBy("list_name")
+    widest = rows.agg(F.max(F.size("profile"))).first()[0] or 1
+    per_block = max(1, matrix_bytes // (8 * widest))
+    numbered = global_rank(rows, [F.col("list_name")], "_n")
+    total = numbered.count()
+    src = vectors.select(*keys, F.col("embedding").cast("array<double>").alias("embedding"))
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema.fields[:-1]) + ", list_name string, score double"
+    parts = []
+    for first in range(0, max(total, 1), per_block):
+        block = numbered.where((F.col("_n") > first) & (F.col("_n") <= first + per_block)).collect()
+        parts.append(src.mapInPandas(_products(block, keys), schema))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _products(block: list, keys: list[str]):
+    names = np.array([r["list_name"] for r in block], object)
+    matrix = np.array([r["profile"] for r in block], np.float64).reshape(len(block), -1)
+    lengths = np.sqrt((matrix * matrix).sum(1))
+
+    def run(batches):
+        for pdf in batches:
+            pdf = pdf[pdf["embedding"].notna()]
+            if not len(pdf) or not len(names):
+                continue
+            x = np.array(pdf["embedding"].tolist(), np.float64)
+            scores = (x @ matrix.T) / np.maximum(np.sqrt((x * x).sum(1))[:, None] * lengths, V.COSINE_EPS)
+            out = pdf[keys].loc[pdf.index.repeat(len(names))]
+            yield out.assign(list_name=np.tile(names, len(pdf)), score=scores.ravel())
+
+    return run
+
+
+def rank_all_lists(vectors: DataFrame, profiles: DataFrame, keys: list[str], order: list[str], digits: int | None = None) -> DataFrame:
+    """``score_all`` with a 1-based ``rank`` within each list, by
+    falling score, then ``order``. Only keys, names and scores are sorted."""
+    scored = score_all(vectors, profiles, keys)
+    key = F.col("score") if digits is None else F.round("score", digits)
+    return global_rank(scored.withColumn("_k", key), [F.col("_k").desc(), *(F.col(c).asc() for c in order)], "rank", "list_name").drop("_k")
+
+
 def top_k(scored: DataFrame, k: int, tie_cols: list[str]) -> DataFrame:
     """O1 with a limit: top-k report (per-partition top-k, then merge)."""
     return scored.orderBy(F.col("score").desc_nulls_last(), *[F.col(c).asc() for c in tie_cols]).limit(k)

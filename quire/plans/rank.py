@@ -7,10 +7,13 @@ size checked); scoring is a narrow projection; ranking is a distributed sort.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import similarity as S
+from ..operators.encode import VectorStore, text_key
 from ..operators.ranking import global_rank
 
 
@@ -29,13 +32,27 @@ def rank_papers(papers: DataFrame, profiles: DataFrame, list_name: str, sample:
 
     Ranks order by the score, then by arrival (run_seq, pos). ``digits`` rounds
     the score in that order, for comparisons between engines that sum in
-    different orders."""
+    different orders. Long texts and lists stay out of the ranked rows, which
+    are sorted and checkpointed."""
     if sample:
         papers = S.seeded_sample(papers, sample, "pos", seed)
     vec = profile_for(profiles, list_name)
     scored = S.score_hashed(papers, vec, list_name, w_title=w_title, w_abstract=w_abstract)
     if not with_rank:
         return scored
-    keyed = scored.withColumn("_k", F.col("score") if digits is None else F.round("score", digits))
+    keyed = scored.drop("abstract", "bibtex", "authors", "similarities").withColumn("_k", F.col("score") if digits is None else F.round("score", digits))
     return global_rank(keyed, [F.col("_k").desc_nulls_last(), F.col("run_seq").asc(), F.col("pos").asc()],
                        "rank").drop("_k")
+
+
+def rank_encoded(papers: DataFrame, profiles: DataFrame, store: VectorStore, encoder_factory: Callable[[], Callable],
+                 digits: int | None = None) -> DataFrame:
+    """F2 / V1 (c): ranks of all papers in all lists by a supplied encoder.
+    Sentences, titles and abstracts that ``store`` lacks are encoded and kept;
+    a run with nothing new encodes nothing. Result: run_seq, pos, list_name,
+    score, rank."""
+    store.fill([(papers, "title"), (papers, "abstract"), (profiles, "sentence")], encoder_factory)
+    keyed = profiles.withColumn("key", text_key(F.col("sentence")))
+    lists = S.profile_vectors_dense(keyed, store.read())
+    vectors = store.paper_vectors(papers, ["run_seq", "pos"])
+    return S.rank_all_lists(vectors, lists, ["run_seq", "pos"], ["run_seq", "pos"], digits)

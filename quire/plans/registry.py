@@ -9,6 +9,7 @@ result and the SQL. Doubles are rounded in both.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -95,9 +96,10 @@ MISSING_EXPR = """concat_ws(',',
 
 
 def _hashed_sql(text_expr: str, weight: str) -> str:
-    return (f"list_transform(regexp_extract_all(lower(coalesce({text_expr}, '')), '[a-z0-9]+'), "
-            f"lambda t: {{'bucket': CAST(CAST(('0x' || substr(md5(t), 1, 8)) AS BIGINT) % 64 AS INTEGER), "
-            f"'value': {weight} / greatest(len(regexp_extract_all(lower(coalesce({text_expr}, '')), '[a-z0-9]+')), 1)}})")
+    # The tokens are cut once, and their share computed once, for each text.
+    return (f"list_transform([regexp_extract_all(lower(coalesce({text_expr}, '')), '[a-z0-9]+')], "
+            f"lambda ts: list_transform(list_zip(ts, list_resize(CAST([] AS DOUBLE[]), len(ts), {weight} / greatest(len(ts), 1))), "
+            f"lambda z: {{'bucket': CAST(CAST(('0x' || substr(md5(z[1]), 1, 8)) AS BIGINT) % 64 AS INTEGER), 'value': z[2]}}))[1]")
 
 
 PROFILES = r"""profiles AS (
@@ -309,32 +311,88 @@ def similarity_rank(spark, sf):
     return ranked.select(F.col("pos").alias("doc_id"), "title", F.round("score", 6).alias("score"), "rank")
 
 
-FLAGSHIP_SQL = f"""WITH {LATEST}, {STORED_PROFILE_SQL},
-hit AS (SELECT l.doc_id, l.title, l.run_seq, l.pos, e.embedding FROM latest l JOIN embeddings e ON e.vec_id = l.doc_id
+FLAGSHIP_SQL = f"""WITH {LATEST}, {PAPER_VEC}, {STORED_PROFILE_SQL},
+hit AS (SELECT l.doc_id, l.title, l.run_seq, l.pos, e.embedding FROM latest l LEFT JOIN embeddings e ON e.vec_id = l.doc_id
         WHERE contains(lower(l.title), 'the')),
-pv AS (SELECT h.doc_id, unnest(h.embedding) AS x, generate_subscripts(h.embedding, 1) - 1 AS i FROM hit h),
-dots AS (SELECT pv.doc_id, sum(CAST(pv.x AS DOUBLE) * p.x) AS dot, sqrt(sum(CAST(pv.x AS DOUBLE) * CAST(pv.x AS DOUBLE))) AS n
-         FROM pv JOIN sprof p ON p.i = pv.i AND p.list_name = 'label_0' GROUP BY pv.doc_id),
-pn AS (SELECT sqrt(sum(x * x)) AS n FROM sprof WHERE list_name = 'label_0')
-SELECT h.doc_id, h.title, round(d.dot / greatest(d.n * pn.n, 1e-8), 6) AS score
-FROM hit h JOIN dots d ON d.doc_id = h.doc_id, pn
-ORDER BY d.dot / greatest(d.n * pn.n, 1e-8) DESC, h.run_seq, h.pos LIMIT 20"""
+own AS (SELECT h.doc_id, CAST(unnest(h.embedding) AS DOUBLE) AS x, generate_subscripts(h.embedding, 1) - 1 AS i FROM hit h
+        WHERE h.embedding IS NOT NULL
+        UNION ALL
+        SELECT h.doc_id, pv.v, pv.bucket FROM hit h JOIN pv ON pv.doc_id = h.doc_id WHERE h.embedding IS NULL),
+dots AS (SELECT own.doc_id, sum(own.x * p.x) AS dot, sqrt(sum(own.x * own.x)) AS n
+         FROM own JOIN sprof p ON p.i = own.i AND p.list_name = 'label_0' GROUP BY own.doc_id),
+pn AS (SELECT sqrt(sum(x * x)) AS n FROM sprof WHERE list_name = 'label_0'),
+s AS (SELECT h.doc_id, h.title, h.run_seq, h.pos, coalesce(d.dot, 0) / greatest(coalesce(d.n, 0) * pn.n, 1e-8) AS score
+      FROM hit h LEFT JOIN dots d ON d.doc_id = h.doc_id, pn)
+SELECT doc_id, title, round(score, 6) AS score FROM s ORDER BY round(score, 9) DESC, run_seq, pos LIMIT 20"""
 
 
 @register("flagship", FLAGSHIP_SQL)
 def flagship(spark, sf):
     """Which papers matching a query are closest to a profile? P1 -> P2 -> W1 ->
-    join stored vectors -> A1 profile -> cosine -> top 20."""
-    papers = M.filter_by_query(_valid_latest(spark, sf), "the")
-    emb = D.read(spark, sf, "embeddings").select(F.col("vec_id").alias("pos"), "embedding")
-    joined = papers.join(emb, "pos")
-    prof = S.profile_vectors_dense(D.stored_vector_profiles(spark, sf), D.stored_vectors(spark, sf))
+    stored vectors, or the encoder's where a paper has none -> A1 profile ->
+    cosine -> top 20."""
+    from ..operators.encode import hashed_encoder_factory, with_vectors
+    papers = M.filter_by_query(_valid_latest(spark, sf), "the").withColumn("key", F.col("pos").cast("string"))
+    vectors = D.stored_vectors(spark, sf)
+    prof = S.profile_vectors_dense(D.stored_vector_profiles(spark, sf), vectors)
     vec = S.profile_literal(prof, "label_0")
-    scored = S.score_dense(joined, "embedding", vec, "label_0")
-    top = S.top_k(scored, 20, ["run_seq", "pos"])
+    whole = with_vectors(papers, vectors, "key", hashed_encoder_factory(len(vec)))
+    scored = S.score_dense(whole, "embedding", vec, "label_0")
+    top = S.top_k(scored.withColumn("score", F.round("score", 9)), 20, ["run_seq", "pos"])
     return top.select(F.col("pos").alias("doc_id"), "title", F.round("score", 6).alias("score"))
 
 
+# Lists by the role of a turn, and the benchmark's: all ranked at once.
+ROLE_LISTS = r"""lists AS (
+  SELECT 'benchmark' AS list_name, length(text) / 100.0 AS weight, text AS sentence FROM benchmark
+  UNION ALL SELECT 'role_' || role, 1.0, text FROM conversations),
+lsent AS (SELECT list_name, weight, unnest(""" + _hashed_sql("sentence", "1.0") + r""") AS e FROM lists),
+lprof AS (SELECT s.list_name, s.e.bucket AS bucket, sum(s.weight * s.e.value) / any_value(t.w) AS x
+          FROM lsent s JOIN (SELECT list_name, sum(weight) AS w FROM lists GROUP BY list_name) t ON t.list_name = s.list_name
+          GROUP BY s.list_name, s.e.bucket),
+lnorm AS (SELECT list_name, sqrt(sum(x * x)) AS n FROM lprof GROUP BY list_name),
+pnorm AS (SELECT doc_id, sqrt(sum(v * v)) AS n FROM pv GROUP BY doc_id),
+ldot AS (SELECT pv.doc_id, p.list_name, sum(pv.v * p.x) AS dot FROM pv JOIN lprof p ON p.bucket = pv.bucket GROUP BY ALL),
+lscore AS (SELECT l.doc_id, l.run_seq, l.pos, ln.list_name,
+                  coalesce(d.dot, 0) / greatest(coalesce(pn.n, 0) * ln.n, 1e-8) AS score
+           FROM latest l CROSS JOIN lnorm ln LEFT JOIN pnorm pn ON pn.doc_id = l.doc_id
+           LEFT JOIN ldot d ON d.doc_id = l.doc_id AND d.list_name = ln.list_name)"""
+RANK_ALL_SQL = f"""WITH {LATEST}, {PAPER_VEC}, {ROLE_LISTS}
+SELECT doc_id, list_name, round(score, 6) AS score,
+       row_number() OVER (PARTITION BY list_name ORDER BY round(score, 9) DESC, run_seq, pos) AS rank FROM lscore"""
+
+
+def _role_lists(spark, sf):
+    bench = D.profiles(spark, sf).where(F.col("list_name") == "benchmark").select("list_name", "weight", "sentence")
+    turns = D.read(spark, sf, "conversations").select(F.concat(F.lit("role_"), "role").alias("list_name"),
+                                                      F.lit(1.0).alias("weight"), F.col("text").alias("sentence"))
+    return bench.unionByName(turns)
+
+
+@register("rank_all_lists", RANK_ALL_SQL)
+def rank_all_lists(spark, sf):
+    """Every paper against every list by one matrix product, and
+    its rank within each list."""
+    vec = V.hashed_paper_dense(F.col("title"), F.col("abstract"))
+    vectors = _valid_latest(spark, sf).select("run_seq", "pos", vec.alias("embedding"))
+    ranked = S.rank_all_lists(vectors, S.profile_vectors_hashed(_role_lists(spark, sf)), ["run_seq", "pos"], ["run_seq", "pos"], 9)
+    return ranked.select(F.col("pos").alias("doc_id"), "list_name", F.round("score", 6).alias("score"), "rank")
+
+
+@register("rank_encoded", RANK_ALL_SQL)
+def rank_encoded(spark, sf):
+    """the same ranks by an encoder in Python workers, over a table of
+    vectors by text hash that is half filled beforehand."""
+    from ..operators.encode import VectorStore, hashed_encoder_factory
+    from ..session import shared_path
+    from .rank import rank_encoded
+    papers = _valid_latest(spark, sf)
+    store = VectorStore(spark, shared_path(spark, "vectors"), "double")
+    store.fill([(papers.where(F.col("pos") % 2 == 0), "title")], hashed_encoder_factory())
+    ranked = rank_encoded(papers, _role_lists(spark, sf), store, hashed_encoder_factory(), 9)
+    return ranked.select(F.col("pos").alias("doc_id"), "list_name", F.round("score", 6).alias("score"), "rank")
+
+
 # --- S9 / J3, X16, J4, A7 ---------------------------------------------------------
 
 def _written_back(spark, sf):
@@ -429,6 +487,28 @@ def type_aware_sort(spark, sf):
     return outs[0].unionByName(outs[1]).unionByName(outs[2])
 
 
+# Clicks on column heads, one chain a row of sorts: (column, descending).
+CHAINS = [("numbers", [("p_size", False), ("p_retailprice", True), ("p_size", True)]),
+          ("text_last", [("p_size", True), ("p_type", True)]),
+          ("text_first", [("p_brand", False), ("p_size", False)])]
+
+
+@register("resort_chain", """SELECT p_partkey, 'numbers' AS chain, row_number() OVER (ORDER BY CAST(p_size AS DOUBLE) DESC, r2) AS rank FROM (
+  SELECT *, row_number() OVER (ORDER BY CAST(p_retailprice AS DOUBLE) DESC, r1) AS r2 FROM (
+    SELECT *, row_number() OVER (ORDER BY CAST(p_size AS DOUBLE), p_partkey) AS r1 FROM part))
+UNION ALL
+SELECT p_partkey, 'text_last', row_number() OVER (ORDER BY p_type DESC, p_partkey DESC) FROM part
+UNION ALL
+SELECT p_partkey, 'text_first', row_number() OVER (ORDER BY CAST(p_size AS DOUBLE), r1) FROM (
+  SELECT *, row_number() OVER (ORDER BY p_brand, p_partkey) AS r1 FROM part)""")
+def resort_chain(spark, sf):
+    """O2 in use: each sort on the order that the last one left."""
+    part = D.read(spark, sf, "part").select("p_partkey", F.col("p_size").cast("string").alias("p_size"), "p_type", "p_brand",
+                                            F.col("p_retailprice").cast("string").alias("p_retailprice"))
+    outs = [B.sorted_by_clicks(part, clicks, "p_partkey").withColumn("chain", F.lit(name)) for name, clicks in CHAINS]
+    return reduce(DataFrame.unionByName, outs).select("p_partkey", "chain", "rank")
+
+
 # --- page SQL helpers ----------------------------------------------------------
 
 def _sql_str(s: str) -> str:
@@ -825,11 +905,11 @@ def notes_json(spark, sf):
 
 
 @register("id_to_year", """SELECT o_orderkey,
-  CASE o_orderstatus WHEN 'O' THEN strftime(o_orderdate, '%y%m') || '.' || lpad(CAST(o_orderkey AS VARCHAR), 7, '0')
+  CASE o_orderstatus WHEN 'O' THEN strftime(o_orderdate, '%y%m') || '.' || lpad(CAST(o_orderkey AS VARCHAR), CAST(greatest(7, length(CAST(o_orderkey AS VARCHAR))) AS INTEGER), '0')
                      WHEN 'F' THEN strftime(o_orderdate, '%y%m') || lpad(CAST(o_orderkey % 1000 AS VARCHAR), 3, '0')
                      ELSE 'x' || CAST(o_orderkey AS VARCHAR) END AS pid,
   CASE WHEN o_orderstatus = 'O' THEN 'https://preprints.example.org/abs/' ELSE 'https://preprints.example.org/abs/cs/' END
-  || CASE o_orderstatus WHEN 'O' THEN strftime(o_orderdate, '%y%m') || '.' || lpad(CAST(o_orderkey AS VARCHAR), 7, '0')
+  || CASE o_orderstatus WHEN 'O' THEN strftime(o_orderdate, '%y%m') || '.' || lpad(CAST(o_orderkey AS VARCHAR), CAST(greatest(7, length(CAST(o_orderkey AS VARCHAR))) AS INTEGER), '0')
                      WHEN 'F' THEN strftime(o_orderdate, '%y%m') || lpad(CAST(o_orderkey % 1000 AS VARCHAR), 3, '0')
                      ELSE 'x' || CAST(o_orderkey AS VARCHAR) END AS url,
   CASE o_orderstatus WHEN 'O' THEN '20' || strftime(o_orderdate, '%y')
@@ -841,7 +921,7 @@ def id_to_year(spark, sf):
     o = D.read(spark, sf, "orders")
     yymm = F.date_format("o_orderdate", "yyMM")
     pid = (F.when(F.col("o_orderstatus") == "O",
-                  F.concat(yymm, F.lit("."), F.lpad(F.col("o_orderkey").cast("string"), 7, "0")))
+                  F.concat(yymm, F.lit("."), D.padded(F.col("o_orderkey"), 7)))
            .when(F.col("o_orderstatus") == "F",
                  F.concat(yymm, F.lpad(F.pmod("o_orderkey", F.lit(1000)).cast("string"), 3, "0")))
            .otherwise(F.concat(F.lit("x"), F.col("o_orderkey").cast("string"))))
@@ -901,16 +981,22 @@ def linked_pages(spark, sf):
 
 
 @register("encoded_vectors", f"""WITH {LATEST},
-t AS (SELECT DISTINCT md5(coalesce(title, '')) AS key, title FROM latest),
-e AS (SELECT key, unnest({_hashed_sql('title', '1.0')}) AS e FROM t)
+t AS (SELECT DISTINCT md5(coalesce(x, '')) AS key, x FROM (SELECT title AS x FROM latest UNION ALL SELECT abstract FROM latest)),
+e AS (SELECT key, unnest({_hashed_sql('x', '1.0')}) AS e FROM t)
 SELECT key, e.bucket AS bucket, round(sum(e.value), 9) AS value FROM e GROUP BY key, e.bucket""")
 def encoded_vectors(spark, sf):
-    """V1 (c): a user encoder in Python workers over the distinct titles not yet
-    encoded (md5 key, anti-join against stored vectors: none here). The encoder
-    is the numpy twin of the hashed encoder, so SQL can check it."""
-    from ..operators.encode import encode_missing, hashed_encoder_factory
-    vecs = encode_missing(_valid_latest(spark, sf), None, hashed_encoder_factory(), "title", dtype="double")
-    return vecs.select("key", F.posexplode("embedding").alias("bucket", "value")).where(F.col("value") > 0) \
+    """V1 (c): a user encoder in Python workers over the distinct titles and
+    abstracts that the table of vectors lacks (by md5 key): it holds the
+    titles of every third paper, then is filled twice. The encoder is the numpy
+    twin of the hashed encoder, so SQL can check it."""
+    from ..operators.encode import VectorStore, hashed_encoder_factory
+    from ..session import shared_path
+    papers = _valid_latest(spark, sf)
+    store = VectorStore(spark, shared_path(spark, "vectors"), "double")
+    store.fill([(papers.where(F.col("pos") % 3 == 0), "title")], hashed_encoder_factory())
+    for _ in range(2):
+        store.fill([(papers, "title"), (papers, "abstract")], hashed_encoder_factory())
+    return store.read().select("key", F.posexplode("embedding").alias("bucket", "value")).where(F.col("value") > 0) \
         .select("key", F.col("bucket").cast("int").alias("bucket"), F.round("value", 9).alias("value"))
 
 

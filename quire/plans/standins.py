@@ -139,7 +139,7 @@ def stored_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- rendered pages ----------------------------------------------------------
 
-def _padded(n: Column, width: int) -> Column:
+def padded(n: Column, width: int) -> Column:
     text = n.cast("string")
     return F.lpad(text, F.greatest(F.length(text), F.lit(width)), F.lit("0"))
 
@@ -148,8 +148,8 @@ def preprint_id(year: Column, doc_id: Column) -> Column:
     """An id that encodes the year: ``yymm.nnnnn`` from 2007, ``yymmnnn``
     before; longer numbers stay whole."""
     yy = F.lpad(F.pmod(year, F.lit(100)).cast("string"), 2, "0")
-    new = F.concat(yy, F.lit("01."), _padded(doc_id, 5))
-    old = F.concat(yy, F.lit("01"), _padded(doc_id, 3))
+    new = F.concat(yy, F.lit("01."), padded(doc_id, 5))
+    old = F.concat(yy, F.lit("01"), padded(doc_id, 3))
     return F.when(year >= 2007, new).otherwise(old)
 
 
