@@ -14,13 +14,17 @@ Groups of near copies are not paired off. Equal sets are one node. Each
 shingle's posting list, cut into bands of sizes that may be linked, has a
 pivot, its smallest node; a pivot's group holds the nodes of all its lists,
 and any two nodes that share a prefix shingle and may be linked meet in a
-group. A group is dealt into blocks, a task compares two blocks by
-products of incidence matrices (prefixes against l first, then whole sets)
-and returns a spanning forest of the links it found: rows grow with the nodes
-of a group, not with its pairs.
+group. A group is dealt into blocks, and a task compares two blocks by
+products of incidence matrices: first of the prefix shingles that were written
+already, against l, which leaves the nodes that have a candidate; only their
+texts are sent, and whole sets compared. A task returns a spanning forest of
+the links it found: rows grow with the nodes of a group, not with its pairs.
+A candidate must also be able to reach the overlap that the two sizes ask
+for: what the prefixes share, plus the longer of the rests outside them (all
+shared shingles of one of the two prefixes lie in the other, too).
 
 Scale: texts are read in two passes that send only prefixes; shingles found in
-one document leave at once. Frequencies that order the sets are counted in
+one document leave at once. Blocks are bounded in nodes and in shingles. Frequencies that order the sets are counted in
 blocks of rows over all data; the ``ORDERED`` most frequent shingles are
 broadcast (the order steers cost, never results).
 
@@ -52,8 +56,10 @@ ORDERED = 100_000
 SEEN, BLOCK = 4, 2_000_000
 #: Prefix lengths to choose from, and the cost of a candidate in prefix rows.
 LEVELS, CANDIDATE = (1, 2, 3, 4, 6, 8), 4.0
-#: Nodes of a block in a pivot's group; columns of an incidence matrix.
-BLOCK_NODES, _COLUMNS = 1024, 1024
+#: Nodes and shingles of a block in a pivot's group; columns of an incidence matrix.
+BLOCK_NODES, BLOCK_SHINGLES, _COLUMNS = 1024, 1_000_000, 1024
+#: Bytes of text that a pass holds in arrays at once.
+SLICE = 1 << 20
 _BASE, _WORD_BASE = 0xD1342543DE82EF95, 0x9E3779B97F4A7C15
 _BLANK = np.zeros(256, bool)
 _BLANK[[9, 10, 11, 12, 13, 32]] = True
@@ -168,7 +174,7 @@ def _placed(source: DataFrame, words: int, percent: int) -> tuple[DataFrame, Dat
                                                pa.array(value.view(np.int64))], names)
 
         for batch in batches:
-            for b in byte_slices(batch, 2):
+            for b in byte_slices(batch, 2, SLICE):
                 rows, sets = shingle_sets(*text_bytes(b.column(2)), words)
                 n, node = _sizes(rows, sets, b.num_rows)
                 yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(n.astype(np.int64)), pa.array(node),
@@ -192,7 +198,7 @@ def _placed(source: DataFrame, words: int, percent: int) -> tuple[DataFrame, Dat
 
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for b in byte_slices(batch, 2):
+            for b in byte_slices(batch, 2, SLICE):
                 rows, sets = shingle_sets(*text_bytes(b.column(2)), words)
                 n, node = _sizes(rows, sets, b.num_rows)
                 once = np.zeros(b.num_rows, bool)
@@ -234,23 +240,25 @@ def _placed(source: DataFrame, words: int, percent: int) -> tuple[DataFrame, Dat
     # shingle and may be linked meet in the group of a pivot.
     ratio = float(np.log(100 / percent)) * 1.0001 if percent < 100 else 1e-9
     band = F.floor(F.log(F.shiftright("info", 16)) / ratio)
-    banded = live.select("shingle", "node", band.alias("home")) \
-        .select("shingle", "node", "home", F.explode(F.array(F.col("home"), F.col("home") + 1)).alias("band"))
+    banded = live.select("shingle", "node", F.shiftright("info", 16).alias("n"), band.alias("home")) \
+        .select("shingle", "node", "n", "home", F.explode(F.array(F.col("home"), F.col("home") + 1)).alias("band"))
     pivots = banded.groupBy("shingle", "band").agg(F.min("node").alias("pivot"), F.max("node").alias("last"),
                                                    F.max("home").alias("top")) \
         .filter("pivot < last and top = band").select("shingle", "band", "pivot")
     groups = written(banded.join(pivots, ["shingle", "band"])
-                     .select(F.xxhash64("pivot", "band").alias("pivot"), "node").distinct(), "groups")
-    # The text of each node that may be compared: that of its first row.
+                     .select(F.xxhash64("pivot", "band").alias("pivot"), "node", "n").distinct(), "groups")
+    posts = live.groupBy("node").agg(F.collect_list(F.struct("shingle", "info")).alias("posts"))
+    tasks = written(_with_candidates(groups, posts, percent), "tasks")
+    # The text of each node that has a candidate: that of its first row.
     firsts = measured.filter("n > 0").groupBy("node").agg(F.min(F.struct("doc_id", "mark")).alias("row"))
-    wanted = firsts.join(groups.select("node").distinct(), "node") \
+    wanted = firsts.join(tasks.select("node").distinct(), "node") \
         .select("node", F.col("row.doc_id").alias("d"), F.col("row.mark").alias("m"))
     nodes = _packed_rows(source).join(wanted, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("mark") == F.col("m"))) \
         .select("node", "text")
     if not measured.filter("n > 0").groupBy("doc_id", "mark").count().filter("count > 1").isEmpty():
         nodes = nodes.dropDuplicates(["node"])  # only repeated rows give a node twice
     nodes = written(nodes, "nodes")
-    tree = components(_linked_in_groups(groups, nodes, shared, words, percent), "a", "b")
+    tree = components(_linked_in_groups(tasks, nodes, words, percent), "a", "b")
 
     return measured, firsts.select("node").join(tree, "node", "left") \
         .select("node", F.coalesce("component", "node").alias("component"))
@@ -279,23 +287,37 @@ def _packed_rows(source: DataFrame) -> DataFrame:
     return source.mapInArrow(run, "doc_id long, mark long, text binary")
 
 
-def _linked_in_groups(groups: DataFrame, nodes: DataFrame, often, words: int, percent: int) -> DataFrame:
-    """(a, b): links that connect what the links of each pivot's group connect.
-
-    A group is dealt into blocks of nodes; a task compares two blocks (or one
-    with itself) and returns a spanning forest, at most a row for each node."""
-    blocks = groups.groupBy("pivot").agg(F.ceil(F.count("*") / BLOCK_NODES).cast("int").alias("blocks"))
+def _with_candidates(groups: DataFrame, posts: DataFrame, percent: int) -> DataFrame:
+    """(pivot, lo, hi, second, node): the nodes of each task (two blocks of a
+    group, or one with itself) that share enough prefix shingles with another
+    one there. Only prefixes travel, no text."""
+    blocks = groups.groupBy("pivot").agg(F.greatest(F.ceil(F.count("*") / BLOCK_NODES), F.ceil(F.sum("n") / BLOCK_SHINGLES))
+                                         .cast("int").alias("blocks"))
     code = F.pmod(F.xxhash64("node", "pivot"), "blocks").cast("int")
     dealt = groups.join(blocks, "pivot").withColumn("own", code).select(
         "pivot", "node", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
     dealt = dealt.select("pivot", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"),
                          (F.col("own") > F.col("other")).alias("second"), "node")
-    rows = dealt.join(nodes, "node").select("pivot", "lo", "hi", "second", "node", "text")
+    rows = dealt.join(posts, "node").select("pivot", "lo", "hi", "second", "node", "posts")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in _whole_tasks(batches):
+            kept = _candidates(part, part.column("lo")[0].as_py() == part.column("hi")[0].as_py(), percent)
+            yield from part.select(["pivot", "lo", "hi", "second", "node"]).take(kept).to_batches()
+
+    return rows.repartition("pivot", "lo", "hi").sortWithinPartitions("pivot", "lo", "hi", "node") \
+        .mapInArrow(compare, "pivot long, lo int, hi int, second boolean, node long")
+
+
+def _linked_in_groups(tasks: DataFrame, nodes: DataFrame, words: int, percent: int) -> DataFrame:
+    """(a, b): links that connect what the links of each pivot's group connect:
+    a spanning forest of each task, at most a row for each node."""
+    rows = tasks.join(nodes, "node").select("pivot", "lo", "hi", "second", "node", "text")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in _whole_tasks(batches):
             lo, hi = part.column("lo")[0].as_py(), part.column("hi")[0].as_py()
-            a, b = _links(part, lo == hi, *often.value, words, percent)
+            a, b = _links(part, lo == hi, words, percent)
             yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
     return written(rows.repartition("pivot", "lo", "hi").sortWithinPartitions("pivot", "lo", "hi", "node")
@@ -338,33 +360,57 @@ def _shared_counts(row: np.ndarray, value: np.ndarray, n: int, rows: np.ndarray,
     return out
 
 
-def _links(part: pa.Table, alone: bool, often: np.ndarray, count: np.ndarray, words: int, percent: int) \
-        -> tuple[np.ndarray, np.ndarray]:
-    """A spanning forest of the links among the nodes of one task."""
-    node = part.column("node").to_numpy()
-    second = part.column("second").to_numpy().astype(bool)
-    slices = [b for whole in part.to_batches() for b in byte_slices(whole, 5, 1 << 20)]
+def _sides(part: pa.Table, alone: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(nodes, rows, columns) of a task."""
+    node, second = part.column("node").to_numpy(), part.column("second").to_numpy().astype(bool)
+    every = np.arange(len(node))
+    return node, every if alone else np.flatnonzero(~second), every if alone else np.flatnonzero(second)
+
+
+def _of_sizes(n: np.ndarray, node: np.ndarray, rows: np.ndarray, cols: np.ndarray, percent: int) -> np.ndarray:
+    """Pairs of two nodes whose sizes allow a link."""
+    small, large = np.minimum(n[rows][:, None], n[cols][None, :]), np.maximum(n[rows][:, None], n[cols][None, :])
+    return (100 * small >= percent * large) & (node[rows][:, None] != node[cols][None, :])
+
+
+def _candidates(part: pa.Table, alone: bool, percent: int) -> np.ndarray:
+    """Places of the nodes that share, with another one of the task, as many
+    prefix shingles (of levels up to it) as the smaller l of the two, and
+    enough in all prefixes to reach the overlap of a link."""
+    node, rows, cols = _sides(part, alone)
+    posts = part.column("posts").combine_chunks()
+    posts = posts.chunk(0) if isinstance(posts, pa.ChunkedArray) else posts
+    row = np.repeat(np.arange(len(node)), posts.value_lengths().to_numpy())
+    value, info = (posts.flatten().field(k).to_numpy() for k in range(2))
+    level, chosen = (info >> 8) & 255, info & 255
+    n, least = np.ones(len(node), np.int64), np.ones(len(node), np.int64)
+    n[row], least[row] = info >> 16, chosen
+    need = np.minimum(least[rows][:, None], least[cols][None, :])
+    open_ = np.zeros(need.shape, bool)
+    for l in np.unique(need):
+        use = level <= l
+        open_ |= (need == l) & (_shared_counts(row[use], value[use], len(node), rows, cols) >= l)
+    open_ &= _of_sizes(n, node, rows, cols, percent)
+    if open_.any():
+        rest = np.maximum(0, _needed(n, percent) - least)
+        asked = -(-percent * (n[rows][:, None] + n[cols][None, :]) // (100 + percent))
+        asked -= np.maximum(rest[rows][:, None], rest[cols][None, :])
+        open_ &= _shared_counts(row, value, len(node), rows, cols) >= asked
+    return np.unique(np.r_[rows[open_.any(axis=1)], cols[open_.any(axis=0)]])
+
+
+def _links(part: pa.Table, alone: bool, words: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """A spanning forest of the links among the nodes of one task, by whole sets."""
+    node, rows, cols = _sides(part, alone)
+    slices = [b for whole in part.to_batches() for b in byte_slices(whole, 5, SLICE)]
     found = [shingle_sets(*text_bytes(_unpacked(b.column(5))), words) for b in slices]
     sizes = [b.num_rows for b in slices]
     row = np.concatenate([r + s for (r, _), s in zip(found, np.cumsum([0, *sizes]), strict=False)])
     sets = np.concatenate([x for _, x in found])
     n = np.bincount(row, minlength=len(node))
-    rows = np.arange(len(node)) if alone else np.flatnonzero(~second)
-    cols = np.arange(len(node)) if alone else np.flatnonzero(second)
-    p_row, p_value, level, chosen = _prefixes(row, sets, n, often, count, percent)
-    least = np.ones(len(node), np.int64)
-    least[p_row] = chosen
-    need = np.minimum(least[rows][:, None], least[cols][None, :])
-    open_ = np.zeros(need.shape, bool)
-    for l in np.unique(need):
-        use = level <= l
-        open_ |= (need == l) & (_shared_counts(p_row[use], p_value[use], len(node), rows, cols) >= l)
-    small = np.minimum(n[rows][:, None], n[cols][None, :])
-    large = np.maximum(n[rows][:, None], n[cols][None, :])
-    open_ &= (100 * small >= percent * large) & (node[rows][:, None] != node[cols][None, :])
-    if open_.any():  # verification by whole sets
-        both = _shared_counts(row, sets, len(node), rows, cols).astype(np.int64)
-        open_ &= 100 * both >= percent * (n[rows][:, None] + n[cols][None, :] - both)
+    open_ = _of_sizes(n, node, rows, cols, percent)
+    both = _shared_counts(row, sets, len(node), rows, cols).astype(np.int64)
+    open_ &= 100 * both >= percent * (n[rows][:, None] + n[cols][None, :] - both)
     a, b = np.nonzero(open_)
     if not len(a):
         return node[:0], node[:0]

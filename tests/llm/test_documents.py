@@ -357,3 +357,33 @@ def test_suffix_dedup_of_texts_without_an_id(spark):
     docs = spark.createDataFrame([(1, passage), (None, one), (None, two)], "doc_id long, text string")
     got = {r["kept_text"]: r["n_removed"] for r in suffix_dedup.remove_repeats(docs, keep_text=True).collect()}
     assert got == {passage: 0, one: 0, two[len(passage):]: len(passage)}
+
+
+def test_candidates_keep_every_link():
+    """Sets whose overlap is at and about the threshold: a pair of nodes that
+    is linked is never taken for none, and pairs far below are dropped."""
+    import pyarrow as pa
+    rng = np.random.default_rng(9)
+    dropped = 0
+    for _ in range(400):
+        n = int(rng.integers(1, 90))
+        base = rng.choice(10 ** 6, n, replace=False).astype(np.uint64)
+        lost, new = int(rng.integers(0, max(1, n // 3) + 1)), int(rng.integers(0, 12))
+        other = np.unique(np.r_[base[lost:], rng.choice(10 ** 6, new).astype(np.uint64) + np.uint64(10 ** 6)])
+        base = np.unique(base)
+        if not len(other):
+            continue
+        both = len(np.intersect1d(base, other))
+        linked = 100 * both >= 80 * (len(base) + len(other) - both)
+        often = np.unique(rng.choice(np.r_[base, other], max(1, n // 4)))
+        count = rng.integers(4, 4000, len(often))
+        posts = []
+        for x in (base, other):
+            _, value, level, chosen = jaccard_join._prefixes(np.zeros(len(x), np.int64), x, np.array([len(x)]), often, count, 80)
+            posts.append([{"shingle": int(v), "info": len(x) << 16 | int(l) << 8 | int(c)} for v, l, c in zip(value, level, chosen)])
+        part = pa.table({"pivot": [1, 1], "lo": [0, 0], "hi": [0, 0], "second": [False, False], "node": [5, 9],
+                         "posts": pa.array(posts, pa.list_(pa.struct([("shingle", pa.int64()), ("info", pa.int64())])))})
+        kept = jaccard_join._candidates(part, True, 80)
+        assert len(kept) == 2 or not linked
+        dropped += len(kept) == 0
+    assert dropped > 20
