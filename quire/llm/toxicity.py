@@ -46,6 +46,8 @@ STEMS = (4, 5, 6)
 #: Log-odds from which a term counts as strong.
 STRONG = 3.0
 _MEMO = 400_000
+#: Bytes of text that a pass holds in arrays at once.
+SLICE = 1 << 20
 FEATURES = ("words", "word_density", "word_strength", "word_hits", "stem_density", "stem_strength", "stem_hits",
             "near_you", "you_density", "capitals", "shouted", "exclamations", "questions", "marks", "masked",
             "substituted")
@@ -157,18 +159,22 @@ def learn_lexicon(rows: DataFrame) -> dict[str, float]:
 
 
 def with_features(rows: DataFrame, lexicon: dict[str, float], keep: list[str]) -> DataFrame:
-    """The kept columns and ``features`` of column ``text``."""
+    """The kept columns and ``features`` of column ``text``, which may be one
+    of those kept (it then goes to the worker once)."""
     shared = rows.sparkSession.sparkContext.broadcast(lexicon)
-    rows = rows.select(*keep, F.col("text").cast("string").alias("text"))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
+    sent = [c for c in keep if c != "text"]
+    place = len(sent)
+    rows = rows.select(*sent, F.col("text").cast("string").alias("text"))
+    schema = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in keep)
+    order = [rows.columns.index(c) for c in keep]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Reader(shared.value)
         for batch in batches:
-            for b in byte_slices(batch, len(keep)):
-                x = reader.features(texts(b.column(len(keep))), *text_bytes(b.column(len(keep))))
+            for b in byte_slices(batch, place, SLICE):
+                x = reader.features(texts(b.column(place)), *text_bytes(b.column(place)))
                 values = pa.ListArray.from_arrays(np.arange(0, x.size + 1, x.shape[1], dtype=np.int32), x.ravel())
-                yield pa.RecordBatch.from_arrays([*b.columns[:len(keep)], values], [*keep, "features"])
+                yield pa.RecordBatch.from_arrays([*(b.column(k) for k in order), values], [*keep, "features"])
 
     return rows.mapInArrow(run, schema + ", features array<double>")
 
@@ -196,8 +202,17 @@ class Classifier:
 
     def clean(self, docs: DataFrame, text_col: str = "text") -> DataFrame:
         """The rows that aren't predicted toxic, with all their columns."""
-        rows = docs.select(F.struct("*").alias("row"), F.col(text_col).alias("text"))
-        return self.judged(rows, ["row"]).filter("predicted = 0").select("row.*")
+        others = [c for c in docs.columns if c != text_col]
+        # Numbered fields: names with dots or twice over make no difference.
+        row = F.struct(F.lit(0).alias("_"), *(docs[_quoted(c)].alias(f"c{k}") for k, c in enumerate(others)))
+        rows = docs.select(row.alias("row"), docs[_quoted(text_col)].alias("text"))
+        kept = self.judged(rows, ["row", "text"]).filter("predicted = 0")
+        place = {c: F.col(f"row.c{k}") for k, c in enumerate(others)} | {text_col: F.col("text")}
+        return kept.select(*(place[c].alias(c) for c in docs.columns))
+
+
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
 
 
 def _raw(rows: DataFrame, trees) -> DataFrame:
