@@ -58,8 +58,16 @@ def centres(sample: np.ndarray, k: int, rounds: int = 8, seed: int = 7) -> np.nd
 
 
 def _unit(vectors: list) -> np.ndarray:
+    """Rows of length one. Where squares would leave the range of a double the
+    row is first divided by its largest component."""
     x = np.array([np.asarray(v, np.float64) for v in vectors])
-    return x / np.linalg.norm(x, axis=1, keepdims=True)
+    with np.errstate(over="ignore"):
+        size = np.linalg.norm(x, axis=1)
+    odd = np.flatnonzero((size < 1e-140) | (size > 1e140))
+    if len(odd):
+        x[odd] /= np.abs(x[odd]).max(axis=1, keepdims=True)
+        size[odd] = np.linalg.norm(x[odd], axis=1)
+    return x / size[:, None]
 
 
 def guests(x: np.ndarray, c: np.ndarray, margin: float) -> tuple[np.ndarray, np.ndarray]:

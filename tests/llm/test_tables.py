@@ -184,3 +184,13 @@ def test_pipeline(spark, tmp_dir):
     run = corpus_pipeline.run(spark, tmp_dir)
     assert {r["doc_id"] for r in run.collect()} == set(cut)
     assert run.agg(F.max("length")).first()[0] <= 2048
+
+
+def test_embeddings_of_any_length(spark):
+    """Vectors whose squares leave the range of a double link like others and
+    disturb none."""
+    rows = [(1, [1.0, 1.0]), (2, [1e200, 1e200]), (3, [1e-200, 1e-200]), (4, [1.0, 1.001]), (5, [-1.0, 1.0]), (6, [-1e-300, 1.1e-300]),
+            (7, [5e-324, 0.0]), (8, [1.7e308, 0.0])]
+    got = embedding_dedup.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    assert sorted((r["vec_id"], r["n_links"], r["component_id"]) for r in got) == \
+        [(1, 3, 1), (2, 3, 1), (3, 3, 1), (4, 3, 1), (5, 1, 5), (6, 1, 5), (7, 1, 7), (8, 1, 7)]
