@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from .common import byte_slices, mix64, read_table, text_bytes, window_hash, written
 from .jaccard_join import _word_hashes as word_hashes
 
-ORDER = 2
+ORDER = 3
 BACKOFF, UNKNOWN_COUNT = 0.4, 0.5
 #: Text of a block, and of the corpus for each hash partition.
 BLOCK_BYTES, PARTITION_BYTES = 8 << 20, 16 << 20
@@ -185,7 +185,7 @@ def stupid_backoff(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 def op6_lm_scoring(spark, sf_dir: str) -> DataFrame:
-    """The bigram score of every document under the counts of all others."""
+    """The trigram score of every document under the counts of all others."""
     return stupid_backoff(read_table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", F.round("log_score", 4).alias("log_score"), F.round("mean_score", 6).alias("mean_score"))
 
@@ -195,7 +195,7 @@ WITH l AS (
   SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
     'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS ws FROM documents),
 p AS (
-  SELECT doc_id, i, ws[i] AS w, CASE WHEN i > 1 THEN ws[i - 1] END AS v
+  SELECT doc_id, i, ws[i] AS w, CASE WHEN i > 1 THEN ws[i - 1] END AS v, CASE WHEN i > 2 THEN ws[i - 2] END AS u
   FROM (SELECT doc_id, ws, unnest(range(1, len(ws) + 1)) AS i FROM l)),
 c1 AS (SELECT w, count(*) AS n FROM p GROUP BY w),
 d1 AS (SELECT doc_id, w, count(*) AS n FROM p GROUP BY doc_id, w),
@@ -203,14 +203,20 @@ o1 AS (SELECT doc_id, w, c1.n - d1.n AS n FROM d1 JOIN c1 USING (w)),
 c2 AS (SELECT v, w, count(*) AS n FROM p WHERE v IS NOT NULL GROUP BY v, w),
 d2 AS (SELECT doc_id, v, w, count(*) AS n FROM p WHERE v IS NOT NULL GROUP BY doc_id, v, w),
 o2 AS (SELECT doc_id, v, w, c2.n - d2.n AS n FROM d2 JOIN c2 USING (v, w)),
+c3 AS (SELECT u, v, w, count(*) AS n FROM p WHERE u IS NOT NULL GROUP BY u, v, w),
+d3 AS (SELECT doc_id, u, v, w, count(*) AS n FROM p WHERE u IS NOT NULL GROUP BY doc_id, u, v, w),
+o3 AS (SELECT doc_id, u, v, w, c3.n - d3.n AS n FROM d3 JOIN c3 USING (u, v, w)),
 s AS (
   SELECT p.doc_id,
-    CASE WHEN o2.n > 0 THEN ln(o2.n / ov.n)
+    CASE WHEN o3.n > 0 THEN ln(o3.n / oc.n)
+         WHEN o2.n > 0 THEN ln(o2.n / ov.n) + CASE WHEN p.u IS NULL THEN 0 ELSE ln(0.4) END
          ELSE ln(CASE WHEN ow.n > 0 THEN ow.n ELSE 0.5 END / greatest((SELECT sum(len(ws)) FROM l) - len(l.ws), 1))
-              + CASE WHEN p.v IS NULL THEN 0 ELSE ln(0.4) END END AS x
+              + ln(0.4) * least(p.i - 1, 2) END AS x
   FROM p JOIN l USING (doc_id) JOIN o1 ow ON ow.doc_id = p.doc_id AND ow.w = p.w
   LEFT JOIN o1 ov ON ov.doc_id = p.doc_id AND ov.w = p.v
-  LEFT JOIN o2 ON o2.doc_id = p.doc_id AND o2.v = p.v AND o2.w = p.w)
+  LEFT JOIN o2 ON o2.doc_id = p.doc_id AND o2.v = p.v AND o2.w = p.w
+  LEFT JOIN o2 oc ON oc.doc_id = p.doc_id AND oc.v = p.u AND oc.w = p.v
+  LEFT JOIN o3 ON o3.doc_id = p.doc_id AND o3.u = p.u AND o3.v = p.v AND o3.w = p.w)
 SELECT l.doc_id, len(l.ws) AS n_words, round(coalesce(t.x, 0), 4) AS log_score,
        round(t.x / nullif(len(l.ws), 0), 6) AS mean_score
 FROM l LEFT JOIN (SELECT doc_id, sum(x) AS x FROM s GROUP BY doc_id) t USING (doc_id)"""

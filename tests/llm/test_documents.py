@@ -245,11 +245,18 @@ def test_configurations_near_the_bound():
 
 def test_lm_scores(spark, none):
     docs = spark.createDataFrame([(1, "a b c"), (2, "A b d"), (3, ""), (4, None), (5, "q")], "doc_id long, text string")
-    got = by_id(lm_scoring.stupid_backoff(docs))
+    got = by_id(lm_scoring.stupid_backoff(docs, order=2))
     # 1: a is 1 of the 4 words elsewhere; a b follows a once of once; b c is unknown, c as well (0.5 of 4).
     assert got[1]["log_score"] == pytest.approx(np.log(1 / 4) + np.log(1 / 1) + np.log(0.4) + np.log(0.5 / 4))
     assert got[5]["log_score"] == pytest.approx(np.log(0.5 / 6)) and got[5]["n_words"] == 1
     assert got[3]["n_words"] == got[4]["n_words"] == 0 and got[3]["mean_score"] is None
+    # Three words: a b c and b c are unknown, so c gives up two orders.
+    got = by_id(lm_scoring.stupid_backoff(docs))
+    assert got[1]["log_score"] == pytest.approx(np.log(1 / 4) + np.log(1 / 1) + 2 * np.log(0.4) + np.log(0.5 / 4))
+    more = spark.createDataFrame([(1, "a b c d"), (2, "a b c e"), (3, "x b c"), (4, "a b")], "doc_id long, text string")
+    # 1: b follows a in two of two, c follows a b in one of two, d is unknown.
+    assert by_id(lm_scoring.stupid_backoff(more))[1]["log_score"] == pytest.approx(
+        np.log(2 / 9) + np.log(2 / 2) + np.log(1 / 2) + 2 * np.log(0.4) + np.log(0.5 / 9))
     assert lm_scoring.stupid_backoff(none).collect() == []
 
 
