@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir, shared_path, table_path
 
-__all__ = ["byte_slices", "held_out", "left_rows", "mix64", "read_table", "shared_path", "text_bytes", "texts", "window_hash",
+__all__ = ["byte_slices", "held_out", "left_rows", "mix64", "quoted", "read_table", "shared_path", "text_bytes", "texts", "window_hash",
            "written"]
 
 U64 = np.uint64
@@ -33,6 +33,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def quoted(name: str) -> str:
+    """A column's name as an expression, dots and back quotes included."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def held_out(id_col, folds: int = 5):
     """True where crc32 of the id as text, modulo ``folds``, is 0 (null ids
     are never held out)."""

@@ -21,13 +21,14 @@ Scale: runs that repeat inside one block of rows are settled before the
 shuffle, so a string in a third of all documents sends one row a block. A
 seed shared by more than ``HOT_RUNS`` different runs is dealt on by the hash
 of each position's whole string. Sorted rows are read in whole keys of
-bounded size. Texts are shuffled twice, by document.
+bounded size. Of equal rows one is searched; a list holds the different runs
+or spans of one text. Texts are shuffled twice, by document.
 
 Defined cases: null or empty text has no bytes, nothing removed; texts
 shorter than ``length`` keep everything; equal rows (same id and text) don't
 count as earlier than one another and share one decision; different texts
 under one id are ordered by a hash of the text; a null id comes last; an
-empty table gives an empty result; other columns are ignored.
+empty table gives an empty result; other columns, of any name, are ignored.
 """
 
 from __future__ import annotations
@@ -39,8 +40,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType, StructType
 
-from .common import byte_slices, mix64, read_table, text_bytes, window_hash, written
+from .common import byte_slices, mix64, quoted, read_table, text_bytes, window_hash, written
 
 LENGTH = 100
 SEED = 32
@@ -252,12 +254,12 @@ def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", le
             last = np.r_[new[1:] - 1, len(at) - 1] if len(at) else at
             yield _longs(names, d[new], m[new], p[new], p[last] + length)
 
-    marked = _marked(docs, id_col, text_col)
+    marked = _different(_marked(docs, id_col, text_col))
     runs = marked.mapInArrow(seeds, _RUNS).repartition("key").sortWithinPartitions("key")
     runs = written(runs.mapInArrow(shared, "kind long, key long, doc long, mark long, run long"), "runs")
     gone = runs.filter(F.col("kind") == _GONE).select("doc", "mark", *_range_columns(length))
     left = runs.filter(F.col("kind") != _GONE) \
-        .groupBy("doc", "mark").agg(F.collect_list(F.struct("kind", "key", "run")).alias("runs"))
+        .groupBy("doc", "mark").agg(F.collect_set(F.struct("kind", "key", "run")).alias("runs"))
     marked = marked.withColumnsRenamed({"doc": "d", "mark": "m"})
     joined = marked.join(left, (F.col("d") == F.col("doc")) & (F.col("m") == F.col("mark"))) \
         .select("text", "doc", "mark", F.transform("runs", lambda r: r["kind"]).alias("kind"),
@@ -286,6 +288,15 @@ def _marked(docs: DataFrame, id_col: str, text_col: str, row=None) -> DataFrame:
                        *([] if row is None else [row.alias("row")]))
 
 
+def _different(marked: DataFrame) -> DataFrame:
+    """One row for each (doc, mark). Only rows that share theirs move."""
+    tied = written(marked.groupBy("doc", "mark").count().filter("count > 1").select("doc", "mark"), "tied")
+    if tied.isEmpty():
+        return marked
+    ones = marked.join(tied, ["doc", "mark"], "left_semi").groupBy("doc", "mark").agg(F.first("text").alias("text"))
+    return marked.join(tied, ["doc", "mark"], "left_anti").unionByName(ones)
+
+
 def _strings(b: pa.RecordBatch, length: int) -> Iterator[pa.RecordBatch]:
     """The bytes of each run; a hot one position by position, keyed by the
     whole string, equal strings of the block settled at once."""
@@ -325,7 +336,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     whole input row (``row``)."""
     spans = written(repeated(docs, id_col, text_col, length, seed, hot_runs), "spans").groupBy("doc", "mark") \
         .agg(F.collect_list("start").alias("start"), F.collect_list("stop").alias("stop"))
-    row = F.struct(*(F.col(c) for c in docs.columns if c != text_col)) if keep_text else F.lit(None).cast("int")
+    row = F.struct(*(F.col(quoted(c)) for c in docs.columns if c != text_col)) if keep_text else F.lit(None).cast("int")
     marked = _marked(docs, id_col, text_col, row).withColumnsRenamed({"doc": "d", "mark": "m"}) \
         .withColumn("doc_id", F.when(F.col("d") != _LAST, F.col("d")))
     joined = marked.join(spans, (F.col("d") == F.col("doc")) & (F.col("m") == F.col("mark")), "left") \
@@ -354,9 +365,11 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 names += ["spans", "kept_text", "row"]
             yield pa.RecordBatch.from_arrays(out, names)
 
-    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+    schema = StructType().add("doc_id", "long").add("n_bytes", "long").add("n_removed", "long") \
+        .add("n_spans", "long").add("kept_sha256", "string")
     if keep_text:
-        schema += f", spans array<array<long>>, kept_text string, row {joined.schema['row'].dataType.simpleString()}"
+        schema = schema.add("spans", ArrayType(ArrayType(LongType()))).add("kept_text", "string") \
+            .add("row", joined.schema["row"].dataType)
     return joined.mapInArrow(cut, schema)
 
 

@@ -243,6 +243,20 @@ def test_configurations_near_the_bound():
         assert sum(m for _, m in configs) <= max(least + 1, slack * least)
 
 
+def test_repeated_rows_cost_one(spark):
+    """Copies of a row add no spans; columns of any name ride along."""
+    rng = random.Random(12)
+    long = words(rng, 150)
+    early = long.replace(" ", "  ", 1)
+    schema = "doc_id long, text string, `a.b` string, doc string, mark string, row string"
+    few, many = (spark.createDataFrame([(1, early, "p", "q", "r", "s")] + [(5, long, "p", "q", "r", "s")] * k, schema)
+                 for k in (1, 60))
+    assert suffix_dedup.repeated(many).count() == suffix_dedup.repeated(few).count() > 0
+    one = {r["kept_sha256"] for r in suffix_dedup.remove_repeats(few).filter("doc_id = 5").collect()}
+    rows = suffix_dedup.remove_repeats(many, keep_text=True).filter("doc_id = 5").collect()
+    assert len(rows) == 60 and {r["kept_sha256"] for r in rows} == one and all(r["row"]["a.b"] == "p" for r in rows)
+
+
 def test_lm_scores(spark, none):
     docs = spark.createDataFrame([(1, "a b c"), (2, "A b d"), (3, ""), (4, None), (5, "q")], "doc_id long, text string")
     got = by_id(lm_scoring.stupid_backoff(docs, order=2))
