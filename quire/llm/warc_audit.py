@@ -11,15 +11,15 @@ records.
 Scale: everything is DataFrame expressions. A node gathers at most ``FANOUT``
 children and a leaf range the records that start in its bytes, whatever the
 size of an archive, so a hot archive is many nodes. Digests are written once
-(not payloads), and descending joins only rows under mismatches.
+(not payloads, which never move), and descending joins only rows under mismatches.
 
 Defined cases: a null payload is an empty one; a null archive is an archive of
-its own; several records at one offset are ordered by digest, and repeated
-rows count by their number; records with a null offset are dealt by digest over
-ranges below all offsets, equal ones match first and the rest are paired in
-order of digest; an archive or record that one replica lacks is
-``missing`` (the second lacks it) or ``extra``; an empty replica has no trees;
-other columns are ignored.
+its own, apart from one without a name; records with a null offset are dealt by
+digest over ranges below all offsets; of the records at one place (or without
+an offset) equal ones match first, copy by copy, and different records that are
+left are paired in order of digest (``corrupt``); what stays unpaired, copies
+included, is ``missing`` (the second replica lacks it) or ``extra``, one row
+however many copies; an empty replica has no trees; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -35,12 +35,22 @@ FANOUT = 16
 UNPLACED = 4096
 
 
+def fixity(payload: Column) -> Column:
+    """(length, digest) of a payload."""
+    data = F.coalesce(payload.cast("binary"), F.lit(b""))
+    return F.struct(F.octet_length(data).cast("long").alias("length"), F.unhex(F.sha2(data, 256)).alias("digest"))
+
+
 def records(replica: DataFrame, archive: str = "archive", offset: str = "offset", payload: str = "payload") -> DataFrame:
-    """(archive, offset, length, digest, copies) of a replica's records."""
-    data = F.coalesce(F.col(payload).cast("binary"), F.lit(b""))
-    return replica.select(F.coalesce(F.col(archive).cast("string"), F.lit("")).alias("archive"),
-                          F.col(offset).cast("long").alias("offset"), F.octet_length(data).cast("long").alias("length"),
-                          F.unhex(F.sha2(data, 256)).alias("digest")) \
+    """(archive, offset, length, digest) of a replica's records."""
+    return replica.select(F.col(archive).cast("string").alias("archive"), F.col(offset).cast("long").alias("offset"),
+                          fixity(F.col(payload)).alias("seen")).select("archive", "offset", "seen.*")
+
+
+def counted(recs: DataFrame) -> DataFrame:
+    """(archive, offset, length, digest, copies); the archive's name after
+    ``=``, that of a null archive empty."""
+    return recs.withColumn("archive", F.coalesce(F.concat(F.lit("="), "archive"), F.lit(""))) \
         .groupBy("archive", "offset", "length", "digest").agg(F.count("*").alias("copies"))
 
 
@@ -88,7 +98,12 @@ def _levels(spans: list[int], span: int, fanout: int) -> int:
 def audit(first: DataFrame, second: DataFrame, span: int = LEAF_SPAN, fanout: int = FANOUT, **columns: str) -> DataFrame:
     """One row per damaged record: archive, offset, length, status (corrupt,
     missing, extra), expected and found digests (lowercase hex)."""
-    a, b = (written(records(r, **columns), "records") for r in (first, second))
+    return audit_records(records(first, **columns), records(second, **columns), span, fanout)
+
+
+def audit_records(first: DataFrame, second: DataFrame, span: int = LEAF_SPAN, fanout: int = FANOUT) -> DataFrame:
+    """``audit`` of replicas given as ``records``."""
+    a, b = (written(counted(r), "records") for r in (first, second))
     tops = [x.agg(F.max("offset")).first()[0] or 0 for x in (a, b)]
     levels = _levels(tops, span, fanout)
     ours, theirs = trees(a, levels, span, fanout), trees(b, levels, span, fanout)
@@ -102,29 +117,34 @@ def audit(first: DataFrame, second: DataFrame, span: int = LEAF_SPAN, fanout: in
         suspects = written(x.withColumnRenamed("hash", "mine").join(y.withColumnRenamed("hash", "other"),
                                                                     ["archive", "node"], "full")
                            .filter(~F.col("mine").eqNullSafe(F.col("other"))).select("archive", "node"), "suspects")
-    a, b = (t.withColumn("node", _range(span)).join(suspects, ["archive", "node"], "left_semi")
-            .select("archive", F.coalesce("offset", F.lit(0)).alias("at"), F.col("offset").isNotNull().alias("placed"),
-                    "length", "digest", "copies") for t in (a, b))
-    # Without an offset, records that both replicas hold are not paired with others.
-    a, b = (t.join(o.filter("not placed"), t.columns, "left_anti") for t, o in ((a, b), (b, a)))
-    # Several records at one offset are paired in order of digest.
-    order = Window.partitionBy("archive", "at", "placed").orderBy("digest", "length")
-    a, b = (t.withColumn("k", F.row_number().over(order)).select(
-        "archive", "at", "placed", "k", F.struct("length", "digest", "copies").alias(name))
-        for t, name in ((a, "mine"), (b, "other")))
+    left = None
+    for t, sign in ((a, 1), (b, -1)):
+        t = t.withColumn("node", _range(span)).join(suspects, ["archive", "node"], "left_semi").select(
+            "archive", F.coalesce("offset", F.lit(0)).alias("at"), F.col("offset").isNotNull().alias("placed"),
+            "length", "digest", (F.col("copies") * sign).alias("copies"))
+        left = t if left is None else left.unionByName(t)
+    # Copies that both replicas hold match; those that one has more of are left.
+    left = left.groupBy("archive", "at", "placed", "length", "digest").agg(F.sum("copies").alias("copies")) \
+        .filter("copies <> 0").withColumn("mine", F.col("copies") > 0)
+    order = Window.partitionBy("archive", "at", "placed", "mine").orderBy("digest", "length")
+    left = left.withColumn("k", F.row_number().over(order)).withColumn("seen", F.struct("length", "digest"))
+    pairs = left.groupBy("archive", "at", "placed", "k").agg(
+        F.max(F.when(F.col("mine"), F.col("seen"))).alias("mine"), F.max(F.when(~F.col("mine"), F.col("seen"))).alias("other"))
     status = F.when(F.col("other").isNull(), "missing").when(F.col("mine").isNull(), "extra").otherwise("corrupt")
-    return a.join(b, ["archive", "at", "placed", "k"], "full").filter(~F.col("mine").eqNullSafe(F.col("other"))).select(
-        "archive", F.when(F.col("placed"), F.col("at")).alias("offset"), F.coalesce("mine.length", "other.length").alias("length"), status.alias("status"),
-        F.lower(F.hex("mine.digest")).alias("expected"), F.lower(F.hex("other.digest")).alias("found"))
+    return pairs.select(
+        F.when(F.col("archive") != "", F.substring("archive", 2, 1 << 30)).alias("archive"),
+        F.when(F.col("placed"), F.col("at")).alias("offset"), F.coalesce("mine.length", "other.length").alias("length"),
+        status.alias("status"), F.lower(F.hex("mine.digest")).alias("expected"), F.lower(F.hex("other.digest")).alias("found"))
 
 
 # --- two replicas of the driver's pages -------------------------------------------
 
 
 def archived(pages: DataFrame, per_archive: int = 500) -> DataFrame:
-    """(archive, offset, payload, page_id): every page as a WARC response
+    """(archive, offset, whole, held, page_id): every page as a WARC response
     record, dealt by a hash of the row over archives of about ``per_archive``
-    records, in order of page."""
+    records, in order of page. ``whole`` is the fixity of the payload, ``held``
+    that of a replica's (see ``decayed``); payloads stay where they are read."""
     n = max(1, -(-pages.count() // per_archive))
     html = F.coalesce(F.col("html"), F.lit(""))
     url = F.coalesce(F.col("url"), F.lit(""))
@@ -133,30 +153,31 @@ def archived(pages: DataFrame, per_archive: int = 500) -> DataFrame:
                     F.lit("\r\nWARC-Record-ID: <urn:page:"), page, F.lit(">\r\nContent-Length: "),
                     F.octet_length(html).cast("string"), F.lit("\r\n\r\n"))
     code = F.md5(F.concat_ws("|", page, url, F.md5(html.cast("binary"))).cast("binary"))
-    rows = pages.select("page_id", F.concat(head, html, F.lit("\r\n\r\n")).cast("binary").alias("payload"),
-                        code.alias("code"), F.conv(F.substring(code, 1, 8), 16, 10).cast("long").alias("c"))
+    rows = pages.select("page_id", F.concat(head, html, F.lit("\r\n\r\n")).cast("binary").alias("payload"), code.alias("code")) \
+        .select("page_id", "code", F.conv(F.substring("code", 1, 8), 16, 10).cast("long").alias("c"),
+                fixity(F.col("payload")).alias("whole"), fixity(decayed(F.col("payload"), F.col("page_id"))).alias("held"))
     before = Window.partitionBy("archive").orderBy("page_id", "code").rowsBetween(Window.unboundedPreceding, -1)
     return rows.withColumn("archive", F.format_string("pages-%06d.warc", F.col("c") % n)) \
-        .withColumn("offset", F.coalesce(F.sum(F.octet_length("payload")).over(before), F.lit(0)).cast("long")) \
-        .select("archive", "offset", "payload", "page_id")
+        .withColumn("offset", F.coalesce(F.sum("whole.length").over(before), F.lit(0)).cast("long")) \
+        .select("archive", "offset", "whole", "held", "page_id")
 
 
-def decayed(replica: DataFrame) -> DataFrame:
-    """A replica as a failing store would return it: of the records whose page
+def decayed(payload: Column, page_id: Column) -> Column:
+    """A payload as a failing store would return it: of the records whose page
     id divided by 50 leaves 7 the first byte is flipped, by 125 leaves 11 the
-    last kilobyte is cut off, by 250 leaves 19 all is lost."""
-    payload = F.col("payload")
+    last kilobyte is cut off (by 250 leaves 19 all is lost)."""
     flipped = F.concat(F.lit(b"w"), F.substring(payload, 2, 1 << 30))
     cut = F.substring(payload, F.lit(1), F.greatest(F.octet_length(payload) - 1024, F.lit(0)))
-    page = F.coalesce(F.col("page_id"), F.lit(0))
-    return replica.filter(page % 250 != 19).withColumn(
-        "payload", F.when(page % 50 == 7, flipped).when(page % 125 == 11, cut).otherwise(payload))
+    page = F.coalesce(page_id, F.lit(0))
+    return F.when(page % 50 == 7, flipped).when(page % 125 == 11, cut).otherwise(payload)
 
 
 def op1_warc_audit(spark, sf_dir: str) -> DataFrame:
     """All pages as WARC records, a decayed replica audited against the whole."""
-    whole = archived(read_table(spark, sf_dir, "pages"))
-    return audit(whole, decayed(whole))
+    pages = written(archived(read_table(spark, sf_dir, "pages")), "archived")
+    lost = F.coalesce(F.col("page_id"), F.lit(0)) % 250 == 19
+    return audit_records(pages.select("archive", "offset", "whole.*"),
+                         pages.filter(~lost).select("archive", "offset", "held.*"))
 
 
 SQL = r"""

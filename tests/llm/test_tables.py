@@ -110,7 +110,7 @@ def test_warc_audit(spark):
     a, b = (spark.createDataFrame(r, schema) for r in (whole, other))
     got = {(r["archive"], r["offset"], r["status"]) for r in warc_audit.audit(a, b, span=512, fanout=4).collect()}
     assert got == {(*whole[5][:2], "corrupt"), (*whole[100][:2], "missing"), ("a1", 77, "extra"), ("only here", 0, "extra"),
-                   (*whole[9][:2], "corrupt")}
+                   (*whole[9][:2], "extra")}
     none = spark.createDataFrame([], schema)
     assert warc_audit.audit(a, a).count() == 0 and warc_audit.audit(none, none).count() == 0
     assert warc_audit.audit(none, b).count() == len({r[:3] for r in other})
@@ -125,15 +125,27 @@ def test_warc_audit_without_offsets(spark):
     a, b = (spark.createDataFrame(r, "archive string, offset long, payload binary") for r in (whole, other))
     rows = warc_audit.audit(a, b, span=512, fanout=4).collect()
     assert {(r["archive"], r["offset"], r["length"], r["status"]) for r in rows} == {
-        ("a", None, 3, "corrupt"), ("b", None, 4, "missing"), ("c", None, 5, "corrupt"), ("", None, 10, "missing"),
+        ("a", None, 3, "corrupt"), ("b", None, 4, "missing"), ("c", None, 5, "extra"), (None, None, 10, "missing"),
         ("e", None, 3, "extra")} and len(rows) == 5
     assert warc_audit.audit(a, a).count() == 0
 
 
+def test_warc_audit_of_copies_and_unnamed_archives(spark):
+    """Swaps between a null and an unnamed archive; copies of one record."""
+    whole = [(None, 0, b"one"), ("", 0, b"two"), ("a", 5, b"x"), ("a", 5, b"x"), ("a", 5, b"y"), ("a", 9, b"z")]
+    other = [(None, 0, b"two"), ("", 0, b"one"), ("a", 5, b"x"), ("a", 5, b"y"), ("a", 9, b"z"), ("a", 9, b"z")]
+    a, b = (spark.createDataFrame(r, "archive string, offset long, payload binary") for r in (whole, other))
+    rows = warc_audit.audit(a, b, span=512, fanout=4).collect()
+    assert {(r["archive"], r["offset"], r["status"]) for r in rows} == {
+        (None, 0, "corrupt"), ("", 0, "corrupt"), ("a", 5, "missing"), ("a", 9, "extra")} and len(rows) == 4
+    assert all((r["expected"] is None) == (r["status"] == "extra") and (r["found"] is None) == (r["status"] == "missing")
+               and r["expected"] != r["found"] for r in rows)
+
+
 def test_equal_trees_are_not_descended(spark):
     """Only nodes under mismatches are compared: equal roots end the audit."""
     rows = [("a", 100 * k, bytes([k % 250])) for k in range(200)]
-    recs = warc_audit.records(spark.createDataFrame(rows, "archive string, offset long, payload binary"))
+    recs = warc_audit.counted(warc_audit.records(spark.createDataFrame(rows, "archive string, offset long, payload binary")))
     levels = warc_audit._levels([19900], 256, 4)
     assert levels == 4
     roots = warc_audit.trees(recs, levels, 256, 4)[-1].collect()
