@@ -34,7 +34,7 @@ def cut_repeats(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     rows = suffix_dedup.remove_repeats(docs, keep_text=True)
     left = rows.filter("n_removed = 0 or n_removed < n_bytes")
     changed = {"text": F.col("kept_text"), "n_chars": F.length("kept_text").cast("long")}
-    return left.select(*(changed[c].alias(c) if c in changed else F.col(f"row.{c}").alias(c) for c in docs.columns))
+    return left.select(*(changed[c].alias(c) if c in changed else F.col("row").getField(c).alias(c) for c in docs.columns))
 
 
 def pack(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
