@@ -40,6 +40,8 @@ ORDER = 3
 BACKOFF, UNKNOWN_COUNT = 0.4, 0.5
 #: Text of a block, and of the corpus for each hash partition.
 BLOCK_BYTES, PARTITION_BYTES = 8 << 20, 16 << 20
+#: Text whose bytes are hashed at a time.
+SLICE_BYTES = 1 << 20
 _BASE = 0xE7037ED1A0B428DB
 
 
@@ -101,8 +103,17 @@ def blocks(docs: DataFrame, id_col: str, text_col: str, block_bytes: int) -> Dat
 
 
 def _read(sizes: np.ndarray, texts: bytes, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, text number) of a block's words, hashed in slices of whole texts."""
     data = np.frombuffer(pa.Codec("zstd").decompress(texts, size, asbytes=True) if size else b"", np.uint8)
-    return word_hashes(np.r_[0, np.cumsum(np.asarray(sizes, np.int64))], data)
+    ends = np.r_[0, np.cumsum(np.asarray(sizes, np.int64))]
+    words, rows, at = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], 0
+    while at < len(sizes):
+        stop = max(at + 1, int(np.searchsorted(ends, ends[at] + SLICE_BYTES, "right")) - 1)
+        h, row = word_hashes(ends[at:stop + 1] - ends[at], data[ends[at]:ends[stop]])
+        words.append(h)
+        rows.append(row + at)
+        at = stop
+    return np.concatenate(words), np.concatenate(rows)
 
 
 def stupid_backoff(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order: int = ORDER,

@@ -9,6 +9,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -274,6 +275,17 @@ def test_lm_scores(spark, none):
     assert lm_scoring.stupid_backoff(none).collect() == []
 
 
+def test_lm_words_in_any_slices(rows, monkeypatch):
+    texts = [(r[1] or "").encode() for r in rows]
+    data = b"".join(texts)
+    packed = pa.Codec("zstd").compress(data, asbytes=True)
+    whole = lm_scoring._read([len(t) for t in texts], packed, len(data))
+    for size in (1, 50, 1000):
+        monkeypatch.setattr(lm_scoring, "SLICE_BYTES", size)
+        cut = lm_scoring._read([len(t) for t in texts], packed, len(data))
+        assert all(np.array_equal(a, b) for a, b in zip(whole, cut, strict=True))
+
+
 def test_lm_scores_in_any_blocks(docs):
     one = by_id(lm_scoring.stupid_backoff(docs, order=3).filter("doc_id != 3"))
     many = by_id(lm_scoring.stupid_backoff(docs, order=3, block_bytes=200, partition_bytes=100).filter("doc_id != 3"))
