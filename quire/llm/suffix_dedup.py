@@ -42,14 +42,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructType
 
-from .common import byte_slices, mix64, quoted, read_table, text_bytes, window_hash, written
+from .common import byte_slices, give_back, mix64, quoted, read_table, text_bytes, window_hash, written
 
 LENGTH = 100
 SEED = 32
 #: Different runs of one seed above which its positions are dealt singly.
 HOT_RUNS = 4096
 #: Windows handled at a time; rows and bytes of a block of whole keys.
-_BLOCK, _ROWS, _BYTES = 1 << 19, 1 << 17, 1 << 20
+_BLOCK, _ROWS, _BYTES = 1 << 17, 1 << 16, 1 << 19
 _PLACE = 21  # bits of a position in a block and the longest string after it
 _LAST = (1 << 63) - 1  # stands for a null id
 _BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
@@ -151,6 +151,8 @@ def _whole_keys(batches: Iterator[pa.RecordBatch], rows: int, sized: int | None
         n, size = t.num_rows, t.column(sized).nbytes if sized is not None else 0
     if n:
         yield pa.Table.from_batches(held).combine_chunks()
+    held = []
+    give_back()
 
 
 def _longs(names: list[str], *columns: np.ndarray) -> pa.RecordBatch:
