@@ -23,6 +23,7 @@ from ..operators import records as R
 from ..operators import upsert as U
 from ..operators.bounds import maybe_broadcast
 from ..operators.ranking import running_totals
+from .csv_lines import csv_rows
 
 # Fixed values of the CSV export source: positions of the columns read, and
 # the venue it stands for.
@@ -175,15 +176,17 @@ def arrival(rows: DataFrame) -> DataFrame:
         .drop("_file", "_block", "_row", "_first", "_before")
 
 
-def read_csv_papers(spark: SparkSession, path: str, venue: str = CSV_VENUE) -> DataFrame:
+def read_csv_papers(spark: SparkSession, path: str, venue: str = CSV_VENUE, stray_quotes: bool = False) -> DataFrame:
     """A CSV export with a header row; columns read by position. Quoted
-    commas, doubled quotes and newlines inside quotes are read as data. Year
-    that does not parse becomes null (a reject), not an abort."""
-    raw = (spark.read.option("header", True).option("multiLine", True).option("escape", '"')
-           .option("mode", "PERMISSIVE").csv(path))
-    # A file with quoted newlines is one task: exports should come in files of
-    # bounded size.
-    raw = arrival(raw)
+    commas, doubled quotes and newlines inside quotes are read as data, and
+    every split of a file is a task of its own. Year that does not parse
+    becomes null (a reject), not an abort. ``stray_quotes``: fields without
+    quotes around them may hold some; then a file is one task."""
+    if stray_quotes:
+        raw = arrival(spark.read.option("header", True).option("multiLine", True).option("escape", '"')
+                      .option("mode", "PERMISSIVE").csv(path))
+    else:
+        raw = csv_rows(spark, path, max(CSV_POSITIONS.values()) + 1)
     cols = [c for c in raw.columns if c not in ("_pos",)]
 
     def pick(name):
