@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-import ctypes
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.batches import byte_slices, give_back
 from ..session import ensure_checkpoint_dir, shared_path, table_path
 
 __all__ = ["byte_slices", "give_back", "held_out", "left_rows", "mix64", "quoted", "read_table", "shared_path", "text_bytes", "texts",
@@ -76,34 +74,6 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return offsets - offsets[0], data[offsets[0]:offsets[-1]]
 
 
-_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-
-
-def give_back() -> None:
-    """Return freed memory to the system. Workers are kept for later tasks and
-    several wait beside each other, so what one keeps is not there for others."""
-    pa.default_memory_pool().release_unused()
-    if _trim is not None:
-        _trim(0)
-
-
-def byte_slices(batch: pa.RecordBatch, text: int, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
-    """Cut a batch into runs of rows whose texts hold about ``limit`` bytes
-    (a longer text is a run by itself), so that arrays per byte stay small.
-    After the last one, memory that is free goes back to the system."""
-    if not batch.num_rows:
-        return
-    sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
-    ends = np.cumsum(sizes)
-    start = 0
-    while start < batch.num_rows:
-        base = ends[start - 1] if start else 0
-        stop = max(start + 1, int(np.searchsorted(ends, base + limit, "right")))
-        yield batch.slice(start, stop - start)
-        start = stop
-    give_back()
-
-
 def mix64(h: np.ndarray) -> np.ndarray:
     """A 64-bit finalizer (bijective), so that ordering by it is random."""
     h = h ^ (h >> U64(30))

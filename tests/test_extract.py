@@ -127,3 +127,20 @@ def test_broken_markup_is_an_error(spark):
     got = N.extract(_pages(spark, "<p>a</p>", "<p>b</p><![broken]>", None), [dict(name="x", tag="p")], ["page_id"], error_col="why")
     rows = {r["page_id"]: (r["x"], r["why"] is None) for r in got.collect()}
     assert rows == {0: ("a", True), 1: (None, False), 2: (None, True)}
+
+
+def test_extraction_takes_a_batch_in_slices_of_bounded_bytes(spark, monkeypatch):
+    """Peak memory of a worker: whatever a batch holds, a few MB are parsed at
+    a time, and every page comes out."""
+    import pyarrow as pa
+
+    from quire.functions.batches import byte_slices
+    batch = pa.RecordBatch.from_arrays([pa.array(range(40)), pa.array(["x" * (1 << 20), None] * 20)], ["id", "html"])
+    parts = list(byte_slices(batch, 1))
+    assert [i for p in parts for i in p.column(0).to_pylist()] == list(range(40)) and len(parts) >= 5
+    from quire.operators import nested as N
+    df = spark.range(300).selectExpr("id", "if(id = 7, null, concat('<p>', repeat('y', 30000), id, '</p>')) as html")
+    out = N.extract(df, [dict(name="p", tag="p")], ["id"], error_col="e")
+    assert "MapInArrow" in out._jdf.queryExecution().executedPlan().toString()
+    assert {(r["id"], None if r["p"] is None else r["p"].lstrip("y")) for r in out.collect()} == \
+        {(k, None if k == 7 else str(k)) for k in range(300)}
