@@ -10,17 +10,16 @@ new profile never re-encodes.
 
 from __future__ import annotations
 
-import hashlib
-import re
 from collections.abc import Callable
 from functools import reduce
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.vectors import DEFAULT_DIM, TOKEN_PATTERN, weighted_sum
+from ..functions.batches import byte_slices, double_lists
+from ..functions.vectors import DEFAULT_DIM, TokenBuckets, weighted_sum
 from ..session import path_of
 
 
@@ -38,14 +37,13 @@ def encode_texts(texts: DataFrame, encoder_factory: Callable[[], Callable], text
 
     def run(batches):
         encode = None
-        for pdf in batches:
-            if not len(pdf):
-                continue
-            encode = encode or encoder_factory()
-            vecs = np.asarray(encode(pdf["_text"].fillna("").tolist()), dtype=np_type)
-            yield pd.DataFrame({key_col: pdf[key_col], "embedding": list(vecs)})
+        for batch in batches:
+            for part in byte_slices(batch, 1):
+                encode = encode or encoder_factory()
+                vecs = np.asarray(encode([t or "" for t in part.column(1).to_pylist()]), dtype=np_type)
+                yield pa.RecordBatch.from_arrays([part.column(0), double_lists(vecs, np_type)], [key_col, "embedding"])
 
-    return src.mapInPandas(run, f"`{key_col}` string, embedding array<{dtype}>")
+    return src.mapInArrow(run, f"`{key_col}` string, embedding array<{dtype}>")
 
 
 def encode_missing(texts: DataFrame, vectors: DataFrame | None, encoder_factory: Callable[[], Callable],
@@ -114,15 +112,15 @@ def encode_pairs(papers: DataFrame, encoder_factory: Callable[[], Callable], w_t
 
     def run(batches):
         encode = None
-        for pdf in batches:
-            if not len(pdf):
-                continue
-            encode = encode or encoder_factory()
-            title, abstract = (np.asarray(encode(pdf[c].fillna("").tolist()), np.float64) for c in ("title", "abstract"))
-            yield pd.DataFrame({"_id": pdf["_id"], "embedding": list(w_title * title + w_abstract * abstract)})
+        for batch in batches:
+            for part in byte_slices(batch, 2):
+                encode = encode or encoder_factory()
+                title, abstract = (np.asarray(encode([t or "" for t in part.column(i).to_pylist()]), np.float64) for i in (1, 2))
+                yield pa.RecordBatch.from_arrays([part.column(0), double_lists(w_title * title + w_abstract * abstract)],
+                                                 ["_id", "embedding"])
 
     papers = papers.checkpoint(eager=True)  # row ids that both sides read
-    vecs = papers.select("_id", "title", "abstract").mapInPandas(run, "_id long, embedding array<double>")
+    vecs = papers.select("_id", "title", "abstract").mapInArrow(run, "_id long, embedding array<double>")
     return papers.join(vecs, "_id").drop("_id")
 
 
@@ -132,24 +130,6 @@ def hashed_encoder_factory(dim: int = DEFAULT_DIM) -> Callable[[], Callable]:
     the Python path be checked against SQL."""
 
     def factory():
-        pat = re.compile(TOKEN_PATTERN)
-        cache: dict[str, int] = {}
-
-        def bucket(tok: str) -> int:
-            b = cache.get(tok)
-            if b is None:
-                b = int(hashlib.md5(tok.encode("utf-8")).hexdigest()[:8], 16) % dim
-                cache[tok] = b
-            return b
-
-        def encode(texts: list[str]):
-            out = np.zeros((len(texts), dim), dtype=np.float64)
-            for i, t in enumerate(texts):
-                toks = pat.findall(t.lower())
-                if toks:
-                    out[i] = np.bincount([bucket(x) for x in toks], minlength=dim) / len(toks)
-            return out
-
-        return encode
+        return TokenBuckets(dim).vectors
 
     return factory

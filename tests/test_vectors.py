@@ -103,3 +103,13 @@ def test_seeded_sample(spark):
         S.seeded_sample(df, 51, "k")
     big = {r["k"] for r in S.seeded_sample(df, 10, "k", seed="s", small_limit=1).collect()}
     assert big == set(a)
+
+
+def test_the_token_cache_is_bounded(monkeypatch):
+    from quire.functions import vectors as V
+    monkeypatch.setattr(V, "CACHED_TOKENS", 50)
+    small, texts = V.TokenBuckets(16), [" ".join(f"t{k}" for k in range(n, n + 40)) for n in range(0, 400, 20)]
+    got = small.vectors(texts)
+    assert len(small.cache) <= 50
+    monkeypatch.setattr(V, "CACHED_TOKENS", 1 << 20)
+    assert (got == V.TokenBuckets(16).vectors(texts)).all() and abs(got.sum(1) - 1).max() < 1e-12
