@@ -190,3 +190,14 @@ def test_a_batch_rewrites_only_its_buckets(spark, tmp_dir):
     os.remove(os.path.join(path, "of=8", "v=2", "_SUCCESS"))
     assert store.current_version() == 1 and store.read().where("size(similarities) > 0").count() == 0
     assert store.upsert(batch.where("title = 'bad'"))[0] == 2 and titles(store.read()) == want
+
+
+def test_merge_is_the_upsert_of_a_table_with_one_row_a_title(spark, tmp_dir):
+    stored = papers(spark, [rec(f"t{k}", 2, k) for k in range(40)]).cache()
+    new = papers(spark, [rec(f"t{k % 60}", k % 4, k) for k in range(200)])
+    place = [F.pmod(F.hash("title"), F.lit(3))]
+    def rows(df):
+        return sorted((r["title"], r["run_seq"], r["pos"]) for r in df.collect())
+    assert rows(U.merge(stored, new, place)) == rows(U.upsert(stored, new))
+    plan = U.merge(stored, new, place)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2, plan  # W1 of the new rows, then one for all
