@@ -6,6 +6,7 @@ import random
 
 import pandas as pd
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from quire.plans import collect as C
@@ -108,3 +109,46 @@ def test_any_order_of_small_batches_gives_the_batch_result(spark, pages, tmp_dir
     ingest_landed_pages(spark, landing, store, files_per_batch=4)
     assert len(store.versions()) > 1
     assert rows_of(store.read()) == rows_of(upsert(None, C.collect(pages)[0]))
+
+
+def test_joined_details_follow_the_rule_of_a_key(spark, tmp_dir):
+    """The aggregate puts out what ``_meet`` does, batch for batch: copies of a
+    page, pages that share a key, lookups that land again."""
+    from quire.streaming.ingest import joined_details, meet
+    schema = "key string, venue string, url string, run_seq long, pos long, detail string, bibtex string, accepted boolean"
+    k = ("k", "conference")
+    batches = [[(*k, "u", 1, 1, "old", None, None), (*k, "u", 2, 1, "new", None, None), (*k, "v", 1, 5, "other", None, None),
+                ("x", "forum", "w", None, None, "D", None, None), ("x", "forum", "n", 1, 1, None, None, False)],
+               [(*k, "u", 1, 9, "late but older", None, None), (*k, "b", 1, 1, None, "@b", None), (*k, "b", 1, 1, None, "@a", None),
+                ("x", "forum", "n", 1, 1, None, None, True)],
+               [(*k, "b", 1, 1, None, "@A", None), ("x", "forum", "n", 1, 1, None, None, False), ("y", "forum", "n", 1, 1, None, None, True)]]
+    found, landing = {}, os.path.join(tmp_dir, "events")
+    for rows in batches:
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(landing)
+
+    def keep(batch, batch_id):
+        found[batch_id] = sorted(map(str, batch.collect()))
+
+    events = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(landing)
+    q = joined_details(meet(events)).writeStream.foreachBatch(keep).outputMode("update").trigger(availableNow=True) \
+        .option("checkpointLocation", os.path.join(tmp_dir, "ckpt")).start()
+    q.awaitTermination()
+    states = {key: State() for key in "kxy"}
+    for i, rows in enumerate(batches):
+        want = []
+        for key in sorted({r[0] for r in rows}):
+            pdf = pd.DataFrame([r for r in rows if r[0] == key], columns=[c.split()[0] for c in schema.split(", ")], dtype=object)
+            want += [r for out in _meet((key,), iter([pdf]), states[key]) for r in out.itertuples(index=False)]
+        assert found[i] == sorted(str(Row(venue=v, detail=d, found_bibtex=b, found_accepted=a)) for v, d, b, a in want), i
+
+
+def test_a_backlog_is_few_batches(spark, tmp_dir, monkeypatch):
+    from quire.streaming import ingest
+    landing = os.path.join(tmp_dir, "landing")
+    spark.range(64000).repartition(16).write.parquet(landing)
+    monkeypatch.setattr(ingest, "BATCH_BYTES", 1 << 10)  # 16 files of some 20 KB: a batch each by this size
+    done = []
+    q = ingest.read_landed(spark, landing, "id long").writeStream.foreachBatch(lambda b, i: done.append(b.count())) \
+        .option("checkpointLocation", os.path.join(tmp_dir, "c")).trigger(availableNow=True).start()
+    q.awaitTermination()
+    assert sum(done) == 64000 and len(done) <= ingest.BATCHES + 1
