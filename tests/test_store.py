@@ -192,6 +192,21 @@ def test_a_batch_rewrites_only_its_buckets(spark, tmp_dir):
     assert store.upsert(batch.where("title = 'bad'"))[0] == 2 and titles(store.read()) == want
 
 
+def test_landed_files_grow_in_number_with_the_records(spark, tmp_dir, monkeypatch):
+    """``n_files`` of a large input are cut into parts, in as many batches."""
+    from quire.streaming import ingest
+    src = os.path.join(tmp_dir, "src")
+    papers(spark, [rec(f"t{k % 150}", 1, k) for k in range(600)]).withColumn("url", F.lit("u")).repartition(3).write.parquet(src)
+    monkeypatch.setattr(ingest, "PART_BYTES", 1 << 10)
+    landed = []
+    write = ingest.read_landed
+    monkeypatch.setattr(ingest, "read_landed", lambda s, landing, *a: landed.append(landing) or write(s, landing, *a))
+    store = ingest_landed_records(spark, spark.read.parquet(src), os.path.join(tmp_dir, "s"), files_per_batch=1, n_files=2)
+    assert len([f for f in os.listdir(landed[0].removeprefix("file:")) if f.endswith(".parquet")]) > 2
+    assert 2 <= len(store.versions()) <= 3
+    assert {(r["title"], r["pos"]) for r in store.read().collect()} == {(f"t{k}", 450 + k) for k in range(150)}
+
+
 def test_merge_is_the_upsert_of_a_table_with_one_row_a_title(spark, tmp_dir):
     stored = papers(spark, [rec(f"t{k}", 2, k) for k in range(40)]).cache()
     new = papers(spark, [rec(f"t{k % 60}", k % 4, k) for k in range(200)])
