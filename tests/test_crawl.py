@@ -127,3 +127,28 @@ def test_next_notes(spark):
     got = L.next_notes(spark.createDataFrame(rows, "url string, html string"), 1000).collect()
     assert sorted(map(tuple, got)) == [("https://forum.example.org/notes?invitation=all&offset=0", url + "1000"),
                                        ("https://forum.example.org/notes?offset=5&z=1", "https://forum.example.org/notes?offset=1005")]
+
+
+def test_found_pages_keep_their_partitions(spark, monkeypatch):
+    """The semi-join with the found urls: few go to the pages without moving
+    them; many meet them in partitions that aren't coalesced to a join's size."""
+    from quire.plans import collect as C
+    pages = spark.range(400).selectExpr("concat('u', id % 350) as url", "cast(id as string) as html")
+    urls = spark.range(0, 300, 3).selectExpr("concat('u', id) as url").union(spark.sql("select cast(null as string)"))
+    want = sorted((f"u{k % 350}", str(k)) for k in range(400) if k % 350 < 300 and k % 350 % 3 == 0)
+    small = C._landed_at(pages, urls)
+    assert sorted(map(tuple, small.collect())) == want
+    assert "Exchange hashpartitioning" not in small._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(C, "string_side_fits", lambda *a: False)
+    large = C._landed_at(pages, urls)
+    assert sorted(map(tuple, large.collect())) == want
+    assert large.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_each_tag_and_reference_is_cut_once(spark):
+    from quire.functions import html as H
+    page = """<meta name="a" content="x &amp; y &eacute;&#233;&#xE9; &bogus; &"><META content='1 > "2"' NAME=b><meta=q name=a content=second><meta name=c>"""
+    df = spark.createDataFrame([(page,)], "html string").select(H.meta_pairs(H.markup(F.col("html"))).alias("m"))
+    assert [tuple(x) for x in df.first()["m"]] == [("a", "x & y ééé &bogus; &"), ("b", '1 > "2"'), ("a", "second"), ("c", "")]
+    one = H.meta_pairs(F.col("html"))._jc.toString()
+    assert one.count("regexp_extract_all") <= 3, one  # the tags, then names and values once a tag
