@@ -4,42 +4,112 @@ The pre-tokenizing pattern never joins characters across a blank that stands
 before a word, so a text can be cut at its blanks (each word keeping the one
 before it) and equal words encoded once. The only exception, a blank with
 white space on its left and white space or the end on its right, is detected
-and such a text is encoded as one unit.
+and such a text is encoded as one unit. Words are cut and told apart in Arrow,
+so that Python sees each different unit of a slice once.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: A blank inside or at the end of a run of white space.
 _RUN = re.compile(r"\s (?:\s|\Z)")
 #: Units longer than this are encoded but not remembered.
 MEMO_CHARS = 64
-#: Remembered units; at this number the memory is emptied.
-MEMO_UNITS = 900_000
-
-
-def units(text: str) -> list[str]:
-    """Cut ``text`` into strings whose encodings joined are its encoding."""
-    if not text:
-        return []
-    if "\0" in text or _RUN.search(text):
-        return [text]
-    cut = text.replace(" ", "\0 ").split("\0")
-    return cut if cut[0] else cut[1:]
-
-
-def by_units(texts: list[str], encode: Callable[[list[str]], list], memo: dict) -> Iterator[list]:
-    """For each text the codes of its units, encoding every new unit of the
-    given texts once. ``encode`` maps a list of units to their codes."""
-    cut = [units(t) for t in texts]
-    found = [list(map(memo.get, us)) for us in cut]
-    new = list({u for us, codes in zip(cut, found, strict=True) if None in codes
-                for u, c in zip(us, codes, strict=True) if c is None})
-    fresh = dict(zip(new, encode(new), strict=True))
-    for us, codes in zip(cut, found, strict=True):
-        yield [fresh[u] if c is None else c for u, c in zip(us, codes, strict=True)] if None in codes else codes
-    if len(memo) + len(fresh) > MEMO_UNITS:
+#: Remembered units of a generation; there are two.
+MEMO_UNITS = 300_000
+
+
+_MEMOS: list[Memo] = []
+
+
+class Memo(dict):
+    """Codes by unit in two generations. When the younger is full it becomes
+    the older, whose units come back when met again: what is met often stays,
+    what is met once goes."""
+
+    def __init__(self, limit: int = MEMO_UNITS):
+        super().__init__()
+        self.limit, self.older = limit, {}
+        _MEMOS.append(self)
+
+    def found(self, units: list[str]) -> list:
+        """The units' codes, None for those not remembered."""
+        codes, older = list(map(self.get, units)), self.older
+        if older:
+            for k, c in enumerate(codes):
+                if c is None and (c := older.get(units[k])) is not None:
+                    codes[k] = self[units[k]] = c
+        return codes
+
+    def add(self, codes) -> None:
+        """Remember (unit, code) pairs, but not the longest units."""
+        if len(self) > self.limit:
+            self.older = dict(self)
+            self.clear()
+        self.update((u, c) for u, c in codes if len(u) <= MEMO_CHARS)
+
+
+def forget() -> None:
+    """Empty the memories of this worker, which other operators' tasks use next."""
+    for memo in _MEMOS:
         memo.clear()
-    memo.update((u, c) for u, c in fresh.items() if len(u) <= MEMO_CHARS)
+        memo.older = {}
+
+
+def units(column: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Cut texts (null as empty) into strings whose encodings joined are
+    theirs: the different strings, which of them each unit is, in order, and
+    the number of units before each text and after the last."""
+    column = pc.fill_null(column, "")
+    whole = np.array([bool(_RUN.search(t)) for t in column.to_pylist()], bool)
+    words = pc.split_pattern(column.filter(pa.array(~whole)), " ")
+    count = np.ones(len(column), np.int64)
+    count[~whole] = pc.list_value_length(words).to_numpy(zero_copy_only=False)
+    ends = np.cumsum(count)
+    words = words.flatten().dictionary_encode()
+    # A word is one unit with the blank before it (odd) and another at the start of a text (even).
+    blank = np.ones(ends[-1] if len(ends) else 0, bool)
+    blank[ends - count] = False
+    of_whole = np.repeat(whole, count)
+    key = 2 * words.indices.to_numpy().astype(np.int64) + blank[~of_whole]
+    met = np.zeros(2 * len(words.dictionary), bool)
+    met[key] = True
+    used, texts = np.flatnonzero(met).tolist(), words.dictionary.to_pylist()
+    different = [" " + texts[k >> 1] if k & 1 else texts[k >> 1] for k in used]
+    which = np.empty(len(blank), np.int64)
+    which[~of_whole] = (np.cumsum(met) - 1)[key]
+    which[of_whole] = len(different) + np.arange(int(whole.sum()))
+    return different + column.filter(pa.array(whole)).to_pylist(), which, np.r_[0, ends]
+
+
+def by_units(column: pa.Array, encode: Callable[[list[str]], list], memo: Memo) -> tuple[list, np.ndarray, np.ndarray]:
+    """Like :func:`units`, with the units' codes instead of them. ``encode``
+    maps a list of units that aren't remembered to their codes."""
+    different, which, ends = units(column)
+    codes = memo.found(different)
+    new = [k for k, c in enumerate(codes) if c is None]
+    for k, c in zip(new, encode([different[k] for k in new]), strict=True):
+        codes[k] = c
+    memo.add((different[k], codes[k]) for k in new)
+    return codes, which, ends
+
+
+def gathered(parts: list[bytes], which: np.ndarray, dtype="<u4", block: int = 1 << 18) -> tuple[np.ndarray, np.ndarray]:
+    """The values of the parts named, one after the other, and the number of
+    values before each and after the last."""
+    flat = np.frombuffer(b"".join(parts), dtype)
+    sizes = np.fromiter(map(len, parts), np.int64, len(parts)) // flat.itemsize
+    starts = np.cumsum(sizes) - sizes
+    out = [flat[:0]]
+    for at in range(0, len(which), block):
+        some = which[at:at + block]
+        n = sizes[some]
+        ends = np.cumsum(n)
+        out.append(flat[np.repeat(starts[some] - ends + n, n) + np.arange(ends[-1])])
+    return np.concatenate(out), np.r_[0, np.cumsum(sizes[which])]

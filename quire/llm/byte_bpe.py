@@ -5,12 +5,13 @@ displacement sends every token's 64-bit hash to a slot of its own among
 exactly as many slots as there are tokens, and one comparison of bytes tells a
 member from a stranger. A pre-token that is in the vocabulary is resolved by
 it whole. Tier two merges the others: bytes in a linked list, adjacent pairs
-in a heap by (rank, position); ranks of pairs come from the same hash.
+in a heap by (rank, position), or in a plain list where they are few; ranks of
+pairs come from the same hash.
 
 Scale: one pass without a shuffle. The vocabulary (bounded: a file of ranks)
-is broadcast once; codes of words are remembered per Python worker, at most
-``MEMO_UNITS`` of them. A merge of n bytes takes n log n steps, so one very
-long pre-token costs no more than its share.
+is broadcast once; codes of words are remembered per Python worker, up to a
+bound (:class:`~quire.llm.bpe_words.Memo`). A merge of n bytes takes n log n
+steps, so one very long pre-token costs no more than its share.
 
 Defined cases: a null text counts as empty (no ids, the hash of the empty
 string); repeated rows are encoded each; a null id stays null; an empty table
@@ -33,12 +34,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bpe_words import MEMO_CHARS, by_units
-from .common import byte_slices, read_table, texts
+from .bpe_words import Memo, by_units, gathered
+from .common import byte_slices, read_table
 
 _ODD = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
 _BITS = 20  # a pair of ids as one integer; vocabularies hold fewer than 2^20
+_NONE = 1 << _BITS  # the rank of a pair that doesn't merge
+#: Bytes up to which a pre-token's lowest pair is found by looking at them all.
+SHORT = 48
 
 
 def ranks_file() -> str:
@@ -97,8 +101,9 @@ class Codec:
         self.tokens, (self.displacement, self.slots) = tokens, perfect
         self.split = regex.compile(pattern).findall
         self.bytes = [self.find(bytes([b])) for b in range(256)]
+        self.short = SHORT if min(self.bytes) >= 0 else 0
         self.pairs = _Pairs(self)
-        self.memo: dict = {}
+        self.memo = Memo()
         self.sizes = np.array([len(t) for t in tokens], np.int64)
         self.starts = np.concatenate([[0], np.cumsum(self.sizes)])[:-1]
         self.flat = np.frombuffer(b"".join(tokens), np.uint8)
@@ -114,8 +119,18 @@ class Codec:
         """Ids of a pre-token by merges of the lowest rank, leftmost first."""
         ids = [self.bytes[b] for b in token]
         n, pairs = len(ids), self.pairs
-        ranks = [pairs[a << _BITS | b] for a, b in zip(ids, ids[1:])]  # of the pair that starts here, -1: none
-        heap = [r << 32 | i for i, r in enumerate(ranks) if r >= 0]
+        ranks = [pairs[a << _BITS | b] for a, b in zip(ids, ids[1:])]  # of the pair that starts here
+        if n <= self.short:
+            while ranks and (rank := min(ranks)) != _NONE:
+                i = ranks.index(rank)
+                ids[i] = rank
+                del ids[i + 1], ranks[i]
+                if i < len(ranks):
+                    ranks[i] = pairs[rank << _BITS | ids[i + 1]]
+                if i:
+                    ranks[i - 1] = pairs[ids[i - 1] << _BITS | rank]
+            return ids
+        heap = [r << 32 | i for i, r in enumerate(ranks) if r != _NONE]
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         heapify(heap)
         while heap:
@@ -128,16 +143,16 @@ class Codec:
             ids[i], ids[j] = rank, -1
             if k < n:
                 before[k] = i
-                ranks[j] = -1
+                ranks[j] = _NONE
                 ranks[i] = r = pairs[rank << _BITS | ids[k]]
-                if r >= 0:
+                if r != _NONE:
                     heappush(heap, r << 32 | i)
             else:
-                ranks[i] = -1
+                ranks[i] = _NONE
             p = before[i]
             if p >= 0:
                 ranks[p] = r = pairs[ids[p] << _BITS | rank]
-                if r >= 0:
+                if r != _NONE:
                     heappush(heap, r << 32 | p)
         return [i for i in ids if i >= 0]
 
@@ -150,23 +165,20 @@ class Codec:
     def encode(self, text: str) -> list[int]:
         return [i for t in self.split(text) for i in self.word(t)]
 
-    def encode_units(self, units: list[str]) -> list[tuple[bytes, str]]:
-        """(ids as little-endian 32-bit integers, ids as text) of each unit;
-        its pre-tokens are remembered beside it."""
-        memo, out = self.memo, []
-        for u in units:
-            codes = []
-            for t in self.split(u):
-                code = memo.get(t)
-                if code is None:
-                    ids = self.word(t)
-                    code = struct.pack(f"<{len(ids)}I", *ids), " ".join(map(str, ids))
-                    if len(t) <= MEMO_CHARS:
-                        memo[t] = code
-                codes.append(code)
-            out.append(codes[0] if len(codes) == 1 else (b"".join([c[0] for c in codes]),
-                                                         " ".join([c[1] for c in codes])))
-        return out
+    def encode_units(self, units: list[str]) -> list[tuple[bytes, bytes]]:
+        """(ids as little-endian 32-bit integers, ids as text, each with a
+        blank after it) of each unit; its pre-tokens are remembered beside it."""
+        parts = [self.split(u) for u in units]
+        met = list(set().union(*parts))
+        codes, fresh = dict(zip(met, self.memo.found(met), strict=True)), {}
+        for t, code in codes.items():
+            if code is None:
+                ids = self.word(t)
+                fresh[t] = struct.pack(f"<{len(ids)}I", *ids), b"%d " * len(ids) % tuple(ids)
+        self.memo.add(fresh.items())
+        find = (codes | fresh).__getitem__
+        return [find(p[0]) if len(p) == 1 else (b"".join([find(t)[0] for t in p]), b"".join([find(t)[1] for t in p]))
+                for p in parts]
 
     def decode(self, ids: np.ndarray) -> bytes:
         """The bytes of the ids, gathered from the vocabulary in blocks."""
@@ -180,8 +192,8 @@ class Codec:
 
 
 class _Pairs(dict):
-    """Rank of the token that two ids merge into, -1 if none; found by the
-    perfect hash when first asked for. Emptied at two million entries."""
+    """Rank of the token that two ids merge into, ``_NONE`` if none; found by
+    the perfect hash when first asked for. Emptied at two million entries."""
 
     def __init__(self, codec: Codec):
         super().__init__()
@@ -192,7 +204,7 @@ class _Pairs(dict):
         rank = self.codec.find(tokens[pair >> _BITS] + tokens[pair & (1 << _BITS) - 1])
         if len(self) > 2_000_000:
             self.clear()
-        self[pair] = rank
+        self[pair] = rank = rank if rank >= 0 else _NONE
         return rank
 
 
@@ -221,10 +233,13 @@ def encode_and_decode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         for batch in batches:
             for b in byte_slices(batch, 1):
                 rows = []
-                for doc, codes in zip(b.column(0).to_pylist(),
-                                      by_units(texts(b.column(1)), codec.encode_units, codec.memo), strict=True):
-                    ids = np.frombuffer(b"".join([c[0] for c in codes]), "<u4")
-                    rows.append((doc, len(ids), hashlib.sha256(" ".join([c[1] for c in codes]).encode()).hexdigest(),
+                codes, which, units = by_units(b.column(1), codec.encode_units, codec.memo)
+                flat, ends = gathered([c[0] for c in codes], which)
+                as_text, ends = [c[1] for c in codes], ends[units].tolist()
+                for k, doc in enumerate(b.column(0).to_pylist()):
+                    ids = flat[ends[k]:ends[k + 1]]
+                    told = b"".join([as_text[u] for u in which[units[k]:units[k + 1]].tolist()])
+                    rows.append((doc, len(ids), hashlib.sha256(told[:-1]).hexdigest(),
                                  hashlib.sha256(codec.decode(ids)).hexdigest(), ids if keep_ids else None))
                 cols = list(zip(*rows, strict=True))
                 out = [pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.string()),

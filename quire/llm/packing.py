@@ -35,9 +35,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .bpe_words import MEMO_CHARS, by_units
+from .bpe_words import Memo, by_units, gathered
 from .byte_bpe import pattern
-from .common import byte_slices, read_table, texts, written
+from .common import byte_slices, read_table, written
 
 CAPACITY = 2048
 SALTS = 64
@@ -61,7 +61,7 @@ def _encoder(spec: str, split: str):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     import regex
     from tokenizers import Tokenizer
-    tok, cut, memo = Tokenizer.from_str(spec), regex.compile(split).findall, {}
+    tok, cut, memo = Tokenizer.from_str(spec), regex.compile(split).findall, Memo()
     special = [t.content for t in tok.get_added_tokens_decoder().values()]
     line = tok.encode("\n", add_special_tokens=False).ids[0]
 
@@ -88,10 +88,12 @@ def _encoder(spec: str, split: str):
         whole = [u for u in units if any(s in u for s in marks)] if marks else []
         known = dict(zip(whole, map(code, tok.encode_batch_fast(whole, add_special_tokens=False)), strict=True))
         parts = [[u] if u in known else cut(u) for u in units]
-        known |= encoded(list(set().union(*parts).difference(memo, known)))
-        memo.update((t, c) for t, c in known.items() if len(t) <= MEMO_CHARS)
-        find = known.get
-        return [b"".join([find(t) or memo[t] for t in p]) for p in parts]
+        met = list(set().union(*parts).difference(known))
+        codes = dict(zip(met, memo.found(met), strict=True))
+        fresh = encoded([t for t, c in codes.items() if c is None])
+        memo.add((known | fresh).items())
+        find = (codes | known | fresh).__getitem__
+        return [find(p[0]) if len(p) == 1 else b"".join(map(find, p)) for p in parts]
 
     return encode, memo
 
@@ -113,17 +115,20 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", toke
         for batch in batches:
             for b in byte_slices(batch, 1):
                 ids_col, piece, start, length, crc = [], [], [], [], []
-                for doc, codes in zip(b.column(0).to_pylist(), by_units(texts(b.column(1)), encode, memo), strict=True):
-                    ids = b"".join(codes) + end
-                    n = len(ids) // 4
+                codes, which, texts = by_units(b.column(1), encode, memo)
+                ids, ends = gathered(codes, which)
+                raw, ends = memoryview(ids.tobytes()), ends[texts].tolist()
+                for doc, first, stop in zip(b.column(0).to_pylist(), ends, ends[1:], strict=False):
+                    n = stop - first + 1
                     at, k, size = 0, 0, n - capacity * ((n - 1) // capacity)
                     while at < n:
                         ids_col.append(doc)
                         piece.append(k)
                         start.append(at)
                         length.append(size)
-                        crc.append(zlib.crc32(ids[4 * at:4 * (at + size)]))
+                        part = zlib.crc32(raw[4 * (first + at):4 * min(first + at + size, stop)])
                         at, k, size = at + size, k + 1, capacity
+                        crc.append(part if at < n else zlib.crc32(end, part))
                 salt = (np.arange(n_rows, n_rows + len(piece)) % SALTS).astype(np.int32)
                 n_rows += len(piece)
                 yield pa.RecordBatch.from_arrays(
