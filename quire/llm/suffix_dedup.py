@@ -42,6 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructType
 
+from .bpe_words import forget
 from .common import byte_slices, give_back, mix64, quoted, read_table, text_bytes, window_hash, written
 
 LENGTH = 100
@@ -133,12 +134,13 @@ def _pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 def _whole_keys(batches: Iterator[pa.RecordBatch], rows: int, sized: int | None = None) -> Iterator[pa.Table]:
     """Sorted batches joined and cut between keys, at least ``rows`` rows (or
-    ``_BYTES`` bytes in column ``sized``) at a time."""
+    ``_BYTES`` bytes in column ``sized``, by which batches are sliced) at a time."""
     held, n, size = [], 0, 0
-    for b in batches:
+    slices = batches if sized is None else (s for b in batches for s in byte_slices(b, sized, _BYTES))
+    for b in slices:
         held.append(b)
         n += b.num_rows
-        size += b.column(sized).nbytes if sized is not None else 0
+        size += _size(b, sized)
         if n < rows and size < _BYTES:
             continue
         t = pa.Table.from_batches(held).combine_chunks()
@@ -148,13 +150,17 @@ def _whole_keys(batches: Iterator[pa.RecordBatch], rows: int, sized: int | None
             yield t.slice(0, cut)
             t = t.slice(cut)
         held = t.to_batches()
-        n, size = t.num_rows, t.column(sized).nbytes if sized is not None else 0
+        n, size = t.num_rows, _size(t, sized)
     if n:
         yield pa.Table.from_batches(held).combine_chunks()
     held = []
     give_back()
 
 
+def _size(rows: pa.RecordBatch | pa.Table, column: int | None) -> int:
+    return rows.column(column).nbytes if column is not None else 0
+
+
 def _longs(names: list[str], *columns: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c.view(np.int64) if c.dtype == np.uint64 else c.astype(np.int64))
                                        for c in columns], names)
@@ -195,6 +201,7 @@ def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", le
 
     def seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["key", "ctx", "doc", "mark", "run"]
+        forget()
         for batch in batches:
             for b in byte_slices(batch, 2, 2 << 20):
                 offsets, data = text_bytes(b.column(2))
@@ -330,6 +337,30 @@ def _strings(b: pa.RecordBatch, length: int) -> Iterator[pa.RecordBatch]:
          pa.array([raw[s:s + k - 1 + length] for s, k in zip(start[ship], n[ship], strict=True)], pa.binary())], names)
 
 
+def _cut(batches: Iterator[pa.RecordBatch], keep_text: bool) -> Iterator[pa.RecordBatch]:
+    """The result rows of (doc_id, text, start, stop, row), a few MB of text at a time."""
+    names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
+    for b in (s for batch in batches for s in byte_slices(batch, 1)):
+        text = b.column(1).cast(pa.binary()).to_pylist()
+        rows = []
+        for t, start, stop in zip(text, b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True):
+            merged: list[list[int]] = []
+            for s, e in sorted(zip(start or (), stop or (), strict=True)):
+                if merged and s <= merged[-1][1]:
+                    merged[-1][1] = max(merged[-1][1], e)
+                else:
+                    merged.append([s, e])
+            edges = [0, *(x for m in merged for x in m), len(t)]
+            kept = b"".join([t[edges[i]:edges[i + 1]] for i in range(0, len(edges), 2)])
+            rows.append((len(t), len(t) - len(kept), len(merged), hashlib.sha256(kept).hexdigest(), merged,
+                         kept.decode("utf-8", "ignore") if keep_text else None))
+        cols = list(zip(*rows, strict=True))
+        out = [b.column(0), *(pa.array(c, pa.int64()) for c in cols[:3]), pa.array(cols[3], pa.string())]
+        if keep_text:
+            out += [pa.array(cols[4], pa.list_(pa.list_(pa.int64()))), pa.array(cols[5], pa.string()), b.column(4)]
+        yield pa.RecordBatch.from_arrays(out, names + (["spans", "kept_text", "row"] if keep_text else []))
+
+
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH,
                    seed: int = SEED, hot_runs: int = HOT_RUNS, keep_text: bool = False) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every text and, with
@@ -344,35 +375,12 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     joined = marked.join(spans, (F.col("d") == F.col("doc")) & (F.col("m") == F.col("mark")), "left") \
         .select("doc_id", "text", "start", "stop", *(["row"] if keep_text else []))
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            text = b.column(1).cast(pa.binary()).to_pylist()
-            rows = []
-            for t, start, stop in zip(text, b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True):
-                merged: list[list[int]] = []
-                for s, e in sorted(zip(start or (), stop or (), strict=True)):
-                    if merged and s <= merged[-1][1]:
-                        merged[-1][1] = max(merged[-1][1], e)
-                    else:
-                        merged.append([s, e])
-                edges = [0, *(x for m in merged for x in m), len(t)]
-                kept = b"".join([t[edges[i]:edges[i + 1]] for i in range(0, len(edges), 2)])
-                rows.append((len(t), len(t) - len(kept), len(merged), hashlib.sha256(kept).hexdigest(), merged,
-                             kept.decode("utf-8", "ignore") if keep_text else None))
-            cols = list(zip(*rows, strict=True)) or [()] * 6
-            out = [b.column(0), *(pa.array(c, pa.int64()) for c in cols[:3]), pa.array(cols[3], pa.string())]
-            names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
-            if keep_text:
-                out += [pa.array(cols[4], pa.list_(pa.list_(pa.int64()))), pa.array(cols[5], pa.string()), b.column(4)]
-                names += ["spans", "kept_text", "row"]
-            yield pa.RecordBatch.from_arrays(out, names)
-
     schema = StructType().add("doc_id", "long").add("n_bytes", "long").add("n_removed", "long") \
         .add("n_spans", "long").add("kept_sha256", "string")
     if keep_text:
         schema = schema.add("spans", ArrayType(ArrayType(LongType()))).add("kept_text", "string") \
             .add("row", joined.schema["row"].dataType)
-    return joined.mapInArrow(cut, schema)
+    return joined.mapInArrow(lambda batches: _cut(batches, keep_text), schema)
 
 
 def op9_suffix_dedup(spark, sf_dir: str) -> DataFrame:

@@ -33,6 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .bpe_words import forget
 from .common import byte_slices, held_out, read_table, text_bytes, texts, written
 
 #: Labelled rows that the classifier is fitted on, on average.
@@ -169,6 +170,7 @@ def with_features(rows: DataFrame, lexicon: dict[str, float], keep: list[str]) -
     order = [rows.columns.index(c) for c in keep]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         reader = Reader(shared.value)
         for batch in batches:
             for b in byte_slices(batch, place, SLICE):

@@ -13,7 +13,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from quire.llm import byte_bpe, exact_dedup, jaccard_join, language_id, lm_scoring, packing, suffix_dedup, toxicity
+from quire.llm import bpe_words, byte_bpe, exact_dedup, jaccard_join, language_id, lm_scoring, packing, suffix_dedup, toxicity
 
 SCHEMA = ("doc_id long, text string, lang string, source string, n_chars long, "
           "norm string, shingle string, features string, doc string, score string")
@@ -104,6 +104,42 @@ def test_byte_bpe_as_tiktoken(docs, rows, none):
     assert byte_bpe.encode_and_decode(none).collect() == []
 
 
+def test_units_are_told_apart_once():
+    column = pa.array(["a  b a", None, "", " a a", "x\t \ny", "tail ", "a\0 b"])
+    different, which, ends = bpe_words.units(column)
+    assert sorted(set(different)) == sorted(different)
+    cut = [[different[k] for k in which[a:b]] for a, b in zip(ends, ends[1:])]
+    assert cut == [["a", " ", " b", " a"], [""], [""], ["", " a", " a"], ["x\t \ny"], ["tail", " "], ["a\0", " b"]]
+    assert ends[-1] == len(which) == sum(map(len, cut))
+
+
+def test_units_met_again_stay_remembered():
+    memo, encoded = bpe_words.Memo(50), []
+
+    def encode(units):
+        encoded.extend(units)
+        return [u.encode() for u in units]
+
+    for k in range(100):
+        codes, which, _ = bpe_words.by_units(pa.array([f"often met{k} " + " ".join(f"once{k}-{i}" for i in range(9))]), encode, memo)
+        assert bpe_words.gathered(codes, which, "u1")[0].tobytes().startswith(f"often met{k} once{k}-0".encode())
+        assert len(memo) + len(memo.older) < 150
+    assert encoded.count("often") == 1 and len(encoded) == len(set(encoded))
+    bpe_words.forget()
+    assert not memo and not memo.older
+
+
+@pytest.mark.parametrize("short", [0, byte_bpe.SHORT])
+def test_short_and_long_merges_agree(short):
+    codec = byte_bpe.Codec(*byte_bpe._built(byte_bpe.ranks_file()), byte_bpe.pattern())
+    other = byte_bpe.Codec(*byte_bpe._built(byte_bpe.ranks_file()), byte_bpe.pattern())
+    codec.short, other.short = short, byte_bpe.SHORT - short
+    rng = random.Random(8)
+    for _ in range(500):
+        token = "".join(rng.choices("aaabeinrst", k=rng.randint(1, byte_bpe.SHORT))).encode()
+        assert codec.merge(token) == other.merge(token)
+
+
 def test_perfect_hash_is_minimal():
     tokens, (displacement, slots) = byte_bpe._built(byte_bpe.ranks_file())
     assert sorted(slots) == list(range(len(tokens)))
@@ -192,6 +228,17 @@ def test_suffix_dedup(spark, rows, none, length, seed, hot):
         assert suffix_dedup.remove_repeats(none).collect() == []
 
 
+def test_suffix_passes_work_on_slices_of_a_batch():
+    sized = pa.RecordBatch.from_arrays([pa.array(range(60)), pa.array([b"x" * 50_000] * 60)], ["key", "bytes"])
+    parts = [t.column("key").to_pylist() for t in suffix_dedup._whole_keys(iter([sized]), 1 << 16, 1)]
+    assert sum(parts, []) == list(range(60)) and max(map(len, parts)) < 30
+    texts = pa.RecordBatch.from_arrays(
+        [pa.array([1, 2, 3]), pa.array(["a" * 3_000_000] * 3), *(pa.array([None, [5, 2], [0]], pa.list_(pa.int64())) for _ in "ab")],
+        ["doc_id", "text", "start", "stop"])
+    cut = list(suffix_dedup._cut(iter([texts]), False))
+    assert [c.column("doc_id").to_pylist() for c in cut] == [[1], [2], [3]]
+
+
 def test_ranks_are_exact():
     rng = np.random.default_rng(4)
     data = rng.integers(0, 2, 400).astype(np.uint8)
