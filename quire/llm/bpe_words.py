@@ -22,7 +22,7 @@ _RUN = re.compile(r"\s (?:\s|\Z)")
 #: Units longer than this are encoded but not remembered.
 MEMO_CHARS = 64
 #: Remembered units of a generation; there are two.
-MEMO_UNITS = 300_000
+MEMO_UNITS = 450_000
 
 
 _MEMOS: list[Memo] = []
