@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bpe_words import Memo, by_units, gathered
+from .bpe_words import SLICE, Codes, Memo, by_units, gathered, values
 from .common import byte_slices, read_table
 
 _ODD = 0x9E3779B97F4A7C15
@@ -104,9 +104,8 @@ class Codec:
         self.short = SHORT if min(self.bytes) >= 0 else 0
         self.pairs = _Pairs(self)
         self.memo = Memo()
-        self.sizes = np.array([len(t) for t in tokens], np.int64)
-        self.starts = np.concatenate([[0], np.cumsum(self.sizes)])[:-1]
-        self.flat = np.frombuffer(b"".join(tokens), np.uint8)
+        self.spelt = Codes.of(tokens)
+        self.decimal = Codes.of([b"%d " % i for i in range(len(tokens))])
 
     def find(self, token: bytes) -> int:
         """The id of a token, -1 where the vocabulary lacks it."""
@@ -165,35 +164,22 @@ class Codec:
     def encode(self, text: str) -> list[int]:
         return [i for t in self.split(text) for i in self.word(t)]
 
-    def encode_units(self, units: list[str]) -> list[tuple[bytes, bytes]]:
-        """(ids as little-endian 32-bit integers, ids as text, each with a
-        blank after it) of each unit; its pre-tokens are remembered beside it."""
-        parts = [self.split(u) for u in units]
-        met = list(set().union(*parts))
-        codes, fresh = dict(zip(met, self.memo.found(met), strict=True)), {}
-        for t, code in codes.items():
-            if code is None:
-                ids = self.word(t)
-                fresh[t] = struct.pack(f"<{len(ids)}I", *ids), b"%d " * len(ids) % tuple(ids)
-        self.memo.add(fresh.items())
-        find = (codes | fresh).__getitem__
-        return [find(p[0]) if len(p) == 1 else (b"".join([find(t)[0] for t in p]), b"".join([find(t)[1] for t in p]))
-                for p in parts]
+    def encode_words(self, tokens: list[str]) -> list[bytes]:
+        """Ids of each pre-token as little-endian 32-bit integers."""
+        return [struct.pack(f"<{len(ids)}I", *ids) for ids in map(self.word, tokens)]
 
     def decode(self, ids: np.ndarray) -> bytes:
         """The bytes of the ids, gathered from the vocabulary in blocks."""
-        out = []
-        for at in range(0, len(ids), 1 << 18):
-            block = ids[at:at + (1 << 18)]
-            sizes = self.sizes[block]
-            ends = np.cumsum(sizes)
-            out.append(self.flat[np.repeat(self.starts[block] - ends + sizes, sizes) + np.arange(ends[-1])].tobytes())
-        return b"".join(out)
+        return values(self.spelt, ids, np.uint8).tobytes()
+
+    def told(self, ids: np.ndarray) -> bytes:
+        """The ids in decimal, joined by blanks."""
+        return values(self.decimal, ids, np.uint8)[:-1].tobytes()
 
 
 class _Pairs(dict):
     """Rank of the token that two ids merge into, ``_NONE`` if none; found by
-    the perfect hash when first asked for. Emptied at two million entries."""
+    the perfect hash when first asked for. Emptied at half a million entries."""
 
     def __init__(self, codec: Codec):
         super().__init__()
@@ -202,7 +188,7 @@ class _Pairs(dict):
     def __missing__(self, pair: int) -> int:
         tokens = self.codec.tokens
         rank = self.codec.find(tokens[pair >> _BITS] + tokens[pair & (1 << _BITS) - 1])
-        if len(self) > 2_000_000:
+        if len(self) > 500_000:
             self.clear()
         self[pair] = rank = rank if rank >= 0 else _NONE
         return rank
@@ -231,15 +217,14 @@ def encode_and_decode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         if codec is None:
             codec = _CODECS[key] = Codec(*model.value, split)
         for batch in batches:
-            for b in byte_slices(batch, 1):
+            for b in byte_slices(batch, 1, SLICE):
                 rows = []
-                codes, which, units = by_units(b.column(1), codec.encode_units, codec.memo)
-                flat, ends = gathered([c[0] for c in codes], which)
-                as_text, ends = [c[1] for c in codes], ends[units].tolist()
+                codes, which, units = by_units(b.column(1), codec.encode_words, codec.memo, codec.split)
+                flat, ends = gathered(codes, which)
+                ends = ends[units].tolist()
                 for k, doc in enumerate(b.column(0).to_pylist()):
                     ids = flat[ends[k]:ends[k + 1]]
-                    told = b"".join([as_text[u] for u in which[units[k]:units[k + 1]].tolist()])
-                    rows.append((doc, len(ids), hashlib.sha256(told[:-1]).hexdigest(),
+                    rows.append((doc, len(ids), hashlib.sha256(codec.told(ids)).hexdigest(),
                                  hashlib.sha256(codec.decode(ids)).hexdigest(), ids if keep_ids else None))
                 cols = list(zip(*rows, strict=True))
                 out = [pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.string()),

@@ -23,6 +23,7 @@ empty table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+import json
 import math
 import os
 import struct
@@ -35,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .bpe_words import Memo, by_units, gathered
+from .bpe_words import SLICE, Codes, Memo, by_units, gathered
 from .byte_bpe import pattern
 from .common import byte_slices, read_table, written
 
@@ -54,48 +55,52 @@ def tokenizer_file() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+#: A pre-tokenizer that does no more than cut by the pattern and spell bytes as characters.
+_BYTES_ONLY = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
+
+
+def byte_characters() -> np.ndarray:
+    """The character that a byte-level vocabulary spells each byte by."""
+    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    out = np.zeros(256, "<u4")
+    out[own] = own
+    rest = np.setdiff1d(np.arange(256), own)
+    out[rest] = 256 + np.arange(len(rest))
+    return out
+
+
 @lru_cache(maxsize=2)
 def _encoder(spec: str, split: str):
-    """(encoder of units, its memory). A unit is cut into pre-tokens, and only
-    pre-tokens not met before go to the tokenizer, each once."""
+    """(encoder of pre-tokens, cutter of units, memory). Only pre-tokens not
+    met lately go to the tokenizer, each straight to its model: cutting by the
+    pattern again and the library's offsets take longer than the merges."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     import regex
     from tokenizers import Tokenizer
-    tok, cut, memo = Tokenizer.from_str(spec), regex.compile(split).findall, Memo()
-    special = [t.content for t in tok.get_added_tokens_decoder().values()]
-    line = tok.encode("\n", add_special_tokens=False).ids[0]
-
-    def code(e) -> bytes:
-        return struct.pack(f"<{len(e.ids)}I", *e.ids)
-
-    def encoded(new: list[str]) -> dict[str, bytes]:
-        # Pre-tokens that aren't white space go many to a text, one a line: the pattern cuts them at the line ends.
-        solid = [t for t in new if not t.isspace()]
-        blank = [t for t in new if t.isspace()]
-        out = dict(zip(blank, map(code, tok.encode_batch_fast(blank, add_special_tokens=False)), strict=True))
-        for at in range(0, len(solid), 1000):
-            some = solid[at:at + 1000]
-            ids = np.asarray(tok.encode_batch_fast(["\n".join(some)], add_special_tokens=False)[0].ids, "<u4")
-            ends = [*(4 * np.flatnonzero(ids == line)).tolist(), 4 * len(ids)]
-            raw, start = ids.tobytes(), 0
-            for t, end in zip(some, ends, strict=True):
-                out[t], start = raw[start:end], end + 4
-        return out
-
-    def encode(units: list[str]) -> list[bytes]:
-        joined = "\n".join(units)
-        marks = [s for s in special if s in joined]
-        whole = [u for u in units if any(s in u for s in marks)] if marks else []
-        known = dict(zip(whole, map(code, tok.encode_batch_fast(whole, add_special_tokens=False)), strict=True))
-        parts = [[u] if u in known else cut(u) for u in units]
-        met = list(set().union(*parts).difference(known))
-        codes = dict(zip(met, memo.found(met), strict=True))
-        fresh = encoded([t for t, c in codes.items() if c is None])
-        memo.add((known | fresh).items())
-        find = (codes | known | fresh).__getitem__
-        return [find(p[0]) if len(p) == 1 else b"".join(map(find, p)) for p in parts]
+    tok, cut, spelt = Tokenizer.from_str(spec), regex.compile(split).findall, byte_characters()
+    special = [regex.escape(t.content) for t in tok.get_added_tokens_decoder().values()]
+    marked = regex.compile("|".join(special)).search if special else lambda text: None
+    made, model = json.loads(spec), tok.model
+    straight = not made.get("normalizer") and _BYTES_ONLY.items() <= (made.get("pre_tokenizer") or {}).items() \
+        and split == pattern()
+
+    def encode(new: list[str]) -> Codes:
+        if not new:
+            return Codes.of([])
+        if straight and not marked("\n".join(new)):
+            # The byte 255 is in no UTF-8 text and stands for itself among the characters.
+            text = np.frombuffer(b"\xff".join(map(str.encode, new)), np.uint8)
+            parts = ([x.id for x in t] for t in map(model.tokenize, spelt[text].tobytes().decode("utf-32-le").split("\xff")))
+        else:
+            parts = (e.ids for e in tok.encode_batch_fast(new, add_special_tokens=False))
+        ids, sizes = [], []
+        for p in parts:
+            ids += p
+            sizes.append(4 * len(p))
+        sizes = np.array(sizes, np.int64)
+        return Codes(np.array(ids, "<u4").view(np.uint8), np.cumsum(sizes) - sizes, sizes)
 
-    return encode, memo
+    return encode, lambda unit: [unit] if marked(unit) else cut(unit), Memo()
 
 
 def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokenizer: str | None = None,
@@ -110,12 +115,12 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", toke
     end = np.asarray([end_id], "<u4").tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, memo = _encoder(spec.value, split)
+        encode, cut_unit, memo = _encoder(spec.value, split)
         n_rows = 0
         for batch in batches:
-            for b in byte_slices(batch, 1):
+            for b in byte_slices(batch, 1, SLICE):
                 ids_col, piece, start, length, crc = [], [], [], [], []
-                codes, which, texts = by_units(b.column(1), encode, memo)
+                codes, which, texts = by_units(b.column(1), encode, memo, cut_unit)
                 ids, ends = gathered(codes, which)
                 raw, ends = memoryview(ids.tobytes()), ends[texts].tolist()
                 for doc, first, stop in zip(b.column(0).to_pylist(), ends, ends[1:], strict=False):

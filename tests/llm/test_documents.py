@@ -5,6 +5,7 @@ import base64
 import hashlib
 import random
 import re
+import tracemalloc
 import zlib
 from collections import defaultdict
 
@@ -129,6 +130,59 @@ def test_units_met_again_stay_remembered():
     assert not memo and not memo.older
 
 
+def test_remembered_units_hold_no_objects():
+    tracemalloc.start()
+    try:
+        memo, before = bpe_words.Memo(1 << 20), tracemalloc.get_traced_memory()[0] + pa.total_allocated_bytes()
+        words = " ".join(f"once{i}" for i in range(50_000))
+        bpe_words.by_units(pa.array([words]), lambda units: [u.encode() for u in units], memo)
+        grown = tracemalloc.get_traced_memory()[0] + pa.total_allocated_bytes() - before - len(words)
+    finally:
+        tracemalloc.stop()
+    assert len(memo) == 50_000 and grown < 100 * len(memo)
+
+
+def test_units_are_cut_into_pre_tokens_met_once():
+    memo, encoded = bpe_words.Memo(), []
+
+    def encode(tokens):
+        encoded.extend(tokens)
+        return [t.encode() for t in tokens]
+
+    cut = re.compile(r"\s?\w+|\W").findall
+    for text in ("a, b. a, c", "c b, a. b.\nc", None, "a, b."):
+        codes, which, ends = bpe_words.by_units(pa.array([text, "a"]), encode, memo, cut)
+        assert bpe_words.gathered(codes, which, "u1")[0].tobytes().decode() == (text or "") + "a"
+    assert sorted(encoded) == sorted(set(encoded)) and {"a", " b", ",", "c", "\nc"} <= set(encoded)
+
+
+def test_pre_tokens_go_straight_to_the_model(monkeypatch):
+    import tokenizers
+    real, whole = tokenizers.Tokenizer.from_file(packing.tokenizer_file()), []
+
+    class Watched:
+        model = real.model
+        get_added_tokens_decoder = real.get_added_tokens_decoder
+
+        @staticmethod
+        def from_str(spec):
+            return Watched()
+
+        def encode_batch_fast(self, texts, **options):
+            whole.extend(texts)
+            return real.encode_batch_fast(texts, **options)
+
+    monkeypatch.setattr(tokenizers, "Tokenizer", Watched)
+    encode, cut, memo = packing._encoder.__wrapped__(open(packing.tokenizer_file(), encoding="utf-8").read(), byte_bpe.pattern())
+    texts = ["don't  stop 'S\r\n\t", "\0 \xff\u00ff \u65e5\u672c 12345 \U0001f642!", " ", "", "\n \n x", "a" * 3000, "\x1c a\x85 b\x1f "]
+    marked = ["a<|endoftext|>b c", "<|endoftext|>"]
+    for some in (texts, texts + marked):
+        codes, which, ends = bpe_words.by_units(pa.array(some), encode, memo, cut)
+        ids, ends = bpe_words.gathered(codes, which)[0].tolist(), bpe_words.gathered(codes, which)[1][ends].tolist()
+        assert [ids[a:b] for a, b in zip(ends, ends[1:])] == [real.encode(t, add_special_tokens=False).ids for t in some]
+        assert some is not texts or [t for t in whole if t] == []
+
+
 @pytest.mark.parametrize("short", [0, byte_bpe.SHORT])
 def test_short_and_long_merges_agree(short):
     codec = byte_bpe.Codec(*byte_bpe._built(byte_bpe.ranks_file()), byte_bpe.pattern())
