@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -11,11 +14,15 @@ from pyspark.sql import functions as F
 from ..functions.batches import byte_slices, give_back
 from ..session import ensure_checkpoint_dir, shared_path, table_path
 
-__all__ = ["byte_slices", "give_back", "held_out", "left_rows", "mix64", "quoted", "read_table", "shared_path", "text_bytes", "texts",
-           "window_hash", "written"]
+__all__ = ["byte_slices", "give_back", "held_out", "left_rows", "mix64", "quoted", "read_table", "shared_path", "small_batches",
+           "split_by_id", "text_bytes", "texts", "window_hash", "written"]
 
 U64 = np.uint64
 _MASK = (1 << 64) - 1
+#: Bits of the map by which rows without a key are told (1 MB, broadcast).
+MAP_BITS = 1 << 23
+#: Most bytes of an Arrow batch where ``small_batches`` holds.
+BATCH_BYTES = 4 << 20
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,6 +39,22 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Jobs run inside send Python batches of at most about ``BATCH_BYTES``,
+    for passes over whole texts: a batch is in memory several times over, in
+    Spark's buffers and in the worker. A session's own setting stays."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key, "1b") != "1b":
+        yield
+        return
+    spark.conf.set(key, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        spark.conf.unset(key)
+
+
 def quoted(name: str) -> str:
     """A column's name as an expression, dots and back quotes included."""
     return "`" + name.replace("`", "``") + "`"
@@ -43,20 +66,42 @@ def held_out(id_col, folds: int = 5):
     return F.coalesce(F.crc32(id_col.cast("string").cast("binary")) % folds == 0, F.lit(False))
 
 
+def split_by_id(docs: DataFrame, id_col: str, ids: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows whose id isn't in the one column of ``ids``, the rest). The rest
+    has every row whose id is there (null: a null) and may have others: ids are
+    told by a broadcast map of ``MAP_BITS`` bits, however many they are."""
+    def place(c):
+        return F.pmod(F.xxhash64(c.cast("long")), F.lit(MAP_BITS))
+
+    bits = ids.select(place(F.col(ids.columns[0])).alias("at")) \
+        .select(F.expr("at div 64").alias("word"), F.expr("shiftleft(1L, cast(at % 64 as int))").alias("bit")) \
+        .groupBy("word").agg(F.bit_or("bit").alias("bits"))
+    names = [f"c{k}" for k in range(len(docs.columns))]
+    # At most MAP_BITS / 64 rows of two longs: a proven bound for the broadcast.
+    rows = docs.select("*", place(F.col(id_col)).alias("at")).toDF(*names, "at") \
+        .join(F.broadcast(bits), F.expr("at div 64") == F.col("word"), "left")
+    met = F.expr("getbit(coalesce(bits, 0L), cast(at % 64 as int)) = 1")
+    free, rest = (rows.filter(c).select(*names).toDF(*docs.columns) for c in (~met, met))
+    return free, rest
+
+
 def left_rows(docs: DataFrame, id_col: str, text_col: str, code, gone: DataFrame, tied: DataFrame) -> DataFrame:
     """The rows of ``docs`` but those of (id, code) in ``gone``, and of the
-    rows that share an (id, code) in ``tied`` one: that of the longest text."""
+    rows that share an (id, code) in ``tied`` one: that of the longest text. Only
+    rows whose id may be among them are shuffled."""
     def matched(keys: DataFrame, how: str) -> DataFrame:
         keys = keys.toDF("key_id", "key_code")
-        return rows.join(keys, F.col("id").eqNullSafe(F.col("key_id")) & (F.col("code") == F.col("key_code")), how)
+        # By <=> also for the code, never null: else its test for null runs on all rows, before the split.
+        return rows.join(keys, F.col("id").eqNullSafe(F.col("key_id")) & F.col("code").eqNullSafe(F.col("key_code")), how)
 
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    free, docs = split_by_id(docs, id_col, gone.unionByName(tied).select(gone.columns[0]))
     rows = docs.select(F.struct("*").alias("row"), F.col(id_col).cast("long").alias("id"), code.alias("code"),
                        F.struct(F.length(text), F.xxhash64(text)).alias("size"))
     if tied.isEmpty():
-        return matched(gone, "left_anti").select("row.*")
+        return free.union(matched(gone, "left_anti").select("row.*"))
     ones = matched(tied, "left_semi").groupBy("id", "code").agg(F.max_by("row", "size").alias("row"))
-    return matched(gone.unionByName(tied), "left_anti").select("row.*").unionByName(ones.select("row.*"))
+    return free.union(matched(gone.unionByName(tied), "left_anti").select("row.*")).union(ones.select("row.*"))
 
 
 def texts(column: pa.Array) -> list[str]:

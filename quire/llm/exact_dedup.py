@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import left_rows, read_table, written
+from .common import byte_slices, left_rows, read_table, small_batches, split_by_id, written
 
 BLANKS = b"\x20\x09\x0a\x0b\x0c\x0d"
 #: (base, prime) pairs of the fingerprint.
@@ -100,12 +100,13 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     head, out = "doc_id long, n_cp long, sha binary", "doc_id long, n_cp long, sha binary, fp binary"
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            norm = b.column(2).to_pylist()
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), pa.array([hashlib.sha256(t).digest() for t in norm], pa.binary()),
-                 pa.array([fingerprint(t, fields, chunk_bytes) for t in norm], pa.binary())],
-                ["doc_id", "n_cp", "sha", "fp"])
+        for batch in batches:
+            for b in byte_slices(batch, 2):
+                norm = b.column(2).to_pylist()
+                yield pa.RecordBatch.from_arrays(
+                    [b.column(0), b.column(1), pa.array([hashlib.sha256(t).digest() for t in norm], pa.binary()),
+                     pa.array([fingerprint(t, fields, chunk_bytes) for t in norm], pa.binary())],
+                    ["doc_id", "n_cp", "sha", "fp"])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -151,27 +152,32 @@ def _groups(rows: DataFrame) -> DataFrame:
 def _differing(docs: DataFrame, rows: DataFrame, id_col: str, text_col: str, chunk_bytes: int) -> DataFrame:
     """(doc_id, sha) of rows whose text is not that of the row their class keeps."""
     groups = _groups(rows).filter("group_size > 1")
-    members = rows.select("doc_id", "sha", "n_cp", "fp", "cls").distinct().join(groups, ["fp", "cls"]).select(
+    members = written(rows.select("doc_id", "sha", "n_cp", "fp", "cls").distinct().join(groups, ["fp", "cls"]).select(
         "doc_id", "sha", "fp", "cls", F.ceil(F.col("group_size") / COPIES_PER_KEY).cast("int").alias("salts"),
         ((F.col("n_cp") == F.col("best.n_cp")) & F.col("doc_id").eqNullSafe(-F.col("best.neg_id"))
-         & (F.col("sha") == F.col("best.sha"))).alias("keeps"))
+         & (F.col("sha") == F.col("best.sha"))).alias("keeps")), "members")
+    # Texts without a copy aren't sent.
+    _, docs = split_by_id(docs, id_col, members.select("doc_id"))
     cut = docs.select(F.col(id_col).cast("long").alias("d"), normalised(F.col(text_col)).cast("binary").alias("norm")) \
         .withColumn("s", F.unhex(F.sha2("norm", 256)))
-    members = members.join(cut, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("sha") == F.col("s"))) \
+    members = members.join(cut, F.col("doc_id").eqNullSafe(F.col("d")) & F.col("sha").eqNullSafe(F.col("s"))) \
         .select("doc_id", "sha", "fp", "cls", "salts", "keeps", "norm")
 
     def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            norm = b.column("norm").to_pylist()
-            take = [i for i, t in enumerate(norm) for _ in range(max(1, -(-len(t) // chunk_bytes)))]
-            ks = [k for t in norm for k in range(max(1, -(-len(t) // chunk_bytes)))]
-            cols = b.take(pa.array(take, pa.int64())).columns[:-1] if take else b.slice(0, 0).columns[:-1]
-            parts = [norm[i][k * chunk_bytes:(k + 1) * chunk_bytes] for i, k in zip(take, ks, strict=True)]
-            yield pa.RecordBatch.from_arrays([*cols, pa.array(ks, pa.int32()), pa.array(parts, pa.binary())],
-                                             ["doc_id", "sha", "fp", "cls", "salts", "keeps", "k", "part"])
-
-    parts = written(members.mapInArrow(chunks, "doc_id long, sha binary, fp binary, cls int, salts int, "
-                                               "keeps boolean, k int, part binary"), "copies")
+        for batch in batches:
+            for b in byte_slices(batch, 6):
+                norm = b.column("norm").to_pylist()
+                pieces = [max(1, -(-len(t) // chunk_bytes)) for t in norm]
+                take = [i for i, n in enumerate(pieces) for _ in range(n)]
+                ks = [k for n in pieces for k in range(n)]
+                cols = b.select(b.schema.names[:-1]).take(pa.array(take, pa.int64())).columns
+                parts = [norm[i][k * chunk_bytes:(k + 1) * chunk_bytes] for i, k in zip(take, ks, strict=True)]
+                yield pa.RecordBatch.from_arrays([*cols, pa.array(ks, pa.int32()), pa.array(parts, pa.binary())],
+                                                 ["doc_id", "sha", "fp", "cls", "salts", "keeps", "k", "part"])
+
+    with small_batches(docs.sparkSession):
+        parts = written(members.mapInArrow(chunks, "doc_id long, sha binary, fp binary, cls int, salts int, "
+                                                   "keeps boolean, k int, part binary"), "copies")
     kept = parts.filter("keeps").dropDuplicates(["fp", "cls", "k"]).select(
         "fp", "cls", "k", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.col("part").alias("held"))
     dealt = parts.filter(~F.col("keeps")).withColumn("salt", F.pmod(F.xxhash64("doc_id", "sha"), "salts").cast("int"))
@@ -183,7 +189,8 @@ def _differing(docs: DataFrame, rows: DataFrame, id_col: str, text_col: str, chu
 def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fields: tuple = FIELDS,
                      chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """One row per document: doc_id, keep_id, group_size, kept, text_sha256."""
-    rows = written(fingerprints(docs, id_col, text_col, fields, chunk_bytes).withColumn("cls", F.lit(0)), "fingerprints")
+    with small_batches(docs.sparkSession):
+        rows = written(fingerprints(docs, id_col, text_col, fields, chunk_bytes).withColumn("cls", F.lit(0)), "fingerprints")
     while True:  # one round, unless a fingerprint met two texts
         odd = written(_differing(docs, rows, id_col, text_col, chunk_bytes), "differing")
         if odd.isEmpty():

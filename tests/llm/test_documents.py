@@ -15,6 +15,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quire.llm import bpe_words, byte_bpe, exact_dedup, jaccard_join, language_id, lm_scoring, packing, suffix_dedup, toxicity
+from quire.llm.common import small_batches, split_by_id
 
 SCHEMA = ("doc_id long, text string, lang string, source string, n_chars long, "
           "norm string, shingle string, features string, doc string, score string")
@@ -84,6 +85,52 @@ def test_exact_dedup(docs, rows, none, fields, chunk):
         assert {normal(r["text"]) for r in kept.collect()} == set(groups)
 
 
+def test_texts_without_a_copy_stay_in_place(spark, monkeypatch):
+    """Only texts whose id may be a copy's are normalised again for the comparison and for the rows that go."""
+    rng = random.Random(31)
+    table = [(k, words(rng, 30)) for k in range(400)]
+    table += [(1000, table[7][1]), (None, table[9][1] + " "), (None, "by itself")]
+    docs = spark.createDataFrame(table, "doc_id long, text string").repartition(3)
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(text):
+        seen.add(1)
+        return "".join((text or "").split(" "))
+
+    monkeypatch.setattr(exact_dedup, "normalised", F.udf(count, "string"))
+    exact_dedup.written(exact_dedup.fingerprints(docs), "fingerprints")
+    once = seen.value
+    kept = exact_dedup.without_duplicates(docs).collect()
+    assert sorted(r["text"] for r in kept) == sorted(t for k, t in table if k not in (1000, 9))
+    assert seen.value - 2 * once < 50
+
+
+def test_ids_are_told_by_bits(spark):
+    ids = spark.createDataFrame([(k * 977,) for k in range(300)] + [(None,)], "key long")
+    docs = spark.range(20000).select(F.col("id").alias("doc_id"), F.lit("x").alias("bits"), F.lit(1).alias("row")) \
+        .unionByName(spark.createDataFrame([(None, "null", 2)], "doc_id long, bits string, row int"))
+    free, rest = split_by_id(docs, "doc_id", ids)
+    assert free.columns == rest.columns == docs.columns
+    out, met = [r["doc_id"] for r in free.collect()], [r["doc_id"] for r in rest.collect()]
+    assert {None, *range(0, 20000, 977)} <= set(met) and len(met) < 40
+    assert sorted(out + met, key=str) == sorted([None, *range(20000)], key=str)
+    free, rest = split_by_id(docs, "doc_id", ids.limit(0))
+    assert free.count() == 20001 and rest.isEmpty()
+
+
+def test_small_batches_are_bounded_by_bytes(spark):
+    docs = spark.range(0, 3000, 1, 1).select(F.repeat(F.lit("x"), 10000).alias("text"))
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.nbytes], pa.int64())], ["n"])
+
+    with small_batches(spark):
+        held = [r["n"] for r in docs.mapInArrow(sizes, "n long").collect()]
+    assert len(held) > 5 and max(held) < 6 << 20 and sum(held) >= 3000 * 10000
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", "1b") == "1b"
+
+
 def test_fingerprints_compose():
     rng = random.Random(3)
     data = bytes(rng.randrange(256) for _ in range(5000))
